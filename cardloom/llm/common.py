@@ -62,7 +62,15 @@ def cut(df: DataFrame, label: str) -> DataFrame:
     df.write.parquet(path)
     gc.collect()
     spark.sparkContext._jvm.System.gc()
-    return spark.read.schema(schema).parquet(path)
+    out = spark.read.schema(schema).parquet(path)
+    out._folder = path
+    return out
+
+
+def done_with(*tables: DataFrame) -> None:
+    """Gives back the storage of tables that cut() wrote, once all that reads them has been written too."""
+    for df in tables:
+        remove(df.sparkSession, df._folder)
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -90,7 +98,8 @@ def components(links: DataFrame) -> DataFrame:
     e = cut(links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct(), "links")
     before = None
     while True:
-        e = cut(star(star(e, True), False), "links")
+        last, e = e, cut(star(star(e, True), False), "links")
+        done_with(last)
         after = tuple(e.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
         if after == before:
             break

@@ -6,10 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from cardloom.llm.mixing import op3_mix_sources
+from cardloom.llm.quality import OP4_SQL, op4_quality_lines
+from cardloom.llm.simhash import op7_simhash
 from cardloom.llm.substring import op1_substring_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
+    "op3_mix_sources": op3_mix_sources,
+    "op4_quality_lines": op4_quality_lines,
+    "op7_simhash": op7_simhash,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op4_quality_lines": OP4_SQL}

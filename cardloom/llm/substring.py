@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardloom.llm.common import cut, mix, runs_hash, table, text_slices, word_bounds, word_hashes
+from cardloom.llm.common import cut, done_with, mix, runs_hash, table, text_slices, word_bounds, word_hashes
 
 WINDOW = 50
 SEED = 8
@@ -126,7 +126,9 @@ def duplicate_spans(docs: DataFrame, window: int = WINDOW, seed: int = SEED) ->
     )
     shared = cut(blocks.join(known, "anchor"), "shared")
     holders = shared.groupBy("anchor", "content").agg(F.min("doc_id").alias("holder"))
+    done_with(blocks)
     parsed = cut(shared.join(holders, ["anchor", "content"]), "parsed")
+    done_with(shared)
     whole = parsed.where("doc_id > holder").select("doc_id", "version", "first", "n")
     windows = cut(_boundary_windows(docs, parsed.where("varied and doc_id = holder"), window), "windows")
     earliest = windows.groupBy("anchor", "hash").agg(F.min("doc_id").alias("holder"), F.max("doc_id").alias("highest")).where("holder < highest")
