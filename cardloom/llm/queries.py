@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from cardloom.llm.language import op10_language_id
 from cardloom.llm.mixing import op3_mix_sources
 from cardloom.llm.quality import OP4_SQL, op4_quality_lines
 from cardloom.llm.simhash import op7_simhash
@@ -18,6 +19,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_quality_lines": op4_quality_lines,
     "op7_simhash": op7_simhash,
     "op8_arc_to_warc": op8_arc_to_warc,
+    "op10_language_id": op10_language_id,
 }
 
 ORACLE_SQL: dict[str, str] = {"op4_quality_lines": OP4_SQL, "op8_arc_to_warc": OP8_SQL}
