@@ -11,12 +11,14 @@ from cardloom.llm.mixing import op3_mix_sources
 from cardloom.llm.quality import OP4_SQL, op4_quality_lines
 from cardloom.llm.simhash import op7_simhash
 from cardloom.llm.substring import op1_substring_dedup
+from cardloom.llm.toxicity import op6_toxicity
 from cardloom.llm.warc import OP8_SQL, op8_arc_to_warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op3_mix_sources": op3_mix_sources,
     "op4_quality_lines": op4_quality_lines,
+    "op6_toxicity": op6_toxicity,
     "op7_simhash": op7_simhash,
     "op8_arc_to_warc": op8_arc_to_warc,
     "op10_language_id": op10_language_id,
