@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from cardloom.llm.language import op10_language_id
 from cardloom.llm.mixing import op3_mix_sources
+from cardloom.llm.pieces import op9_sentencepiece
 from cardloom.llm.quality import OP4_SQL, op4_quality_lines
 from cardloom.llm.simhash import op7_simhash
 from cardloom.llm.substring import op1_substring_dedup
@@ -21,6 +22,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_toxicity": op6_toxicity,
     "op7_simhash": op7_simhash,
     "op8_arc_to_warc": op8_arc_to_warc,
+    "op9_sentencepiece": op9_sentencepiece,
     "op10_language_id": op10_language_id,
 }
 
