@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from cardloom.llm.language import op10_language_id
 from cardloom.llm.mixing import op3_mix_sources
+from cardloom.llm.nearest import OP2_SQL, op2_nearest
 from cardloom.llm.pieces import op9_sentencepiece
 from cardloom.llm.quality import OP4_SQL, op4_quality_lines
 from cardloom.llm.simhash import op7_simhash
@@ -17,6 +18,7 @@ from cardloom.llm.warc import OP8_SQL, op8_arc_to_warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
+    "op2_nearest": op2_nearest,
     "op3_mix_sources": op3_mix_sources,
     "op4_quality_lines": op4_quality_lines,
     "op6_toxicity": op6_toxicity,
@@ -26,4 +28,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_language_id": op10_language_id,
 }
 
-ORACLE_SQL: dict[str, str] = {"op4_quality_lines": OP4_SQL, "op8_arc_to_warc": OP8_SQL}
+ORACLE_SQL: dict[str, str] = {"op2_nearest": OP2_SQL, "op4_quality_lines": OP4_SQL, "op8_arc_to_warc": OP8_SQL}
