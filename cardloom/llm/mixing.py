@@ -80,8 +80,8 @@ def _fold(units: Column, level: Column) -> Column:
     return F.aggregate(units, F.struct(done.alias("done"), none.alias("open")), trade)
 
 
-def mix_sources(documents: DataFrame, share: float = SHARE, most: float = MOST_COPIES, weights: tuple[int, ...] = WEIGHTS, bucket: int = BUCKET) -> DataFrame:
-    """(doc_id, size, source_size, target, taken, copies) of each row of documents, by whole texts.
+def mix_decisions(documents: DataFrame, share: float = SHARE, most: float = MOST_COPIES, weights: tuple[int, ...] = WEIGHTS, bucket: int = BUCKET) -> DataFrame:
+    """(source, doc_id, version, size, n, source_size, target, copies): one row for each document, n of which are in documents.
 
     Size is the number of words. Null, empty and blank texts have size 0 and are taken 0 times. Rows that repeat one doc_id with the same text in one source
     are decided as one, each with the same number of copies. Ties need no rule: chance comes from hashes. A null source is a source of its own, the last.
@@ -121,8 +121,22 @@ def mix_sources(documents: DataFrame, share: float = SHARE, most: float = MOST_C
     out = copies.join(of, F.col("source").eqNullSafe(F.col("_of"))).drop("_of")
     whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size") + _EPS)).otherwise(0)
     out = out.withColumn("copies", F.when(F.col("size") > 0, whole + F.col("extra")).otherwise(0).cast("long"))
-    out = out.select("source", "doc_id", "size", "version", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "copies", F.explode(F.sequence(F.lit(1), F.col("n"))).alias("_row"))
-    return out.drop("_row")
+    return out.select("source", "doc_id", "version", "size", "n", "source_size", "target", "copies")
+
+
+def mix_sources(documents: DataFrame, share: float = SHARE, most: float = MOST_COPIES, weights: tuple[int, ...] = WEIGHTS) -> DataFrame:
+    """(doc_id, size, source_size, target, taken, copies) of each row of documents; see mix_decisions."""
+    found = mix_decisions(documents, share, most, weights)
+    taken = (F.col("copies") * F.col("size")).alias("taken")
+    return found.select("doc_id", "size", "source_size", "target", taken, "copies", F.explode(F.sequence(F.lit(1), F.col("n"))).alias("_row")).drop("_row")
+
+
+def mixed(documents: DataFrame, share: float = SHARE, most: float = MOST_COPIES, weights: tuple[int, ...] = WEIGHTS) -> DataFrame:
+    """The mix itself: each row of documents as often as the mix takes it."""
+    found = mix_decisions(documents, share, most, weights).where("copies > 0").select(F.col("source").alias("_source"), F.col("doc_id").alias("_doc"), F.col("version").alias("_of"), "copies")
+    same = F.col("doc_id").eqNullSafe(F.col("_doc")) & F.xxhash64("text").eqNullSafe(F.col("_of")) & F.col("source").eqNullSafe(F.col("_source"))
+    rows = documents.join(found.withColumnRenamed("copies", "_copies"), same).withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies"))))
+    return rows.select(*[F.col(f"`{c}`") for c in documents.columns])
 
 
 def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:

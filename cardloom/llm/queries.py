@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from cardloom.llm.language import op10_language_id
+from cardloom.llm.lines import op5_line_dedup
 from cardloom.llm.mixing import op3_mix_sources
 from cardloom.llm.nearest import OP2_SQL, op2_nearest
 from cardloom.llm.pieces import op9_sentencepiece
@@ -21,6 +22,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_nearest": op2_nearest,
     "op3_mix_sources": op3_mix_sources,
     "op4_quality_lines": op4_quality_lines,
+    "op5_line_dedup": op5_line_dedup,
     "op6_toxicity": op6_toxicity,
     "op7_simhash": op7_simhash,
     "op8_arc_to_warc": op8_arc_to_warc,

@@ -42,15 +42,16 @@ def fingerprint(raw: bytes, shingle: int = SHINGLE) -> int:
 
 
 def with_fingerprint(documents: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """(doc_id, fp) of each row; fp is the fingerprint as a signed long."""
+    """(doc_id, version, fp) of each row; version is a hash of the text, fp the fingerprint as a signed long."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             text = batch.column("text").cast(pa.binary())
             found = [fingerprint(x.as_py() or b"", shingle) for x in text]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(found, pa.int64())], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("version"), pa.array(found, pa.int64())], ["doc_id", "version", "fp"])
 
-    return documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, fp long")
+    docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.xxhash64("text"), F.lit(0).cast("long")).alias("version"), "text")
+    return docs.mapInArrow(run, "doc_id long, version long, fp long")
 
 
 def _shared_bytes(x: Column) -> Column:
@@ -78,19 +79,30 @@ def fingerprint_links(fps: DataFrame, longest_list: int = LONGEST_LIST) -> DataF
 
 
 def simhash_components(documents: DataFrame, shingle: int = SHINGLE, longest_list: int = LONGEST_LIST) -> DataFrame:
-    """(doc_id, fp, component_id) of each row of documents; component_id is the smallest doc_id it is linked with.
+    """(doc_id, version, fp, component_id, stays) of each row of documents.
 
-    Null, empty and blank texts have fingerprint zero and are linked like any other; rows with fewer words than a shingle hash the whole
-    sequence. Repeated rows share their fingerprint and component. A null doc_id is never a component's name unless the component
-    has no other. A table without rows gives none. Columns beside doc_id and text aren't read.
+    component_id is the smallest doc_id a row is linked with, and stays marks that document. Null, empty and blank texts have fingerprint zero and are
+    linked like any other; texts with fewer words than a shingle hash the whole sequence. Repeated rows share all of this. Null ids come
+    last: they name no component and stay in none that has another id. A table without rows gives none. Columns beside doc_id and text aren't read.
     """
     docs = cut(with_fingerprint(documents, shingle), "fingerprints")
-    fps = cut(docs.groupBy("fp").agg(F.min("doc_id").alias("low")), "distinct")
+    first = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "version")
+    fps = cut(docs.groupBy("fp").agg(F.min(first).alias("low")), "distinct")
     found = components(fingerprint_links(fps, longest_list))
     linked = fps.join(found, fps.fp == found.id)
-    low = linked.groupBy("component").agg(F.min("low").alias("component_id"))
-    named = linked.join(low, "component").select("fp", "component_id")
-    return docs.join(fps, "fp").join(named, "fp", "left").select("doc_id", "fp", F.coalesce("component_id", "low").alias("component_id"))
+    low = linked.groupBy("component").agg(F.min("low").alias("lowest"))
+    named = linked.join(low, "component").select("fp", "lowest")
+    fps = fps.join(named, "fp", "left").select("fp", F.coalesce("lowest", "low").alias("low"))
+    stays = F.col("doc_id").eqNullSafe(F.col("low.doc_id")) & (F.col("version") == F.col("low.version"))
+    return docs.join(fps, "fp").select("doc_id", "version", "fp", F.col("low.doc_id").alias("component_id"), stays.alias("stays"))
+
+
+def near_dedup(documents: DataFrame, shingle: int = SHINGLE, longest_list: int = LONGEST_LIST) -> DataFrame:
+    """documents with one document of each component, the one with the smallest doc_id; a repeated row stays once."""
+    stay = simhash_components(documents, shingle, longest_list).where("stays").select(F.col("doc_id").alias("_doc"), F.col("version").alias("_of")).distinct()
+    docs = documents.withColumn("_version", F.coalesce(F.xxhash64("text"), F.lit(0).cast("long")))
+    kept = docs.join(stay, F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("_version") == F.col("_of")), "left_semi")
+    return kept.dropDuplicates(["doc_id", "_version"]).drop("_version")
 
 
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -253,8 +253,8 @@ def fit(documents: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, mos
     return model
 
 
-def score_toxicity(documents: DataFrame, train_documents: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> DataFrame:
-    """Replaces text in documents(doc_id, text, ...) by score, predicted and evidence (nearest examples: doc_id, cosine, toxic).
+def score_toxicity(documents: DataFrame, train_documents: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, keep_text: bool = False) -> DataFrame:
+    """Replaces text in documents(doc_id, text, ...), or follows it with keep_text, by score, predicted and evidence (nearest examples: doc_id, cosine, toxic).
 
     Null and empty texts have no features and get the score of such texts. Without labels of both classes every score is 0, or 1 if
     all labels are toxic. Ties of cosines go to the example that stands first in the index, repeated rows get equal scores, a table without
@@ -273,11 +273,11 @@ def score_toxicity(documents: DataFrame, train_documents: DataFrame, labels: Dat
                 p, near = model.score(features.count(text.as_py() or ""))
                 scores.append(p)
                 shown.append([{"doc_id": d, "cosine": c, "toxic": y} for d, c, y in near])
-            kept = [n for n in batch.schema.names if n != "text"]
+            kept = [n for n in batch.schema.names if keep_text or n != "text"]
             cells = [*(batch.column(n) for n in kept), pa.array(scores, pa.float64()), pa.array([int(x >= 0.5) for x in scores], pa.int32()), pa.array(shown, evidence)]
             yield pa.RecordBatch.from_arrays(cells, [*kept, "score", "predicted", "evidence"])
 
-    kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in documents.schema if f.name != "text")
+    kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in documents.schema if keep_text or f.name != "text")
     return documents.mapInArrow(run, f"{kept}, score double, predicted int, evidence array<struct<doc_id:long,cosine:double,toxic:int>>")
 
 
