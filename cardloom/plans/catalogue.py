@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from cardloom.functions import names as N
 from cardloom.functions import text as T
-from cardloom.operators import audit, evidence, gates, ledger, metrics, sampling, tables
+from cardloom.operators import audit, evidence, frame, gates, ledger, metrics, sampling, tables, validate
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -295,8 +296,6 @@ def effective_fold(spark, d):
 f AS (SELECT event_id, ts < lag(ts) OVER w AS back, sup IS DISTINCT FROM lag(event_id) OVER w AS broken, count(*) OVER (PARTITION BY event_id) > 1 AS twice FROM e WINDOW w AS (PARTITION BY user_id ORDER BY event_id))
 SELECT event_id, 'time_runs_back' AS fault FROM f WHERE back UNION ALL SELECT event_id, 'supersedes_mismatch' FROM f WHERE broken UNION ALL SELECT event_id, 'event_id_repeated' FROM f WHERE twice""")
 def event_chain_check(spark, d):
-    from pyspark.sql import Window
-
     e = read(spark, d, "events")
     before = F.lag("event_id").over(Window.partitionBy("user_id").orderBy("event_id"))
     e = e.withColumn("sup", F.when(F.col("event_id") % 11 == 0, F.col("event_id")).otherwise(before))
@@ -424,8 +423,6 @@ def atom_labels(spark, d):
 s AS (SELECT doc_id, pos::INT AS pos, len(list_filter(['the', 'and', 'que', 'der'], lambda t: list_contains(regexp_extract_all(lower(line), '[a-z0-9]+'), t))) AS hits, length(line) AS n_chars FROM l)
 SELECT doc_id, pos, hits::INT AS hits, n_chars::INT AS n_chars, (row_number() OVER (PARTITION BY doc_id ORDER BY hits DESC, pos))::INT AS rank FROM s WHERE hits > 0 QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY hits DESC, pos) <= 3""")
 def section_topk(spark, d):
-    from pyspark.sql import Window
-
     lines = read(spark, d, "documents").select("doc_id", F.posexplode(F.split("text", "\n")).alias("pos", "line"))
     hits = F.size(F.array_intersect(T.words(F.col("line")), F.array(*[F.lit(x) for x in ("the", "and", "que", "der")])))
     rows = lines.select("doc_id", "pos", hits.alias("hits"), F.char_length("line").alias("n_chars")).where("hits > 0")
@@ -519,3 +516,115 @@ def markdown_export(spark, d):
 @query("SELECT page_id, regexp_replace(regexp_replace(lower(regexp_replace(url, '^https?://', '')), '[^a-z0-9]+', '-', 'g'), '^-+|-+$', '', 'g') AS slug, 'src_' || left(sha256(url || chr(10) || html), 24) AS source_id FROM pages")
 def source_ids(spark, d):
     return read(spark, d, "pages").select("page_id", T.slug(F.regexp_replace("url", "^https?://", "")).alias("slug"), T.content_id("src", F.col("url"), F.col("html")).alias("source_id"))
+
+
+# ---- sources, frames and constraints ----
+
+_CODES = (200, 401, 403, 404, 413, 429, 503, 302)
+
+
+@query(f"""SELECT CASE WHEN s = 200 THEN 'ok' WHEN s = 401 THEN 'authentication_required' WHEN s = 403 THEN 'gated' WHEN s = 404 THEN 'missing' WHEN s = 413 THEN 'too_large' WHEN s IN (408, 409, 425, 429) OR s >= 500 THEN 'unavailable' ELSE 'protocol_error' END AS outcome, count(*) AS n
+FROM (SELECT ({list(_CODES)})[event_id % 8 + 1] AS s FROM events) GROUP BY 1""")
+def source_outcomes(spark, d):
+    status = F.element_at(F.array(*[F.lit(x) for x in _CODES]), (F.col("event_id") % 8 + 1).cast("int"))
+    return read(spark, d, "events").groupBy(N.outcome(status).alias("outcome")).agg(F.count("*").alias("n"))
+
+
+_FLAG = "CASE l_returnflag WHEN 'A' THEN 'F32' WHEN 'N' THEN 'BF16' ELSE 'I8' END"
+
+
+@query(f"""WITH q AS (SELECT l_orderkey, {_FLAG} AS dtype, sum(l_quantity)::BIGINT AS parameters, sum(l_quantity * (1 + l_linenumber % 3))::BIGINT AS bytes FROM lineitem GROUP BY 1, 2)
+SELECT l_orderkey, dtype, parameters, bytes, bytes > parameters * CASE dtype WHEN 'F32' THEN 4 WHEN 'BF16' THEN 2 ELSE 1 END * 1.5 AS contradicts FROM q QUALIFY row_number() OVER (PARTITION BY l_orderkey ORDER BY parameters DESC, dtype) = 1""")
+def dominant_dtype(spark, d):
+    """The data type with most parameters of each order (ties: first by name), and whether the size contradicts it."""
+    dtype = F.when(F.col("l_returnflag") == "A", "F32").when(F.col("l_returnflag") == "N", "BF16").otherwise("I8")
+    per = read(spark, d, "lineitem").groupBy("l_orderkey", dtype.alias("dtype")).agg(F.sum("l_quantity").cast("long").alias("parameters"), F.sum(F.col("l_quantity") * (1 + F.col("l_linenumber") % 3)).cast("long").alias("bytes"))
+    top = per.groupBy("l_orderkey").agg(F.min(F.struct((-F.col("parameters")).alias("less"), "dtype", "parameters", "bytes")).alias("t"))
+    return top.select("l_orderkey", "t.dtype", "t.parameters", "t.bytes", N.size_contradicts(F.col("t.bytes"), F.col("t.parameters"), F.col("t.dtype")).alias("contradicts"))
+
+
+@query("""SELECT p_brand AS target, lower(replace(p_type, ' ', '-')) AS model, coalesce(min(CASE p_size % 3 WHEN 0 THEN 'finetune' WHEN 1 THEN 'adapter' END), 'base') AS kind FROM part GROUP BY 1, 2""")
+def base_tag_fold(spark, d):
+    kind = F.when(F.col("p_size") % 3 == 0, "finetune:").when(F.col("p_size") % 3 == 1, "adapter:").otherwise("")
+    tags = read(spark, d, "part").select(F.col("p_brand").alias("target"), F.concat(kind, F.lower(F.replace("p_type", F.lit(" "), F.lit("-")))).alias("tag"))
+    return frame.base_nodes(tags)
+
+
+_NODES = (("en", "target", "target", "the"), ("en", "a", "base", "that"), ("en", "b", "sibling", "with"), ("de", "target", "target", "der"), ("de", "a", "base", "und"), ("fr", "target", "target", "les"), ("fr", "b", "sibling", "dans"), ("es", "target", "target", "que"), ("es", "b", "sibling", "para"))
+
+
+@query(f"""WITH n AS (SELECT * FROM (VALUES {", ".join(map(str, _NODES))}) AS t(target, id, type, name))
+SELECT doc_id AS record_id, id, type, strpos(lower(text), name) - 1 AS at_char FROM documents JOIN n ON lang = target WHERE strpos(lower(text), name) > 0""")
+def mention_positions(spark, d):
+    nodes = spark.createDataFrame([(*n, []) for n in _NODES], "target string, id string, type string, name string, aliases array<string>")
+    records = read(spark, d, "documents").select(F.col("lang").alias("target"), F.col("doc_id").alias("record_id"), F.col("text").alias("quote"))
+    return frame.mentions(records, nodes).select("record_id", "id", "type", F.col("at").cast("long").alias("at_char"))
+
+
+@query(r"""WITH l AS (SELECT unnest(string_split(text, chr(10))) AS line FROM documents),
+w AS (SELECT CASE WHEN contains(line, '|') THEN 'other' ELSE 'target' END AS owner, unnest(list_distinct(regexp_extract_all(lower(line), '[\p{L}\p{Nd}]+'))) AS token FROM l),
+s AS (SELECT token, bool_or(owner = 'target') AS own, count(*) FILTER (WHERE owner <> 'target') AS others FROM w GROUP BY 1),
+v AS (SELECT DISTINCT lang AS field, unnest(regexp_extract_all(lower(text), '[a-z]{6,}')) AS token FROM documents)
+SELECT field, token, others, CASE WHEN others >= 3 THEN 'strong' WHEN others = 2 THEN 'moderate' ELSE 'weak' END AS strength FROM v JOIN s USING (token) WHERE NOT own AND others > 0""")
+def splice_probes(spark, d):
+    docs = read(spark, d, "documents")
+    lines = docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line_id", "text"))
+    lines = lines.withColumn("owner", F.when(F.col("text").contains("|"), "other").otherwise("target"))
+    values = docs.select(F.col("lang").alias("field"), F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit("([a-z]{6,})"), 1))).alias("token")).distinct()
+    return frame.splice_probes(values, lines)
+
+
+@query("""SELECT conv_id, turn, role, 'chat.' || role AS base, [turn::INT, (turn % 2)::INT] AS indexes FROM conversations""")
+def field_paths(spark, d):
+    c = read(spark, d, "conversations")
+    path = F.concat(F.lit("chat."), "role", F.lit("["), F.col("turn").cast("string"), F.lit("]["), (F.col("turn") % 2).cast("string"), F.lit("]"))
+    return c.select("conv_id", "turn", "role", N.field_path(path).alias("p")).select("conv_id", "turn", "role", "p.base", "p.indexes")
+
+
+_SOURCE = "(SELECT page_id, CASE WHEN page_id % 3 = 0 THEN 'missing' ELSE 'collected' END AS status, CASE WHEN page_id % 5 <> 0 THEN sha256(html) END AS sha256, CASE WHEN page_id % 4 = 0 THEN 'gated' END AS reason FROM pages)"
+
+
+@query(f"""WITH s AS {_SOURCE} SELECT fault, count(*) AS n, min(page_id) AS first_id FROM (SELECT page_id, 'collected_without_hash' AS fault FROM s WHERE status = 'collected' AND sha256 IS NULL
+UNION ALL SELECT page_id, 'collected_with_reason' FROM s WHERE status = 'collected' AND reason IS NOT NULL UNION ALL SELECT page_id, 'absent_with_hash' FROM s WHERE status <> 'collected' AND sha256 IS NOT NULL
+UNION ALL SELECT page_id, 'absent_without_reason' FROM s WHERE status <> 'collected' AND reason IS NULL) GROUP BY 1""")
+def constraint_violations(spark, d):
+    i = F.col("page_id")
+    rows = read(spark, d, "pages").select(
+        "page_id", F.when(i % 3 == 0, "missing").otherwise("collected").alias("status"), F.when(i % 5 != 0, F.sha2("html", 256)).alias("sha256"), F.when(i % 4 == 0, "gated").alias("reason"), F.octet_length("html").alias("size_bytes")
+    )
+    return validate.violations(rows, "page_id", validate.source_checks()).groupBy("fault").agg(F.count("*").alias("n"), F.min("page_id").alias("first_id"))
+
+
+@query(f"""WITH p AS (SELECT unnest({_PATHS}) AS field, unnest(range(34)) AS n), c AS (SELECT DISTINCT p_brand AS card, CASE WHEN p_size = 50 THEN 'extra.field' ELSE field END AS field FROM part JOIN p ON n = p_partkey % 34 AND n < p_size)
+SELECT b.card, p.field, 'missing' AS fault FROM (SELECT DISTINCT card FROM c) b CROSS JOIN p WHERE NOT EXISTS (SELECT 1 FROM c WHERE c.card = b.card AND c.field = p.field) UNION ALL SELECT card, field, 'extra' FROM c WHERE field = 'extra.field'""")
+def contract_gaps(spark, d):
+    policy = gates.field_policy(spark)
+    part = read(spark, d, "part").withColumn("ordinal", (F.col("p_partkey") % 34).cast("int")).where("ordinal < p_size").join(F.broadcast(policy.select("ordinal", "field")), "ordinal")
+    cells = part.select(F.col("p_brand").alias("card"), F.when(F.col("p_size") == 50, "extra.field").otherwise(F.col("field")).alias("field"))
+    return validate.contract_gaps(cells, policy, "card")
+
+
+@query(r"""SELECT page_id, (row_number() OVER (PARTITION BY regexp_extract(url, '^https?://([^/]+)', 1) ORDER BY url LIKE '%.html', lower(url), url, page_id))::INT AS place FROM pages""")
+def declared_file_order(spark, d):
+    w = Window.partitionBy(F.regexp_extract("url", "^https?://([^/]+)", 1)).orderBy(F.col("url").endswith(".html"), F.lower("url"), "url", "page_id")
+    return read(spark, d, "pages").select("page_id", F.row_number().over(w).alias("place"))
+
+
+@query("SELECT source, 'bundle_' || left(sha256(string_agg(doc_id || ':' || md5(text), chr(10) ORDER BY doc_id)), 32) AS bundle_id, count(*) AS files FROM documents GROUP BY 1")
+def bundle_digest(spark, d):
+    rows = F.sort_array(F.collect_list(F.struct("doc_id", F.md5("text").alias("h"))))
+    text = F.array_join(F.transform(rows, lambda x: F.concat(x["doc_id"].cast("string"), F.lit(":"), x["h"])), "\n")
+    return read(spark, d, "documents").groupBy("source").agg(T.content_id("bundle", text, width=32).alias("bundle_id"), F.count("*").alias("files"))
+
+
+@query("SELECT DISTINCT user_id FROM events WHERE event_type = 'purchase' INTERSECT SELECT DISTINCT user_id FROM events WHERE event_type = 'signup'")
+def shared_slugs(spark, d):
+    e = read(spark, d, "events")
+    return e.where("event_type = 'purchase'").select("user_id").intersect(e.where("event_type = 'signup'").select("user_id"))
+
+
+@query("""WITH f AS (SELECT user_id, props, min(event_id) AS seen FROM events GROUP BY 1, 2) SELECT user_id, props, (row_number() OVER (PARTITION BY user_id ORDER BY seen))::INT AS rank FROM f QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY seen) <= 12""")
+def candidate_cap(spark, d):
+    first = read(spark, d, "events").groupBy("user_id", "props").agg(F.min("event_id").alias("seen"))
+    rank = F.row_number().over(Window.partitionBy("user_id").orderBy("seen"))
+    return first.withColumn("rank", rank).where("rank <= 12").select("user_id", "props", "rank")
