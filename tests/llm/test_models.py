@@ -33,7 +33,9 @@ def test_block_max_search_is_exact():
 
 def test_toxicity_edges(spark, docs):
     bad, good = "what a vile nasty thing to say", "what a kind sunny thing to say"
-    rows = [(i, (bad if i % 3 == 0 else good) + f" number{i} unlike others{i * i}") for i in range(150)]
+    rnd = random.Random(1)
+    other = lambda: "".join(rnd.choice("abcdefghijklm") for _ in range(6))
+    rows = [(i, (bad if i % 3 == 0 else good) + "".join(f" {other()}" for _ in range(30))) for i in range(150)]
     labels = spark.createDataFrame([(i, 1, int(i % 3 == 0)) for i in range(150)] + [(None, 1, 1), (3, 1, None)], "doc_id long, quality int, toxic int")
     asked = docs(*rows, (500, None), (501, ""), (502, "vile " * 40_000), (502, "vile " * 40_000), (None, "sunny day"))
     got = {(r.doc_id, r.predicted): r.score for r in toxicity.score_toxicity(asked.select("doc_id", "text"), docs(*rows), labels).collect()}
