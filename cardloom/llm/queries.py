@@ -13,7 +13,7 @@ from cardloom.llm.nearest import OP2_SQL, op2_nearest
 from cardloom.llm.pieces import op9_sentencepiece
 from cardloom.llm.quality import OP4_SQL, op4_quality_lines
 from cardloom.llm.simhash import op7_simhash
-from cardloom.llm.substring import op1_substring_dedup
+from cardloom.llm.substring import OP1_SQL, op1_substring_dedup
 from cardloom.llm.toxicity import op6_toxicity
 from cardloom.llm.warc import OP8_SQL, op8_arc_to_warc
 
@@ -30,4 +30,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_language_id": op10_language_id,
 }
 
-ORACLE_SQL: dict[str, str] = {"op2_nearest": OP2_SQL, "op4_quality_lines": OP4_SQL, "op8_arc_to_warc": OP8_SQL}
+ORACLE_SQL: dict[str, str] = {"op1_substring_dedup": OP1_SQL, "op2_nearest": OP2_SQL, "op4_quality_lines": OP4_SQL, "op8_arc_to_warc": OP8_SQL}

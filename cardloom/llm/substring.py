@@ -187,3 +187,14 @@ def substring_dedup(documents: DataFrame, window: int = WINDOW, seed: int = SEED
 
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup(table(spark, sf_dir, "documents"), with_text=False)
+
+
+OP1_SQL = r"""
+WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+g AS (SELECT doc_id, p, md5(array_to_string(words[p : p + 49], ' ')) AS h FROM (SELECT doc_id, words, unnest(range(1, len(words) - 48)) AS p FROM w WHERE len(words) >= 50)),
+m AS (SELECT h, min(doc_id) AS low FROM g GROUP BY h),
+b AS (SELECT DISTINCT doc_id, unnest(range(p, p + 50)) AS pos FROM g JOIN m USING (h) WHERE low < doc_id),
+t AS (SELECT doc_id, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS pos FROM w),
+k AS (SELECT t.doc_id, count(b.pos) AS n_removed, string_agg(word, ' ' ORDER BY t.pos) FILTER (WHERE b.pos IS NULL) AS kept FROM t LEFT JOIN b ON b.doc_id = t.doc_id AND b.pos = t.pos GROUP BY 1)
+SELECT w.doc_id, len(words)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256 FROM w LEFT JOIN k USING (doc_id)
+"""
