@@ -324,13 +324,15 @@ def dedup_content(spark, d):
     return docs.groupBy("digest").agg(F.min("doc_id").alias("doc_id")).select("doc_id", "digest")
 
 
-@query("""WITH m AS (SELECT path, md5(text) AS m, path % 10 AS k FROM (SELECT doc_id AS path, text FROM documents)), a AS (SELECT doc_id AS path, sha256(text) AS sha, octet_length(encode(text)) + CASE WHEN doc_id % 13 = 0 THEN 1 ELSE 0 END AS size FROM documents WHERE doc_id % 10 <> 3),
-f AS (SELECT doc_id AS path, sha256(CASE WHEN doc_id % 17 = 0 THEN reverse(text) ELSE text END) AS got, octet_length(encode(text)) AS bytes FROM documents WHERE doc_id % 10 <> 4)
+@query("""WITH a AS (SELECT CASE WHEN doc_id % 10 = 3 THEN -1 - doc_id ELSE doc_id END AS path, sha256(text) AS sha, octet_length(encode(text)) + CASE WHEN doc_id % 13 = 0 THEN 1 ELSE 0 END AS size FROM documents),
+f AS (SELECT doc_id AS path, sha256(CASE WHEN doc_id % 17 = 0 THEN reverse(text) ELSE text END) AS got, octet_length(encode(text)) AS bytes FROM documents)
 SELECT path, CASE WHEN got IS NULL THEN 'missing' WHEN sha IS NULL THEN 'unexpected' WHEN bytes <> size THEN 'size_differs' WHEN got <> sha THEN 'hash_differs' ELSE 'ok' END AS status FROM a FULL JOIN f USING (path)""")
 def manifest_replay(spark, d):
+    """All documents as files, some renamed, resized or changed since their manifest."""
     docs, i = read(spark, d, "documents"), F.col("doc_id")
-    manifest = docs.where(i % 10 != 3).select(i.alias("path"), F.sha2(F.col("text").cast("binary"), 256).alias("sha256"), (F.octet_length("text") + (i % 13 == 0).cast("int")).cast("long").alias("size"))
-    files = docs.where(i % 10 != 4).select(i.alias("path"), F.when(i % 17 == 0, F.reverse("text")).otherwise(F.col("text")).alias("content"))
+    path = F.when(i % 10 == 3, -1 - i).otherwise(i)
+    manifest = docs.select(path.alias("path"), F.sha2(F.col("text").cast("binary"), 256).alias("sha256"), (F.octet_length("text") + (i % 13 == 0).cast("int")).cast("long").alias("size"))
+    files = docs.select(i.alias("path"), F.when(i % 17 == 0, F.reverse("text")).otherwise(F.col("text")).alias("content"))
     return ledger.replay(manifest, files)
 
 
