@@ -30,6 +30,8 @@ LEAST_RATIO = 4.0
 LEAST_SHARE = 0.01
 NEIGHBOURS = 15
 BLOCK = 64
+FIRST_BLOCKS = 4
+DENSE_CELLS = 1 << 22
 MOST_SHOWN = 3
 
 _TERM = re.compile(r"[^\W\d_]+")
@@ -55,13 +57,16 @@ def terms(text: str) -> Counter:
 class Features:
     """Counts only the terms of a vocabulary; remembers up to `most` words."""
 
-    def __init__(self, vocabulary: set[str], most: int = 200_000) -> None:
+    def __init__(self, vocabulary: set[str], most: int = 50_000) -> None:
         self.vocabulary, self.most, self.seen = vocabulary, most, {}
+        self.starts = {t[:3].rstrip("*") for t in vocabulary}
 
     def count(self, text: str) -> dict[str, int]:
         out: dict[str, int] = {}
-        seen = self.seen
+        seen, starts = self.seen, self.starts
         for word, n in Counter(_TERM.findall(text.lower())).items():
+            if word[:3] not in starts:
+                continue
             found = seen.get(word)
             if found is None:
                 if len(seen) >= self.most:
@@ -100,6 +105,7 @@ class Index:
                 lists[f].append((e, w))
         self.at = [np.array([e for e, _ in x], np.int64) for x in lists]
         self.weight = [np.array([w for _, w in x]) for x in lists]
+        self.dense = None  # the postings as one array, made where it is first used if it is small
         self.bound = np.zeros((len(lists), self.blocks))
         self.start = np.zeros((len(lists), self.blocks + 1), np.int64)
         for f, (e, w) in enumerate(zip(self.at, self.weight, strict=True)):
@@ -113,24 +119,45 @@ class Index:
         w = (1 + np.log(np.array([counts[t] for t in names]))) * self.idf[f]
         return f, w / np.sqrt((w * w).sum())
 
+    def cosines(self, f: np.ndarray, w: np.ndarray, blocks: np.ndarray) -> np.ndarray:
+        """Exact cosines with the examples of some blocks, a row for each block."""
+        out = np.zeros((len(blocks), BLOCK))
+        if len(self.number) * self.blocks * BLOCK <= DENSE_CELLS:
+            if self.dense is None:
+                self.dense = np.zeros((self.blocks, len(self.number), BLOCK))
+                for j, (e, x) in enumerate(zip(self.at, self.weight, strict=True)):
+                    self.dense[e // BLOCK, j, e % BLOCK] = x
+            for j, x in zip(f, w, strict=True):
+                out += x * self.dense[blocks, j]
+            return out
+        for i, b in enumerate(blocks):
+            for j, x in zip(f, w, strict=True):
+                part = slice(self.start[j, b], self.start[j, b + 1])
+                out[i, self.at[j][part] - b * BLOCK] += x * self.weight[j][part]
+        return out
+
     def nearest(self, counts: dict[str, int], k: int, without: int | None = None) -> tuple[np.ndarray, np.ndarray]:
-        """The k examples of largest cosine (ties: first in the index) and their cosines; exact."""
+        """The k examples of largest cosine (ties: first in the index) and their cosines; exact.
+
+        The best bounded blocks are scored first; they set the floor that decides which others are scored at all.
+        """
         f, w = self.vector(counts)
         bound = w @ self.bound[f]
-        found, score, least = np.empty(0, np.int64), np.empty(0), -1.0
-        for b in np.argsort(-bound, kind="stable"):
-            if bound[b] <= 0 or (len(found) >= k and bound[b] < least - 1e-12):
+        order = np.argsort(-bound, kind="stable")
+        order = order[bound[order] > 0]
+        found, score = np.empty(0, np.int64), np.empty(0)
+        for blocks in (order[:FIRST_BLOCKS], order[FIRST_BLOCKS:]):
+            if len(found) == k:
+                blocks = blocks[bound[blocks] >= score[-1] - 1e-12]
+            if not len(blocks):
                 break
-            cosines = np.zeros(BLOCK)
-            for j, weight in zip(f, w, strict=True):
-                part = slice(self.start[j, b], self.start[j, b + 1])
-                cosines[self.at[j][part] - b * BLOCK] += weight * self.weight[j][part]
-            hit = np.flatnonzero(cosines > 0)
-            hit = hit[hit + b * BLOCK != without] if without is not None else hit
-            found, score = np.r_[found, hit + b * BLOCK], np.r_[score, cosines[hit]]
+            c = self.cosines(f, w, blocks)
+            if without is not None:
+                c[blocks == without // BLOCK, without % BLOCK] = 0
+            i, j = np.nonzero(c > 0)
+            found, score = np.r_[found, blocks[i] * BLOCK + j], np.r_[score, c[i, j]]
             best = np.lexsort((found, -np.round(score, 12)))[:k]
             found, score = found[best], score[best]
-            least = score[-1] if len(score) == k else -1.0
         return found, score
 
 
@@ -162,6 +189,7 @@ class Model:
             beta = beta + np.clip(step, -2, 2)
         if beta[0] > 0:
             self.slope, self.shift = map(float, beta)
+        self.index.dense = None  # workers make their own
 
     def score(self, counts: dict[str, int]) -> tuple[float, list[tuple[int, float, int]]]:
         """Probability and the nearest examples as (doc_id, cosine, toxic)."""
@@ -169,7 +197,7 @@ class Model:
             return self.bare, []
         key = tuple(sorted(counts.items()))
         if key not in self.seen:
-            if len(self.seen) > 50_000:
+            if len(self.seen) > 10_000:
                 self.seen.clear()
             found, cosines = self.index.nearest(counts, self.k)
             p = 1 / (1 + np.exp(-(self.slope * self.vote(found, cosines) + self.shift))) if len(found) else self.bare
