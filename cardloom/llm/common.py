@@ -73,29 +73,49 @@ def done_with(*tables: DataFrame) -> None:
         remove(df.sparkSession, df._folder)
 
 
+def _contracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The links of one partition as stars around the smallest id of each piece that they connect."""
+    parent: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        root = x
+        while parent.setdefault(root, root) != root:
+            root = parent[root]
+        while parent[x] != root:
+            parent[x], x = root, parent[x]
+        return root
+
+    for batch in batches:
+        for a, b in zip(batch.column("a").to_pylist(), batch.column("b").to_pylist(), strict=True):
+            a, b = find(a), find(b)
+            parent[max(a, b)] = min(a, b)
+    stars = [(x, find(x)) for x in parent]
+    stars = [s for s in stars if s[0] != s[1]]
+    yield pa.RecordBatch.from_arrays([pa.array([s[i] for s in stars], pa.int64()) for i in (0, 1)], ["a", "b"])
+
+
 def components(links: DataFrame) -> DataFrame:
     """Connected components of links(a, b), as (id, component) with component the smallest id reachable.
 
-    Alternates large-star and small-star steps until no link changes; each round moves every link
-    towards its component's smallest id, so long chains shrink by a constant factor a round. Ids that
-    have no link are not in the result. No group of links is ever gathered in one task: each step is a
-    minimum per id and a join.
+    Each task first joins the links of its own partition by union-find. Then large-star and small-star steps alternate until no link
+    changes; each round moves every link towards its component's smallest id, so long chains shrink by a constant factor a round. Ids that
+    have no link are not in the result. No group of links is ever gathered in one task: each step is a minimum per id and a join.
     """
     spark = links.sparkSession
 
-    def both(e: DataFrame) -> DataFrame:
-        return e.select("a", "b").unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
-
     def star(e: DataFrame, large: bool) -> DataFrame:
-        n = both(e) if large else e.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-        low = n.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+        low = e.select("a", "b")
+        if large:
+            low = low.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        n, low = low, low.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
         n = n.join(low, "a")
         if large:
-            return n.where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
+            return n.where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b")
         out = n.select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(low.select("a", F.col("m").alias("b")))
-        return out.where("a <> b").distinct()
+        return out.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
 
-    e = cut(links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct(), "links")
+    e = links.select(F.greatest("a", "b").cast("long").alias("a"), F.least("a", "b").cast("long").alias("b")).where("a <> b")
+    e = cut(e.mapInArrow(_contracted, "a long, b long").distinct(), "links")
     before = None
     while True:
         last, e = e, cut(star(star(e, True), False), "links")

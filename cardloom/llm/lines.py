@@ -3,8 +3,8 @@
 Lines are the \\n-separated parts of a text that hold a word, stripped of blanks at their ends. Equal lines are one from the start. Each distinct line gets a signature of
 one-permutation MinHash (empty bins are filled from others by a fixed random walk), cut into bands; lines that share a band's key are in one
 bucket. A bucket emits no pairs among all its lines: each line is checked against the bucket's first only. Where that leaves a
-bucket with lines of several components, each line outside its largest component is checked against all lines of the others, so no link
-that banding found is lost, and a large group of near copies costs a row per line. Links need an exact Jaccard similarity of `least` over the sets of shingles.
+bucket with lines of several components, each line outside its largest component is tried against the lines of the others, a share of the bucket in each task, so no
+link that banding found is lost, and a large group of near copies costs a row per line. Links need an exact Jaccard similarity of `least` over the sets of shingles.
 """
 
 from __future__ import annotations
@@ -22,22 +22,23 @@ from cardloom.llm.common import components, cut, mix, table
 SHINGLE = 8
 LEAST = 0.8
 BANDS, ROWS = 12, 4
-_SEEN = 500_000
-_SLICE = 1 << 20
+_SEEN = 100_000
+_SLICE = 1 << 18
+_BITS = 1 << 14
 _EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
 def split_lines(text: str) -> list[tuple[int, str]]:
     """(number, stripped line) of the lines with a word, by number from 0."""
-    return [(n, x.strip(" \t\x0b\f\r")) for n, x in enumerate(text.split("\n")) if x.strip(" \t\x0b\f\r")]
+    return [(n, y) for n, x in enumerate(text.split("\n")) if (y := x.strip(" \t\x0b\f\r"))]
 
 
 def line_key(line: str) -> int:
     return int.from_bytes(hashlib.blake2b(line.encode(), digest_size=8).digest(), "little", signed=True)
 
 
-def band_keys(lines: list[str], bands: int = BANDS, rows: int = ROWS, shingle: int = SHINGLE) -> np.ndarray:
-    """A 64-bit key for each line (down) and band (across)."""
+def _shingle_hashes(lines: list[str], shingle: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Line number and hash of each shingle, repeats included, and how many each line has; short lines have one."""
     length = np.array([max(len(x), shingle) for x in lines])
     codes = np.frombuffer("".join([x.ljust(shingle, "\0") for x in lines]).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
     gram, width, base = codes, 1, 0x100000001B3
@@ -48,7 +49,24 @@ def band_keys(lines: list[str], bands: int = BANDS, rows: int = ROWS, shingle: i
     n = length - shingle + 1
     line = np.repeat(np.arange(len(lines)), n)
     at = np.arange(len(line)) + np.repeat(start - np.r_[0, np.cumsum(n)[:-1]], n)
-    h = mix(gram[at])
+    return line, mix(gram[at]), n
+
+
+def bitmaps(lines: list[str], shingle: int = SHINGLE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For each line a bitmap of its hashed shingles, how many bits it has, and how many shingles at most fell on a bit already set.
+
+    Two lines share no more shingles than their bitmaps share bits, plus the smaller of these overlaps.
+    """
+    line, h, n = _shingle_hashes(lines, shingle)
+    cells = np.zeros((len(lines), _BITS), np.uint8)
+    cells[line, (h & np.uint64(_BITS - 1)).astype(np.int64)] = 1
+    ones = cells.sum(axis=1, dtype=np.int64)
+    return np.packbits(cells, axis=1).view(np.uint64), ones, n - ones
+
+
+def band_keys(lines: list[str], bands: int = BANDS, rows: int = ROWS, shingle: int = SHINGLE) -> np.ndarray:
+    """A 64-bit key for each line (down) and band (across)."""
+    line, h, _ = _shingle_hashes(lines, shingle)
     bins = bands * rows
     signature = np.full(len(lines) * bins, _EMPTY)
     np.minimum.at(signature, line * bins + ((h & np.uint64(0xFFFFF)) % np.uint64(bins)).astype(np.int64), h)
@@ -138,13 +156,25 @@ def _buckets(docs: DataFrame, bands: int, rows: int, shingle: int) -> DataFrame:
     return posted.repartition("bucket").sortWithinPartitions("bucket", "key").mapInArrow(meet, "bucket long, key long, first long")
 
 
-def _verified(docs: DataFrame, pairs: DataFrame, least: float, shingle: int) -> DataFrame:
-    """Of pairs(a, b) of line keys, those whose lines have the least similarity."""
+def _texts(docs: DataFrame, pairs: DataFrame) -> DataFrame:
+    """(key, text) of the lines that pairs(a, b) name."""
 
     def texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for lines, keys in _fresh_lines(batches):
             yield _rows({"key": (keys, pa.int64()), "text": (lines, pa.string())})
 
+    wanted = pairs.select(F.col("a").alias("key")).unionByName(pairs.select(F.col("b").alias("key"))).distinct()
+    return docs.mapInArrow(texts, "key long, text string").join(wanted, "key", "left_semi").groupBy("key").agg(F.first("text").alias("text"))
+
+
+def _alike(x: set[str], y: set[str], least: float) -> bool:
+    common = len(x & y)
+    return common >= least * (len(x) + len(y) - common)
+
+
+def _verified(pairs: DataFrame, texts: DataFrame, least: float, shingle: int) -> DataFrame:
+    """Of pairs(a, b) of line keys, those whose lines have the least similarity."""
+
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, mine = None, set()
         for batch in batches:
@@ -152,18 +182,68 @@ def _verified(docs: DataFrame, pairs: DataFrame, least: float, shingle: int) ->
             for b, x, y in zip(batch.column("b").to_pylist(), batch.column("y"), batch.column("x"), strict=True):
                 if b != known:
                     known, mine = b, shingles(x.as_py(), shingle)
-                other = shingles(y.as_py(), shingle)
-                common = len(mine & other)
-                keep.append(common >= least * (len(mine) + len(other) - common))
+                keep.append(_alike(mine, shingles(y.as_py(), shingle), least))
             yield batch.filter(pa.array(keep, pa.bool_())).select(["a", "b"])
 
-    wanted = pairs.select(F.col("a").alias("key")).unionByName(pairs.select(F.col("b").alias("key"))).distinct()
-    held = docs.mapInArrow(texts, "key long, text string").join(wanted, "key", "left_semi").groupBy("key").agg(F.first("text").alias("text"))
-    held = cut(held, "texts")
-    rows = pairs.join(held.toDF("a", "x"), "a").join(held.toDF("b", "y"), "b")
+    rows = pairs.join(texts.toDF("a", "x"), "a").join(texts.toDF("b", "y"), "b")
     return rows.select("a", "b", "x", "y").mapInArrow(compare, "a long, b long")
 
 
+def _bridges(buckets: DataFrame, named: DataFrame, texts: DataFrame, least: float, shingle: int, share: int = 512) -> DataFrame:
+    """links(a, b) between components that meet in a bucket of buckets(bucket, key, first) and hold lines alike.
+
+    In each bucket the lines outside its largest component are probes, tried against the bucket's other lines. A bucket's lines are dealt to tasks by `share` at a time, and its
+    probes too, so no task holds a whole bucket. A probe that is linked to a component is not tried against its other lines again.
+    """
+    both = buckets.select("bucket", "key").unionByName(buckets.select("bucket", F.col("first").alias("key")).distinct())
+    member = both.join(named.withColumnRenamed("id", "key"), "key", "left").select("bucket", "key", F.coalesce("component", "key").alias("component"))
+    torn = member.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("n")).where("low <> high and n > 2").select("bucket", "n")
+    member = cut(member.join(torn, "bucket"), "torn")
+    main = member.groupBy("bucket", "component").count().groupBy("bucket").agg(F.max_by("component", F.struct("count", "component")).alias("main"), F.max("count").alias("most"))
+    member = member.join(main, "bucket").withColumns({"parts": F.ceil(F.col("n") / share).cast("int"), "turns": F.ceil((F.col("n") - F.col("most")) / share).cast("int")})
+    own = lambda n: F.pmod(F.xxhash64("key"), F.col(n)).cast("int")
+    each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    probes = member.where("component <> main").withColumn("turn", own("turns")).select("bucket", "turn", each("parts").alias("part"), "key", "component", F.lit(0).alias("other"))
+    others = member.withColumn("part", own("parts")).select("bucket", each("turns").alias("turn"), "part", "key", "component", F.lit(1).alias("other"))
+    rows = probes.unionByName(others).join(texts, "key")
+
+    def try_probes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, held, stacked = None, [], None
+        for batch in batches:
+            for lo in range(0, batch.num_rows, 128):
+                part = batch.slice(lo, 128)
+                a, b = [], []
+                lines = part.column("text").to_pylist()
+                maps, ones, over = bitmaps(lines, shingle)
+                places = zip(*(part.column(c).to_pylist() for c in ("bucket", "turn", "part")), strict=True)
+                for i, (place, other, component) in enumerate(zip(places, part.column("other").to_pylist(), part.column("component").to_pylist(), strict=True)):
+                    if place != at:
+                        at, held, stacked = place, [], None
+                    if not other:
+                        held.append([component, lines[i], None, {component}, maps[i], ones[i], over[i]])
+                        continue
+                    if not held:
+                        continue
+                    if stacked is None:
+                        stacked = np.stack([p[4] for p in held]), np.array([p[5] for p in held]), np.array([p[6] for p in held])
+                    most = np.bitwise_count(stacked[0] & maps[i]).sum(axis=1, dtype=np.int64) + np.minimum(stacked[2], over[i])
+                    mine = None
+                    for j in np.flatnonzero(most * (1 + least) >= least * (stacked[1] + ones[i])):
+                        probe = held[j]
+                        if component in probe[3]:
+                            continue
+                        mine = mine or shingles(lines[i], shingle)
+                        probe[2] = probe[2] or shingles(probe[1], shingle)
+                        if _alike(probe[2], mine, least):
+                            probe[3].add(component)
+                            a.append(probe[0])
+                            b.append(component)
+                yield _rows({"a": (a, pa.int64()), "b": (b, pa.int64())})
+
+    placed = rows.repartition("bucket", "turn", "part").sortWithinPartitions("bucket", "turn", "part", "other", "key")
+    return placed.select("bucket", "turn", "part", "other", "component", "text").mapInArrow(try_probes, "a long, b long").distinct()
+
+
 def line_components(documents: DataFrame, least: float = LEAST, bands: int = BANDS, rows: int = ROWS, shingle: int = SHINGLE) -> DataFrame:
     """(doc_id, version, line, as_doc, as_version, as_line) of each line that stands again elsewhere: the place of the line that is kept for it.
 
@@ -173,27 +253,16 @@ def line_components(documents: DataFrame, least: float = LEAST, bands: int = BAN
     places = cut(_places(docs), "places")
     buckets = cut(_buckets(docs.select("text"), bands, rows, shingle), "buckets")
     pairs = buckets.select(F.col("key").alias("a"), F.col("first").alias("b")).distinct()
-    links = cut(_verified(docs.select("text"), pairs, least, shingle), "verified")
-    named = cut(components(links), "components")
-
-    # buckets that still hold several components
-    both = buckets.select("bucket", "key").unionByName(buckets.select("bucket", F.col("first").alias("key")).distinct())
-    member = both.join(named.withColumnRenamed("id", "key"), "key", "left").select("bucket", "key", F.coalesce("component", "key").alias("component"))
-    torn = member.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("n")).where("low <> high and n > 2").select("bucket")
-    member = cut(member.join(torn, "bucket"), "torn")
-    size = member.groupBy("bucket", "component").count().groupBy("bucket").agg(F.max_by("component", F.struct("count", "component")).alias("main"))
-    outside = member.join(size, "bucket").where("component <> main").select("bucket", F.col("key").alias("a"), F.col("component").alias("c"))
-    more = outside.join(member, "bucket").where("c <> component and a <> key").select(F.greatest("a", "key").alias("a"), F.least("a", "key").alias("b")).distinct()
-    more = cut(more.join(pairs, ["a", "b"], "left_anti"), "more")
-    if more.take(1):
-        links = links.unionByName(_verified(docs.select("text"), more, least, shingle))
-        named = cut(components(links), "components")
+    texts = cut(_texts(docs.select("text"), pairs), "texts")
+    named = cut(components(_verified(pairs, texts, least, shingle)), "components")
+    merged = components(_bridges(buckets, named, texts, least, shingle)).select(F.col("id").alias("c"), F.col("component").alias("m"))
 
     place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "version", "line")
     distinct = places.groupBy("key").agg(F.min(place).alias("place"), F.count("*").alias("n"))
-    distinct = distinct.join(named.withColumnRenamed("id", "key"), "key", "left").where("n > 1 or component is not null")
-    low = distinct.groupBy(F.coalesce("component", "key").alias("component")).agg(F.min("place").alias("kept"))
-    target = distinct.select("key", F.coalesce("component", "key").alias("component")).join(low, "component").select("key", "kept")
+    distinct = distinct.join(named.withColumnRenamed("id", "key"), "key", "left").withColumn("c", F.coalesce("component", "key")).join(merged, "c", "left")
+    distinct = cut(distinct.where("n > 1 or component is not null or m is not null").select("key", "place", F.coalesce("m", "c").alias("component")), "again")
+    low = distinct.groupBy("component").agg(F.min("place").alias("kept"))
+    target = distinct.select("key", "component").join(low, "component").select("key", "kept")
     again = places.join(target, "key").where(~(F.col("doc_id").eqNullSafe(F.col("kept.doc_id")) & (F.col("version") == F.col("kept.version")) & (F.col("line") == F.col("kept.line"))))
     return again.select("doc_id", "version", "line", F.col("kept.doc_id").alias("as_doc"), F.col("kept.version").alias("as_version"), F.col("kept.line").alias("as_line"))
 
@@ -207,14 +276,14 @@ def dedup_lines(documents: DataFrame, least: float = LEAST, bands: int = BANDS,
     """
     docs = documents.withColumn("_version", F.coalesce(F.xxhash64("text"), F.lit(0).cast("long")))
     again = line_components(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("_version").alias("version"), "text"), least, bands, rows, shingle)
-    gone = again.groupBy(F.col("doc_id").alias("_doc"), F.col("version").alias("_of")).agg(F.sort_array(F.collect_list(F.struct("line", "as_doc", "as_line"))).alias("removed"))
+    gone = again.groupBy(F.col("doc_id").alias("_doc"), F.col("version").alias("_of")).agg(F.sort_array(F.collect_set(F.struct("line", "as_doc", "as_line"))).alias("removed"))
     out = docs.join(gone, F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("_version") == F.col("_of")), "left").drop("_doc", "_of", "_version")
     lines = F.split("text", "\n")
     none = F.array().cast("array<struct<line:int,as_doc:bigint,as_line:int>>")
     removed = F.coalesce("removed", none)
     keep = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("removed.line"))
     text = F.when(F.col("removed").isNull(), F.col("text")).otherwise(F.array_join(F.transform(keep, lambda i: F.get(lines, i)), "\n"))
-    n_lines = F.when(F.col("text").isNull(), 0).otherwise(F.size(F.filter(lines, lambda x: F.btrim(x, F.lit(" \t\x0b\f\r")) != "")))
+    n_lines = F.coalesce(F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D][^\n]*")), F.lit(0))  # each match runs from a line's first sign to its end
     return out.select(*[text.alias("text") if c == "text" else F.col(f"`{c}`") for c in documents.columns], n_lines.cast("long").alias("n_lines"), removed.alias("removed"))
 
 
