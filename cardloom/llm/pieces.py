@@ -28,7 +28,7 @@ from cardloom.llm.common import cut, table
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 CHUNK = 1 << 15
-MEMORY = 200_000
+MEMORY = 100_000
 SPACE = "▁"
 _UNIT = re.compile(f"{SPACE}+[^{SPACE}\n]*|[^{SPACE}\n]+|\n")
 NEVER = float("-inf")
