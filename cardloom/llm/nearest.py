@@ -2,8 +2,8 @@
 
 Each vector, less the mean of all, is rotated by a random orthogonal matrix and kept as the signs of its components, packed, with two scalars: its length, and how
 well the signs stand for it (the inner product of the unit vector with its signs). Against a rotated query of 4-bit components the packed bits give an unbiased estimate of
-the inner product and a bound on its error. In a block of codes, the k-th largest lower bound is a floor for the k-th best; only vectors whose upper bound reaches it are
-reranked with the original vectors in double precision.
+the inner product and a bound on its error. In a block of codes, those that look best are measured with the original vectors first; the k-th best of
+these is a floor, and every vector whose upper bound reaches it is reranked in double precision.
 
 Queries and vectors are dealt into blocks of fixed size; each pair of blocks is one small task, so nothing grows with the tables but the number of tasks. Of each pair only the k best per query leave it.
 """
@@ -59,11 +59,11 @@ class Codes:
         low = t.min(axis=1)
         step = np.maximum((t.max(axis=1) - low) / (2**_PLANES - 1), 1e-300)
         level = np.rint((t - low[:, None]) / step[:, None]).astype(np.uint8)
-        dots = np.zeros((len(q), len(self.words)))
+        dots = np.zeros((len(q), len(self.words)), np.uint32)
         for plane in range(_PLANES):
             bits = pack(level >> plane & 1)
             for w in range(bits.shape[1]):
-                dots += np.float64(1 << plane) * np.bitwise_count(bits[:, w, None] & self.words[None, :, w])
+                dots += np.bitwise_count(bits[:, w, None] & self.words[None, :, w]).astype(np.uint32) << np.uint32(plane)
         root = math.sqrt(self.dim)
         signs = (2 * step[:, None] * dots + 2 * low[:, None] * self.ones - step[:, None] * level.sum(axis=1, dtype=np.int64)[:, None] - self.dim * low[:, None]) / root
         scale = self.length / self.fit
@@ -85,19 +85,21 @@ def best_of_block(q_ids: np.ndarray, q: np.ndarray, ids: np.ndarray, x: np.ndarr
     turn = rotation(x.shape[1])
     codes = Codes(x, center, turn)
     found = []
+    look = min(len(ids), 3 * k)
     for lo in range(0, len(q), rows):
-        part = q[lo : lo + rows]
-        guess, error = codes.estimate(part, center, turn)
-        own = q_ids[lo : lo + rows, None] == ids[None, :]
-        guess[own] = -np.inf
-        floor = np.partition(guess - error, len(ids) - k, axis=1)[:, len(ids) - k] if len(ids) > k else np.full(len(part), -np.inf)
-        i, j = np.nonzero((guess + error >= floor[:, None]) & ~own)
-        score = inner_products(part[i], x[j])
-        order = np.lexsort((ids[j], -score, i))
-        i, j, score = i[order], j[order], score[order]
-        rank = np.arange(len(i)) - np.searchsorted(i, i)
-        keep = rank < k
-        found.append((q_ids[lo : lo + rows][i[keep]], ids[j[keep]], score[keep]))
+        guess, error = codes.estimate(q[lo : lo + rows], center, turn)
+        for r in range(len(guess)):
+            query, own = q[lo + r], ids == q_ids[lo + r]
+            guess[r, own] = -np.inf
+            floor = np.sort(x[np.argpartition(guess[r], len(ids) - look)[len(ids) - look :]] @ query)[::-1]
+            floor = floor[k] if len(floor) > k else -np.inf  # one lower than the k-th: the query's own vector may be among them
+            near = np.flatnonzero((guess[r] + error[r] >= floor - 1e-9) & ~own)
+            if len(near) > k:
+                close = x[near] @ query
+                near = near[close >= np.partition(close, len(near) - k)[len(near) - k] - 1e-9]
+            score = inner_products(np.broadcast_to(query, (len(near), len(query))), x[near])
+            best = np.lexsort((ids[near], -score))[:k]
+            found.append((np.full(len(best), q_ids[lo + r]), ids[near][best], score[best]))
     return tuple(np.concatenate(c) for c in zip(*found, strict=True))
 
 
