@@ -37,36 +37,54 @@ def line_key(line: str) -> int:
     return int.from_bytes(hashlib.blake2b(line.encode(), digest_size=8).digest(), "little", signed=True)
 
 
-def _shingle_hashes(lines: list[str], shingle: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Line number and hash of each shingle, repeats included, and how many each line has; short lines have one."""
-    length = np.array([max(len(x), shingle) for x in lines])
-    codes = np.frombuffer("".join([x.ljust(shingle, "\0") for x in lines]).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+def gram_hashes(codes: np.ndarray, length: np.ndarray, shingle: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Line number and hash of each shingle, repeats included, and how many each line has; codes holds `length` values of each line, `shingle` at least."""
     gram, width, base = codes, 1, 0x100000001B3
-    while width < shingle:  # shingle is a power of two: hashes of 2, 4, 8 characters from two halves
-        gram = gram[:-width] * np.uint64(pow(base, width, 1 << 64)) + gram[width:]
-        width *= 2
+    while width < shingle:  # two runs side by side, which overlap in the last step where shingle is no power of two
+        step = min(width, shingle - width)
+        gram = gram[:-step] * np.uint64(pow(base, width, 1 << 64)) + gram[step:]
+        width += step
     start = np.r_[0, np.cumsum(length)[:-1]]
     n = length - shingle + 1
-    line = np.repeat(np.arange(len(lines)), n)
+    line = np.repeat(np.arange(len(length)), n)
     at = np.arange(len(line)) + np.repeat(start - np.r_[0, np.cumsum(n)[:-1]], n)
     return line, mix(gram[at]), n
 
 
-def bitmaps(lines: list[str], shingle: int = SHINGLE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+class Lines:
+    """What is compared: a text's lines by their shingles of characters."""
+
+    def __init__(self, shingle: int = SHINGLE) -> None:
+        self.shingle = shingle
+
+    def units(self, text: str) -> list[tuple[int, str]]:
+        return split_lines(text)
+
+    def hashes(self, lines: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Line number and hash of each shingle, repeats included, and how many each line has; short lines have one."""
+        length = np.array([max(len(x), self.shingle) for x in lines])
+        codes = np.frombuffer("".join([x.ljust(self.shingle, "\0") for x in lines]).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+        return gram_hashes(codes, length, self.shingle)
+
+    def shingles(self, line: str) -> set:
+        return shingles(line, self.shingle)
+
+
+def bitmaps(lines: list[str], of: Lines) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """For each line a bitmap of its hashed shingles, how many bits it has, and how many shingles at most fell on a bit already set.
 
     Two lines share no more shingles than their bitmaps share bits, plus the smaller of these overlaps.
     """
-    line, h, n = _shingle_hashes(lines, shingle)
+    line, h, n = of.hashes(lines)
     cells = np.zeros((len(lines), _BITS), np.uint8)
     cells[line, (h & np.uint64(_BITS - 1)).astype(np.int64)] = 1
     ones = cells.sum(axis=1, dtype=np.int64)
     return np.packbits(cells, axis=1).view(np.uint64), ones, n - ones
 
 
-def band_keys(lines: list[str], bands: int = BANDS, rows: int = ROWS, shingle: int = SHINGLE) -> np.ndarray:
+def band_keys(lines: list[str], bands: int, rows: int, of: Lines) -> np.ndarray:
     """A 64-bit key for each line (down) and band (across)."""
-    line, h, _ = _shingle_hashes(lines, shingle)
+    line, h, _ = of.hashes(lines)
     bins = bands * rows
     signature = np.full(len(lines) * bins, _EMPTY)
     np.minimum.at(signature, line * bins + ((h & np.uint64(0xFFFFF)) % np.uint64(bins)).astype(np.int64), h)
@@ -94,12 +112,12 @@ def _rows(columns: dict[str, tuple[list | np.ndarray, pa.DataType]]) -> pa.Recor
     return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in columns.values()], list(columns))
 
 
-def _places(docs: DataFrame) -> DataFrame:
+def _places(docs: DataFrame, of: Lines) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, versions, number, key = [], [], [], []
             for doc, version, text in zip(batch.column("doc_id").to_pylist(), batch.column("version").to_pylist(), batch.column("text"), strict=True):
-                for n, x in split_lines(text.as_py() or ""):
+                for n, x in of.units(text.as_py() or ""):
                     ids.append(doc)
                     versions.append(version)
                     number.append(n)
@@ -109,13 +127,13 @@ def _places(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, "doc_id long, version long, line int, key long")
 
 
-def _fresh_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[str], list[int]]]:
+def _fresh_lines(batches: Iterator[pa.RecordBatch], of: Lines) -> Iterator[tuple[list[str], list[int]]]:
     """Lines and keys in slices; lines that the task has had before are left out while it can remember them."""
     seen: set[int] = set()
     lines, keys, size = [], [], 0
     for batch in batches:
         for text in batch.column("text"):
-            for _, x in split_lines(text.as_py() or ""):
+            for _, x in of.units(text.as_py() or ""):
                 key = line_key(x)
                 if key in seen:
                     continue
@@ -131,12 +149,12 @@ def _fresh_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[str],
         yield lines, keys
 
 
-def _buckets(docs: DataFrame, bands: int, rows: int, shingle: int) -> DataFrame:
+def _buckets(docs: DataFrame, bands: int, rows: int, of: Lines) -> DataFrame:
     """(bucket, key, first): the lines of each bucket that holds two or more, with the bucket's smallest key."""
 
     def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for lines, keys in _fresh_lines(batches):
-            found = band_keys(lines, bands, rows, shingle)
+        for lines, keys in _fresh_lines(batches, of):
+            found = band_keys(lines, bands, rows, of)
             yield _rows({"bucket": (found.ravel().view(np.int64), pa.int64()), "key": (np.repeat(np.array(keys, np.int64), bands), pa.int64())})
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -156,11 +174,11 @@ def _buckets(docs: DataFrame, bands: int, rows: int, shingle: int) -> DataFrame:
     return posted.repartition("bucket").sortWithinPartitions("bucket", "key").mapInArrow(meet, "bucket long, key long, first long")
 
 
-def _texts(docs: DataFrame, pairs: DataFrame) -> DataFrame:
+def _texts(docs: DataFrame, pairs: DataFrame, of: Lines) -> DataFrame:
     """(key, text) of the lines that pairs(a, b) name."""
 
     def texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for lines, keys in _fresh_lines(batches):
+        for lines, keys in _fresh_lines(batches, of):
             yield _rows({"key": (keys, pa.int64()), "text": (lines, pa.string())})
 
     wanted = pairs.select(F.col("a").alias("key")).unionByName(pairs.select(F.col("b").alias("key"))).distinct()
@@ -172,7 +190,7 @@ def _alike(x: set[str], y: set[str], least: float) -> bool:
     return common >= least * (len(x) + len(y) - common)
 
 
-def _verified(pairs: DataFrame, texts: DataFrame, least: float, shingle: int) -> DataFrame:
+def _verified(pairs: DataFrame, texts: DataFrame, least: float, of: Lines) -> DataFrame:
     """Of pairs(a, b) of line keys, those whose lines have the least similarity."""
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -181,15 +199,15 @@ def _verified(pairs: DataFrame, texts: DataFrame, least: float, shingle: int) ->
             keep = []
             for b, x, y in zip(batch.column("b").to_pylist(), batch.column("y"), batch.column("x"), strict=True):
                 if b != known:
-                    known, mine = b, shingles(x.as_py(), shingle)
-                keep.append(_alike(mine, shingles(y.as_py(), shingle), least))
+                    known, mine = b, of.shingles(x.as_py())
+                keep.append(_alike(mine, of.shingles(y.as_py()), least))
             yield batch.filter(pa.array(keep, pa.bool_())).select(["a", "b"])
 
     rows = pairs.join(texts.toDF("a", "x"), "a").join(texts.toDF("b", "y"), "b")
     return rows.select("a", "b", "x", "y").mapInArrow(compare, "a long, b long")
 
 
-def _bridges(buckets: DataFrame, named: DataFrame, texts: DataFrame, least: float, shingle: int, share: int = 512) -> DataFrame:
+def _bridges(buckets: DataFrame, named: DataFrame, texts: DataFrame, least: float, of: Lines, share: int = 512) -> DataFrame:
     """links(a, b) between components that meet in a bucket of buckets(bucket, key, first) and hold lines alike.
 
     In each bucket the lines outside its largest component are probes, tried against the bucket's other lines. A bucket's lines are dealt to tasks by `share` at a time, and its
@@ -214,7 +232,7 @@ def _bridges(buckets: DataFrame, named: DataFrame, texts: DataFrame, least: floa
                 part = batch.slice(lo, 128)
                 a, b = [], []
                 lines = part.column("text").to_pylist()
-                maps, ones, over = bitmaps(lines, shingle)
+                maps, ones, over = bitmaps(lines, of)
                 places = zip(*(part.column(c).to_pylist() for c in ("bucket", "turn", "part")), strict=True)
                 for i, (place, other, component) in enumerate(zip(places, part.column("other").to_pylist(), part.column("component").to_pylist(), strict=True)):
                     if place != at:
@@ -232,8 +250,8 @@ def _bridges(buckets: DataFrame, named: DataFrame, texts: DataFrame, least: floa
                         probe = held[j]
                         if component in probe[3]:
                             continue
-                        mine = mine or shingles(lines[i], shingle)
-                        probe[2] = probe[2] or shingles(probe[1], shingle)
+                        mine = mine or of.shingles(lines[i])
+                        probe[2] = probe[2] or of.shingles(probe[1])
                         if _alike(probe[2], mine, least):
                             probe[3].add(component)
                             a.append(probe[0])
@@ -244,18 +262,19 @@ def _bridges(buckets: DataFrame, named: DataFrame, texts: DataFrame, least: floa
     return placed.select("bucket", "turn", "part", "other", "component", "text").mapInArrow(try_probes, "a long, b long").distinct()
 
 
-def line_components(documents: DataFrame, least: float = LEAST, bands: int = BANDS, rows: int = ROWS, shingle: int = SHINGLE) -> DataFrame:
+def line_components(documents: DataFrame, least: float = LEAST, bands: int = BANDS, rows: int = ROWS, of: Lines | None = None) -> DataFrame:
     """(doc_id, version, line, as_doc, as_version, as_line) of each line that stands again elsewhere: the place of the line that is kept for it.
 
     documents has doc_id, version and text. The kept place is the smallest by doc_id, version and line number (null ids last).
     """
+    of = of or Lines()
     docs = documents.select("doc_id", "version", "text")
-    places = cut(_places(docs), "places")
-    buckets = cut(_buckets(docs.select("text"), bands, rows, shingle), "buckets")
+    places = cut(_places(docs, of), "places")
+    buckets = cut(_buckets(docs.select("text"), bands, rows, of), "buckets")
     pairs = buckets.select(F.col("key").alias("a"), F.col("first").alias("b")).distinct()
-    texts = cut(_texts(docs.select("text"), pairs), "texts")
-    named = cut(components(_verified(pairs, texts, least, shingle)), "components")
-    merged = components(_bridges(buckets, named, texts, least, shingle)).select(F.col("id").alias("c"), F.col("component").alias("m"))
+    texts = cut(_texts(docs.select("text"), pairs, of), "texts")
+    named = cut(components(_verified(pairs, texts, least, of)), "components")
+    merged = components(_bridges(buckets, named, texts, least, of)).select(F.col("id").alias("c"), F.col("component").alias("m"))
 
     place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "version", "line")
     distinct = places.groupBy("key").agg(F.min(place).alias("place"), F.count("*").alias("n"))
@@ -275,7 +294,7 @@ def dedup_lines(documents: DataFrame, least: float = LEAST, bands: int = BANDS,
     repeat doc_id and text are one document. A table without rows gives none.
     """
     docs = documents.withColumn("_version", F.coalesce(F.xxhash64("text"), F.lit(0).cast("long")))
-    again = line_components(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("_version").alias("version"), "text"), least, bands, rows, shingle)
+    again = line_components(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("_version").alias("version"), "text"), least, bands, rows, Lines(shingle))
     gone = again.groupBy(F.col("doc_id").alias("_doc"), F.col("version").alias("_of")).agg(F.sort_array(F.collect_set(F.struct("line", "as_doc", "as_line"))).alias("removed"))
     out = docs.join(gone, F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("_version") == F.col("_of")), "left").drop("_doc", "_of", "_version")
     lines = F.split("text", "\n")

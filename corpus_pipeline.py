@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardloom.llm import lines, mixing, pieces, simhash, toxicity
+from cardloom.llm import lines, mixing, neardup, pieces, toxicity
 from cardloom.llm.common import cut, held_out, table
 
 
@@ -25,8 +25,8 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each SimHash component."""
-    return simhash.near_dedup(docs)
+    """One document of each SimHash component, and of these one of each that share 0.8 of their five-word shingles or more."""
+    return neardup.alone(docs)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
