@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from cardloom.llm.common import components, cut, mix, table
 
-SHINGLE = 8
+SHINGLE = 5
 LEAST = 0.8
 BANDS, ROWS = 12, 4
 _SEEN = 100_000

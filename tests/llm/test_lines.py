@@ -59,3 +59,16 @@ def test_edges(docs):
     assert got == [(1, rows[0][1], 2, 0), (2, "its own line", 2, 1), (4, "", 0, 0), (5, "", 1, 1), (5, "", 1, 1), (6, "z" * 200_000, 2, 1)]
     assert out.where("doc_id = 3").first().text is None
     assert dedup_lines(docs(*rows).where("doc_id > 99")).collect() == []
+
+
+def test_one_character_edits_of_short_lines_are_linked(docs):
+    rnd = random.Random(8)
+    rows = []
+    for i in range(100):
+        line = "".join(rnd.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(rnd.randint(60, 76)))
+        line = f"a{line[1:-1]}z"
+        at = len(line) // 2
+        rows += [(2 * i, line), (2 * i + 1, f"{line[:at]}7{line[at + 1 :]}")]
+    removed = {r.doc_id: [x.as_doc for x in r.removed] for r in dedup_lines(docs(*rows)).collect()}
+    assert not any(removed[2 * i] for i in range(100))
+    assert sum(removed[2 * i + 1] == [2 * i] for i in range(100)) >= 98
