@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import re
+import unicodedata
+from itertools import accumulate, takewhile
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -22,6 +26,9 @@ SENSITIVE = {
 }
 
 
+_ASCII_WORD = re.compile("[a-z0-9]+")
+
+
 def normalized(text: Column) -> Column:
     """Evidence text in the coordinate space of quotes: plain typography, runs of Unicode white space as one space, trimmed."""
     return F.trim(F.regexp_replace(F.translate(text, TYPOGRAPHIC, PLAIN), r"(?U)\s+", " "))
@@ -32,6 +39,32 @@ def words(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit("([a-z0-9]+)"), 1)
 
 
+# Characters of a compact window, how many of them are of scripts without spaces at least, and these scripts' code points.
+COMPACT_WINDOW, COMPACT_LEAST = 24, 12
+COMPACT_SCRIPTS = ((0xE00, 0xE7F), (0xE80, 0xEFF), (0x1000, 0x109F), (0x1100, 0x11FF), (0x1780, 0x17FF), (0x3040, 0x30FF), (0x3130, 0x318F), (0x31F0, 0x31FF), (0x3400, 0x4DBF), (0x4E00, 0x9FFF), (0xAC00, 0xD7AF), (0xF900, 0xFAFF))
+
+
+def streams(text: str) -> tuple[list[str], str, list[int]]:
+    """Of a text after NFKC and case folding: runs of letters, digits and marks of any script, the same signs in one stream, and where the stream's compact windows begin.
+
+    A mark belongs to the letter, digit or mark before it and begins no run.
+    """
+    text = unicodedata.normalize("NFKC", text).casefold()
+    if text.isascii():
+        found = _ASCII_WORD.findall(text)
+        return found, "", []
+    signs = "".join(c if c.isalnum() or unicodedata.category(c)[0] == "M" else " " for c in text)
+    found = [w for x in signs.split(" ") if (w := x.lstrip(_marks_before(x)))]
+    stream = "".join(found)
+    compact = [0, *accumulate(any(lo <= ord(c) <= hi for lo, hi in COMPACT_SCRIPTS) for c in stream)]
+    at = [i for i in range(len(stream) - COMPACT_WINDOW + 1) if compact[i + COMPACT_WINDOW] - compact[i] >= COMPACT_LEAST] if compact[-1] >= COMPACT_LEAST else []
+    return found, stream if at else "", at
+
+
+def _marks_before(run: str) -> str:
+    return "".join(takewhile(lambda c: unicodedata.category(c)[0] == "M", run))
+
+
 def label(text: Column) -> Column:
     """A label in lower case with all else than letters and digits as single spaces."""
     return F.trim(F.regexp_replace(F.lower(text), "[^a-z0-9]+", " "))

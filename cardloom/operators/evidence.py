@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -36,18 +39,40 @@ def unverified(quotes: DataFrame, hits: DataFrame, limit: int = 12, head: int =
 def copied_runs(values: DataFrame, sources: DataFrame, n: int = 12) -> DataFrame:
     """The first run of n words that values(value_id, text) share with sources(source_id, text): (value_id, source_id, offset).
 
-    The first by place in the value, then by source. Both sides meet on a hash of the run, and the run itself is compared.
+    The first by place in the value, then by source. Both sides meet on a hash of the run, and the run itself is compared. A value without
+    such a run is tried by windows of 24 letters and digits, at least 12 of scripts that are written without spaces; its offset counts these signs.
     """
     # words in a column of their own, so that they are found once and not for each run
-    v, s = (df.withColumn("w", T.words(F.col("text"))) for df in (values, sources))
-    v = v.select("value_id", F.posexplode(T.shingles(F.col("w"), n)).alias("offset", "run"))
-    s = s.select("source_id", F.explode(F.array_distinct(T.shingles(F.col("w"), n))).alias("run"))
-    s = s.select("source_id", "run", F.xxhash64("run").alias("h"))
-    met = v.withColumn("h", F.xxhash64("run")).join(s, ["h", "run"])
+    v, s = (_streams(df, key) for df, key in ((values, "value_id"), (sources, "source_id")))
+    first = _first_met(
+        v.select("value_id", F.posexplode(T.shingles(F.col("w"), n)).alias("offset", "run")),
+        s.select("source_id", F.explode(F.array_distinct(T.shingles(F.col("w"), n))).alias("run")),
+    )
+    at = lambda df, key: df.select(key, "c", F.explode("at").alias("offset")).select(key, "offset", F.substring(F.col("c"), F.col("offset") + 1, F.lit(T.COMPACT_WINDOW)).alias("run"))
+    compact = _first_met(at(v, "value_id"), at(s, "source_id").select("source_id", "run").distinct())
+    return first.unionByName(compact.join(first, compact.value_id.eqNullSafe(first.value_id), "left_anti"))
+
+
+def _first_met(v: DataFrame, s: DataFrame) -> DataFrame:
+    met = v.withColumn("h", F.xxhash64("run")).join(s.select("source_id", "run", F.xxhash64("run").alias("h")), ["h", "run"])
     first = met.groupBy("value_id").agg(F.min(F.struct("offset", "source_id")).alias("m"))
     return first.select("value_id", F.col("m.source_id").alias("source_id"), F.col("m.offset").cast("long").alias("offset"))
 
 
+def _streams(df: DataFrame, key: str) -> DataFrame:
+    """(key, w, c, at): words, the stream of letters, digits and marks, and where its compact windows begin; Spark has no function for NFKC and case folding."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lo in range(0, batch.num_rows, 256):
+                part = batch.slice(lo, 256)
+                found = [T.streams(x or "") for x in part.column("text").to_pylist()]
+                columns = [pa.array([f[i] for f in found], t) for i, t in enumerate((pa.list_(pa.string()), pa.string(), pa.list_(pa.int32())))]
+                yield pa.RecordBatch.from_arrays([part.column(key), *columns], [key, "w", "c", "at"])
+
+    return df.select(key, "text").mapInArrow(run, f"`{key}` {df.schema[key].dataType.simpleString()}, w array<string>, c string, at array<int>")
+
+
 def sensitive(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(id, kind) for each kind of sensitive text that a row holds."""
     kinds = F.array_compact(F.array(*[F.when(F.col(text_col).rlike(f"(?i){p}"), F.lit(k)) for k, p in T.SENSITIVE.items()]))

@@ -93,3 +93,13 @@ def test_tiered_join_is_never_fuzzy(spark):
     left = spark.createDataFrame([("A/b",), ("a/B",), ("a/bb",)], "id string")
     right = spark.createDataFrame([("A/b", 1)], "id string, n int")
     assert {tuple(r) for r in ledger.tiered_join(left, right, "id", "n").collect()} == {("A/b", 1, "exact"), ("a/B", 1, "case_insensitive"), ("a/bb", None, "none")}
+
+
+def test_copied_runs_in_any_script(spark):
+    cyrillic = "один два три четыре пять шесть семь восемь девять десять одиннадцать двенадцать"
+    chinese = "我们在大规模语料上训练这个模型并且在许多任务上评估它的表现和局限"
+    accents = "é ü ö ä ñ ç å ø ê î ô û"
+    values = [(1, f"нет {cyrillic} конец"), (2, f"注{chinese}"), (3, accents.upper()), (4, chinese[:23]), (5, "one two three"), (6, None), (7, "a b c d e f g h i j k ｌ")]
+    sources = [(10, f"x, {cyrillic.upper()}!"), (11, f"前文。{chinese[:12]}，{chinese[12:]}。"), (12, accents), (13, None), (14, "A-B-C-D-E-F-G-H-I-J-K-L")]
+    v, s = spark.createDataFrame(values, "value_id long, text string"), spark.createDataFrame(sources, "source_id long, text string")
+    assert {tuple(r) for r in evidence.copied_runs(v, s).collect()} == {(1, 10, 1), (2, 11, 1), (3, 12, 0), (7, 14, 0)}
