@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -95,22 +99,70 @@ def replay(manifest: DataFrame, files: DataFrame) -> DataFrame:
     return both.select("path", status.alias("status"))
 
 
-def greedy_pack(items: DataFrame, key: str, order: list[str], size: str, cap: int, item_cap: int) -> DataFrame:
-    """Which items fit a budget, in order: an item over item_cap or over what is left is skipped, and later smaller ones may still fit.
+def bundles(items: DataFrame, key: str, item_id: str, text: str) -> DataFrame:
+    """(key, bundle_id, files): a digest over the lines `id:md5` of a key's texts in order of id; null texts and ids have no line.
 
-    Greedy skipping is no running sum, so it is a fold over each key's sizes. Items that alone exceed a cap never enter the fold.
+    Rows come sorted and go into a running SHA-256, so no key's lines are gathered; one digest of all lines is one task's work.
     """
-    fits = items.where(F.col(size) <= min(cap, item_cap))
-    rows = F.sort_array(F.collect_list(F.struct(*order, F.col(size).cast("long").alias("size"))))
-    start = F.struct(F.lit(0).cast("long").alias("used"), F.lit(0).cast("long").alias("kept"), F.lit(0).cast("long").alias("skipped"))
 
-    def step(a: Column, x: Column) -> Column:
-        fit = a["used"] + x["size"] <= cap
-        return F.struct((a["used"] + F.when(fit, x["size"]).otherwise(0)).alias("used"), (a["kept"] + fit.cast("long")).alias("kept"), (a["skipped"] + (~fit).cast("long")).alias("skipped"))
+    def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kind, now, sha, files, lines = None, None, None, 0, 0
+
+        def row() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([now], kind), pa.array([f"bundle_{sha.hexdigest()[:32]}" if lines else None], pa.string()), pa.array([files], pa.int64())], [key, "bundle_id", "files"])
+
+        for batch in batches:
+            kind = batch.column("k").type
+            for k, line in zip(batch.column("k").to_pylist(), batch.column("line").to_pylist(), strict=True):
+                if sha is None or k != now:
+                    if sha is not None:
+                        yield row()
+                    now, sha, files, lines = k, hashlib.sha256(), 0, 0
+                files += 1
+                if line is not None:
+                    sha.update((f"\n{line}" if lines else line).encode())
+                    lines += 1
+        if sha is not None:
+            yield row()
+
+    rows = items.select(F.col(key).alias("k"), F.col(item_id).alias("i"), F.md5(text).alias("h"))
+    rows = rows.repartition("k").sortWithinPartitions("k", "i", "h").select("k", F.concat(F.col("i").cast("string"), F.lit(":"), "h").alias("line"))
+    return rows.mapInArrow(digest, f"`{key}` {items.schema[key].dataType.simpleString()}, bundle_id string, files long")
 
-    folded = fits.groupBy(key).agg(F.aggregate(rows, start, step).alias("f")).select(key, "f.*")
-    over = items.groupBy(key).agg(F.count_if(F.col(size) > min(cap, item_cap)).alias("over"))
-    return over.join(folded, key, "left").select(key, F.coalesce("used", F.lit(0)).alias("used"), F.coalesce("kept", F.lit(0)).alias("kept"), (F.coalesce("skipped", F.lit(0)) + F.col("over")).alias("skipped"))
+
+def greedy_pack(items: DataFrame, key: str, order: list[str], size: str, cap: int, item_cap: int) -> DataFrame:
+    """Which items fit a budget, in order: an item over item_cap or over what is left is skipped, and later smaller ones may still fit.
+
+    Greedy skipping is no running sum, so it is a fold over each key's sizes: they come sorted, and only the running state is held.
+    """
+    fields = items.schema[key].dataType.simpleString()
+    out = pa.schema([("used", pa.int64()), ("kept", pa.int64()), ("skipped", pa.int64())])
+
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kind, now, state = None, None, None
+
+        def row() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([now], kind), *(pa.array([x], f.type) for x, f in zip(state, out, strict=True))], [key, *out.names])
+
+        for batch in batches:
+            kind = batch.column("k").type
+            for k, n in zip(batch.column("k").to_pylist(), batch.column("n").to_pylist(), strict=True):
+                if state is None or k != now:
+                    if state is not None:
+                        yield row()
+                    now, state = k, [0, 0, 0]
+                if n is None:
+                    continue
+                if n <= min(cap, item_cap) and state[0] + n <= cap:
+                    state[0] += n
+                    state[1] += 1
+                else:
+                    state[2] += 1
+        if state is not None:
+            yield row()
+
+    rows = items.select(F.col(key).alias("k"), F.col(size).cast("long").alias("n"), F.struct(*order).alias("o"))
+    return rows.repartition("k").sortWithinPartitions("k", "o", "n").select("k", "n").mapInArrow(fold, f"`{key}` {fields}, used long, kept long, skipped long")
 
 
 def prefix_pack(items: DataFrame, key: str, order: list[str], text: str, room: int) -> DataFrame:

@@ -22,15 +22,23 @@ COST_WORDS = (
 NUMBER = r"^[<>~≈]?\s*-?\d+(?:[.,]\d+)?\s*%?(?:\s*[±+/-]\s*\d+(?:\.\d+)?)?$"
 
 
+def text_lines(docs: DataFrame) -> DataFrame:
+    return docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("at", "line"))
+
+
+def blocks(lines: DataFrame) -> DataFrame:
+    """The islands of lines(doc_id, at, line), a row for each line: (doc_id, block, first_line, row, line). No island is gathered in one row."""
+    rank = F.row_number().over(Window.partitionBy("doc_id").orderBy("at"))
+    pipes = lines.where(F.col("line").rlike(r"^\s*\|")).withColumn("run", F.col("at") - rank)
+    runs = pipes.groupBy("doc_id", "run").agg(F.min("at").alias("first_line"), F.count("*").alias("n")).where("n >= 2")
+    runs = runs.select("doc_id", "run", "first_line", (F.row_number().over(Window.partitionBy("doc_id").orderBy("first_line")) - 1).alias("block"))
+    return pipes.join(runs, ["doc_id", "run"]).select("doc_id", "block", "first_line", (F.col("at") - F.col("first_line")).alias("row"), "line")
+
+
 def islands(docs: DataFrame) -> DataFrame:
     """Blocks of two or more consecutive lines that begin with a pipe: (doc_id, block, first_line, lines array<string>)."""
-    lines = docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("at", "line"))
-    pipes = lines.where(F.col("line").rlike(r"^\s*\|"))
-    rank = F.row_number().over(Window.partitionBy("doc_id").orderBy("at"))
-    runs = pipes.withColumn("run", F.col("at") - rank)
-    blocks = runs.groupBy("doc_id", "run").agg(F.min("at").alias("first_line"), F.transform(F.sort_array(F.collect_list(F.struct("at", "line"))), lambda x: x["line"]).alias("lines"))
-    number = F.row_number().over(Window.partitionBy("doc_id").orderBy("first_line")) - 1
-    return blocks.where(F.size("lines") >= 2).select("doc_id", number.alias("block"), "first_line", "lines")
+    lines = F.transform(F.sort_array(F.collect_list(F.struct("row", "line"))), lambda x: x["line"])
+    return blocks(text_lines(docs)).groupBy("doc_id", "block", "first_line").agg(lines.alias("lines"))
 
 
 def cells(line: Column) -> Column:
@@ -65,8 +73,12 @@ def score_rows(docs: DataFrame, aliases: DataFrame) -> DataFrame:
     Tables with a column of its own for the model are read down that column; else, under a results header, the rows whose first cell names it are read across. Labels match
     by equality after normalizing, never by containment. Scores stay text; only numeric cells count.
     """
-    blocks = islands(docs)
-    rows = blocks.select("doc_id", "block", F.posexplode("lines").alias("row", "line")).withColumn("cells", cells(F.col("line"))).where(~F.col("line").rlike(r"^[\s|:-]+$"))
+    return score_lines(text_lines(docs), aliases)
+
+
+def score_lines(lines: DataFrame, aliases: DataFrame) -> DataFrame:
+    """As score_rows, of lines(doc_id, at, line)."""
+    rows = blocks(lines).select("doc_id", "block", "row", "line").withColumn("cells", cells(F.col("line"))).where(~F.col("line").rlike(r"^[\s|:-]+$"))
     header = rows.where("row = 0").select("doc_id", "block", F.col("cells").alias("header"))
     named = aliases.select("doc_id", T.label(F.col("alias")).alias("name")).distinct()
     across = header.select("doc_id", "block", "header", F.posexplode("header").alias("col", "head")).withColumn("name", T.label(F.col("head")))

@@ -451,18 +451,22 @@ def numbers_canonical(spark, d):
 
 
 def _brand_tables(spark: SparkSession, d: str, transposed: bool) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, at, line) of the tables, and each one's alias. Lines are rows of their own, so a brand of many parts makes no long text; transposed, a line is as long as its brand."""
     part = read(spark, d, "part").withColumn("name", F.concat(F.lit("M"), F.col("p_partkey").cast("string")))
-    cells = F.sort_array(F.collect_list(F.struct("p_partkey", "name", F.col("p_size").cast("string").alias("size"), F.floor("p_retailprice").cast("string").alias("price"))))
-    per = part.groupBy("p_brand").agg(cells.alias("c"), F.min("p_partkey").alias("low"))
-    bar = lambda first, field: F.concat(F.lit(f"| {first} | "), F.array_join(F.transform("c", lambda x: x[field]), " | "), F.lit(" |"))
+    part = part.withColumns({"size": F.col("p_size").cast("string"), "price": F.floor("p_retailprice").cast("string")})
+    fixed = lambda df, *lines: df.select(F.col("p_brand").alias("doc_id"), F.posexplode(F.array(*lines)).alias("at", "line"))
+    per = part.groupBy("p_brand").agg(F.min("p_partkey").alias("low"))
+    aliases = per.select(F.col("p_brand").alias("doc_id"), F.concat(F.lit("m"), F.col("low").cast("string")).alias("alias"))
+    top = F.lit("# Results"), F.lit("")
     if transposed:
-        lines = F.array(bar("Benchmark", "name"), F.lit("|---|---|"), bar("MMLU (5-shot)", "size"), bar("GSM8K", "price"), bar("GPU hours", "price"))
-    else:
-        rows = F.transform("c", lambda x: F.concat(F.lit("| **"), x["name"], F.lit("** | "), x["size"], F.lit(" | "), x["price"], F.lit(" | n/a |")))
-        lines = F.concat(F.array(F.lit("| Model | MMLU (5-shot) | GSM8K | Note |"), F.lit("|---|---|---|---|")), rows)
-    text = F.concat(F.lit("# Results\n\n"), F.array_join(lines, "\n"), F.lit("\n\nend"))
-    docs = per.select(F.col("p_brand").alias("doc_id"), text.alias("text"))
-    return docs, per.select(F.col("p_brand").alias("doc_id"), F.concat(F.lit("m"), F.col("low").cast("string")).alias("alias"))
+        cells = F.sort_array(F.collect_list(F.struct("p_partkey", "name", "size", "price")))
+        bar = lambda first, field: F.concat(F.lit(f"| {first} | "), F.array_join(F.transform("c", lambda x: x[field]), " | "), F.lit(" |"))
+        lines = bar("Benchmark", "name"), F.lit("|---|---|"), bar("MMLU (5-shot)", "size"), bar("GSM8K", "price"), bar("GPU hours", "price")
+        return fixed(part.groupBy("p_brand").agg(cells.alias("c")), *top, *lines), aliases
+    head = fixed(per, *top, F.lit("| Model | MMLU (5-shot) | GSM8K | Note |"), F.lit("|---|---|---|---|"))
+    at = F.row_number().over(Window.partitionBy("p_brand").orderBy("p_partkey")) + 3
+    rows = part.select(F.col("p_brand").alias("doc_id"), at.alias("at"), F.concat(F.lit("| **"), "name", F.lit("** | "), "size", F.lit(" | "), "price", F.lit(" | n/a |")).alias("line"))
+    return head.unionByName(rows), aliases
 
 
 _LOW = "(SELECT p_brand AS doc_id, 0 AS block, p_size::VARCHAR AS size, floor(p_retailprice)::BIGINT::VARCHAR AS price FROM part QUALIFY row_number() OVER (PARTITION BY p_brand ORDER BY p_partkey) = 1)"
@@ -471,18 +475,18 @@ _ROWS = "SELECT doc_id, block, 'MMLU' AS benchmark, size AS score, 'Not specifie
 
 @query(_ROWS.format("row", _LOW))
 def table_scores_model_major(spark, d):
-    return tables.score_rows(*_brand_tables(spark, d, False))
+    return tables.score_lines(*_brand_tables(spark, d, False))
 
 
 @query(_ROWS.format("column", _LOW))
 def table_scores_transposed(spark, d):
-    return tables.score_rows(*_brand_tables(spark, d, True))
+    return tables.score_lines(*_brand_tables(spark, d, True))
 
 
 @query("SELECT p_brand AS doc_id, 0 AS block, 2 AS first_line, count(*) + 2 AS n_lines FROM part GROUP BY 1")
 def table_islands(spark, d):
-    docs, _ = _brand_tables(spark, d, False)
-    return tables.islands(docs).select("doc_id", "block", "first_line", F.size("lines").cast("long").alias("n_lines"))
+    lines, _ = _brand_tables(spark, d, False)
+    return tables.blocks(lines).groupBy("doc_id", "block", "first_line").agg(F.count("*").alias("n_lines"))
 
 
 @query("""SELECT p_partkey, CASE WHEN p_type LIKE '%STEEL%' THEN 'mixture of experts' WHEN p_type LIKE '%TIN%' THEN 'state space' WHEN p_type LIKE 'SMALL%' THEN 'causal language model' WHEN p_size > 40 THEN 'encoder-decoder' END AS architecture FROM part""")
@@ -614,9 +618,7 @@ def declared_file_order(spark, d):
 
 @query("SELECT source, 'bundle_' || left(sha256(string_agg(doc_id || ':' || md5(text), chr(10) ORDER BY doc_id)), 32) AS bundle_id, count(*) AS files FROM documents GROUP BY 1")
 def bundle_digest(spark, d):
-    rows = F.sort_array(F.collect_list(F.struct("doc_id", F.md5("text").alias("h"))))
-    text = F.array_join(F.transform(rows, lambda x: F.concat(x["doc_id"].cast("string"), F.lit(":"), x["h"])), "\n")
-    return read(spark, d, "documents").groupBy("source").agg(T.content_id("bundle", text, width=32).alias("bundle_id"), F.count("*").alias("files"))
+    return ledger.bundles(read(spark, d, "documents"), "source", "doc_id", "text")
 
 
 @query("SELECT DISTINCT user_id FROM events WHERE event_type = 'purchase' INTERSECT SELECT DISTINCT user_id FROM events WHERE event_type = 'signup'")

@@ -1,3 +1,5 @@
+import hashlib
+
 from pyspark.sql import functions as F
 
 from cardloom.functions import text as T
@@ -103,3 +105,20 @@ def test_copied_runs_in_any_script(spark):
     sources = [(10, f"x, {cyrillic.upper()}!"), (11, f"前文。{chinese[:12]}，{chinese[12:]}。"), (12, accents), (13, None), (14, "A-B-C-D-E-F-G-H-I-J-K-L")]
     v, s = spark.createDataFrame(values, "value_id long, text string"), spark.createDataFrame(sources, "source_id long, text string")
     assert {tuple(r) for r in evidence.copied_runs(v, s).collect()} == {(1, 10, 1), (2, 11, 1), (3, 12, 0), (7, 14, 0)}
+
+
+def test_large_groups_are_not_gathered(spark):
+    from cardloom.plans import catalogue
+
+    for name in ("bundle_digest", "budget_greedy_pack", "table_islands", "table_scores_model_major"):
+        plan = catalogue.QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+        assert "collect_list" not in plan, name
+
+
+def test_folds_of_null_and_several_keys(spark):
+    rows = [("a", 2, "x", 60), ("a", 1, None, 50), (None, 1, "y", 10), ("b", 5, None, None), ("a", 3, "z", 40), ("a", 4, "z", 200)]
+    df = spark.createDataFrame(rows, "k string, i long, t string, n long")
+    assert {tuple(r) for r in ledger.greedy_pack(df, "k", ["i"], "n", 100, 90).collect()} == {("a", 90, 2, 2), (None, 10, 1, 0), ("b", 0, 0, 0)}
+    h = lambda t: hashlib.md5(t.encode()).hexdigest()
+    of = lambda t: "bundle_" + hashlib.sha256(t.encode()).hexdigest()[:32]
+    assert {tuple(r) for r in ledger.bundles(df, "k", "i", "t").collect()} == {("a", of(f"2:{h('x')}\n3:{h('z')}\n4:{h('z')}"), 4), (None, of(f"1:{h('y')}"), 1), ("b", None, 1)}
