@@ -90,6 +90,6 @@ def score_lines(lines: DataFrame, aliases: DataFrame) -> DataFrame:
     by_column = _scores(down.where(~cost | known), "column")
     rest = header.join(columns.select("doc_id", "block").distinct(), ["doc_id", "block"], "left_anti").where(is_results_header(F.col("header")))
     mine = body.withColumn("name", T.label(F.get("cells", F.lit(0)))).join(named, ["doc_id", "name"]).join(rest, ["doc_id", "block"])
-    pairs = mine.select("doc_id", "block", F.explode(F.slice(F.arrays_zip(F.col("header").alias("h"), F.col("cells").alias("c")), 2, 10_000)).alias("z"))
+    pairs = mine.select("doc_id", "block", F.explode(F.slice(F.arrays_zip(F.col("header").alias("h"), F.col("cells").alias("c")), 2, F.greatest(F.size("header"), F.size("cells")))).alias("z"))
     by_row = _scores(pairs.select("doc_id", "block", F.col("z.h").alias("benchmark"), F.col("z.c").alias("score")), "row")
     return by_column.unionByName(by_row)

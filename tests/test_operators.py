@@ -122,3 +122,10 @@ def test_folds_of_null_and_several_keys(spark):
     h = lambda t: hashlib.md5(t.encode()).hexdigest()
     of = lambda t: "bundle_" + hashlib.sha256(t.encode()).hexdigest()[:32]
     assert {tuple(r) for r in ledger.bundles(df, "k", "i", "t").collect()} == {("a", of(f"2:{h('x')}\n3:{h('z')}\n4:{h('z')}"), 4), (None, of(f"1:{h('y')}"), 1), ("b", None, 1)}
+
+
+def test_rows_wider_than_ten_thousand_columns(spark):
+    n = 10_050
+    text = "\n".join("| " + " | ".join(x) + " |" for x in (["Model", *(f"MMLU {i}" for i in range(n))], ["---"] * (n + 1), ["OLMo", *(str(i) for i in range(n))]))
+    got = tables.score_rows(spark.createDataFrame([("a", text)], "doc_id string, text string"), spark.createDataFrame([("a", "OLMo")], "doc_id string, alias string"))
+    assert {r.score for r in got.select("score").collect()} == {str(i) for i in range(n)}
