@@ -1,9 +1,9 @@
-"""Substring dedup by Relative Lempel-Ziv parsing against content-defined reference blocks.
+"""Substring dedup by a winnowed index of content-defined reference blocks, which stands in for a greedy Relative Lempel-Ziv parse.
 
 Every document's word stream is cut into blocks at content-defined places: consecutive windows of `window`
 words that have the same smallest `seed`-word hash (their anchor) make one block. Equal passages cut alike,
 whichever documents they stand in, so the table of (anchor, content) with the smallest document that holds it
-is an index of reference blocks over the whole corpus, and a document's blocks are its greedy parse:
+is an index of reference blocks over the whole corpus, and a document's blocks stand for the factors of a parse:
 
 * a block whose content an earlier document holds is one long factor and copied as a whole;
 * a block whose anchor is known with other content lies at a factor's boundary; there the single windows are
