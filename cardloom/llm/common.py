@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import contextlib
-import gc
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -27,11 +26,12 @@ def held_out(doc_id: Column) -> Column:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; one of our own only where the session names none."""
+    """The folder that driver and executors share: the session's checkpoint folder. Only a local session, whose executors are the driver, gets one of its own where it names none."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not found:
-        found = tempfile.mkdtemp(prefix="cardloom-checkpoint-")
-        spark.sparkContext.setCheckpointDir(found)
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="cardloom-checkpoint-"))
         found = spark.sparkContext.getCheckpointDir()
     return found.rstrip("/")
 
@@ -51,18 +51,24 @@ def remove(spark: SparkSession, path: str) -> None:
         hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
 
 
+#: Has Spark remove the shuffle files of a written table as soon as it is written.
+_CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def cut(df: DataFrame, label: str) -> DataFrame:
     """Writes df to shared storage and reads it back: lineage ends here, and a lost executor costs no recomputation.
 
-    Shuffle files that only the written table needed are given back at once.
+    Both sides of a join that are read back are plain exchanges, so Spark deals a key with very many rows to several tasks.
     """
     spark = df.sparkSession
     path = new_folder(spark, label)
-    schema = df.schema
-    df.write.parquet(path)
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-    out = spark.read.schema(schema).parquet(path)
+    before = spark.conf.get(_CLEAN_UP, None)
+    spark.conf.set(_CLEAN_UP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.unset(_CLEAN_UP) if before is None else spark.conf.set(_CLEAN_UP, before)
+    out = spark.read.schema(df.schema).parquet(path)
     out._folder = path
     return out
 
@@ -73,6 +79,17 @@ def done_with(*tables: DataFrame) -> None:
         remove(df.sparkSession, df._folder)
 
 
+def packed(df: DataFrame, **more: Column) -> DataFrame:
+    """All columns of df as one struct `row`, and beside it those in `more`: whatever df's columns are called, they clash with none of these."""
+    return df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"), *[c.alias(n) for n, c in more.items()])
+
+
+def unpacked(df: DataFrame, names: list[str], **instead: Column) -> DataFrame:
+    """The columns of packed rows in order, some of them replaced; those of `instead` that the row lacks follow."""
+    kept = [instead.get(n, F.col("row").getField(n)).alias(n) for n in names]
+    return df.select(*kept, *[c.alias(n) for n, c in instead.items() if n not in names])
+
+
 def _contracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The links of one partition as stars around the smallest id of each piece that they connect."""
     parent: dict[int, int] = {}
@@ -95,43 +112,50 @@ def _contracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def components(links: DataFrame) -> DataFrame:
-    """Connected components of links(a, b), as (id, component) with component the smallest id reachable.
+    """Connected components of links(a, b), as a written table (id, component) with component the smallest id reachable.
 
     Each task first joins the links of its own partition by union-find. Then large-star and small-star steps alternate until no link
     changes; each round moves every link towards its component's smallest id, so long chains shrink by a constant factor a round. Ids that
-    have no link are not in the result. No group of links is ever gathered in one task: each step is a minimum per id and a join.
+    have no link are not in the result. A step is a minimum per id, written, and a join of the links with it; of an id with very many links
+    the minimum is combined before the shuffle, and the join is dealt to several tasks, as both its sides are read from storage.
     """
-    spark = links.sparkSession
 
     def star(e: DataFrame, large: bool) -> DataFrame:
-        low = e.select("a", "b")
+        n = e.select("a", "b")
         if large:
-            low = low.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        n, low = low, low.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        n = n.join(low, "a")
+            n = n.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        low = cut(n.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")), "lowest")
+        met = n.join(low, "a")
         if large:
-            return n.where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b")
-        out = n.select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(low.select("a", F.col("m").alias("b")))
-        return out.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+            out = met.where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b")
+        else:
+            out = met.select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(low.select("a", F.col("m").alias("b"))).where("a <> b")
+        out = cut(out.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "links")
+        done_with(e, low)
+        return out
 
     e = links.select(F.greatest("a", "b").cast("long").alias("a"), F.least("a", "b").cast("long").alias("b")).where("a <> b")
     e = cut(e.mapInArrow(_contracted, "a long, b long").distinct(), "links")
     before = None
     while True:
-        last, e = e, cut(star(star(e, True), False), "links")
-        done_with(last)
         after = tuple(e.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
-        if after == before:
+        if after == before or not after[0]:
             break
         before = after
+        e = star(star(e, True), False)
     rows = e.select(F.col("a").alias("id"), F.col("b").alias("component"))
-    return rows.unionByName(e.select(F.col("b").alias("id"), F.col("b").alias("component")).distinct())
+    out = cut(rows.unionByName(e.select(F.col("b").alias("id"), F.col("b").alias("component")).distinct()), "components")
+    done_with(e)
+    return out
 
 
-def lowest(df: DataFrame, by: list[str], order: list[Column], n: int) -> DataFrame:
-    """The first n rows of each group; Spark limits each map task's share before the shuffle."""
-    w = Window.partitionBy(*by).orderBy(*order)
-    return df.withColumn("_rank", F.row_number().over(w)).where(F.col("_rank") <= n).drop("_rank")
+def lowest(df: DataFrame, by: list[str], order: list[Column], n: int, salts: int = 64) -> DataFrame:
+    """The first n rows of each group, in two levels: each of a group's `salts` shares is limited by itself first, so the task that ends a group reads at most n rows of each share."""
+    share = F.pmod(F.xxhash64(*order), F.lit(salts))
+    first = F.row_number().over(Window.partitionBy(*by, share).orderBy(*order))
+    rows = df.withColumn("_rank", first).where(F.col("_rank") <= n).drop("_rank")
+    last = F.row_number().over(Window.partitionBy(*by).orderBy(*order))
+    return rows.withColumn("_rank", last).where(F.col("_rank") <= n).drop("_rank")
 
 
 # ---- bytes of Arrow text columns ----

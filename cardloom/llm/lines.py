@@ -1,15 +1,17 @@
 """Fuzzy line dedup: MinHash over character shingles, banding, exact Jaccard verification, and one line kept of each component.
 
-Lines are the \\n-separated parts of a text that hold a word, stripped of blanks at their ends. Equal lines are one from the start. Each distinct line gets a signature of
-one-permutation MinHash (empty bins are filled from others by a fixed random walk), cut into bands; lines that share a band's key are in one
-bucket. A bucket emits no pairs among all its lines: each line is checked against the bucket's first only. Where that leaves a
-bucket with lines of several components, each line outside its largest component is tried against the lines of the others, a share of the bucket in each task, so no
-link that banding found is lost, and a large group of near copies costs a row per line. Links need an exact Jaccard similarity of `least` over the sets of shingles.
+Lines are the \\n-separated parts of a text that hold a word, stripped of blanks at their ends. Equal lines, by a 128-bit digest, are one from the start and get a number.
+Each distinct line gets a signature of one-permutation MinHash (empty bins are filled from others by a fixed random walk), cut into bands; lines that share a band's key
+are in one bucket. A bucket emits no pairs among all its lines: each task first checks the lines it holds itself against the first of them in a bucket and
+sends only that one on, and where the first ones meet, each is checked against the first of all. So a bucket of any size costs a row per line, and its task reads at most a row per sending task.
+
+Where that leaves a bucket with lines of several components, the lines outside its largest one are tried against all others there, so no link that banding found is
+lost. They are dealt over tasks in cells of bounded size, and in a cell lines meet by an inverted index over their rarest shingles: of a line with n shingles, only the
+n - ceil(least * n) + 1 rarest are looked up, as two lines alike must share one of these. Links need an exact Jaccard similarity of `least` over the sets of shingles.
 """
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -17,28 +19,24 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardloom.llm.common import components, cut, mix, table
+from cardloom.llm.common import components, cut, done_with, mix, packed, table, unpacked
 
 SHINGLE = 5
 LEAST = 0.8
-BANDS, ROWS = 12, 4
-_SEEN = 100_000
-_SLICE = 1 << 18
-_BITS = 1 << 14
+#: A pair of similarity 0.8 shares a band with probability 1 - (1 - 0.8 ** 5) ** 16 = 0.998; one of 0.5 with 0.4.
+BANDS, ROWS = 16, 5
+BLANK = " \t\x0b\f\r"
+_SLICE = 1 << 16
+_TOGETHER = 1 << 15
+_FEW = 16
 _EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
+#: Bits of a shingle's hash that stand beside the number of a pair.
+_GRAM = np.uint64(48)
+_GRAM_MASK = np.uint64((1 << 48) - 1)
 
 
-def split_lines(text: str) -> list[tuple[int, str]]:
-    """(number, stripped line) of the lines with a word, by number from 0."""
-    return [(n, y) for n, x in enumerate(text.split("\n")) if (y := x.strip(" \t\x0b\f\r"))]
-
-
-def line_key(line: str) -> int:
-    return int.from_bytes(hashlib.blake2b(line.encode(), digest_size=8).digest(), "little", signed=True)
-
-
-def gram_hashes(codes: np.ndarray, length: np.ndarray, shingle: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Line number and hash of each shingle, repeats included, and how many each line has; codes holds `length` values of each line, `shingle` at least."""
+def gram_hashes(codes: np.ndarray, length: np.ndarray, shingle: int) -> tuple[np.ndarray, np.ndarray]:
+    """Line number and hash of each shingle, repeats included; codes holds `length` values of each line, `shingle` at least."""
     gram, width, base = codes, 1, 0x100000001B3
     while width < shingle:  # two runs side by side, which overlap in the last step where shingle is no power of two
         step = min(width, shingle - width)
@@ -46,48 +44,124 @@ def gram_hashes(codes: np.ndarray, length: np.ndarray, shingle: int) -> tuple[np
         width += step
     start = np.r_[0, np.cumsum(length)[:-1]]
     n = length - shingle + 1
-    line = np.repeat(np.arange(len(length)), n)
-    at = np.arange(len(line)) + np.repeat(start - np.r_[0, np.cumsum(n)[:-1]], n)
-    return line, mix(gram[at]), n
+    return np.repeat(np.arange(len(length)), n), mix(gram[ranges(start, n)])
+
+
+def ranges(start: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """start, start + 1, ... for n places each, one after the other."""
+    return np.arange(int(n.sum())) + np.repeat(start - np.r_[0, np.cumsum(n)[:-1]], n) if len(n) else np.empty(0, np.int64)
 
 
 class Lines:
     """What is compared: a text's lines by their shingles of characters."""
 
+    #: How many lines, or 256 characters of them, a cell takes of each side.
+    share = 4096
+
     def __init__(self, shingle: int = SHINGLE) -> None:
         self.shingle = shingle
 
-    def units(self, text: str) -> list[tuple[int, str]]:
-        return split_lines(text)
+    def units(self, docs: DataFrame) -> DataFrame:
+        """(doc_id, version, line, text) of each line with a word, numbered from 0."""
+        parts = docs.select("doc_id", "version", F.posexplode(F.split("text", "\n")).alias("line", "raw"))
+        return parts.select("doc_id", "version", "line", F.btrim("raw", F.lit(BLANK)).alias("text")).where("text <> ''")
 
-    def hashes(self, lines: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Line number and hash of each shingle, repeats included, and how many each line has; short lines have one."""
+    def hashes(self, lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Line number and hash of each shingle, repeats included; short lines have one."""
         length = np.array([max(len(x), self.shingle) for x in lines])
         codes = np.frombuffer("".join([x.ljust(self.shingle, "\0") for x in lines]).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
         return gram_hashes(codes, length, self.shingle)
 
     def shingles(self, line: str) -> set:
-        return shingles(line, self.shingle)
-
-
-def bitmaps(lines: list[str], of: Lines) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """For each line a bitmap of its hashed shingles, how many bits it has, and how many shingles at most fell on a bit already set.
-
-    Two lines share no more shingles than their bitmaps share bits, plus the smaller of these overlaps.
-    """
-    line, h, n = of.hashes(lines)
-    cells = np.zeros((len(lines), _BITS), np.uint8)
-    cells[line, (h & np.uint64(_BITS - 1)).astype(np.int64)] = 1
-    ones = cells.sum(axis=1, dtype=np.int64)
-    return np.packbits(cells, axis=1).view(np.uint64), ones, n - ones
+        return {line[i : i + self.shingle] for i in range(max(1, len(line) - self.shingle + 1))}
+
+
+class Sets:
+    """The shingles of some lines as sorted numbers, line after line."""
+
+    def __init__(self, lines: list[str], of: Lines) -> None:
+        line, h = of.hashes(lines)
+        both = np.sort(line.astype(np.uint64) << _GRAM | h >> np.uint64(16))
+        both = both[np.r_[True, both[1:] != both[:-1]]]
+        self.gram = both & _GRAM_MASK
+        self.size = np.bincount((both >> _GRAM).astype(np.int64), minlength=len(lines))
+        self.start = np.cumsum(self.size) - self.size
+        self.lines, self.of = lines, of
+
+    def alike(self, x: np.ndarray, y: np.ndarray, least: float) -> np.ndarray:
+        """For each pair of line numbers whether their similarity reaches `least`; what the hashed sets say is confirmed on the shingles themselves."""
+        out = np.zeros(len(x), bool)
+        fit = np.flatnonzero(np.minimum(self.size[x], self.size[y]) >= least * np.maximum(self.size[x], self.size[y]) - 1e-9)
+        weight = np.cumsum(self.size[x[fit]] + self.size[y[fit]])
+        at = 0
+        while at < len(fit):
+            to = max(at + 1, min(at + 4096, int(np.searchsorted(weight, (weight[at - 1] if at else 0) + (1 << 20), "right"))))
+            a, b = x[fit[at:to]], y[fit[at:to]]
+            tag = np.arange(to - at, dtype=np.uint64) << _GRAM
+            keys = [np.repeat(tag, self.size[i]) | self.gram[ranges(self.start[i], self.size[i])] for i in (a, b)]
+            keys = np.sort(np.concatenate(keys))
+            common = np.bincount((keys[1:][keys[1:] == keys[:-1]] >> _GRAM).astype(np.int64), minlength=to - at)
+            for k in np.flatnonzero(common * (1 + least) >= least * (self.size[a] + self.size[b]) - 1e-9):
+                out[fit[at + k]] = self._exact(a[k], b[k], least)
+            at = to
+        return out
+
+    def _may_be(self, p: np.ndarray, o: np.ndarray, kind: np.ndarray, least: float) -> np.ndarray:
+        return (kind[p] != kind[o]) & (np.minimum(self.size[p], self.size[o]) >= least * np.maximum(self.size[p], self.size[o]) - 1e-9)
+
+    def _exact(self, a: int, b: int, least: float) -> bool:
+        x, y = self.of.shingles(self.lines[a]), self.of.shingles(self.lines[b])
+        common = len(x & y)
+        return common >= least * (len(x) + len(y) - common)
+
+    def candidates(self, cell: np.ndarray, other: np.ndarray, kind: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray]:
+        """Pairs (probe, other) of line numbers of one cell and of different kinds that share a shingle among the rarest of both; `other` marks the lines that probes are tried against.
+
+        Lines come by cell and, in a cell, probes first. A cell with few pairs for its lines is not worth the index; all its pairs are candidates.
+        """
+        n_probes, n_others = np.bincount(cell, ~other).astype(np.int64), np.bincount(cell, other).astype(np.int64)
+        small = n_probes * n_others <= _FEW * (n_probes + n_others)
+        start = np.cumsum(n_probes + n_others) - n_probes - n_others
+        of = np.repeat(np.flatnonzero(small), (n_probes * n_others)[small])
+        at = ranges(np.zeros(small.sum(), np.int64), (n_probes * n_others)[small])
+        p, o = start[of] + at // n_others[of], start[of] + n_probes[of] + at % n_others[of]
+        keep = self._may_be(p, o, kind, least)
+        found = [p[keep] << 32 | o[keep]]
+        size = np.where(small[cell], 0, self.size)
+        line = np.repeat(np.arange(len(size)), size)
+        with np.errstate(over="ignore"):
+            of_cell = mix(self.gram[ranges(self.start, size)] ^ mix(cell.astype(np.uint64))[line])
+        _, place, count = np.unique(of_cell, return_inverse=True, return_counts=True)
+        rank = np.empty(len(count), np.int64)
+        rank[np.argsort(count, kind="stable")] = np.arange(len(count))
+        key = np.sort(line << 32 | rank[place])
+        prefix = np.where(size > 0, size - np.ceil(least * size - 1e-9).astype(np.int64) + 1, 0)
+        key = key[ranges(np.cumsum(size) - size, prefix)]
+        key = key[np.sort(count)[key & 0xFFFFFFFF] > 1]  # a shingle of one line only meets nothing
+        line, rank = key >> 32, key & 0xFFFFFFFF
+        order = np.argsort(rank, kind="stable")
+        line, rank = line[order], rank[order]
+        mine, theirs = ~other[line], other[line]
+        probe, at, asked, asked_at = line[mine], rank[mine], line[theirs], rank[theirs]
+        low, high = np.searchsorted(at, asked_at), np.searchsorted(at, asked_at, "right")
+        lo, upto = 0, np.cumsum(high - low)
+        while lo < len(asked):
+            hi = max(lo + 1, int(np.searchsorted(upto, (upto[lo - 1] if lo else 0) + (1 << 21), "right")))
+            n = (high - low)[lo:hi]
+            p, o = probe[ranges(low[lo:hi], n)], np.repeat(asked[lo:hi], n)
+            keep = self._may_be(p, o, kind, least)
+            found.append(np.unique(p[keep] << 32 | o[keep]))
+            lo = hi
+        both = np.unique(np.concatenate(found))
+        return both >> 32, both & 0xFFFFFFFF
 
 
 def band_keys(lines: list[str], bands: int, rows: int, of: Lines) -> np.ndarray:
     """A 64-bit key for each line (down) and band (across)."""
-    line, h, _ = of.hashes(lines)
+    line, h = of.hashes(lines)
     bins = bands * rows
     signature = np.full(len(lines) * bins, _EMPTY)
-    np.minimum.at(signature, line * bins + ((h & np.uint64(0xFFFFF)) % np.uint64(bins)).astype(np.int64), h)
+    np.minimum.at(signature, line * bins + ((h & np.uint64(0xFFFFFFFF)) * np.uint64(bins) >> np.uint64(32)).astype(np.int64), h)
     filled = signature.copy()
     empty, step = np.flatnonzero(signature == _EMPTY), 0
     while len(empty):
@@ -104,162 +178,158 @@ def band_keys(lines: list[str], bands: int, rows: int, of: Lines) -> np.ndarray:
     return key
 
 
-def shingles(line: str, shingle: int = SHINGLE) -> set[str]:
-    return {line[i : i + shingle] for i in range(max(1, len(line) - shingle + 1))}
+def _rows(**columns: tuple[list | np.ndarray, pa.DataType]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([v if isinstance(v, pa.Array) else pa.array(v, t) for v, t in columns.values()], list(columns))
 
 
-def _rows(columns: dict[str, tuple[list | np.ndarray, pa.DataType]]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in columns.values()], list(columns))
+def _places(docs: DataFrame, of: Lines) -> DataFrame:
+    """(key, doc_id, version, line, text) of all lines; key is the MD5 of the line."""
+    return of.units(docs).select(F.unhex(F.md5(F.col("text").cast("binary"))).alias("key"), "doc_id", "version", "line", "text")
 
 
-def _places(docs: DataFrame, of: Lines) -> DataFrame:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids, versions, number, key = [], [], [], []
-            for doc, version, text in zip(batch.column("doc_id").to_pylist(), batch.column("version").to_pylist(), batch.column("text"), strict=True):
-                for n, x in of.units(text.as_py() or ""):
-                    ids.append(doc)
-                    versions.append(version)
-                    number.append(n)
-                    key.append(line_key(x))
-            yield _rows({"doc_id": (ids, pa.int64()), "version": (versions, pa.int64()), "line": (number, pa.int32()), "key": (key, pa.int64())})
-
-    return docs.mapInArrow(run, "doc_id long, version long, line int, key long")
-
-
-def _fresh_lines(batches: Iterator[pa.RecordBatch], of: Lines) -> Iterator[tuple[list[str], list[int]]]:
-    """Lines and keys in slices; lines that the task has had before are left out while it can remember them."""
-    seen: set[int] = set()
-    lines, keys, size = [], [], 0
-    for batch in batches:
-        for text in batch.column("text"):
-            for _, x in of.units(text.as_py() or ""):
-                key = line_key(x)
-                if key in seen:
-                    continue
-                if len(seen) < _SEEN:
-                    seen.add(key)
-                lines.append(x)
-                keys.append(key)
-                size += len(x)
-                if size >= _SLICE:
-                    yield lines, keys
-                    lines, keys, size = [], [], 0
-    if lines:
-        yield lines, keys
-
-
-def _buckets(docs: DataFrame, bands: int, rows: int, of: Lines) -> DataFrame:
-    """(bucket, key, first): the lines of each bucket that holds two or more, with the bucket's smallest key."""
+def _buckets(lines: DataFrame, bands: int, rows: int, of: Lines) -> DataFrame:
+    """(bucket, id, first): the lines of each bucket that holds two or more, each but the bucket's first with one that stands before it; all are linked to the first through these."""
 
     def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for lines, keys in _fresh_lines(batches, of):
-            found = band_keys(lines, bands, rows, of)
-            yield _rows({"bucket": (found.ravel().view(np.int64), pa.int64()), "key": (np.repeat(np.array(keys, np.int64), bands), pa.int64())})
+        keys, ids, n = [], [], 0
+
+        def send() -> pa.RecordBatch:
+            bucket, line = np.concatenate(keys).ravel(), np.repeat(np.concatenate(ids), bands)
+            order = np.lexsort((line, bucket))
+            bucket, line = bucket[order], line[order]
+            begins = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]])
+            first = np.repeat(line[begins], np.diff(np.r_[begins, len(bucket)]))
+            return _rows(bucket=(bucket.view(np.int64), pa.int64()), id=(line, pa.int64()), first=(pa.array(first, mask=first == line), pa.int64()))
+
+        for batch in batches:
+            texts, mine = batch.column("text").to_pylist(), batch.column("id").to_numpy()
+            lo = 0
+            while lo < len(texts):
+                hi, size = lo, 0
+                while hi < len(texts) and (hi == lo or size + len(texts[hi]) <= _SLICE):
+                    size += len(texts[hi])
+                    hi += 1
+                keys.append(band_keys(texts[lo:hi], bands, rows, of))
+                ids.append(mine[lo:hi])
+                n += hi - lo
+                lo = hi
+                if n >= _TOGETHER:
+                    yield send()
+                    keys, ids, n = [], [], 0
+        if n:
+            yield send()
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last = first = held = None  # bucket, its first key and the last key; the rows come sorted, so nothing but this is kept
+        last = first = None  # the bucket and its first line; rows come sorted, those that have met in their task already first, so nothing but this is kept
         for batch in batches:
             if not batch.num_rows:
                 continue
-            bucket, key = batch.column("bucket").to_numpy(), batch.column("key").to_numpy()
-            begins = np.r_[last is None or bucket[0] != last, bucket[1:] != bucket[:-1]]
-            firsts = np.r_[0 if first is None else first, key[begins]][np.cumsum(begins)]
-            again = ~begins & (np.r_[key[0] if held is None else held, key[:-1]] == key)
-            take = (key != firsts) & ~again
-            yield _rows({"bucket": (bucket[take], pa.int64()), "key": (key[take], pa.int64()), "first": (firsts[take], pa.int64())})
-            last, first, held = bucket[-1], firsts[-1], key[-1]
+            met = batch.column("first").is_valid().to_numpy(zero_copy_only=False)
+            bucket, line = batch.column("bucket").to_numpy()[~met], batch.column("id").to_numpy()[~met]
+            out = [np.asarray(batch.column(c).filter(pa.array(met))).astype(np.int64) for c in ("bucket", "id", "first")]
+            if len(bucket):
+                begins = np.r_[last is None or bucket[0] != last, bucket[1:] != bucket[:-1]]
+                firsts = np.r_[0 if first is None else first, line[begins]][np.cumsum(begins)]
+                out = [np.r_[a, b[line != firsts]] for a, b in zip(out, (bucket, line, firsts), strict=True)]
+                last, first = bucket[-1], firsts[-1]
+            yield _rows(bucket=(out[0], pa.int64()), id=(out[1], pa.int64()), first=(out[2], pa.int64()))
 
-    posted = docs.mapInArrow(post, "bucket long, key long")
-    return posted.repartition("bucket").sortWithinPartitions("bucket", "key").mapInArrow(meet, "bucket long, key long, first long")
-
-
-def _texts(docs: DataFrame, pairs: DataFrame, of: Lines) -> DataFrame:
-    """(key, text) of the lines that pairs(a, b) name."""
-
-    def texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for lines, keys in _fresh_lines(batches, of):
-            yield _rows({"key": (keys, pa.int64()), "text": (lines, pa.string())})
-
-    wanted = pairs.select(F.col("a").alias("key")).unionByName(pairs.select(F.col("b").alias("key"))).distinct()
-    return docs.mapInArrow(texts, "key long, text string").join(wanted, "key", "left_semi").groupBy("key").agg(F.first("text").alias("text"))
-
-
-def _alike(x: set[str], y: set[str], least: float) -> bool:
-    common = len(x & y)
-    return common >= least * (len(x) + len(y) - common)
+    posted = lines.select("id", "text").mapInArrow(post, "bucket long, id long, first long")
+    dealt = posted.repartition(F.when(F.col("first").isNull(), F.col("bucket")).otherwise(F.col("id")))
+    return dealt.sortWithinPartitions(F.col("first").isNull(), "bucket", "id").mapInArrow(meet, "bucket long, id long, first long")
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, least: float, of: Lines) -> DataFrame:
-    """Of pairs(a, b) of line keys, those whose lines have the least similarity."""
+    """Of pairs(a, b) of line numbers, those whose lines have the least similarity."""
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, mine = None, set()
         for batch in batches:
-            keep = []
-            for b, x, y in zip(batch.column("b").to_pylist(), batch.column("y"), batch.column("x"), strict=True):
-                if b != known:
-                    known, mine = b, of.shingles(x.as_py())
-                keep.append(_alike(mine, of.shingles(y.as_py()), least))
-            yield batch.filter(pa.array(keep, pa.bool_())).select(["a", "b"])
-
-    rows = pairs.join(texts.toDF("a", "x"), "a").join(texts.toDF("b", "y"), "b")
+            x, y = batch.column("x").to_pylist(), batch.column("y").to_pylist()
+            lo = 0
+            while lo < len(x):
+                hi, size = lo, 0
+                while hi < len(x) and hi - lo < 2048 and (hi == lo or size + len(x[hi]) + len(y[hi]) <= _SLICE):
+                    size += len(x[hi]) + len(y[hi])
+                    hi += 1
+                n = hi - lo
+                own = np.r_[0, np.cumsum([y[i] != y[i - 1] for i in range(lo + 1, hi)])].astype(np.int64)  # rows come by b, so its line is hashed once
+                sets = Sets(x[lo:hi] + [y[lo + i] for i in np.flatnonzero(np.r_[True, own[1:] != own[:-1]])], of)
+                keep = sets.alike(np.arange(n), n + own, least)
+                yield batch.slice(lo, n).select(["a", "b"]).filter(pa.array(keep))
+                lo = hi
+
+    rows = pairs.join(texts.select(F.col("id").alias("a"), F.col("text").alias("x")), "a").join(texts.select(F.col("id").alias("b"), F.col("text").alias("y")), "b")
     return rows.select("a", "b", "x", "y").mapInArrow(compare, "a long, b long")
 
 
-def _bridges(buckets: DataFrame, named: DataFrame, texts: DataFrame, least: float, of: Lines, share: int = 512) -> DataFrame:
-    """links(a, b) between components that meet in a bucket of buckets(bucket, key, first) and hold lines alike.
+def _bridges(buckets: DataFrame, named: DataFrame, texts: DataFrame, least: float, of: Lines) -> DataFrame:
+    """links(a, b) between components that meet in a bucket of buckets(bucket, id, first) and hold lines alike.
 
-    In each bucket the lines outside its largest component are probes, tried against the bucket's other lines. A bucket's lines are dealt to tasks by `share` at a time, and its
-    probes too, so no task holds a whole bucket. A probe that is linked to a component is not tried against its other lines again.
+    In each bucket the lines outside its largest component are probes, tried against the bucket's other lines. Both are dealt to cells of `of.share` at a time.
     """
-    both = buckets.select("bucket", "key").unionByName(buckets.select("bucket", F.col("first").alias("key")).distinct())
-    member = both.join(named.withColumnRenamed("id", "key"), "key", "left").select("bucket", "key", F.coalesce("component", "key").alias("component"))
-    torn = member.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("n")).where("low <> high and n > 2").select("bucket", "n")
-    member = cut(member.join(torn, "bucket"), "torn")
-    main = member.groupBy("bucket", "component").count().groupBy("bucket").agg(F.max_by("component", F.struct("count", "component")).alias("main"), F.max("count").alias("most"))
-    member = member.join(main, "bucket").withColumns({"parts": F.ceil(F.col("n") / share).cast("int"), "turns": F.ceil((F.col("n") - F.col("most")) / share).cast("int")})
-    own = lambda n: F.pmod(F.xxhash64("key"), F.col(n)).cast("int")
+    both = buckets.select("bucket", "id").unionByName(buckets.groupBy("bucket").agg(F.min("first").alias("id")))
+    member = both.join(named, "id", "left").select("bucket", "id", F.coalesce("component", "id").alias("component"))
+    per = member.groupBy("bucket", "component").agg(F.count("*").alias("n")).groupBy("bucket")
+    torn = cut(per.agg(F.sum("n").alias("n"), F.count("*").alias("kinds"), F.max_by("component", F.struct("n", "component")).alias("main")).where("kinds > 1 and n > 2").select("bucket", "main"), "torn")
+    weights = texts.select("id", (1 + F.floor(F.char_length("text") / 256)).alias("weight"))
+    torn_apart = cut(member.join(torn, "bucket").join(weights, "id").withColumn("probe", F.col("component") != F.col("main")), "member")
+    cells = lambda c: F.ceil(F.sum(c) / of.share).cast("int")
+    size = cut(torn_apart.groupBy("bucket").agg(cells(F.col("weight")).alias("parts"), cells(F.when(F.col("probe"), F.col("weight"))).alias("turns")), "cells")
+    member = torn_apart.join(size, "bucket")
+    own = lambda n: F.pmod(F.xxhash64("id"), F.col(n)).cast("int")
     each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    probes = member.where("component <> main").withColumn("turn", own("turns")).select("bucket", "turn", each("parts").alias("part"), "key", "component", F.lit(0).alias("other"))
-    others = member.withColumn("part", own("parts")).select("bucket", each("turns").alias("turn"), "part", "key", "component", F.lit(1).alias("other"))
-    rows = probes.unionByName(others).join(texts, "key")
+    probes = member.where("probe").withColumn("turn", own("turns")).select("bucket", "turn", each("parts").alias("part"), "id", "component", F.lit(False).alias("other"))
+    others = member.withColumn("part", own("parts")).select("bucket", each("turns").alias("turn"), "part", "id", "component", F.lit(True).alias("other"))
+    rows = probes.unionByName(others).join(texts, "id")
+
+    def links_of(rows: list[pa.RecordBatch]) -> pa.RecordBatch:
+        got = pa.Table.from_batches(rows)
+        place = np.stack([got.column(c).to_numpy() for c in ("bucket", "turn", "part")])
+        cell = np.cumsum(np.r_[0, (place[:, 1:] != place[:, :-1]).any(axis=0)])
+        kind, other = got.column("component").to_numpy(), got.column("other").to_numpy()
+        sets = Sets(got.column("text").to_pylist(), of)
+        p, o = sets.candidates(cell, other, kind, least)
+        a, b = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+        width = 1
+        while len(p):  # of the pairs of a probe and a component a few are tried at a time, until one is alike
+            order = np.lexsort((kind[o], p))
+            p, o = p[order], o[order]
+            begins = np.r_[True, (p[1:] != p[:-1]) | (kind[o][1:] != kind[o][:-1])]
+            group = np.cumsum(begins) - 1
+            now = np.arange(len(p)) - np.flatnonzero(begins)[group] < width
+            hit = sets.alike(p[now], o[now], least)
+            a.append(kind[p[now]][hit])
+            b.append(kind[o[now]][hit])
+            done = np.zeros(group[-1] + 1, bool)
+            done[group[now][hit]] = True
+            left = ~now & ~done[group]
+            p, o, width = p[left], o[left], width * 2
+        return _rows(a=(np.concatenate(a), pa.int64()), b=(np.concatenate(b), pa.int64()))
 
     def try_probes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, held, stacked = None, [], None
+        held, n, last = [], 0, None  # whole cells, some thousand lines of them at a time
         for batch in batches:
-            for lo in range(0, batch.num_rows, 128):
-                part = batch.slice(lo, 128)
-                a, b = [], []
-                lines = part.column("text").to_pylist()
-                maps, ones, over = bitmaps(lines, of)
-                places = zip(*(part.column(c).to_pylist() for c in ("bucket", "turn", "part")), strict=True)
-                for i, (place, other, component) in enumerate(zip(places, part.column("other").to_pylist(), part.column("component").to_pylist(), strict=True)):
-                    if place != at:
-                        at, held, stacked = place, [], None
-                    if not other:
-                        held.append([component, lines[i], None, {component}, maps[i], ones[i], over[i]])
-                        continue
-                    if not held:
-                        continue
-                    if stacked is None:
-                        stacked = np.stack([p[4] for p in held]), np.array([p[5] for p in held]), np.array([p[6] for p in held])
-                    most = np.bitwise_count(stacked[0] & maps[i]).sum(axis=1, dtype=np.int64) + np.minimum(stacked[2], over[i])
-                    mine = None
-                    for j in np.flatnonzero(most * (1 + least) >= least * (stacked[1] + ones[i])):
-                        probe = held[j]
-                        if component in probe[3]:
-                            continue
-                        mine = mine or of.shingles(lines[i])
-                        probe[2] = probe[2] or of.shingles(probe[1])
-                        if _alike(probe[2], mine, least):
-                            probe[3].add(component)
-                            a.append(probe[0])
-                            b.append(component)
-                yield _rows({"a": (a, pa.int64()), "b": (b, pa.int64())})
-
-    placed = rows.repartition("bucket", "turn", "part").sortWithinPartitions("bucket", "turn", "part", "other", "key")
-    return placed.select("bucket", "turn", "part", "other", "component", "text").mapInArrow(try_probes, "a long, b long").distinct()
+            if not batch.num_rows:
+                continue
+            place = [np.asarray(batch.column(c)) for c in ("bucket", "turn", "part")]
+            begins = np.flatnonzero(np.r_[last != tuple(int(c[0]) for c in place), np.any([c[1:] != c[:-1] for c in place], axis=0)])
+            weight = np.cumsum([len(x) // 256 + 1 for x in batch.column("text").to_pylist()])
+            lo = 0
+            for at in begins.tolist():
+                if n + (int(weight[at - 1]) if at else 0) - (int(weight[lo - 1]) if lo else 0) >= of.share:
+                    held.append(batch.slice(lo, at - lo))
+                    yield links_of(held)
+                    held, n, lo = [], 0, at
+            held.append(batch.slice(lo))
+            n += int(weight[-1]) - (int(weight[lo - 1]) if lo else 0)
+            last = tuple(int(c[-1]) for c in place)
+        if held:
+            yield links_of(held)
+
+    placed = rows.repartition("bucket", "turn", "part").sortWithinPartitions("bucket", "turn", "part", "other", "id")
+    out = cut(placed.select("bucket", "turn", "part", "other", "component", "text").mapInArrow(try_probes, "a long, b long").distinct(), "bridges")
+    done_with(torn, torn_apart, size)
+    return out
 
 
 def line_components(documents: DataFrame, least: float = LEAST, bands: int = BANDS, rows: int = ROWS, of: Lines | None = None) -> DataFrame:
@@ -268,45 +338,64 @@ def line_components(documents: DataFrame, least: float = LEAST, bands: int = BAN
     documents has doc_id, version and text. The kept place is the smallest by doc_id, version and line number (null ids last).
     """
     of = of or Lines()
-    docs = documents.select("doc_id", "version", "text")
-    places = cut(_places(docs, of), "places")
-    buckets = cut(_buckets(docs.select("text"), bands, rows, of), "buckets")
-    pairs = buckets.select(F.col("key").alias("a"), F.col("first").alias("b")).distinct()
-    texts = cut(_texts(docs.select("text"), pairs, of), "texts")
-    named = cut(components(_verified(pairs, texts, least, of)), "components")
-    merged = components(_bridges(buckets, named, texts, least, of)).select(F.col("id").alias("c"), F.col("component").alias("m"))
-
+    places = _places(documents.select("doc_id", "version", "text"), of)
     place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "version", "line")
-    distinct = places.groupBy("key").agg(F.min(place).alias("place"), F.count("*").alias("n"))
-    distinct = distinct.join(named.withColumnRenamed("id", "key"), "key", "left").withColumn("c", F.coalesce("component", "key")).join(merged, "c", "left")
-    distinct = cut(distinct.where("n > 1 or component is not null or m is not null").select("key", "place", F.coalesce("m", "c").alias("component")), "again")
-    low = distinct.groupBy("component").agg(F.min("place").alias("kept"))
-    target = distinct.select("key", "component").join(low, "component").select("key", "kept")
-    again = places.join(target, "key").where(~(F.col("doc_id").eqNullSafe(F.col("kept.doc_id")) & (F.col("version") == F.col("kept.version")) & (F.col("line") == F.col("kept.line"))))
+    distinct = places.groupBy("key").agg(F.min(place).alias("place"), F.count("*").alias("n"), F.first("text").alias("text"))
+    lines = cut(distinct.withColumn("id", F.monotonically_increasing_id()), "lines")  # numbers are fixed once they are written
+    buckets = cut(_buckets(lines, bands, rows, of), "buckets")
+    pairs = buckets.select(F.col("id").alias("a"), F.col("first").alias("b")).distinct()
+    wanted = buckets.select(F.explode(F.array("id", "first")).alias("id")).distinct()
+    texts = cut(lines.select("id", "text").join(wanted, "id", "left_semi"), "texts")
+    named = components(_verified(pairs, texts, least, of))
+    bridges = _bridges(buckets, named, texts, least, of)
+    done_with(buckets, texts)
+    merged = components(bridges).select(F.col("id").alias("c"), F.col("component").alias("m"))
+    done_with(bridges)
+    found = lines.select("id", "key", "place", "n").join(named, "id", "left").withColumn("c", F.coalesce("component", "id")).join(merged, "c", "left")
+    found = cut(found.where("n > 1 or component is not null or m is not null").select("key", "place", F.coalesce("m", "c").alias("component")), "again")
+    done_with(lines)
+    low = cut(found.groupBy("component").agg(F.min("place").alias("kept")), "kept")
+    target = cut(found.select("key", "component").join(low, "component").select("key", "kept"), "targets")
+    done_with(found, low)
+    again = places.drop("text").join(target, "key").where(~(F.col("doc_id").eqNullSafe(F.col("kept.doc_id")) & (F.col("version") == F.col("kept.version")) & (F.col("line") == F.col("kept.line"))))
     return again.select("doc_id", "version", "line", F.col("kept.doc_id").alias("as_doc"), F.col("kept.version").alias("as_version"), F.col("kept.line").alias("as_line"))
 
 
+_REMOVED = "array<struct<line:int,as_doc:bigint,as_line:int>>"
+
+
+def _cleaned(documents: DataFrame, least: float, bands: int, rows: int, shingle: int) -> tuple[DataFrame, dict]:
+    """Packed rows of documents, and as columns over them the text that stays, its number of lines and what went."""
+    version = F.coalesce(F.xxhash64("text"), F.lit(0).cast("long"))
+    docs = packed(documents, doc_id=F.col("doc_id").cast("long"), version=version, text=F.col("text"))
+    again = line_components(docs.drop("row"), least, bands, rows, Lines(shingle))
+    gone = again.groupBy(F.col("doc_id").alias("of_doc"), F.col("version").alias("of")).agg(F.sort_array(F.collect_set(F.struct("line", "as_doc", "as_line"))).alias("gone"))
+    out = docs.join(gone, F.col("doc_id").eqNullSafe(F.col("of_doc")) & (F.col("version") == F.col("of")), "left")
+    parts = F.split("text", "\n")
+    keep = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), F.col("gone.line"))
+    text = F.when(F.col("gone").isNull(), F.col("text")).otherwise(F.array_join(F.transform(keep, lambda i: F.get(parts, i)), "\n"))
+    n_lines = F.coalesce(F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D][^\n]*")), F.lit(0))  # each match runs from a line's first sign to its end
+    return out, {"text": text, "n_lines": n_lines.cast("long"), "removed": F.coalesce("gone", F.array().cast(_REMOVED))}
+
+
 def dedup_lines(documents: DataFrame, least: float = LEAST, bands: int = BANDS, rows: int = ROWS, shingle: int = SHINGLE) -> DataFrame:
     """documents with a line kept once of all that are alike, and what went: n_lines, removed array<struct<line, as_doc, as_line>>.
 
-    text loses the removed lines; all other columns and all rows stay. Null and blank texts have no lines and stay as they are; a line
-    shorter than a shingle is alike only to equal ones. Of lines alike the one with the smallest doc_id and line number stays, null ids last. Rows that
-    repeat doc_id and text are one document. A table without rows gives none.
+    text loses the removed lines; all other columns and all rows stay, whatever they are called; a column n_lines or removed of documents is replaced. Null and blank texts have no lines and
+    stay as they are; a line shorter than a shingle is alike only to equal ones, and so is one too short for an edit to leave 0.8 of its shingles. Lines of any length are compared whole. Of lines alike
+    the one with the smallest doc_id and line number stays, null ids last. Rows that repeat doc_id and text are one document. A table without rows gives none.
     """
-    docs = documents.withColumn("_version", F.coalesce(F.xxhash64("text"), F.lit(0).cast("long")))
-    again = line_components(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("_version").alias("version"), "text"), least, bands, rows, Lines(shingle))
-    gone = again.groupBy(F.col("doc_id").alias("_doc"), F.col("version").alias("_of")).agg(F.sort_array(F.collect_set(F.struct("line", "as_doc", "as_line"))).alias("removed"))
-    out = docs.join(gone, F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("_version") == F.col("_of")), "left").drop("_doc", "_of", "_version")
-    lines = F.split("text", "\n")
-    none = F.array().cast("array<struct<line:int,as_doc:bigint,as_line:int>>")
-    removed = F.coalesce("removed", none)
-    keep = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("removed.line"))
-    text = F.when(F.col("removed").isNull(), F.col("text")).otherwise(F.array_join(F.transform(keep, lambda i: F.get(lines, i)), "\n"))
-    n_lines = F.coalesce(F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D][^\n]*")), F.lit(0))  # each match runs from a line's first sign to its end
-    return out.select(*[text.alias("text") if c == "text" else F.col(f"`{c}`") for c in documents.columns], n_lines.cast("long").alias("n_lines"), removed.alias("removed"))
+    out, columns = _cleaned(documents, least, bands, rows, shingle)
+    return unpacked(out, documents.columns, **columns)
+
+
+def without_repeated_lines(documents: DataFrame) -> DataFrame:
+    """documents with the texts that dedup_lines leaves, and no other column changed or added."""
+    out, columns = _cleaned(documents, LEAST, BANDS, ROWS, SHINGLE)
+    return unpacked(out, documents.columns, text=columns["text"])
 
 
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per document: its lines with a word, how many went, which and for which, and the SHA-256 of what is left."""
+    """Per document: its lines with a word, how many went, which and for which, and the SHA-256 of what is left; all of documents, edge cases as in dedup_lines."""
     found = dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.select("doc_id", "n_lines", F.size("removed").cast("long").alias("n_removed"), "removed", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))

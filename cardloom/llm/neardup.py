@@ -11,25 +11,27 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cardloom.llm.common import cut, word_bounds, word_hashes
+from cardloom.llm.common import cut, packed, unpacked, word_bounds, word_hashes
 from cardloom.llm.lines import Lines, gram_hashes, line_components
 from cardloom.llm.simhash import near_dedup
 
 SHINGLE = 5
 LEAST = 0.8
 BANDS, ROWS = 20, 5
-_LOWER = str.maketrans({c: chr(c + 32) for c in range(65, 91)})
-_BLANKS = {c: " " for c in (9, 10, 11, 12, 13)}
+_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
 class Texts(Lines):
     """Whole texts by their shingles of words: words as in SimHash, A to Z in lower case, case and blanks aside equal texts are one."""
 
-    def units(self, text: str) -> list[tuple[int, str]]:
-        words = _words(text.translate(_LOWER))
-        return [(0, " ".join(words))] if words else []
+    share = 16384
 
-    def hashes(self, lines: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def units(self, docs: DataFrame) -> DataFrame:
+        """(doc_id, version, line 0, text) of each text with a word, its words joined by one space."""
+        text = F.btrim(F.regexp_replace(F.translate("text", _UPPER, _UPPER.lower()), r"[\x20\x09-\x0D]+", " "))
+        return docs.select("doc_id", "version", F.lit(0).alias("line"), text.alias("text")).where("text <> ''")
+
+    def hashes(self, lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
         raw = [x.encode("utf-8", "surrogatepass") for x in lines]
         data = np.frombuffer(b"".join(raw), np.uint8)
         starts, ends, first = word_bounds(data, np.r_[0, np.cumsum([len(x) for x in raw])])
@@ -40,20 +42,19 @@ class Texts(Lines):
         return gram_hashes(codes, length, self.shingle)
 
     def shingles(self, line: str) -> set:
-        words = _words(line)
+        words = line.split(" ")
         return {" ".join(words[i : i + self.shingle]) for i in range(max(1, len(words) - self.shingle + 1))}
 
 
-def _words(text: str) -> list[str]:
-    return [w for w in text.translate(_BLANKS).split(" ") if w]
-
-
 def alone(documents: DataFrame, least: float = LEAST, shingle: int = SHINGLE) -> DataFrame:
     """documents with one of each group that SimHash links, and of those one of each group that similarity of at least `least` links: the one with the smallest doc_id, null ids last.
 
-    A text with fewer words than a shingle is alike only to equal ones. Texts without a word are linked by SimHash alone.
+    A text with fewer words than a shingle is alike only to equal ones. Texts without a word, null ones too, are linked by SimHash alone, so one of them stays. Texts are compared whole. Of rows that
+    repeat doc_id and text one stays. A table without rows gives none. All columns come back, whatever they are called.
     """
-    docs = cut(near_dedup(documents).withColumn("_version", F.coalesce(F.xxhash64("text"), F.lit(0).cast("long"))), "alone")
-    again = line_components(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("_version").alias("version"), "text"), least, BANDS, ROWS, Texts(shingle))
-    gone = again.select(F.col("doc_id").alias("_doc"), F.col("version").alias("_of")).distinct()
-    return docs.join(gone, F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("_version") == F.col("_of")), "left_anti").drop("_version")
+    version = F.coalesce(F.xxhash64("text"), F.lit(0).cast("long"))
+    docs = cut(packed(near_dedup(documents), doc_id=F.col("doc_id").cast("long"), version=version, text=F.col("text")), "alone")
+    again = line_components(docs.drop("row"), least, BANDS, ROWS, Texts(shingle))
+    gone = again.select(F.col("doc_id").alias("of_doc"), F.col("version").alias("of")).distinct()
+    kept = docs.join(gone, F.col("doc_id").eqNullSafe(F.col("of_doc")) & (F.col("version") == F.col("of")), "left_anti")
+    return unpacked(kept, documents.columns)

@@ -20,7 +20,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, each line that is alike another kept once; n_chars follows the text."""
-    kept = lines.dedup_lines(docs).select(*docs.columns)
+    kept = lines.without_repeated_lines(docs)
     return kept.withColumn("n_chars", F.when(F.col("text").isNotNull(), F.char_length("text").cast("long")))
 
 

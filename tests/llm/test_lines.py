@@ -1,6 +1,16 @@
 import random
 
-from cardloom.llm.lines import dedup_lines, shingles, split_lines
+import numpy as np
+
+from cardloom.llm.lines import Lines, Sets, dedup_lines
+
+
+def split_lines(text):
+    return [(n, y) for n, x in enumerate(text.split("\n")) if (y := x.strip(" \t\x0b\f\r"))]
+
+
+def shingles(line, shingle=5):
+    return {line[i : i + shingle] for i in range(max(1, len(line) - shingle + 1))}
 
 
 def plain(rows, least=0.8):
@@ -72,3 +82,47 @@ def test_one_character_edits_of_short_lines_are_linked(docs):
     removed = {r.doc_id: [x.as_doc for x in r.removed] for r in dedup_lines(docs(*rows)).collect()}
     assert not any(removed[2 * i] for i in range(100))
     assert sum(removed[2 * i + 1] == [2 * i] for i in range(100)) >= 98
+
+
+def test_a_cell_meets_every_pair_alike(docs):
+    rnd = random.Random(11)
+    base = ["".join(rnd.choice("abcdefgh ") for _ in range(120)) for _ in range(4)]
+    lines = []
+    for _ in range(300):
+        x = list(rnd.choice(base))
+        for _ in range(rnd.choice([0, 1, 2, 4, 8])):
+            x[rnd.randrange(len(x))] = rnd.choice("xyz")
+        lines.append("".join(x))
+    lines += ["a", "ab", "abcde", "abcdef"]
+    n = len(lines)
+    cell = np.r_[np.repeat(0, 200), np.repeat(1, n - 208), np.repeat(2, 8)]
+    other = np.r_[np.arange(200) >= 90, np.arange(n - 208) >= 40, np.arange(8) >= 3]
+    sets, kind = Sets(lines, Lines()), np.arange(n)
+    p, o = sets.candidates(cell, other, kind, 0.8)
+    found = {(int(a), int(b)) for a, b, hit in zip(p, o, sets.alike(p, o, 0.8), strict=True) if hit}
+    alike = lambda x, y: len(x & y) >= 0.8 * len(x | y)
+    want = {(a, b) for a in range(n) for b in range(n) if not other[a] and other[b] and cell[a] == cell[b] and alike(shingles(lines[a]), shingles(lines[b]))}
+    assert found == want and len(want) > 300
+
+
+def test_a_bucket_of_many_components_loses_no_link(spark, docs):
+    # lines of one template that differ enough to be no copies of each other, with a near copy for each: all share many bands
+    rnd = random.Random(13)
+    head = "the common beginning of each of these lines is just as long as what follows it here and "
+    rows = []
+    for i in range(400):
+        tail = "".join(rnd.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(80))
+        rows += [(2 * i, head + tail), (2 * i + 1, head + tail[:-1] + "7")]
+    removed = {r.doc_id: [x.as_doc for x in r.removed] for r in dedup_lines(docs(*rows).repartition(5)).collect()}
+    assert sum(removed[2 * i + 1] == [2 * i] for i in range(400)) >= 396
+    assert not any(removed[2 * i] for i in range(400))
+
+
+def test_columns_that_clash_come_back(spark):
+    names = ["doc_id", "text", "_version", "version", "key", "row", "gone", "of_doc", "of", "id", "removed"]
+    df = spark.createDataFrame([(i, "same line\nline of its own", *(f"{n}{i}" for n in names[2:])) for i in range(3)], "doc_id long, text string, " + ", ".join(f"{n} string" for n in names[2:]))
+    out = dedup_lines(df)
+    assert out.columns == [*names, "n_lines"]
+    got = {r.doc_id: r for r in out.collect()}
+    assert all(got[i][n] == f"{n}{i}" for i in range(3) for n in names[2:-1])
+    assert [len(got[i].removed) for i in range(3)] == [0, 2, 2]

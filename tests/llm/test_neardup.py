@@ -6,7 +6,7 @@ from cardloom.llm.simhash import fingerprint
 
 
 def jaccard(x, y):
-    x, y = (Texts(5).shingles(Texts(5).units(t)[0][1]) for t in (x, y))
+    x, y = (Texts(5).shingles(" ".join(t.lower().split())) for t in (x, y))
     return len(x & y) / len(x | y)
 
 

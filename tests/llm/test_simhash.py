@@ -2,7 +2,9 @@ import random
 
 import xxhash
 
-from cardloom.llm.simhash import fingerprint, fingerprint_links, near_dedup, simhash_components
+from cardloom.llm.common import table
+from cardloom.llm.queries import QUERIES
+from cardloom.llm.simhash import LEAST_LISTS, QUADRUPLES, fingerprint, fingerprint_links, near_dedup, postings, simhash_components, tallied_pairs
 
 
 def test_fingerprint_bit_by_bit():
@@ -66,3 +68,41 @@ def test_edges(docs):
     assert kept.columns == docs(*rows).columns
     assert sorted(str(r.doc_id) for r in kept.collect()) == ["20", "3", "7", "None"]
     assert simhash_components(docs(*rows).where("doc_id > 99")).collect() == []
+
+
+def test_the_tally_counts_six_shared_bytes_exactly(spark):
+    assert len(QUADRUPLES) == 14
+    rnd = random.Random(3)
+    fps = [rnd.getrandbits(63)]
+    for n in range(1, 6):
+        for _ in range(6):
+            x = fps[0]
+            for k in rnd.sample(range(8), n):
+                x ^= rnd.randrange(1, 128) << 8 * k
+            fps.append(x)
+    got = {(r.a, r.b): r.lists for r in tallied_pairs(postings(spark.createDataFrame([(f,) for f in set(fps)], "fp long")).select("key", "fp")).collect()}
+    shared = lambda a, b: sum((a ^ b) >> 8 * k & 255 == 0 for k in range(8))
+    for a in set(fps):
+        for b in set(fps):
+            if a < b:
+                assert (got.get((a, b), 0) >= LEAST_LISTS) == (shared(a, b) >= 6)
+                assert got.get((a, b), 0) in {8: {14}, 7: {7}, 6: {3}, 5: {1}}.get(shared(a, b), {0, 1})
+
+
+def test_query_equals_every_pair_of_documents(spark):
+    sf = "/root/testdata/sf0.001"
+    texts = {r.doc_id: r.text for r in table(spark, sf, "documents").collect()}
+    fp = {i: fingerprint((t or "").encode()) % (1 << 64) for i, t in texts.items()}
+    of = groups(set(fp.values()))
+    low = {}
+    for i in sorted(texts):
+        low.setdefault(of[fp[i]], i)
+    got = {r.doc_id: (r.fingerprint, r.component_id) for r in QUERIES["op7_simhash"](spark, sf).collect()}
+    assert got == {i: (f"{fp[i]:016x}", low[of[fp[i]]]) for i in texts}
+
+
+def test_columns_that_clash_come_back(spark):
+    names = ["doc_id", "text", "_version", "version", "row", "of_doc", "of", "stays", "fp", "component_id"]
+    df = spark.createDataFrame([(i, "a few words of text", *(f"{n}{i}" for n in names[2:])) for i in (4, 2)], "doc_id long, text string, " + ", ".join(f"{n} string" for n in names[2:]))
+    assert [tuple(r) for r in near_dedup(df).collect()] == [(2, "a few words of text", *(f"{n}2" for n in names[2:]))]
+    assert near_dedup(df).columns == names
