@@ -162,16 +162,15 @@ def lowest(df: DataFrame, by: list[str], order: list[Column], n: int, salts: int
 
 _BLANK = np.zeros(256, bool)
 _BLANK[[9, 10, 11, 12, 13, 32]] = True
-_BASE = 0x9E3779B97F4A7C15
-_INVERSE = pow(_BASE, -1, 1 << 64)
 _POWERS: dict[str, np.ndarray] = {}
 
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """The first n powers of an odd base and of its inverse, modulo 2**64."""
+    base = 0x9E3779B97F4A7C15
     if "p" not in _POWERS or len(_POWERS["p"]) < n:
-        for k, base in (("p", _BASE), ("q", _INVERSE)):
-            out = np.full(max(n, 1 << 20), base, np.uint64)
+        for k, x in (("p", base), ("q", pow(base, -1, 1 << 64))):
+            out = np.full(max(n, 1 << 20), x, np.uint64)
             out[0] = 1
             _POWERS[k] = np.cumprod(out, dtype=np.uint64)
     return _POWERS["p"][:n], _POWERS["q"][:n]
@@ -232,13 +231,38 @@ def word_bounds(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     return starts, np.flatnonzero(solid & ~after) + 1, np.searchsorted(starts, offsets)
 
 
-def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, piece: int = 1 << 20) -> np.ndarray:
-    """A 64-bit hash of each word; works through the bytes a piece at a time, so memory stays bounded."""
+_WORD_TABLE = 1024
+
+
+def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, piece: int = 1 << 16) -> np.ndarray:
+    """A 64-bit hash of each word; works through the bytes a piece at a time, so memory stays bounded.
+
+    Each byte at each place of a word adds a random number of its own, so no arithmetic pattern of bytes cancels out.
+    """
+    if "words" not in _POWERS:
+        _POWERS["words"] = np.random.default_rng(20).integers(0, 1 << 64, _WORD_TABLE * 256, np.uint64, endpoint=False)
+    numbers = _POWERS["words"]
+    length = ends - starts
     out = np.empty(len(starts), np.uint64)
     i = 0
     while i < len(starts):
         j = max(i + 1, int(np.searchsorted(ends, starts[i] + piece, "right")))
-        lo, hi = int(starts[i]), int(ends[j - 1])
-        out[i:j] = runs_hash(data[lo:hi].astype(np.uint64) + np.uint64(1), starts[i:j] - lo, ends[i:j] - lo)
+        n = length[i:j]
+        before = np.cumsum(n) - n
+        at = np.arange(int(n.sum())) - np.repeat(before, n)
+        found = numbers[(at & (_WORD_TABLE - 1)) << 8 | data[at + np.repeat(starts[i:j], n)]]
+        if n.max() > _WORD_TABLE:
+            found *= mix((at // _WORD_TABLE).astype(np.uint64), 5) | np.uint64(1)
+        out[i:j] = np.add.reduceat(found, before)
         i = j
-    return mix(out ^ (ends - starts).astype(np.uint64) * np.uint64(0xA0761D6478BD642F))
+    return mix(out ^ length.astype(np.uint64) * np.uint64(0xA0761D6478BD642F))
+
+
+def run_hashes(h: np.ndarray, width: int, salt: int) -> np.ndarray:
+    """A hash of each `width` consecutive values: two runs side by side are mixed into one of twice the width, which overlap in the last step where width is no power of two."""
+    g, have = mix(h, salt), 1
+    while have < width:
+        step = min(have, width - have)
+        g = mix(g[:-step] * np.uint64(0xD6E8FEB86659FD93) + g[step:], have)
+        have += step
+    return g
