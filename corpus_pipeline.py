@@ -15,7 +15,7 @@ from cardloom.llm.common import cut, held_out, table
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the nearest labelled examples don't call toxic."""
     labels = table(spark, sf_dir, "labels").where(~held_out(F.col("doc_id")))
-    return toxicity.score_toxicity(docs, docs, labels, keep_text=True).where("predicted = 0").select(*docs.columns)
+    return toxicity.clean(docs, docs, labels)
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,6 +1,8 @@
 """Toxicity and language: exactness of the search, edges, and accuracy on held-out rows."""
 
 import random
+import re
+from collections import Counter
 
 import numpy as np
 from pyspark.sql import functions as F
@@ -12,23 +14,54 @@ from cardloom.llm.queries import QUERIES
 SF = "/root/testdata/sf0.01"
 
 
-def test_block_max_search_is_exact():
+def plain_terms(text):
+    words = re.findall(r"[^\W\d_]+", text.lower())
+    return Counter(words + [w[:5] + "*" for w in words if len(w) > 5])
+
+
+def test_terms_are_letter_runs_and_beginnings():
+    for text in ("A cat, the CAT; concatenated concat 12x3 x_y", "", "12 -", "Ünïcode ÜNÏCODE 日本語の文章です ß", "a" * 3000):
+        f, n = toxicity.term_counts(text)
+        assert sorted(n.tolist()) == sorted(plain_terms(text).values())
+    assert set(toxicity.term_counts("abcdef")[0]) & set(toxicity.term_counts("abcdexyz")[0])
+    assert not set(toxicity.term_counts("abcde")[0]) & set(toxicity.term_counts("abcdef")[0])
+
+
+def test_block_max_search_equals_cosines_of_whole_texts():
     rnd = random.Random(2)
-    terms = [f"t{i}" for i in range(30)]
-    idf = {t: 1 + rnd.random() * 5 for t in terms}
-    examples = [(i, i % 2, {t: rnd.randint(1, 4) for t in rnd.sample(terms, rnd.randint(1, 6))}) for i in range(700)]
-    index = toxicity.Index(idf, examples)
-    dense = np.zeros((700, 30))
-    for f, (at, w) in enumerate(zip(index.at, index.weight, strict=True)):
-        dense[at, f] = w
-    for limit in (0, 1 << 23):
-        toxicity.DENSE_CELLS = limit
-        for _ in range(40):
-            counts = {t: rnd.randint(1, 4) for t in rnd.sample(terms, rnd.randint(1, 6))}
-            f, w = index.vector(counts)
-            cosines = dense[:, f] @ w
-            found, score = index.nearest(counts, 15)
-            assert np.allclose(score, np.sort(cosines)[::-1][: len(score)]) and len(found) == min(15, (cosines > 0).sum())
+    words = ["".join(rnd.choice("abcdefgh") for _ in range(rnd.randint(2, 9))) for _ in range(300)]
+    texts = [" ".join(rnd.choices(words, k=rnd.randint(1, 40))) for _ in range(700)]
+    known = sorted({t for x in texts for t in plain_terms(x)})
+    of = lambda t: set(toxicity.term_counts(t)[0].tolist())
+    code = {t: (of(t[:-1] + "q") & of(t[:-1] + "w")).pop() for t in known if t[-1] == "*"}
+    code |= {t: (of(t) - {code.get(t[:5] + "*")}).pop() for t in known if t[-1] != "*"}
+    weight = {t: rnd.random() + 0.05 for t in known}
+    order = sorted(known, key=code.get)
+    space = toxicity.Space(np.array([code[t] for t in order], np.int64), np.array([*(weight[t] for t in order), 0.5]))
+
+    def dense(text):
+        counts = plain_terms(text)
+        w = {t: (1 + np.log(n)) * weight.get(t, 0.5) for t, n in counts.items()}
+        length = np.sqrt(sum(x * x for x in w.values()))
+        return np.array([w.get(t, 0) / length for t in known])
+
+    index = toxicity.Index(len(known), [(i, i % 2, *space.vector(*toxicity.term_counts(x))) for i, x in enumerate(texts)])
+    assert len(index.matrix) and len(index.at)
+    matrix = np.array([dense(texts[i]) for i in index.ids])
+    for _ in range(60):
+        text = " ".join(rnd.choices(words, k=rnd.randint(1, 30)) + ["never", "seen before"] * rnd.randint(0, 1))
+        cosines = matrix @ dense(text)
+        found, score = index.nearest([space.vector(*toxicity.term_counts(text))], 15)[0]
+        assert np.allclose(score, np.sort(cosines)[::-1][: len(score)]) and np.allclose(cosines[found], score)
+        assert len(found) == min(15, (cosines > 1e-15).sum())
+
+
+def test_all_terms_count_in_a_cosine(docs, spark):
+    long = "vile " + " ".join(f"word{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}{chr(97 + i // 676)}" for i in range(5000))
+    rows = [(i, "a vile thing" if i % 2 else "a fine thing") for i in range(40)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, toxic int")
+    near = toxicity.score_toxicity(docs((1, long)), docs(*rows), labels).first().evidence
+    assert near and near[0].cosine < 0.7
 
 
 def test_toxicity_edges(spark, docs):
@@ -42,8 +75,12 @@ def test_toxicity_edges(spark, docs):
     assert (502, 1) in got and (None, 0) in got and 0 <= min(got.values()) <= max(got.values()) <= 1
     assert all((i, int(i % 3 == 0)) in got for i in range(150))
     assert got[500, 0] == got[501, 0]
+    clash = asked.where("doc_id = 502").withColumns({"score": F.lit("x"), "row": F.lit("y"), "toxic": F.lit("z"), "f": F.lit("w")})
+    out = toxicity.score_toxicity(clash, docs(*rows), labels)
+    assert out.columns == [*clash.columns, "predicted", "evidence"] and [(r.predicted, r.row, r.toxic, r.f) for r in out.collect()] == [(1, "y", "z", "w")] * 2
+    assert toxicity.clean(clash, docs(*rows), labels).columns == clash.columns
     one = labels.where("toxic = 0")
-    assert {r.score for r in toxicity.score_toxicity(asked.select("doc_id", "text"), docs(*rows), one).collect()} == {0.0}
+    assert {r.score for r in toxicity.score_toxicity(asked, docs(*rows), one).collect()} == {0.0}
     assert toxicity.score_toxicity(asked.select("doc_id", "text").where("doc_id > 900"), docs(*rows), labels).collect() == []
 
 
