@@ -5,7 +5,7 @@ how many each holds. n-grams are kept in a table of `bits` hashed places, so a t
 Landmarks are texts of the training sample, as many of each language; the Nystroem map turns kernel rows into features, on
 which ridge regression of each language against the rest has a closed form. A text's language is the one with the largest margin.
 
-The fit reads a bounded sample: at most `per_language` texts of each of at most `languages` languages, those with the smallest hash of their id. All texts are scored whole.
+The fit reads a bounded sample of every language that has a text: at most `per_language` texts of each, and MOST_TEXTS in all as long as no more languages are there, those with the smallest hash of their id. All texts are scored whole.
 """
 
 from __future__ import annotations
@@ -17,12 +17,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardloom.llm.common import held_out, lowest, mix, table
+from cardloom.llm.common import held_out, lowest, mix, table, unpacked
 
 BITS = 1 << 14
 PER_LANGUAGE = 400
 LANDMARKS_PER_LANGUAGE = 40
-LANGUAGES = 256
+#: With many languages each has fewer texts and landmarks, one at least, so that these are all there are.
+MOST_TEXTS = 6400
+MOST_LANDMARKS = 1024
 RIDGE = 1e-3
 UNDETERMINED = "und"
 _SLICE = 1 << 19
@@ -54,7 +56,7 @@ def has_letter(text: str) -> bool:
 
 
 class Model:
-    """Landmarks, the Nystroem map and the ridge weights; a few MB whatever the corpus."""
+    """Landmarks, the Nystroem map and the ridge weights: with MOST_LANDMARKS landmarks 64 MB of these in `marks` and 8 MB in `root`."""
 
     def __init__(self, rows: np.ndarray, labels: list[str], landmarks: np.ndarray, ridge: float) -> None:
         self.languages = sorted(set(labels))
@@ -72,7 +74,8 @@ class Model:
 
     def kernel(self, rows: np.ndarray) -> np.ndarray:
         norm = np.sqrt(np.maximum(rows.sum(axis=1, dtype=np.int64), 1))
-        return (rows.astype(np.float32) @ self.marks) / norm[:, None] / self.mark_norm
+        common = np.concatenate([rows[lo : lo + 256].astype(np.float32) @ self.marks for lo in range(0, len(rows), 256)])
+        return common / norm[:, None] / self.mark_norm
 
     def predict(self, rows: np.ndarray) -> tuple[list[str], np.ndarray]:
         margin = (self.kernel(rows) @ self.root - self.mean) @ self.weights + self.offset
@@ -81,13 +84,16 @@ class Model:
         return [self.languages[b] for b in best], e[np.arange(len(best)), best] / e.sum(axis=1)
 
 
-def fit(train: DataFrame, bits: int = BITS, per_language: int = PER_LANGUAGE, landmarks: int = LANDMARKS_PER_LANGUAGE, languages: int = LANGUAGES, ridge: float = RIDGE) -> Model | None:
+def fit(train: DataFrame, bits: int = BITS, per_language: int = PER_LANGUAGE, landmarks: int = LANDMARKS_PER_LANGUAGE, ridge: float = RIDGE) -> Model | None:
     """A model from train(doc_id, text, lang); None if no row has a text with a letter and a language."""
     spark = train.sparkSession
     known = train.where("text is not null and lang is not null")
-    largest = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(languages).select("lang")
+    languages = known.select("lang").distinct().count()
+    if not languages:
+        return None
+    per_language, landmarks = max(1, min(per_language, MOST_TEXTS // languages)), max(1, min(landmarks, MOST_LANDMARKS // languages))
     key = F.xxhash64("doc_id", "text")
-    chosen = lowest(known.join(largest, "lang").select("lang", F.col("doc_id"), key.alias("key")), ["lang"], [F.col("key"), F.col("doc_id")], per_language)
+    chosen = lowest(known.where(F.col("text").rlike(r"\p{L}")).select("lang", F.col("doc_id"), key.alias("key")), ["lang"], [F.col("key"), F.col("doc_id")], per_language)
     picked = known.withColumn("key", key).join(F.broadcast(chosen.select("key").distinct()), "key", "left_semi")
 
     def bits_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -97,7 +103,7 @@ def fit(train: DataFrame, bits: int = BITS, per_language: int = PER_LANGUAGE, la
                     row = np.packbits(presence([text.as_py()], bits)[0]).tobytes()
                     yield pa.RecordBatch.from_arrays([pa.array([lang.as_py()], pa.string()), pa.array([key.as_py()], pa.int64()), pa.array([row], pa.binary())], ["lang", "key", "row"])
 
-    # at most languages * per_language rows of bits / 8 bytes
+    # at most MOST_TEXTS rows of bits / 8 bytes, or one for each language
     found = sorted({(r.lang, r.key, bytes(r.row)) for r in picked.select("lang", "text", "key").mapInArrow(bits_of, "lang string, key long, row binary").collect()})
     if not found:
         return None
@@ -112,14 +118,16 @@ def fit(train: DataFrame, bits: int = BITS, per_language: int = PER_LANGUAGE, la
 
 
 def identify(documents: DataFrame, train: DataFrame, bits: int = BITS, batch_rows: int = 128) -> DataFrame:
-    """Adds lang_pred and score to documents(doc_id, text, ...), learning from train(doc_id, text, lang).
+    """Replaces text by lang_pred and score in documents(doc_id, text, ...), learning from train(doc_id, text, lang); columns of these names are replaced, all others stay.
 
-    Null texts and texts without a letter are "und" with score 0, and so is every text if there is nothing to learn from. Ties of the margin go to the first language
+    Null texts and texts without a letter are "und" with score 0, and so is every text if there is nothing to learn from. Texts of any length are scored whole. Ties of the margin go to the first language
     by name. Repeated rows get equal results. A table without rows gives none. Rows of train without text or language teach nothing; a
     null doc_id is an id like any other.
     """
     model = fit(train, bits)
     shared = documents.sparkSession.sparkContext.broadcast(model)
+    names = [n for n in documents.columns if n != "text"]
+    rows = documents.select(F.struct(*[F.col(f"`{n}`") for n in names]).alias("row"), "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
@@ -128,18 +136,18 @@ def identify(documents: DataFrame, train: DataFrame, bits: int = BITS, batch_row
                 part = batch.slice(lo, batch_rows)
                 texts = [x.as_py() or "" for x in part.column("text")]
                 sure = [i for i, x in enumerate(texts) if model and has_letter(x)]
-                names, scores = [UNDETERMINED] * len(texts), [0.0] * len(texts)
+                found, scores = [UNDETERMINED] * len(texts), [0.0] * len(texts)
                 if sure:
                     for i, name, score in zip(sure, *model.predict(presence([texts[i] for i in sure], bits)), strict=True):
-                        names[i], scores[i] = name, float(score)
-                kept = [part.column(i) for i in range(part.num_columns) if part.schema.names[i] != "text"]
-                yield pa.RecordBatch.from_arrays([*kept, pa.array(names, pa.string()), pa.array(scores, pa.float64())], [*(n for n in part.schema.names if n != "text"), "lang_pred", "score"])
+                        found[i], scores[i] = name, float(score)
+                yield pa.RecordBatch.from_arrays([part.column("row"), pa.array(found, pa.string()), pa.array(scores, pa.float64())], ["row", "lang_pred", "score"])
 
-    kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in documents.schema if f.name != "text")
-    return documents.mapInArrow(run, f"{kept}, lang_pred string, score double")
+    out = rows.mapInArrow(run, f"row {rows.schema['row'].dataType.simpleString()}, lang_pred string, score double")
+    return unpacked(out, names, lang_pred=F.col("lang_pred"), score=F.col("score"))
 
 
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document, learnt from those that are not held out; edge cases as in identify."""
     docs = table(spark, sf_dir, "documents")
     held = held_out(F.col("doc_id"))
     train = docs.where(~held).select("doc_id", "text", "lang")

@@ -367,14 +367,15 @@ _REMOVED = "array<struct<line:int,as_doc:bigint,as_line:int>>"
 def _cleaned(documents: DataFrame, least: float, bands: int, rows: int, shingle: int) -> tuple[DataFrame, dict]:
     """Packed rows of documents, and as columns over them the text that stays, its number of lines and what went."""
     version = F.coalesce(F.xxhash64("text"), F.lit(0).cast("long"))
-    docs = packed(documents, doc_id=F.col("doc_id").cast("long"), version=version, text=F.col("text"))
-    again = line_components(docs.drop("row"), least, bands, rows, Lines(shingle))
+    docs = packed(documents, doc_id=F.col("doc_id").cast("long"), version=version)
+    again = line_components(documents.select(F.col("doc_id").cast("long").alias("doc_id"), version.alias("version"), "text"), least, bands, rows, Lines(shingle))
     gone = again.groupBy(F.col("doc_id").alias("of_doc"), F.col("version").alias("of")).agg(F.sort_array(F.collect_set(F.struct("line", "as_doc", "as_line"))).alias("gone"))
     out = docs.join(gone, F.col("doc_id").eqNullSafe(F.col("of_doc")) & (F.col("version") == F.col("of")), "left")
-    parts = F.split("text", "\n")
+    whole = F.col("row").getField("text")
+    parts = F.split(whole, "\n")
     keep = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), F.col("gone.line"))
-    text = F.when(F.col("gone").isNull(), F.col("text")).otherwise(F.array_join(F.transform(keep, lambda i: F.get(parts, i)), "\n"))
-    n_lines = F.coalesce(F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D][^\n]*")), F.lit(0))  # each match runs from a line's first sign to its end
+    text = F.when(F.col("gone").isNull(), whole).otherwise(F.array_join(F.transform(keep, lambda i: F.get(parts, i)), "\n"))
+    n_lines = F.coalesce(F.regexp_count(whole, F.lit(r"[^\x20\x09-\x0D][^\n]*")), F.lit(0))  # each match runs from a line's first sign to its end
     return out, {"text": text, "n_lines": n_lines.cast("long"), "removed": F.coalesce("gone", F.array().cast(_REMOVED))}
 
 

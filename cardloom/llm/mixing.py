@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from cardloom.llm.common import WORD, cut, table
+from cardloom.llm.common import WORD, cut, packed, table, unpacked
 
 BUCKET = 64
 SHARE = 1.5
@@ -132,12 +132,14 @@ def mix_sources(documents: DataFrame, share: float = SHARE, most: float = MOST_C
 
 
 def mixed(documents: DataFrame, share: float = SHARE, most: float = MOST_COPIES, weights: tuple[int, ...] = WEIGHTS) -> DataFrame:
-    """The mix itself: each row of documents as often as the mix takes it."""
-    found = mix_decisions(documents, share, most, weights).where("copies > 0").select(F.col("source").alias("_source"), F.col("doc_id").alias("_doc"), F.col("version").alias("_of"), "copies")
-    same = F.col("doc_id").eqNullSafe(F.col("_doc")) & F.xxhash64("text").eqNullSafe(F.col("_of")) & F.col("source").eqNullSafe(F.col("_source"))
-    rows = documents.join(found.withColumnRenamed("copies", "_copies"), same).withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies"))))
-    return rows.select(*[F.col(f"`{c}`") for c in documents.columns])
+    """The mix itself: each row of documents as often as the mix takes it, with all its columns, whatever they are called; edge cases as in mix_decisions."""
+    found = mix_decisions(documents, share, most, weights).where("copies > 0").select(F.col("source").alias("of_source"), F.col("doc_id").alias("of_doc"), F.col("version").alias("of"), "copies")
+    docs = packed(documents, doc_id=F.col("doc_id").cast("long"), version=F.xxhash64("text"), source=F.col("source"))
+    same = F.col("doc_id").eqNullSafe(F.col("of_doc")) & F.col("version").eqNullSafe(F.col("of")) & F.col("source").eqNullSafe(F.col("of_source"))
+    rows = docs.join(found, same).select("row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
+    return unpacked(rows, documents.columns)
 
 
 def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How much the mix takes of every document; edge cases as in mix_decisions."""
     return mix_sources(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")

@@ -93,10 +93,11 @@ def best_of_block(q_ids: np.ndarray, q: np.ndarray, ids: np.ndarray, x: np.ndarr
             guess[r, own] = -np.inf
             floor = np.sort(x[np.argpartition(guess[r], len(ids) - look)[len(ids) - look :]] @ query)[::-1]
             floor = floor[k] if len(floor) > k else -np.inf  # one lower than the k-th: the query's own vector may be among them
-            near = np.flatnonzero((guess[r] + error[r] >= floor - 1e-9) & ~own)
+            slack = 1e-9 * (abs(floor) if np.isfinite(floor) else 0)
+            near = np.flatnonzero((guess[r] + error[r] >= floor - slack) & ~own)
             if len(near) > k:
                 close = x[near] @ query
-                near = near[close >= np.partition(close, len(near) - k)[len(near) - k] - 1e-9]
+                near = near[close >= np.partition(close, len(near) - k)[len(near) - k] - 1e-9 * np.abs(close).max()]
             score = inner_products(np.broadcast_to(query, (len(near), len(query))), x[near])
             best = np.lexsort((ids[near], -score))[:k]
             found.append((np.full(len(best), q_ids[lo + r]), ids[near][best], score[best]))
@@ -156,6 +157,7 @@ def nearest(vectors: DataFrame, queries: Column, k: int = K, vector_block: int =
 
 
 def op2_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest of all vectors for every vector whose vec_id is divisible by 20; edge cases as in nearest."""
     return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
 
 

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardloom.llm.common import cut, table
+from cardloom.llm.common import cut, table, unpacked
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 CHUNK = 1 << 15
@@ -223,16 +223,17 @@ def _pieces(proto: bytes) -> Pieces:
 
 
 def encode(documents: DataFrame, model: str = MODEL, chunk: int = CHUNK) -> DataFrame:
-    """Replaces text by ids array<int>, the model's encoding of the whole text; other columns stay.
+    """Replaces text by ids array<int>, the model's encoding of the whole text; other columns stay, whatever they are called, but for one called ids, which is replaced too.
 
     model: a byte-pair SentencePiece model's path on the driver; its bytes are sent to the executors. A null text has null ids, an empty one none. Repeated rows
-    get equal ids each. A table without rows gives none. Nothing is keyed by doc_id, so null ids and clashing names do no harm.
+    get equal ids each. A table without rows gives none. Nothing is keyed by doc_id, so null ids do no harm. Giant texts are known by a 256-bit digest.
     """
     spark = documents.sparkSession
     with open(model, "rb") as f:
         proto = spark.sparkContext.broadcast(f.read())
-    kept = [f for f in documents.schema if f.name != "text"]
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept)
+    names = [n for n in documents.columns if n not in ("text", "ids")]
+    rows = documents.select(F.struct(*[F.col(f"`{n}`") for n in names] or [F.lit(0)]).alias("row"), "text")
+    fields = f"row {rows.schema['row'].dataType.simpleString()}"
     giant = F.coalesce(F.char_length("text") >= 2 * chunk, F.lit(False))
 
     def small(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -241,8 +242,7 @@ def encode(documents: DataFrame, model: str = MODEL, chunk: int = CHUNK) -> Data
             for lo in range(0, batch.num_rows, 512):
                 part = batch.slice(lo, 512)
                 ids = [None if x is None else pieces.encode(x) for x in part.column("text").to_pylist()]
-                names = [n for n in part.schema.names if n != "text"]
-                yield pa.RecordBatch.from_arrays([*(part.column(n) for n in names), lists(ids)], [*names, "ids"])
+                yield pa.RecordBatch.from_arrays([part.column("row"), lists(ids)], ["row", "ids"])
 
     def lists(ids: list[np.ndarray | None]) -> pa.Array:
         offsets = np.r_[0, np.cumsum([0 if x is None else len(x) for x in ids])].astype(np.int32)
@@ -258,7 +258,7 @@ def encode(documents: DataFrame, model: str = MODEL, chunk: int = CHUNK) -> Data
                 for n in range(last + 1):
                     a, b = n * chunk, len(normal) if n == last else (n + 1) * chunk
                     row = [key.as_py(), n, n == last, normal[max(0, a - reach) : a], normal[a:b], normal[b : b + reach]]
-                    yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, (pa.int64(), pa.int32(), pa.bool_(), *[pa.string()] * 3), strict=True)], ["_key", "n", "last", "left", "body", "right"])
+                    yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, (pa.string(), pa.int32(), pa.bool_(), *[pa.string()] * 3), strict=True)], ["_key", "n", "last", "left", "body", "right"])
 
     def matrices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = _pieces(proto.value)
@@ -274,7 +274,7 @@ def encode(documents: DataFrame, model: str = MODEL, chunk: int = CHUNK) -> Data
                 ms = [np.where(np.unpackbits(np.frombuffer(r["live"], np.uint8), count=r["width"] * r["height"]).reshape(r["height"], r["width"]), 0.0, NEVER) for r in rows]
                 at = chosen_states(ms)
                 n = len(ms)
-                yield pa.RecordBatch.from_arrays([pa.array([key] * n, pa.int64()), pa.array(range(n), pa.int32()), pa.array([0, *at], pa.int32()), pa.array([*at, 0], pa.int32())], ["_key", "n", "entry", "leave"])
+                yield pa.RecordBatch.from_arrays([pa.array([key] * n, pa.string()), pa.array(range(n), pa.int32()), pa.array([0, *at], pa.int32()), pa.array([*at, 0], pa.int32())], ["_key", "n", "entry", "leave"])
 
     def trace(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = _pieces(proto.value)
@@ -282,15 +282,15 @@ def encode(documents: DataFrame, model: str = MODEL, chunk: int = CHUNK) -> Data
             found = [pieces.traced(r["left"], r["body"], r["right"], r["n"] == 0, r["last"], r["entry"], r["leave"]) for r in batch.to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("_key"), batch.column("n"), lists(found)], ["_key", "n", "ids"])
 
-    plain = documents.where(~giant).mapInArrow(small, (fields + ", " if fields else "") + "ids array<int>")
-    large = documents.where(giant).withColumn("_key", F.xxhash64("text"))
-    parts = cut(large.select("_key", "text").dropDuplicates(["_key"]).mapInArrow(chunks, "_key long, n int, last boolean, left string, body string, right string").repartition("_key", "n"), "chunks")
-    live = parts.mapInArrow(matrices, "_key long, n int, width int, live binary, height int")
+    plain = rows.where(~giant).mapInArrow(small, fields + ", ids array<int>")
+    large = rows.where(giant).withColumn("_key", F.sha2(F.col("text").cast("binary"), 256))
+    parts = cut(large.select("_key", "text").dropDuplicates(["_key"]).mapInArrow(chunks, "_key string, n int, last boolean, left string, body string, right string").repartition("_key", "n"), "chunks")
+    live = parts.mapInArrow(matrices, "_key string, n int, width int, live binary, height int")
     live = live.groupBy("_key").agg(F.sort_array(F.collect_list(F.struct("n", "width", "live", "height"))).alias("m"))
-    ends = live.mapInArrow(choose, "_key long, n int, entry int, leave int")
-    traced = parts.join(ends, ["_key", "n"]).mapInArrow(trace, "_key long, n int, ids array<int>")
+    ends = live.mapInArrow(choose, "_key string, n int, entry int, leave int")
+    traced = parts.join(ends, ["_key", "n"]).mapInArrow(trace, "_key string, n int, ids array<int>")
     joined = traced.groupBy("_key").agg(F.flatten(F.transform(F.sort_array(F.collect_list(F.struct("n", "ids"))), lambda x: x["ids"])).alias("ids"))
-    return plain.unionByName(large.drop("text").join(joined, "_key").select(*[F.col(f"`{f.name}`") for f in kept], "ids"))
+    return unpacked(plain.unionByName(large.join(joined, "_key").select("row", "ids")), names, ids=F.col("ids"))
 
 
 def decode(encoded: DataFrame, model: str = MODEL) -> DataFrame:
@@ -313,7 +313,7 @@ def decode(encoded: DataFrame, model: str = MODEL) -> DataFrame:
 
 
 def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per document: n_tokens, ids_hash (XXH64 over the ids) and whether decoding gives the text back."""
+    """Of every document, edge cases as in encode: n_tokens, ids_hash (XXH64 over the ids) and whether decoding gives the text back."""
     docs = table(spark, sf_dir, "documents").select("doc_id", F.md5(F.translate("text", SPACE, " ").cast("binary")).alias("text_md5"), "text")
     encoded = encode(docs).withColumns({"n_tokens": F.size("ids").cast("long"), "ids_hash": F.xxhash64("ids")})
     back = decode(encoded)

@@ -63,7 +63,7 @@ def repeated_window_words(words: Column, grams: Column) -> Column:
 
 
 def measured(documents: DataFrame, max_lost_percent: int = MAX_LOST_PERCENT) -> DataFrame:
-    """documents with n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_lost_words, base_failed and kept in a struct `q`."""
+    """doc_id and text of documents with n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_lost_words, base_failed and kept in a struct `q`."""
     text, words = F.col("text"), F.col("_words")
     n_grams = F.size(words) - 2
     grams = F.when(
@@ -71,7 +71,7 @@ def measured(documents: DataFrame, max_lost_percent: int = MAX_LOST_PERCENT) ->
         F.sort_array(F.transform(F.sequence(F.lit(0), n_grams - 1), lambda i: F.struct(F.xxhash64(F.get(words, i), F.get(words, i + 1), F.get(words, i + 2)).alias("h"), i.alias("p")))),
     ).otherwise(F.array().cast("array<struct<h:bigint,p:int>>"))
     solid = F.filter(F.split(F.coalesce(text, F.lit("")), "\n"), lambda x: _count(x, WORD) > 0)
-    df = documents.withColumn("_words", words_of(text)).withColumns({"_grams": grams, "_lines": solid})
+    df = documents.select("doc_id", "text", words_of(text).alias("_words")).withColumns({"_grams": grams, "_lines": solid})
     df = df.withColumns({
         "_n": F.size("_words").cast("long"),
         "_repeats": repeated_window_words(words, F.col("_grams")),
@@ -88,7 +88,7 @@ def measured(documents: DataFrame, max_lost_percent: int = MAX_LOST_PERCENT) ->
         failed.alias("base_failed"),
         (~failed & (100 * F.col("_lost") <= max_lost_percent * F.col("_n"))).alias("kept"),
     )
-    return df.select(*[F.col(f"`{c}`") for c in documents.columns], q.alias("q"))
+    return df.select("doc_id", "text", q.alias("q"))
 
 
 def clean_lines(text: Column) -> Column:
@@ -102,11 +102,12 @@ def line_quality(documents: DataFrame, max_lost_percent: int = MAX_LOST_PERCENT)
     Null and empty texts count zero words, fail the base rule and aren't kept; clean_text of null is null. Repeated rows are judged each on
     its own; ties don't arise; a table without rows gives none; a null doc_id stays null; columns beside doc_id and text aren't read.
     """
-    df = measured(documents.select("doc_id", "text"), max_lost_percent)
+    df = measured(documents, max_lost_percent)
     return df.select("doc_id", "q.*", clean_lines(F.col("text")).alias("clean_text"))
 
 
 def op4_quality_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The measures of every document and the verdict on it; edge cases as in line_quality."""
     return line_quality(table(spark, sf_dir, "documents")).drop("clean_text")
 
 

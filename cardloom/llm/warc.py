@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardloom.llm.common import new_folder, table
+from cardloom.llm.common import cut, done_with, new_folder, table
 
 #: Fixed values of the formats.
 ARC_FIELDS = {
@@ -33,7 +33,8 @@ REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-dig
 #: The crawl date and address that pages without any get.
 NO_DATE, NO_IP = "19700101000000", "0.0.0.0"
 ARCHIVE_BYTES = 1 << 20
-RECORDS_PER_FILE = 2048
+#: Bytes of payloads that a WARC file holds about.
+FILE_BYTES = 1 << 26
 MIN_REVISIT_BYTES = 100
 
 RECORD = "page_id long, record_id string, date string, uri string, ip string, http string, payload binary, payload_bytes long, payload_digest string"
@@ -118,16 +119,16 @@ def arc_to_records(archives: DataFrame) -> DataFrame:
 
 
 def with_revisits(records: DataFrame, least_bytes: int = MIN_REVISIT_BYTES) -> DataFrame:
-    """Adds record_type, refers_to (page_id) and refers_to_id (record): of equal payloads of least_bytes or more the smallest page_id is the response."""
-    sized = records.where(F.col("payload_bytes") >= least_bytes)
-    first = sized.groupBy(F.col("payload_digest").alias("_digest")).agg(F.min(F.struct("page_id", "record_id")).alias("_first"), F.count("*").alias("_n")).where("_n > 1")
-    out = records.join(first, (F.col("payload_digest") == F.col("_digest")) & (F.col("payload_bytes") >= least_bytes), "left")
-    again = F.coalesce(F.col("page_id") > F.col("_first.page_id"), F.lit(False))
-    return out.withColumns({
-        "record_type": F.when(again, "revisit").otherwise("response"),
-        "refers_to": F.when(again, F.col("_first.page_id")),
-        "refers_to_id": F.when(again, F.col("_first.record_id")),
-    }).drop("_digest", "_first", "_n")
+    """Adds record_type, refers_to (page_id) and refers_to_id (record): of equal payloads of least_bytes or more the smallest page_id is the response.
+
+    Payloads meet as digests; only which record is a revisit of which is joined to the records, by their own ids, so one common payload is no task of its own.
+    """
+    sized = records.where(F.col("payload_bytes") >= least_bytes).select("payload_digest", "page_id", "record_id")
+    first = sized.groupBy("payload_digest").agg(F.min(F.struct("page_id", "record_id")).alias("first"), F.count("*").alias("n")).where("n > 1").select("payload_digest", "first")
+    first = cut(first, "responses")
+    again = sized.join(first, "payload_digest").where("page_id > first.page_id").select(F.col("page_id").alias("of_page"), F.col("record_id").alias("of_id"), "first").distinct()
+    out = records.join(again, (F.col("page_id") == F.col("of_page")) & (F.col("record_id") == F.col("of_id")), "left")
+    return out.withColumns({"record_type": F.when(F.col("first").isNotNull(), "revisit").otherwise("response"), "refers_to": F.col("first.page_id"), "refers_to_id": F.col("first.record_id")}).drop("of_page", "of_id", "first")
 
 
 def write_warc(records: DataFrame, path: str) -> None:
@@ -150,7 +151,8 @@ def write_warc(records: DataFrame, path: str) -> None:
         line("Content-Length", F.octet_length(block).cast("string")),
     )
     text = records.select(F.concat(header, F.lit(crlf), block).alias("value"))
-    text.write.option("lineSep", crlf * 2).option("compression", "gzip").option("maxRecordsPerFile", RECORDS_PER_FILE).text(path)
+    mean = records.agg(F.avg(F.col("payload_bytes") + 1024)).first()[0] or 1
+    text.write.option("lineSep", crlf * 2).option("compression", "gzip").option("maxRecordsPerFile", max(1, int(FILE_BYTES / mean))).text(path)
 
 
 def parse_warc(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
@@ -211,12 +213,16 @@ def pages_to_warc(pages: DataFrame, path: str, least_bytes: int = MIN_REVISIT_BY
     Null html is an empty payload, a null or empty url the address "-", blanks and control characters in a url are percent-encoded.
     Payloads under least_bytes are always responses. Rows that repeat the smallest page_id of a payload are all responses, as no id is
     smaller. A null page_id is read back as null and is never referred to if the payload has another page. A table without rows gives none. Other columns aren't read.
+    A page's bytes are held whole in one task, and so is a file of about FILE_BYTES when it is read back.
     """
-    write_warc(with_revisits(arc_to_records(write_arc(pages)), least_bytes), path)
+    records = cut(arc_to_records(write_arc(pages)), "records")  # archives are parsed once
+    write_warc(with_revisits(records, least_bytes), path)
+    done_with(records)
     return read_warc(pages.sparkSession, path)
 
 
 def op8_arc_to_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the WARC files of all pages hold when read back; edge cases as in pages_to_warc."""
     found = pages_to_warc(table(spark, sf_dir, "pages"), new_folder(spark, "warc"))
     return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
