@@ -5,27 +5,32 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cardloom.functions import text as T
 
 
 def verify_quotes(quotes: DataFrame, sources: DataFrame) -> DataFrame:
-    """Exact containment of quotes(quote_id, quote) in sources(source_id, text) after normalizing: (quote_id, source_id, start, end).
+    """Exact containment of quotes(quote_id, quote) in sources(source_id, text) after normalizing: (quote_id, source_id, start, end, s).
 
     Offsets are those of the first hit in the normalized source, from 0, end exclusive. Not every quote is tried against every source: a hit
-    holds each inner word of the quote as a word of its own, so the two meet on the quote's longest inner word; only quotes of two words or fewer are tried everywhere.
+    holds each inner word of the quote as a word of its own, so the two meet on the quote's longest inner word; a quote of two words or fewer meets sources on its first
+    three characters (or all, if fewer). Only ids and words go through that join; texts follow for the pairs that met.
     """
     q = quotes.select("quote_id", T.normalized(F.col("quote")).alias("q")).where("q <> ''")
     inner = F.slice(F.split("q", " "), 2, F.greatest(F.size(F.split("q", " ")) - 2, F.lit(0)))
     longest = F.array_max(F.transform(inner, lambda w: F.struct(F.length(w).alias("n"), w.alias("w"))))["w"]
     q = q.withColumn("seed", longest)
     s = sources.select("source_id", T.normalized(F.col("text")).alias("s"))
-    worded = s.select("source_id", "s", F.explode(F.array_distinct(F.split("s", " "))).alias("seed"))
-    near = worded.join(q.where("seed is not null"), "seed").select("source_id", "s", "quote_id", "q")
-    short = q.where("seed is null").select("quote_id", "q")
-    near = near.unionByName(s.join(short, F.expr("instr(s, q) > 0")).select("source_id", "s", "quote_id", "q"))
+    seeds = q.where("seed is not null").select("seed", "quote_id")
+    met = [s.select("source_id", F.explode(F.array_distinct(F.split("s", " "))).alias("seed")).join(seeds, "seed").select("source_id", "quote_id")]
+    short = q.where("seed is null").select("quote_id", F.left("q", F.lit(3)).alias("seed"))
+    for n in (1, 2, 3):
+        grams = F.transform(F.sequence(F.lit(1), F.length("s") - n + 1), lambda i, n=n: F.substring(F.col("s"), i, F.lit(n)))
+        rows = s.where(F.length("s") >= n).select("source_id", F.explode(F.array_distinct(grams)).alias("seed"))
+        met.append(rows.join(short.where(F.length("seed") == n), "seed").select("source_id", "quote_id"))
+    near = met[0].unionByName(met[1]).unionByName(met[2]).unionByName(met[3]).join(q.select("quote_id", "q"), "quote_id").join(s, "source_id")
     hit = near.withColumn("start", (F.expr("locate(q, s)") - 1).cast("long")).where("start >= 0")
     return hit.select("quote_id", "source_id", "start", (F.col("start") + F.length("q")).cast("long").alias("end"), "s")
 
@@ -42,20 +47,30 @@ def copied_runs(values: DataFrame, sources: DataFrame, n: int = 12) -> DataFrame
     The first by place in the value, then by source. Both sides meet on a hash of the run, and the run itself is compared. A value without
     such a run is tried by windows of 24 letters and digits, at least 12 of scripts that are written without spaces; its offset counts these signs.
     """
-    # words in a column of their own, so that they are found once and not for each run
     v, s = (_streams(df, key) for df, key in ((values, "value_id"), (sources, "source_id")))
-    first = _first_met(
-        v.select("value_id", F.posexplode(T.shingles(F.col("w"), n)).alias("offset", "run")),
-        s.select("source_id", F.explode(F.array_distinct(T.shingles(F.col("w"), n))).alias("run")),
-    )
-    at = lambda df, key: df.select(key, "c", F.explode("at").alias("offset")).select(key, "offset", F.substring(F.col("c"), F.col("offset") + 1, F.lit(T.COMPACT_WINDOW)).alias("run"))
-    compact = _first_met(at(v, "value_id"), at(s, "source_id").select("source_id", "run").distinct())
+    words = lambda df, key: df.select(key, F.posexplode(_run_hashes(F.col("w"), n)).alias("offset", "h"), "w")
+    run = F.array_join(F.slice(F.col("w"), F.col("offset") + 1, n), " ")
+    first = _first_met(words(v, "value_id").select("value_id", "offset", "h", run.alias("run")), words(s, "source_id").drop("w"), s, run)
+    window = F.substring(F.col("c"), F.col("offset") + 1, F.lit(T.COMPACT_WINDOW))
+    at = lambda df, key: df.select(key, "c", F.explode("at").alias("offset")).select(key, "offset", F.xxhash64(window).alias("h"), window.alias("run"))
+    compact = _first_met(at(v, "value_id"), at(s, "source_id").drop("run"), s, window)
     return first.unionByName(compact.join(first, compact.value_id.eqNullSafe(first.value_id), "left_anti"))
 
 
-def _first_met(v: DataFrame, s: DataFrame) -> DataFrame:
-    met = v.withColumn("h", F.xxhash64("run")).join(s.select("source_id", "run", F.xxhash64("run").alias("h")), ["h", "run"])
-    first = met.groupBy("value_id").agg(F.min(F.struct("offset", "source_id")).alias("m"))
+def _run_hashes(words: Column, n: int) -> Column:
+    """A hash of each run of n words; of the words only their hashes are put together, so no run is built as text."""
+    count = F.size(words) - (n - 1)
+    hashes = F.transform(words, lambda w: F.xxhash64(w))
+    runs = F.transform(F.sequence(F.lit(0), count - 1), lambda i: F.xxhash64(F.slice(hashes, i + 1, n)))
+    return F.when(count > 0, runs).otherwise(F.array().cast("array<bigint>"))
+
+
+def _first_met(v: DataFrame, places: DataFrame, s: DataFrame, run: Column) -> DataFrame:
+    """v(value_id, offset, h, run) against places(source_id, offset, h): a source's hashes meet those of values, the first place of each with its text is compared, and only then counted."""
+    met = places.join(v.select("h").distinct(), "h", "left_semi").groupBy("source_id", "h").agg(F.min("offset").alias("offset"))
+    read = met.join(s, "source_id").select("source_id", "h", run.alias("theirs"))
+    same = v.join(read, "h").where("run = theirs")
+    first = same.groupBy("value_id").agg(F.min(F.struct("offset", "source_id")).alias("m"))
     return first.select("value_id", F.col("m.source_id").alias("source_id"), F.col("m.offset").cast("long").alias("offset"))
 
 

@@ -21,16 +21,20 @@ def structured_facts(sources: DataFrame, rules: dict[str, tuple[Column, Column]]
     return rows.withColumn("at", F.expr("instr(text, needle)") - 1).where("at >= 0").drop("text")
 
 
+# The model types that are decoder-only by name.
+DECODER_TYPES = ("llama", "gpt2", "qwen2", "qwen3")
+
+
 def architecture(config: dict[str, Column]) -> Column:
-    """The kind of a model by its configuration; the first that fits decides."""
+    """The kind of a model by its configuration (model_type, architecture and experts, any key that counts experts); the first that fits decides, null if none does."""
     kind = F.lower(F.coalesce(config["model_type"], F.lit("")))
-    arch = F.coalesce(config["architecture"], F.lit(""))
+    arch = F.lower(F.coalesce(config["architecture"], F.lit("")))
     return (
-        F.when(config["experts"].isNotNull(), "mixture of experts")
-        .when(kind.contains("mamba") | arch.contains("Mamba"), "state space model")
-        .when(arch.endswith("ForCausalLM"), "decoder-only transformer")
-        .when(arch.endswith("ForConditionalGeneration"), "encoder-decoder transformer")
-        .when(arch.contains("Diffusion"), "diffusion model")
+        F.when(F.coalesce(config["experts"].cast("long"), F.lit(0)) != 0, "mixture-of-experts")
+        .when(kind.contains("mamba") | arch.contains("mamba"), "state-space")
+        .when(arch.contains("forcausallm") | kind.isin(*DECODER_TYPES), "dense decoder-only")
+        .when(kind.contains("whisper") | arch.contains("encoderdecoder") | arch.contains("objectdetection"), "encoder-decoder")
+        .when(kind.contains("diffusion") | arch.contains("diffusion"), "diffusion")
     )
 
 

@@ -16,7 +16,14 @@ DEICTIC = (
 POST = r"(?:instruction[- ]tuned|instruct|chat|aligned|post-?trained|fine-?tuned|reasoning)"
 BASE = r"(?:pre-?trained|base|foundation)"
 NOUN = r"(?:text[- ]only\s+)?(?:models?|versions?|variants?|checkpoints?)"
-CREDIT = r"(?i)\b(based on|built on|using|derived from|trained with)\b"
+COORDINATION = r"(?:\s*[,/&+]\s*|\s+(?:and|or|as well as)\s+)"
+# Clauses that credit the technology a model came from.
+CREDIT = (
+    r"(?i)\b(?:built|created|developed|derived|made|trained)\s+(?:from|with|using|on|upon)\s+(?:the\s+)?(?:same\s+)?"
+    r"(?:research|technology|techniques?|methods?|recipe|architecture|codebase|infrastructure)\b"
+    r"|\bthe\s+same\s+(?:research|technology|techniques?|methods?|recipe|architecture|codebase)\b"
+    r"|\b(?:based\s+on|inspired\s+by)\s+the\s+(?:same\s+)?(?:research|technology|approach|recipe|architecture|codebase)\b"
+)
 
 
 def merge_nodes(nodes: DataFrame) -> DataFrame:
@@ -51,8 +58,13 @@ def mentions(records: DataFrame, nodes: DataFrame) -> DataFrame:
 def other_stage(stage: Column, quote: Column) -> Column:
     """True if the sentence is about the other member of the pair, and not about both."""
     said = lambda adjective: quote.rlike(rf"(?i)\b{adjective}\s+{NOUN}\b")
-    both = quote.rlike(rf"(?i)\b({POST}\s+(and|or)\s+{BASE}|{BASE}\s+(and|or)\s+{POST})\b")
-    return F.coalesce(F.when(stage == "base", said(POST)).when(stage == "post", said(BASE)) & ~both, F.lit(False))
+    return F.coalesce(F.when(stage == "base", said(POST)).when(stage == "post", said(BASE)) & ~both_stages(quote), F.lit(False))
+
+
+def both_stages(quote: Column) -> Column:
+    """True if the sentence names the two members of the pair together, each with or without a noun."""
+    joined = lambda a, b: rf"\b{a}(?:\s+{NOUN})?{COORDINATION}{b}\b"
+    return quote.rlike(rf"(?i){joined(BASE, POST)}|{joined(POST, BASE)}")
 
 
 def resolve(records: DataFrame, nodes: DataFrame) -> DataFrame:

@@ -7,14 +7,14 @@ from pyspark.sql import functions as F
 
 # The public fields by section, and the policy sets.
 FIELDS = {
-    "identity": "model_id name developed_by model_type license release_date version summary",
-    "lineage": "base_models model_family derivatives",
-    "specifications": "architecture_type num_parameters context_length precision model_size input_output",
-    "training_context": "training_data training_data_size data_cutoff adaptations",
-    "access_and_adoption": "access_type downloads likes",
-    "evaluation": "results_summary benchmark_scores human_evals safety_evals",
-    "links": "model_card system_card tech_report code_repository citation",
-    "risks": "possible_risks",
+    "identity": ["model_id", "name", "developed_by", "model_type", "license", "release_date", "version", "summary"],
+    "lineage": ["base_models", "model_family", "derivatives"],
+    "specifications": ["architecture_type", "num_parameters", "context_length", "precision", "model_size", "input_output"],
+    "training_context": ["training_data", "training_data_size", "data_cutoff", "adaptations"],
+    "access_and_adoption": ["access_type", "downloads", "likes"],
+    "evaluation": ["results_summary", "benchmark_scores", "human_evals", "safety_evals"],
+    "links": ["model_card", "system_card", "tech_report", "code_repository", "citation"],
+    "risks": ["possible_risks"],
 }
 LISTS = {"lineage.base_models", "lineage.derivatives", "specifications.input_output", "evaluation.benchmark_scores", "risks.possible_risks"}
 SCORES = {"evaluation.benchmark_scores", "evaluation.human_evals", "evaluation.safety_evals"}
@@ -33,9 +33,9 @@ NUMERIC_REFUSED = ("base", "derivative", "sibling_or_comparison", "unknown")
 
 def field_policy(spark: SparkSession) -> DataFrame:
     """(field, section, ordinal, is_list, is_score, is_numeric, is_structured, family_identity, family_allowed): a row for each of the 34 fields."""
-    paths = [(f"{s}.{f}", s) for s, fs in FIELDS.items() for f in fs.split()]
+    paths = [(f"{s}.{f}", s) for s, fs in FIELDS.items() for f in fs]
     rows = [(p, s, n, p in LISTS, p in SCORES, p in NUMERIC, p in STRUCTURED, p in FAMILY_IDENTITY, p in FAMILY_ALLOWED) for n, (p, s) in enumerate(paths)]
-    flags = "is_list is_score is_numeric is_structured family_identity family_allowed".split()
+    flags = ["is_list", "is_score", "is_numeric", "is_structured", "family_identity", "family_allowed"]
     return spark.createDataFrame(rows, "field string, section string, ordinal int, " + ", ".join(f"{x} boolean" for x in flags))
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from cardloom.functions import names as N
 from cardloom.functions import text as T
-from cardloom.operators import audit, evidence, frame, gates, ledger, metrics, sampling, tables, validate
+from cardloom.operators import audit, evidence, facts, frame, gates, ledger, metrics, sampling, tables, validate
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -248,7 +248,7 @@ def _sql_list(names) -> str:
     return ", ".join(f"'{x}'" for x in sorted(names))
 
 
-_PATHS = [f"{s}.{f}" for s, fs in gates.FIELDS.items() for f in fs.split()]
+_PATHS = [f"{s}.{f}" for s, fs in gates.FIELDS.items() for f in fs]
 _GATED = f"""(WITH p AS (SELECT unnest([{", ".join(f"'{x}'" for x in _PATHS)}]) AS field, unnest(range(34)) AS ordinal),
 r AS (SELECT l_orderkey, l_linenumber, field, CASE l_suppkey % 5 WHEN 0 THEN 'exact_target' WHEN 1 THEN 'base' WHEN 2 THEN 'sibling_or_comparison' WHEN 3 THEN 'family' ELSE 'unknown' END AS relation,
   l_quantity = 50 AS other_stage, l_returnflag = 'A' AS roster, l_linenumber > 1 AS has_family, l_tax > 0.06 AS comparison, l_returnflag = 'N' AS base_checkpoint,
@@ -489,11 +489,16 @@ def table_islands(spark, d):
     return tables.blocks(lines).groupBy("doc_id", "block", "first_line").agg(F.count("*").alias("n_lines"))
 
 
-@query("""SELECT p_partkey, CASE WHEN p_type LIKE '%STEEL%' THEN 'mixture of experts' WHEN p_type LIKE '%TIN%' THEN 'state space' WHEN p_type LIKE 'SMALL%' THEN 'causal language model' WHEN p_size > 40 THEN 'encoder-decoder' END AS architecture FROM part""")
+@query("""SELECT p_partkey, CASE WHEN experts <> 0 THEN 'mixture-of-experts' WHEN kind LIKE '%mamba%' OR arch LIKE '%mamba%' THEN 'state-space' WHEN arch LIKE '%forcausallm%' OR kind = 'llama' THEN 'dense decoder-only'
+  WHEN kind LIKE '%whisper%' THEN 'encoder-decoder' WHEN arch LIKE '%diffusion%' THEN 'diffusion' END AS architecture
+FROM (SELECT p_partkey, CASE WHEN p_type LIKE 'ECON%' THEN p_size % 4 END AS experts, CASE WHEN p_type LIKE 'PROMO%' THEN 'mamba2' WHEN p_type LIKE 'SMALL%' THEN 'llama' WHEN p_type LIKE 'LARGE%' THEN 'whisper' END AS kind,
+  CASE WHEN p_size > 25 THEN 'xforcausallm' WHEN p_size < 5 THEN 'diffusionmodel' END AS arch FROM part)""")
 def architecture_case(spark, d):
-    t = F.col("p_type")
-    kind = F.when(t.contains("STEEL"), "mixture of experts").when(t.contains("TIN"), "state space").when(t.startswith("SMALL"), "causal language model").when(F.col("p_size") > 40, "encoder-decoder")
-    return read(spark, d, "part").select("p_partkey", kind.alias("architecture"))
+    """Parts as model configurations: the type picks the model type and experts, the size the architecture."""
+    t, n = F.col("p_type"), F.col("p_size")
+    kind = F.when(t.startswith("PROMO"), "mamba2").when(t.startswith("SMALL"), "llama").when(t.startswith("LARGE"), "whisper")
+    config = {"model_type": kind, "architecture": F.when(n > 25, "XForCausalLM").when(n < 5, "DiffusionModel"), "experts": F.when(t.startswith("ECON"), n % 4)}
+    return read(spark, d, "part").select("p_partkey", facts.architecture(config).alias("architecture"))
 
 
 _CHECKS = {

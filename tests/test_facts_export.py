@@ -9,7 +9,7 @@ def test_facts_need_their_needle(spark):
     assert [tuple(r) for r in got] == [("t", "context_length", "4096", "4096", 8)]
     cfg = spark.createDataFrame([("llama", "LlamaForCausalLM", None), ("x", "Y", 8), ("mamba2", "Z", None), ("t5", "T5ForConditionalGeneration", None), ("q", "Q", None)], "m string, a string, e int")
     kinds = [r[0] for r in cfg.select(facts.architecture({"model_type": F.col("m"), "architecture": F.col("a"), "experts": F.col("e")})).collect()]
-    assert kinds == ["decoder-only transformer", "mixture of experts", "state space model", "encoder-decoder transformer", None]
+    assert kinds == ["dense decoder-only", "mixture-of-experts", "state-space", None, None]
 
 
 def test_leaves_and_claims(spark):

@@ -14,7 +14,7 @@ def test_referents(spark):
     records = spark.createDataFrame(rows, "target string, record_id int, quote string, referent string, default_referent string, stage string")
     got = {r.record_id: (r.resolved, r.comparison, r.roster, r.other_stage) for r in frame.resolve(records, nodes).collect()}
     assert got == {
-        0: ("target", False, False, False), 1: ("x", True, True, False), 2: ("x", True, False, False), 3: ("base", False, False, False), 4: ("x", False, False, False), 5: ("fam", False, False, False),
+        0: ("target", False, False, False), 1: ("x", True, True, False), 2: ("x", True, False, False), 3: ("base", False, False, False), 4: ("base", False, False, False), 5: ("fam", False, False, False),
         6: ("x", False, False, True), 7: ("x", False, False, False),
     }
     hits = {(r.record_id, r.id) for r in frame.mentions(records, nodes).collect()}
@@ -48,7 +48,7 @@ def test_checks(spark):
     got = {tuple(r) for r in validate.violations(s, "id", validate.source_checks()).collect()}
     assert got == {(2, "collected_without_hash"), (2, "collected_with_reason"), (3, "absent_without_reason"), (3, "size_is_negative")}
     assert [r.id for r in validate.repeated(s.unionByName(s.where("id = 1")), ["id"]).collect()] == [1]
-    cells = spark.createDataFrame([("c", f"{k}.{f}") for k, fs in gates.FIELDS.items() for f in fs.split() if f != "name"] + [("c", "extra.field")], "card string, field string")
+    cells = spark.createDataFrame([("c", f"{k}.{f}") for k, fs in gates.FIELDS.items() for f in fs if f != "name"] + [("c", "extra.field")], "card string, field string")
     assert {tuple(r) for r in validate.contract_gaps(cells, gates.field_policy(spark), "card").collect()} == {("c", "identity.name", "missing"), ("c", "extra.field", "extra")}
 
 
@@ -61,3 +61,28 @@ def test_names(spark):
         N.relevant_file(F.lit("docs/README.md"), ["config.json"], ["readme"]),
     ).first()
     assert list(row) == ["Org/Nova-7B", "post", "nova-7b-instruct", ["org", "nova"], "missing", "MIT", "text/markdown", False, ["a", "b", "c"], ["b"], ("a.b", [1, 2]), None, "x y", "a&lt;b\\|c<br>d", ["input: text", "output: image"], True]
+
+
+def test_sentences_of_both_stages_and_credits(spark):
+    from pyspark.sql import functions as F
+
+    from cardloom.functions import text as T
+    from cardloom.operators import facts, frame
+
+    def stage_of(kind, quote):
+        return spark.createDataFrame([(kind, quote)], "s string, q string").select(frame.other_stage(F.col("s"), F.col("q"))).first()[0]
+
+    assert not stage_of("base", "open weights for both pre-trained variants and instruction-tuned variants.")
+    assert not stage_of("base", "the pretrained and instruction-tuned checkpoints")
+    assert not stage_of("post", "chat models as well as base models")
+    assert stage_of("base", "The instruction-tuned text only models are optimized for dialogue.")
+    nodes = spark.createDataFrame([("t", "target", "target", "gem-9b", []), ("t", "c", "comparison", "Star", [])], "target string, id string, type string, name string, aliases array<string>")
+    quotes = ["Open models, built from the same research and technology used to create the Star models.", "Star was made with care.", "It is using Star as a judge."]
+    records = spark.createDataFrame([("t", i, q, "target", "target", "base") for i, q in enumerate(quotes)], "target string, record_id int, quote string, referent string, default_referent string, stage string")
+    assert {r.record_id: r.resolved for r in frame.resolve(records, nodes).collect()} == {0: "target", 1: "c", 2: "c"}
+    leaks = spark.createDataFrame([("see ~/notes",), ("in .cache/hub",), ("my .venv/bin",), ("a vault of gold",), ("plain",)], "t string")
+    assert [len([k for k, p in T.SENSITIVE.items() if k != "license" and leaks.where(F.col("t").rlike(f"(?i){p}")).where(F.col("t") == r.t).count()]) for r in leaks.collect()] == [1, 1, 1, 0, 0]
+    kinds = [("llama", None, None), (None, "MixtralForCausalLM", 8), ("whisper", "WhisperForConditionalGeneration", None), (None, "MambaForCausalLM", None), (None, "XForCausalLM", 0), (None, None, None)]
+    df = spark.createDataFrame(kinds, "model_type string, architecture string, experts int")
+    got = [r[0] for r in df.select(facts.architecture({c: F.col(c) for c in df.columns})).collect()]
+    assert got == ["dense decoder-only", "mixture-of-experts", "encoder-decoder", "state-space", "dense decoder-only", None]
