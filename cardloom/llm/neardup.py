@@ -18,17 +18,16 @@ from cardloom.llm.simhash import near_dedup
 SHINGLE = 5
 LEAST = 0.8
 BANDS, ROWS = 20, 5
-_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
 class Texts(Lines):
-    """Whole texts by their shingles of words: words as in SimHash, A to Z in lower case, case and blanks aside equal texts are one."""
+    """Whole texts by their shingles of words: words as in SimHash, in lower case; case and blanks aside equal texts are one."""
 
     share = 16384
 
     def units(self, docs: DataFrame) -> DataFrame:
         """(doc_id, version, line 0, text) of each text with a word, its words joined by one space."""
-        text = F.btrim(F.regexp_replace(F.translate("text", _UPPER, _UPPER.lower()), r"[\x20\x09-\x0D]+", " "))
+        text = F.btrim(F.regexp_replace(F.lower("text"), r"[\x20\x09-\x0D]+", " "))
         return docs.select("doc_id", "version", F.lit(0).alias("line"), text.alias("text")).where("text <> ''")
 
     def hashes(self, lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
