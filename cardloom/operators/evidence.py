@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
+import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+import xxhash
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cardloom.functions import text as T
@@ -26,11 +29,11 @@ def verify_quotes(quotes: DataFrame, sources: DataFrame) -> DataFrame:
     seeds = q.where("seed is not null").select("seed", "quote_id")
     met = [s.select("source_id", F.explode(F.array_distinct(F.split("s", " "))).alias("seed")).join(seeds, "seed").select("source_id", "quote_id")]
     short = q.where("seed is null").select("quote_id", F.left("q", F.lit(3)).alias("seed"))
-    for n in (1, 2, 3):
+    for n in sorted(r.n for r in short.select(F.length("seed").alias("n")).distinct().collect()):  # 1, 2 or 3, and mostly none
         grams = F.transform(F.sequence(F.lit(1), F.length("s") - n + 1), lambda i, n=n: F.substring(F.col("s"), i, F.lit(n)))
         rows = s.where(F.length("s") >= n).select("source_id", F.explode(F.array_distinct(grams)).alias("seed"))
         met.append(rows.join(short.where(F.length("seed") == n), "seed").select("source_id", "quote_id"))
-    near = met[0].unionByName(met[1]).unionByName(met[2]).unionByName(met[3]).join(q.select("quote_id", "q"), "quote_id").join(s, "source_id")
+    near = reduce(DataFrame.unionByName, met).join(q.select("quote_id", "q"), "quote_id").join(s, "source_id")
     hit = near.withColumn("start", (F.expr("locate(q, s)") - 1).cast("long")).where("start >= 0")
     return hit.select("quote_id", "source_id", "start", (F.col("start") + F.length("q")).cast("long").alias("end"), "s")
 
@@ -44,48 +47,66 @@ def unverified(quotes: DataFrame, hits: DataFrame, limit: int = 12, head: int =
 def copied_runs(values: DataFrame, sources: DataFrame, n: int = 12) -> DataFrame:
     """The first run of n words that values(value_id, text) share with sources(source_id, text): (value_id, source_id, offset).
 
-    The first by place in the value, then by source. Both sides meet on a hash of the run, and the run itself is compared. A value without
+    The first by place in the value, then by source. Both sides meet on a hash of the run; texts are read again only for places that met, and the runs themselves are compared. A value without
     such a run is tried by windows of 24 letters and digits, at least 12 of scripts that are written without spaces; its offset counts these signs.
     """
-    v, s = (_streams(df, key) for df, key in ((values, "value_id"), (sources, "source_id")))
-    words = lambda df, key: df.select(key, F.posexplode(_run_hashes(F.col("w"), n)).alias("offset", "h"), "w")
-    run = F.array_join(F.slice(F.col("w"), F.col("offset") + 1, n), " ")
-    first = _first_met(words(v, "value_id").select("value_id", "offset", "h", run.alias("run")), words(s, "source_id").drop("w"), s, run)
-    window = F.substring(F.col("c"), F.col("offset") + 1, F.lit(T.COMPACT_WINDOW))
-    at = lambda df, key: df.select(key, "c", F.explode("at").alias("offset")).select(key, "offset", F.xxhash64(window).alias("h"), window.alias("run"))
-    compact = _first_met(at(v, "value_id"), at(s, "source_id").drop("run"), s, window)
-    return first.unionByName(compact.join(first, compact.value_id.eqNullSafe(first.value_id), "left_anti"))
-
-
-def _run_hashes(words: Column, n: int) -> Column:
-    """A hash of each run of n words; of the words only their hashes are put together, so no run is built as text."""
-    count = F.size(words) - (n - 1)
-    hashes = F.transform(words, lambda w: F.xxhash64(w))
-    runs = F.transform(F.sequence(F.lit(0), count - 1), lambda i: F.xxhash64(F.slice(hashes, i + 1, n)))
-    return F.when(count > 0, runs).otherwise(F.array().cast("array<bigint>"))
-
-
-def _first_met(v: DataFrame, places: DataFrame, s: DataFrame, run: Column) -> DataFrame:
-    """v(value_id, offset, h, run) against places(source_id, offset, h): a source's hashes meet those of values, the first place of each with its text is compared, and only then counted."""
-    met = places.join(v.select("h").distinct(), "h", "left_semi").groupBy("source_id", "h").agg(F.min("offset").alias("offset"))
-    read = met.join(s, "source_id").select("source_id", "h", run.alias("theirs"))
-    same = v.join(read, "h").where("run = theirs")
-    first = same.groupBy("value_id").agg(F.min(F.struct("offset", "source_id")).alias("m"))
+    v = _places(values, "value_id", n)
+    s = _places(sources, "source_id", n).join(v.select("kind", "h").distinct(), ["kind", "h"], "left_semi")
+    s = s.groupBy("source_id", "kind", "h").agg(F.min("offset").alias("offset"))
+    theirs = _read_runs(s, sources, "source_id", n).select("source_id", "kind", "h", F.col("run").alias("theirs"))
+    mine = _read_runs(v.join(s.select("kind", "h").distinct(), ["kind", "h"], "left_semi"), values, "value_id", n)
+    same = mine.join(theirs, ["kind", "h"]).where("run = theirs")
+    first = same.groupBy("value_id").agg(F.min(F.struct("kind", "offset", "source_id")).alias("m"))
     return first.select("value_id", F.col("m.source_id").alias("source_id"), F.col("m.offset").cast("long").alias("offset"))
 
 
-def _streams(df: DataFrame, key: str) -> DataFrame:
-    """(key, w, c, at): words, the stream of letters, digits and marks, and where its compact windows begin; Spark has no function for NFKC and case folding."""
+def _places(df: DataFrame, key: str, n: int) -> DataFrame:
+    """(key, kind, offset, h): a hash of each run of n words (kind 0) and of each compact window (kind 1); Spark has no function for NFKC and case folding."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo in range(0, batch.num_rows, 256):
                 part = batch.slice(lo, 256)
-                found = [T.streams(x or "") for x in part.column("text").to_pylist()]
-                columns = [pa.array([f[i] for f in found], t) for i, t in enumerate((pa.list_(pa.string()), pa.string(), pa.list_(pa.int32())))]
-                yield pa.RecordBatch.from_arrays([part.column(key), *columns], [key, "w", "c", "at"])
+                kinds, offsets, hashes, ends = [], [], [], [0]
+                for text in part.column("text").to_pylist():
+                    w, c, at = T.streams(text or "")
+                    runs = _run_hashes(w, n)
+                    kinds += [np.zeros(len(runs), np.int32), np.ones(len(at), np.int32)]
+                    offsets += [np.arange(len(runs), dtype=np.int32), np.array(at, np.int32)]
+                    hashes += [runs, np.array([xxhash.xxh64_intdigest(c[i : i + T.COMPACT_WINDOW]) for i in at], np.uint64)]
+                    ends.append(ends[-1] + len(runs) + len(at))
+                fields = [np.concatenate(kinds), np.concatenate(offsets), np.concatenate(hashes).view(np.int64)]
+                places = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.StructArray.from_arrays([pa.array(x) for x in fields], ["kind", "offset", "h"]))
+                yield pa.RecordBatch.from_arrays([part.column(key), places], [key, "places"])
 
-    return df.select(key, "text").mapInArrow(run, f"`{key}` {df.schema[key].dataType.simpleString()}, w array<string>, c string, at array<int>")
+    rows = df.select(key, "text").mapInArrow(run, f"`{key}` {df.schema[key].dataType.simpleString()}, places array<struct<kind:int,offset:int,h:long>>")
+    return rows.select(key, F.inline("places"))
+
+
+def _read_runs(places: DataFrame, df: DataFrame, key: str, n: int) -> DataFrame:
+    """places(key, kind, offset, h) with the run that stands there in df(key, text)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, held = None, None
+        for batch in batches:
+            out = []
+            for text, kind, at in zip(*(batch.column(c).to_pylist() for c in ("text", "kind", "offset")), strict=True):
+                if text != last:
+                    last, held = text, T.streams(text or "")
+                out.append(" ".join(held[0][at : at + n]) if kind == 0 else held[1][at : at + T.COMPACT_WINDOW])
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in (key, "kind", "offset", "h")), pa.array(out, pa.string())], [key, "kind", "offset", "h", "run"])
+
+    rows = places.join(df.select(key, "text"), key).select(key, "kind", "offset", "h", "text")
+    return rows.mapInArrow(run, f"`{key}` {df.schema[key].dataType.simpleString()}, kind int, offset int, h long, run string")
+
+
+def _run_hashes(words: list[str], n: int) -> np.ndarray:
+    """A hash of each run of n words, put together from the hashes of its words."""
+    h = np.array([xxhash.xxh64_intdigest(w) for w in words], np.uint64)
+    out = np.zeros(max(0, len(h) - n + 1), np.uint64)
+    for k in range(n if len(out) else 0):
+        out = out * np.uint64(0x9E3779B97F4A7C15) + h[k : k + len(out)]
+    return out
 
 
 def sensitive(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
