@@ -13,9 +13,11 @@ n - ceil(least * n) + 1 rarest are looked up, as two lines alike must share one
 from __future__ import annotations
 
 from collections.abc import Iterator
+from hashlib import md5
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,9 +27,9 @@ SHINGLE = 5
 LEAST = 0.8
 #: A pair of similarity 0.8 shares a band with probability 1 - (1 - 0.8 ** 5) ** 16 = 0.998; one of 0.5 with 0.4.
 BANDS, ROWS = 16, 5
-BLANK = " \t\x0b\f\r"
-_SLICE = 1 << 16
-_TOGETHER = 1 << 15
+BLANK = b" \t\x0b\f\r"
+_SLICE = 1 << 15
+_TOGETHER, _TOGETHER_BYTES = 1 << 15, 1 << 23
 _FEW = 16
 _EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
 #: Bits of a shingle's hash that stand beside the number of a pair.
@@ -61,10 +63,9 @@ class Lines:
     def __init__(self, shingle: int = SHINGLE) -> None:
         self.shingle = shingle
 
-    def units(self, docs: DataFrame) -> DataFrame:
-        """(doc_id, version, line, text) of each line with a word, numbered from 0."""
-        parts = docs.select("doc_id", "version", F.posexplode(F.split("text", "\n")).alias("line", "raw"))
-        return parts.select("doc_id", "version", "line", F.btrim("raw", F.lit(BLANK)).alias("text")).where("text <> ''")
+    def units(self, text: bytes) -> list[tuple[int, bytes]]:
+        """Number, from 0, and content of each line with a word."""
+        return [(i, x) for i, raw in enumerate(text.split(b"\n")) if (x := raw.strip(BLANK))]
 
     def hashes(self, lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Line number and hash of each shingle, repeats included; short lines have one."""
@@ -182,25 +183,73 @@ def _rows(**columns: tuple[list | np.ndarray, pa.DataType]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([v if isinstance(v, pa.Array) else pa.array(v, t) for v, t in columns.values()], list(columns))
 
 
-def _places(docs: DataFrame, of: Lines) -> DataFrame:
-    """(key, doc_id, version, line, text) of all lines; key is the MD5 of the line."""
-    return of.units(docs).select(F.unhex(F.md5(F.col("text").cast("binary"))).alias("key"), "doc_id", "version", "line", "text")
+def _places(docs: DataFrame, of: Lines, once: bool) -> DataFrame:
+    """(key, none, doc_id, version, line) of all lines; key is the MD5 of the line, none tells null ids.
+
+    With `once` a task sends of the equal lines that it holds at a time only the first on, with their number n and the text.
+    """
+
+    def send(rows: list[list]) -> pa.RecordBatch:
+        key, none, doc_id, version, line, *more = zip(*rows, strict=True)
+        found = {"key": (key, pa.binary()), "none": (none, pa.bool_()), "doc_id": ([None if n else d for n, d in zip(none, doc_id, strict=True)], pa.int64()), "version": (version, pa.int64()), "line": (line, pa.int32())}
+        return _rows(**found, **({"n": (more[0], pa.int64()), "text": (more[1], pa.string())} if once else {}))
+
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows: list[list] = []
+        known: dict[bytes, list] = {}
+        size = 0
+        for batch in batches:
+            column = batch.column("text").cast(pa.binary())
+            for doc_id, version, text in zip(batch.column("doc_id").to_pylist(), batch.column("version").to_pylist(), column, strict=True):
+                for line, x in of.units(text.as_py() or b""):
+                    row = [md5(x, usedforsecurity=False).digest(), doc_id is None, doc_id or 0, version, line]
+                    if once and (seen := known.get(row[0])):
+                        seen[5] += 1
+                        seen[1:5] = min(seen[1:5], row[1:])
+                        continue
+                    if once:
+                        row += [1, x]
+                        known[row[0]] = row
+                    rows.append(row)
+                    size += len(x)
+                    if len(rows) >= _TOGETHER or size >= _TOGETHER_BYTES:
+                        yield send(rows)
+                        rows, size = [], 0
+                        known.clear()
+        if rows:
+            yield send(rows)
+
+    schema = "key binary, none boolean, doc_id long, version long, line int"
+    return docs.select("doc_id", "version", "text").mapInArrow(split, schema + ", n long, text string" if once else schema)
 
 
 def _buckets(lines: DataFrame, bands: int, rows: int, of: Lines) -> DataFrame:
-    """(bucket, id, first): the lines of each bucket that holds two or more, each but the bucket's first with one that stands before it; all are linked to the first through these."""
+    """(bucket, id, first): the lines of each bucket that holds two or more, each but the bucket's first with one that stands before it; all are linked to the first through these.
+
+    Keys travel as sorted arrays, a row for each range of them and some thousand lines.
+    """
+    shuffled = int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = max(1024, 16 * shuffled, lines.count() * bands >> 18)
+    edges = np.array([(i << 64) // parts for i in range(1, parts)], np.uint64)
+    schema = "bucket array<long>, id array<long>, first array<long>"
+
+    def send(keys: list[np.ndarray], ids: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        bucket, line = np.concatenate(keys).ravel(), np.repeat(np.concatenate(ids), bands)
+        order = np.lexsort((line, bucket))
+        bucket, line = bucket[order], line[order]
+        begins = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]])
+        first = np.repeat(line[begins], np.diff(np.r_[begins, len(bucket)]))
+        met = first != line
+        at = np.r_[0, np.searchsorted(bucket[~met], edges), np.count_nonzero(~met)]
+        part = np.flatnonzero(at[1:] > at[:-1])
+        at = np.r_[0, at[part + 1]]
+        yield _listed(part, at, bucket[~met], line[~met], None)
+        if met.any():
+            at = np.r_[np.arange(0, np.count_nonzero(met), 4096), np.count_nonzero(met)]
+            yield _listed(line[met][at[:-1]] % parts, at, bucket[met], line[met], first[met])
 
     def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, ids, n = [], [], 0
-
-        def send() -> pa.RecordBatch:
-            bucket, line = np.concatenate(keys).ravel(), np.repeat(np.concatenate(ids), bands)
-            order = np.lexsort((line, bucket))
-            bucket, line = bucket[order], line[order]
-            begins = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]])
-            first = np.repeat(line[begins], np.diff(np.r_[begins, len(bucket)]))
-            return _rows(bucket=(bucket.view(np.int64), pa.int64()), id=(line, pa.int64()), first=(pa.array(first, mask=first == line), pa.int64()))
-
         for batch in batches:
             texts, mine = batch.column("text").to_pylist(), batch.column("id").to_numpy()
             lo = 0
@@ -214,29 +263,48 @@ def _buckets(lines: DataFrame, bands: int, rows: int, of: Lines) -> DataFrame:
                 n += hi - lo
                 lo = hi
                 if n >= _TOGETHER:
-                    yield send()
+                    yield from send(keys, ids)
                     keys, ids, n = [], [], 0
         if n:
-            yield send()
+            yield from send(keys, ids)
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last = first = None  # the bucket and its first line; rows come sorted, those that have met in their task already first, so nothing but this is kept
+        held, last = [], None  # one range of keys at a time
+
+        def met_here() -> pa.RecordBatch:
+            bucket, line = (np.concatenate(c) for c in zip(*held, strict=True))
+            order = np.lexsort((line, bucket))
+            bucket, line = bucket[order], line[order]
+            begins = np.r_[True, bucket[1:] != bucket[:-1]]
+            first = line[begins][np.cumsum(begins) - 1]
+            return _rows(bucket=(bucket[~begins], pa.int64()), id=(line[~begins], pa.int64()), first=(first[~begins], pa.int64()))
+
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            met = batch.column("first").is_valid().to_numpy(zero_copy_only=False)
-            bucket, line = batch.column("bucket").to_numpy()[~met], batch.column("id").to_numpy()[~met]
-            out = [np.asarray(batch.column(c).filter(pa.array(met))).astype(np.int64) for c in ("bucket", "id", "first")]
-            if len(bucket):
-                begins = np.r_[last is None or bucket[0] != last, bucket[1:] != bucket[:-1]]
-                firsts = np.r_[0 if first is None else first, line[begins]][np.cumsum(begins)]
-                out = [np.r_[a, b[line != firsts]] for a, b in zip(out, (bucket, line, firsts), strict=True)]
-                last, first = bucket[-1], firsts[-1]
-            yield _rows(bucket=(out[0], pa.int64()), id=(out[1], pa.int64()), first=(out[2], pa.int64()))
+            known = batch.column("first").is_valid()
+            done, rest = batch.filter(known), batch.filter(pc.invert(known))
+            if done.num_rows:
+                yield _rows(**{c: (done.column(c).flatten(), pa.int64()) for c in ("bucket", "id", "first")})
+            part = rest.column("part").to_numpy()
+            begins = np.flatnonzero(np.r_[True, part[1:] != part[:-1]]) if len(part) else []
+            for lo, hi in zip(begins, [*begins[1:], len(part)], strict=True):
+                if held and part[lo] != last:
+                    yield met_here()
+                    held = []
+                held.append([rest.column(c).slice(lo, hi - lo).flatten().to_numpy() for c in ("bucket", "id")])
+                last = part[lo]
+        if held:
+            yield met_here()
+
+    posted = lines.select("id", "text").mapInArrow(post, f"part int, {schema}")
+    return posted.repartition("part").sortWithinPartitions("part").mapInArrow(meet, "bucket long, id long, first long")
+
 
-    posted = lines.select("id", "text").mapInArrow(post, "bucket long, id long, first long")
-    dealt = posted.repartition(F.when(F.col("first").isNull(), F.col("bucket")).otherwise(F.col("id")))
-    return dealt.sortWithinPartitions(F.col("first").isNull(), "bucket", "id").mapInArrow(meet, "bucket long, id long, first long")
+def _listed(part: np.ndarray, at: np.ndarray, bucket: np.ndarray, line: np.ndarray, first: np.ndarray | None) -> pa.RecordBatch:
+    """A row for each part, with the values from at[i] to at[i + 1]."""
+    lists = [pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(v, pa.int64())) for v in (bucket.view(np.int64), line, *([first] if first is not None else []))]
+    if first is None:
+        lists.append(pa.nulls(len(part), pa.list_(pa.int64())))
+    return pa.RecordBatch.from_arrays([pa.array(part, pa.int32()), *lists], ["part", "bucket", "id", "first"])
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, least: float, of: Lines) -> DataFrame:
@@ -338,9 +406,9 @@ def line_components(documents: DataFrame, least: float = LEAST, bands: int = BAN
     documents has doc_id, version and text. The kept place is the smallest by doc_id, version and line number (null ids last).
     """
     of = of or Lines()
-    places = _places(documents.select("doc_id", "version", "text"), of)
-    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "version", "line")
-    distinct = places.groupBy("key").agg(F.min(place).alias("place"), F.count("*").alias("n"), F.first("text").alias("text"))
+    place = F.struct("none", "doc_id", "version", "line")
+    each = _places(documents, of, once=True).repartition("key")  # equal lines have met in their tasks already, so they are sorted once, where they all meet
+    distinct = each.groupBy("key").agg(F.min(place).alias("place"), F.sum("n").alias("n"), F.first("text").alias("text"))
     lines = cut(distinct.withColumn("id", F.monotonically_increasing_id()), "lines")  # numbers are fixed once they are written
     buckets = cut(_buckets(lines, bands, rows, of), "buckets")
     pairs = buckets.select(F.col("id").alias("a"), F.col("first").alias("b")).distinct()
@@ -357,7 +425,7 @@ def line_components(documents: DataFrame, least: float = LEAST, bands: int = BAN
     low = cut(found.groupBy("component").agg(F.min("place").alias("kept")), "kept")
     target = cut(found.select("key", "component").join(low, "component").select("key", "kept"), "targets")
     done_with(found, low)
-    again = places.drop("text").join(target, "key").where(~(F.col("doc_id").eqNullSafe(F.col("kept.doc_id")) & (F.col("version") == F.col("kept.version")) & (F.col("line") == F.col("kept.line"))))
+    again = _places(documents, of, once=False).join(target, "key").where(~(F.col("doc_id").eqNullSafe(F.col("kept.doc_id")) & (F.col("version") == F.col("kept.version")) & (F.col("line") == F.col("kept.line"))))
     return again.select("doc_id", "version", "line", F.col("kept.doc_id").alias("as_doc"), F.col("kept.version").alias("as_version"), F.col("kept.line").alias("as_line"))
 
 
@@ -374,7 +442,8 @@ def _cleaned(documents: DataFrame, least: float, bands: int, rows: int, shingle:
     whole = F.col("row").getField("text")
     parts = F.split(whole, "\n")
     keep = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), F.col("gone.line"))
-    text = F.when(F.col("gone").isNull(), whole).otherwise(F.array_join(F.transform(keep, lambda i: F.get(parts, i)), "\n"))
+    left = F.transform(F.array(parts), lambda p: F.array_join(F.transform(keep, lambda i: F.get(p, i)), "\n"))  # p is split once, not for each line
+    text = F.when(F.col("gone").isNull(), whole).otherwise(F.get(left, F.lit(0)))
     n_lines = F.coalesce(F.regexp_count(whole, F.lit(r"[^\x20\x09-\x0D][^\n]*")), F.lit(0))  # each match runs from a line's first sign to its end
     return out, {"text": text, "n_lines": n_lines.cast("long"), "removed": F.coalesce("gone", F.array().cast(_REMOVED))}
 

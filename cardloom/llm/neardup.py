@@ -25,10 +25,10 @@ class Texts(Lines):
 
     share = 16384
 
-    def units(self, docs: DataFrame) -> DataFrame:
-        """(doc_id, version, line 0, text) of each text with a word, its words joined by one space."""
-        text = F.btrim(F.regexp_replace(F.lower("text"), r"[\x20\x09-\x0D]+", " "))
-        return docs.select("doc_id", "version", F.lit(0).alias("line"), text.alias("text")).where("text <> ''")
+    def units(self, text: bytes) -> list[tuple[int, bytes]]:
+        """Line 0: the text's words, joined by one space; nothing without a word."""
+        words = text.decode("utf-8", "surrogatepass").lower().encode("utf-8", "surrogatepass").split()
+        return [(0, b" ".join(words))] if words else []
 
     def hashes(self, lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
         raw = [x.encode("utf-8", "surrogatepass") for x in lines]
