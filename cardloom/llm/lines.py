@@ -30,11 +30,17 @@ BANDS, ROWS = 16, 5
 BLANK = b" \t\x0b\f\r"
 _SLICE = 1 << 15
 _TOGETHER, _TOGETHER_BYTES = 1 << 15, 1 << 23
+_SIGNED = 1 << 12
 _FEW = 16
 _EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
 #: Bits of a shingle's hash that stand beside the number of a pair.
 _GRAM = np.uint64(48)
 _GRAM_MASK = np.uint64((1 << 48) - 1)
+#: Bits that hold a sign of most scripts.
+_SIGN = 12
+#: Of a shingle's place among a line's: bits of how often it seems to stand in its cells, and of its hash; the line's number stands before them.
+_OFTEN, _TOKEN = 8, 36
+_SLOTS = 20
 
 
 def gram_hashes(codes: np.ndarray, length: np.ndarray, shingle: int) -> tuple[np.ndarray, np.ndarray]:
@@ -76,6 +82,18 @@ class Lines:
     def shingles(self, line: str) -> set:
         return {line[i : i + self.shingle] for i in range(max(1, len(line) - self.shingle + 1))}
 
+    def in_common(self, x: str, y: str) -> tuple[int, int]:
+        """How many shingles two lines share, and how many they have together."""
+        if self.shingle * _SIGN <= 64 and min(len(x), len(y)) >= self.shingle:
+            codes = [np.frombuffer(t.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64) for t in (x, y)]
+            if max(c.max() for c in codes) < 1 << _SIGN:  # a shingle's signs stand side by side in one number
+                n = [len(c) - self.shingle + 1 for c in codes]
+                a, b = (np.unique(sum(c[i : i + m] << np.uint64(_SIGN * i) for i in range(self.shingle))) for c, m in zip(codes, n, strict=True))
+                common = len(np.intersect1d(a, b, assume_unique=True))
+                return common, len(a) + len(b) - common
+        a, b = self.shingles(x), self.shingles(y)
+        return len(a & b), len(a | b)
+
 
 class Sets:
     """The shingles of some lines as sorted numbers, line after line."""
@@ -111,9 +129,8 @@ class Sets:
         return (kind[p] != kind[o]) & (np.minimum(self.size[p], self.size[o]) >= least * np.maximum(self.size[p], self.size[o]) - 1e-9)
 
     def _exact(self, a: int, b: int, least: float) -> bool:
-        x, y = self.of.shingles(self.lines[a]), self.of.shingles(self.lines[b])
-        common = len(x & y)
-        return common >= least * (len(x) + len(y) - common)
+        common, together = self.of.in_common(self.lines[a], self.lines[b])
+        return common >= least * together
 
     def candidates(self, cell: np.ndarray, other: np.ndarray, kind: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray]:
         """Pairs (probe, other) of line numbers of one cell and of different kinds that share a shingle among the rarest of both; `other` marks the lines that probes are tried against.
@@ -132,14 +149,13 @@ class Sets:
         line = np.repeat(np.arange(len(size)), size)
         with np.errstate(over="ignore"):
             of_cell = mix(self.gram[ranges(self.start, size)] ^ mix(cell.astype(np.uint64))[line])
-        _, place, count = np.unique(of_cell, return_inverse=True, return_counts=True)
-        rank = np.empty(len(count), np.int64)
-        rank[np.argsort(count, kind="stable")] = np.arange(len(count))
-        key = np.sort(line << 32 | rank[place])
+        # any one order of shingles is right for the look-up; in this one, those come last that many lines seem to hold, counted by a part of their hash
+        slot = (of_cell >> np.uint64(64 - _SLOTS)).astype(np.int64)
+        often = np.minimum(np.bincount(slot, minlength=1 << _SLOTS), (1 << _OFTEN) - 1)[slot]
+        key = np.sort(line << (_OFTEN + _TOKEN) | often << _TOKEN | (of_cell & np.uint64((1 << _TOKEN) - 1)).astype(np.int64))
         prefix = np.where(size > 0, size - np.ceil(least * size - 1e-9).astype(np.int64) + 1, 0)
         key = key[ranges(np.cumsum(size) - size, prefix)]
-        key = key[np.sort(count)[key & 0xFFFFFFFF] > 1]  # a shingle of one line only meets nothing
-        line, rank = key >> 32, key & 0xFFFFFFFF
+        line, rank = key >> (_OFTEN + _TOKEN), key & ((1 << (_OFTEN + _TOKEN)) - 1)
         order = np.argsort(rank, kind="stable")
         line, rank = line[order], rank[order]
         mine, theirs = ~other[line], other[line]
@@ -157,12 +173,18 @@ class Sets:
         return both >> 32, both & 0xFFFFFFFF
 
 
-def band_keys(lines: list[str], bands: int, rows: int, of: Lines) -> np.ndarray:
-    """A 64-bit key for each line (down) and band (across)."""
+def signatures(lines: list[str], bins: int, of: Lines) -> np.ndarray:
+    """For each line (down) and bin (across) the smallest hash of the shingles in it; those of an empty bin are _EMPTY."""
     line, h = of.hashes(lines)
-    bins = bands * rows
     signature = np.full(len(lines) * bins, _EMPTY)
     np.minimum.at(signature, line * bins + ((h & np.uint64(0xFFFFFFFF)) * np.uint64(bins) >> np.uint64(32)).astype(np.int64), h)
+    return signature.reshape(-1, bins)
+
+
+def band_keys(signature: np.ndarray, bands: int, rows: int) -> np.ndarray:
+    """A 64-bit key for each line (down) and band (across)."""
+    bins = bands * rows
+    signature = signature.ravel()
     filled = signature.copy()
     empty, step = np.flatnonzero(signature == _EMPTY), 0
     while len(empty):
@@ -172,7 +194,7 @@ def band_keys(lines: list[str], bands: int, rows: int, of: Lines) -> np.ndarray:
         hit = donor != _EMPTY
         filled[empty[hit]] = donor[hit]
         empty = empty[~hit]
-    parts = filled.reshape(len(lines), bands, rows)
+    parts = filled.reshape(-1, bands, rows)
     key = np.broadcast_to(np.arange(bands, dtype=np.uint64), parts.shape[:2])
     for r in range(rows):
         key = mix(key * np.uint64(0x9E3779B97F4A7C15) + parts[:, :, r], r)
@@ -249,7 +271,7 @@ def _buckets(lines: DataFrame, bands: int, rows: int, of: Lines) -> DataFrame:
             yield _listed(line[met][at[:-1]] % parts, at, bucket[met], line[met], first[met])
 
     def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, ids, n = [], [], 0
+        keys, ids, signed, n, waiting = [], [], [], 0, 0
         for batch in batches:
             texts, mine = batch.column("text").to_pylist(), batch.column("id").to_numpy()
             lo = 0
@@ -258,15 +280,18 @@ def _buckets(lines: DataFrame, bands: int, rows: int, of: Lines) -> DataFrame:
                 while hi < len(texts) and (hi == lo or size + len(texts[hi]) <= _SLICE):
                     size += len(texts[hi])
                     hi += 1
-                keys.append(band_keys(texts[lo:hi], bands, rows, of))
+                signed.append(signatures(texts[lo:hi], bands * rows, of))
                 ids.append(mine[lo:hi])
-                n += hi - lo
+                n, waiting = n + hi - lo, waiting + hi - lo
                 lo = hi
+                if waiting >= _SIGNED:
+                    keys.append(band_keys(np.concatenate(signed), bands, rows))
+                    signed, waiting = [], 0
                 if n >= _TOGETHER:
-                    yield from send(keys, ids)
-                    keys, ids, n = [], [], 0
+                    yield from send([*keys, *(band_keys(x, bands, rows) for x in signed)], ids)
+                    keys, ids, signed, n, waiting = [], [], [], 0, 0
         if n:
-            yield from send(keys, ids)
+            yield from send([*keys, *(band_keys(x, bands, rows) for x in signed)], ids)
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, last = [], None  # one range of keys at a time

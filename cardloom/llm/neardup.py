@@ -44,6 +44,10 @@ class Texts(Lines):
         words = line.split(" ")
         return {" ".join(words[i : i + self.shingle]) for i in range(max(1, len(words) - self.shingle + 1))}
 
+    def in_common(self, x: str, y: str) -> tuple[int, int]:
+        a, b = self.shingles(x), self.shingles(y)
+        return len(a & b), len(a | b)
+
 
 def alone(documents: DataFrame, least: float = LEAST, shingle: int = SHINGLE) -> DataFrame:
     """documents with one of each group that SimHash links, and of those one of each group that similarity of at least `least` links: the one with the smallest doc_id, null ids last.

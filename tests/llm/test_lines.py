@@ -3,6 +3,7 @@ import random
 import numpy as np
 
 from cardloom.llm.lines import Lines, Sets, dedup_lines
+from cardloom.llm.neardup import Texts
 
 
 def split_lines(text):
@@ -126,3 +127,12 @@ def test_columns_that_clash_come_back(spark):
     got = {r.doc_id: r for r in out.collect()}
     assert all(got[i][n] == f"{n}{i}" for i in range(3) for n in names[2:-1])
     assert [len(got[i].removed) for i in range(3)] == [0, 2, 2]
+
+
+def test_common_shingles_are_counted_exactly():
+    rnd = random.Random(3)
+    for signs in ("abc ", "абв ", "日本語テ", "a\U0001f600é"):
+        for n in (3, 5, 60):
+            x, y = ("".join(rnd.choice(signs) for _ in range(n + k)) for k in (0, 2))
+            assert Lines().in_common(x, y) == (len(shingles(x) & shingles(y)), len(shingles(x) | shingles(y)))
+    assert Texts().in_common("a b c d e f", "a b c d e g") == (1, 3)
