@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from cardloom.llm.conversations import OP13_SQL, op13_conversation_repair
 from cardloom.llm.language import op10_language_id
 from cardloom.llm.lines import op5_line_dedup
 from cardloom.llm.mixing import op3_mix_sources
@@ -28,6 +29,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_arc_to_warc": op8_arc_to_warc,
     "op9_sentencepiece": op9_sentencepiece,
     "op10_language_id": op10_language_id,
+    "op13_conversation_repair": op13_conversation_repair,
 }
 
-ORACLE_SQL: dict[str, str] = {"op1_substring_dedup": OP1_SQL, "op2_nearest": OP2_SQL, "op4_quality_lines": OP4_SQL, "op8_arc_to_warc": OP8_SQL}
+ORACLE_SQL: dict[str, str] = {
+    "op1_substring_dedup": OP1_SQL,
+    "op2_nearest": OP2_SQL,
+    "op4_quality_lines": OP4_SQL,
+    "op8_arc_to_warc": OP8_SQL,
+    "op13_conversation_repair": OP13_SQL,
+}
