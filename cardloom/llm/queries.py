@@ -16,6 +16,7 @@ from cardloom.llm.quality import OP4_SQL, op4_quality_lines
 from cardloom.llm.simhash import op7_simhash
 from cardloom.llm.spelling import OP11_SQL, op11_spelling_variants
 from cardloom.llm.substring import OP1_SQL, op1_substring_dedup
+from cardloom.llm.suffixes import OP12_SQL, op12_suffix_dedup
 from cardloom.llm.toxicity import op6_toxicity
 from cardloom.llm.warc import OP8_SQL, op8_arc_to_warc
 
@@ -31,6 +32,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_sentencepiece": op9_sentencepiece,
     "op10_language_id": op10_language_id,
     "op11_spelling_variants": op11_spelling_variants,
+    "op12_suffix_dedup": op12_suffix_dedup,
     "op13_conversation_repair": op13_conversation_repair,
 }
 
@@ -40,5 +42,6 @@ ORACLE_SQL: dict[str, str] = {
     "op4_quality_lines": OP4_SQL,
     "op8_arc_to_warc": OP8_SQL,
     "op11_spelling_variants": OP11_SQL,
+    "op12_suffix_dedup": OP12_SQL,
     "op13_conversation_repair": OP13_SQL,
 }
