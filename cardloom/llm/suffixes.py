@@ -249,10 +249,19 @@ def _neighbours(length: int):
     """Repeats in a sorted stretch, as ranges of starts in pieces, and the digests of what reaches an edge of the stretch."""
 
     def stretch(rows: pa.Table) -> pa.RecordBatch:
-        n = rows.num_rows
         get = lambda c: rows.column(c).to_numpy()
         run, most, least, pid, place = (get(c) for c in ("run", "most", "least", "pid", "place"))
-        contexts = [x.as_py() for x in rows.column("context")]
+        coded = rows.column("context").combine_chunks().dictionary_encode()
+        code = coded.indices.to_numpy()
+        # rows with the same bytes stand side by side and are looked at once
+        other = np.ones(len(code), bool)
+        other[1:] = (code[1:] != code[:-1]) | (run[1:] != run[:-1]) | (most[1:] != most[:-1]) | (least[1:] != least[:-1])
+        of = np.cumsum(other) - 1
+        several = np.bincount(of) > 1
+        at = np.flatnonzero(other)
+        run, most, least, texts = run[at], most[at], least[at], coded.dictionary.to_pylist()
+        contexts = [texts[i] for i in code[at].tolist()]
+        n = len(at)
         flat = np.frombuffer(b"".join(contexts), np.uint8)
         size = np.array([len(x) for x in contexts])
         base = np.cumsum(size) - size
@@ -265,24 +274,19 @@ def _neighbours(length: int):
             going = going[flat[anchor[going] + t] == flat[anchor[going - 1] + t]]
             shared[going] += 1
         found = np.zeros((n, WIDE), bool)
-        left = np.zeros(n, np.uint64)
+        left = np.zeros(n, np.int64)  # numbers that are equal where as many bytes before the anchor are
         edge: list[tuple] = []
         for d in range(WIDE):
             if d:
-                can = most >= d
-                left[can] = mix(left[can] ^ flat[anchor[can] - d], d)
+                can = np.flatnonzero(most >= d)
+                left[can] = np.unique(left[can] * 256 + flat[anchor[can] - d], return_inverse=True)[1]
             active = np.flatnonzero((least <= d) & (d <= most))
             if not len(active):
                 continue
             group = np.cumsum(shared < length - d)
-            g, h = group[active], left[active]
-            order = np.lexsort((h, g))
-            a = active[order]
+            a = active[np.lexsort((left[active], group[active]))]
             equal = (group[a[1:]] == group[a[:-1]]) & (left[a[1:]] == left[a[:-1]])
-            for i in np.flatnonzero(equal) if d else ():
-                x, y = anchor[a[i]], anchor[a[i + 1]]
-                equal[i] = bool((flat[x - d : x] == flat[y - d : y]).all())
-            twice = np.zeros(len(a), bool)
+            twice = several[a]
             twice[1:] |= equal
             twice[:-1] |= equal
             found[a[twice], d] = True
@@ -291,15 +295,16 @@ def _neighbours(length: int):
             for i in np.flatnonzero(first & ((group[a] == group[0]) | (group[a] == group[-1]))):
                 r = a[i]
                 window = flat[anchor[r] - d : anchor[r] - d + length].tobytes()
-                edge.append((int(run[r]), _digest(window), None if twice[i] else int(pid[r]), int(place[r]) - d))
+                edge.append((int(run[r]), _digest(window), None if twice[i] else int(pid[at[r]]), int(place[at[r]]) - d))
+        found = found[of]
         # starts go down as d goes up: a range of d is a range of starts
-        padded = np.zeros((n, WIDE + 2), np.int8)
+        padded = np.zeros((len(of), WIDE + 2), np.int8)
         padded[:, 1:-1] = found
         step = np.diff(padded, axis=1)
         row, opens = np.nonzero(step == 1)
         closes = np.nonzero(step == -1)[1]
-        at = place[row]
-        out = [(None, None, p, f, t) for p, f, t in zip(pid[row].tolist(), (at - closes + 1).tolist(), (at - opens).tolist(), strict=True)]
+        anchors = place[row]
+        out = [(None, None, p, f, t) for p, f, t in zip(pid[row].tolist(), (anchors - closes + 1).tolist(), (anchors - opens).tolist(), strict=True)]
         out += [(r, digest, p, s, s) for r, digest, p, s in edge]
         return _batch(out, ["run", "digest", "pid", "low", "high"], [pa.int32(), pa.binary(), pa.int64(), pa.int64(), pa.int64()])
 
