@@ -124,7 +124,8 @@ def with_revisits(records: DataFrame, least_bytes: int = MIN_REVISIT_BYTES) -> D
     Payloads meet as digests; only which record is a revisit of which is joined to the records, by their own ids, so one common payload is no task of its own.
     """
     sized = records.where(F.col("payload_bytes") >= least_bytes).select("payload_digest", "page_id", "record_id")
-    first = sized.groupBy("payload_digest").agg(F.min(F.struct("page_id", "record_id")).alias("first"), F.count("*").alias("n")).where("n > 1").select("payload_digest", "first")
+    has_id = F.when(F.col("page_id").isNotNull(), F.struct("page_id", "record_id"))  # a page without an id is never referred to
+    first = sized.groupBy("payload_digest").agg(F.min(has_id).alias("first"), F.count("*").alias("n")).where("n > 1 and first is not null").select("payload_digest", "first")
     first = cut(first, "responses")
     again = sized.join(first, "payload_digest").where("page_id > first.page_id").select(F.col("page_id").alias("of_page"), F.col("record_id").alias("of_id"), "first").distinct()
     out = records.join(again, (F.col("page_id") == F.col("of_page")) & (F.col("record_id") == F.col("of_id")), "left")

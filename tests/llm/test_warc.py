@@ -42,3 +42,9 @@ def test_round_trip_and_revisits(spark):
 
 def test_no_pages(spark):
     assert pages_to_warc(spark.createDataFrame([], "page_id long, url string, html string"), new_folder(spark, "warc")).collect() == []
+
+
+def test_a_page_without_an_id_is_no_response_to_others(spark):
+    rows = [(None, "a", "x" * 150), (5, "b", "x" * 150), (3, "c", "x" * 150), (None, "d", "z" * 150), (None, "e", "z" * 150)]
+    got = pages_to_warc(spark.createDataFrame(rows, "page_id long, url string, html string"), new_folder(spark, "warc")).collect()
+    assert sorted((r.uri, r.record_type, r.refers_to) for r in got) == [("a", "response", None), ("b", "revisit", 3), ("c", "response", None), ("d", "response", None), ("e", "response", None)]
