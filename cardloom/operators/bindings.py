@@ -46,14 +46,21 @@ def materialize(values: DataFrame) -> DataFrame:
     accepted = [why for keep, why in BY_RELATION.values() if keep] + ["not_applicable_for_model_class"]
     rows = rows.withColumn("reason", reason.otherwise("referent_unresolved"))
     rows = rows.withColumn("action", F.when(c("reason").isin(*accepted), "accept").otherwise("withhold"))
-    return rows.withColumn("binding_id", T.content_id("bind", c("target").cast("string"), c("field"), c("idx").cast("string"), c("value"), c("relation"), c("action"), c("reason")))
+    return rows.withColumn("binding_id", _id())
+
+
+def _id() -> Column:
+    """A binding's id follows from all that it states, its action and reason too."""
+    c = F.col
+    return T.content_id("bind", c("target").cast("string"), c("field"), c("idx").cast("string"), c("value"), c("relation"), c("action"), c("reason"))
 
 
 def withhold(bindings: DataFrame, refusals: DataFrame) -> DataFrame:
-    """bindings with the accepted ones of each field that refusals(target, field, why) names turned into refused ones."""
+    """bindings with the accepted ones of each field that refusals(target, field, why) names turned into refused ones, which get new ids as their action and reason are part of them."""
     met = bindings.join(refusals.groupBy("target", "field").agg(F.min("why").alias("why")), ["target", "field"], "left")
     turned = (F.col("action") == "accept") & F.col("why").isNotNull()
-    return met.select(*[F.when(turned, F.col("why")).otherwise(F.col("reason")).alias("reason") if c == "reason" else F.when(turned, "withhold").otherwise(F.col("action")).alias("action") if c == "action" else F.col(c) for c in bindings.columns])
+    new = {"reason": F.when(turned, F.col("why")).otherwise(F.col("reason")), "action": F.when(turned, "withhold").otherwise(F.col("action"))}
+    return met.withColumns(new).withColumn("binding_id", F.when(turned, _id()).otherwise(F.col("binding_id"))).select(*bindings.columns)
 
 
 def card_cells(bindings: DataFrame) -> DataFrame:

@@ -11,6 +11,10 @@ from cardloom.operators.evidence import copied_runs
 from cardloom.operators.metrics import filled
 
 
+# The kinds of sensitive text that hold a card back; addresses of mail and licenses are a card's own business.
+WITHHELD = ("path", "folder", "workspace", "secret", "host")
+
+
 def render(cells: DataFrame, policy: DataFrame) -> DataFrame:
     """(target, markdown, sha256, unavailable): sections and fields in the contract's order, values escaped, absent fields listed at the end."""
     rows = cells.join(policy.select("field", "section", "ordinal"), "field")
@@ -32,7 +36,7 @@ def render(cells: DataFrame, policy: DataFrame) -> DataFrame:
 
 def refusals(cells: DataFrame, sources: DataFrame) -> DataFrame:
     """(target, field, reason): cells that hold sensitive text, or prose that runs for twelve words with a source."""
-    leaks = cells.where(F.col("value").rlike("(?i)" + "|".join(f"(?:{T.SENSITIVE[k]})" for k in ("path", "secret", "host")))).select("target", "field", F.lit("sensitive_text").alias("reason"))
+    leaks = cells.where(F.col("value").rlike("(?i)" + "|".join(f"(?:{T.SENSITIVE[k]})" for k in WITHHELD))).select("target", "field", F.lit("sensitive_text").alias("reason"))
     keyed = cells.select(F.to_json(F.struct("target", "field")).alias("value_id"), F.col("value").alias("text"))
     copied = copied_runs(keyed, sources).select(F.from_json("value_id", "target string, field string").alias("k"))
     return leaks.unionByName(copied.select("k.target", "k.field", F.lit("prose_reproduces_source_excerpt").alias("reason")))

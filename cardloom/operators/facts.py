@@ -8,6 +8,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cardloom.functions import jsons
 from cardloom.functions import text as T
 
 
@@ -38,14 +39,33 @@ def architecture(config: dict[str, Column]) -> Column:
     )
 
 
+# What may be an identifier, and how it is folded.
+CANDIDATE = r"(?U)\b(?:[A-Za-z0-9][\w.]*/[\w.\-]+|[A-Za-z][\w.]*(?:[-_][A-Za-z0-9][\w.]*)+|[A-Za-z]+\d[\w.]*)\b"
+NOT_FOLDED = "[^a-z0-9/]"
+
+
+def identifiers(text: Column) -> Column:
+    """The identifiers of a text, folded, sorted: repository ids, and names that have a digit or a capital within; a word that is only compounded names nothing."""
+    found = F.filter(F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(f"({CANDIDATE})"), 1), lambda t: F.char_length(t) >= 3)
+    named = F.filter(found, lambda t: t.contains("/") | t.rlike(r"(?U)\d") | F.regexp_replace(t, "[-_]", "").rlike("^.+[A-Z]"))
+    folded = F.transform(named, lambda t: F.regexp_replace(F.lower(t), NOT_FOLDED, ""))
+    return F.array_sort(F.array_distinct(F.filter(folded, lambda t: (t != "") & ~t.rlike(r"^\d+$"))))
+
+
+def leaf_text(value: Column) -> Column:
+    """All leaves of a JSON value as one text; a value that isn't JSON is its own text."""
+    return F.coalesce(F.array_join(F.transform(jsons.leaves(value), lambda x: x["leaf"]), " "), value)
+
+
 def unsupported_leaves(values: DataFrame) -> DataFrame:
-    """values(binding_id, value, evidence, established array<string>): the numbers and identifiers of a value that neither its evidence nor established text holds.
+    """(binding_id, leaf) of values(binding_id, value, evidence, established array<string>): the numbers and identifiers in the leaves of a JSON value that neither its evidence nor established text holds.
 
-    A number counts as found in any scale it may be written in; an identifier also if a longer one contains it.
+    A number counts as found in any scale it may be written in; an identifier also if a longer one contains it. A value that isn't JSON counts as one leaf. Null evidence and null or
+    empty established support nothing; each leaf comes once.
     """
-    ids = lambda c: F.transform(F.regexp_extract_all(c, F.lit(r"([A-Za-z][A-Za-z0-9]*(?:[-/.][A-Za-z0-9]+)+|[A-Za-z]+\d+[A-Za-z0-9]*)"), 1), lambda x: F.lower(F.regexp_replace(x, "[^A-Za-z0-9/]", "")))
     have = F.concat_ws(" ", "evidence", F.array_join("established", " "))
-    v = values.select("binding_id", T.canonical_numbers(F.col("value")).alias("vn"), T.canonical_numbers(have).alias("hn"), ids(F.col("value")).alias("vi"), ids(have).alias("hi"))
+    rows = values.select("binding_id", leaf_text(F.col("value")).alias("text"), have.alias("have"))
+    v = rows.select("binding_id", T.canonical_numbers(F.col("text")).alias("vn"), T.canonical_numbers(F.col("have")).alias("hn"), identifiers(F.col("text")).alias("vi"), identifiers(F.col("have")).alias("hi"))
     loose = F.filter("vi", lambda x: ~F.exists("hi", lambda h: h.contains(x)))
     numbers = F.transform(F.array_except("vn", "hn"), lambda x: x.cast("string"))
     return v.select("binding_id", F.explode(F.array_distinct(F.concat(numbers, loose))).alias("leaf"))

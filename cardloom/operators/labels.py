@@ -100,10 +100,21 @@ def shots(cell: Column) -> Column:
 
 
 def leading_columns(header: Column, first_model: Column) -> Column:
-    """struct(name, metric, shots): places of the columns before the first model that hold these; name is 0 and the others null where none does."""
+    """struct(name, metric, shots): places of the columns before the first model that hold these.
+
+    Place 0 stands for the name until a later column has a name's heading, so of two such columns at 0 and 1 the second is it; name is 0 and the others null where none does. A column that the name takes is no other.
+    """
     norm = F.transform(F.slice(header, 1, F.greatest(first_model, F.lit(0))), T.label)
-    at = lambda pattern: F.array_min(F.filter(F.transform(norm, lambda x, i: F.when(x.rlike(pattern), i)), lambda i: i.isNotNull()))
-    return F.struct(F.coalesce(at(NAME_COLUMN), F.lit(0)).alias("name"), at(METRIC_COLUMN).alias("metric"), at(SHOTS_COLUMN).alias("shots"))
+    start = F.struct(F.lit(0).alias("name"), F.lit(None).cast("int").alias("metric"), F.lit(None).cast("int").alias("shots"))
+
+    def take(found: Column, cell: Column) -> Column:
+        at, heading = cell["at"], cell["heading"]
+        named = (found["name"] == 0) & heading.rlike(NAME_COLUMN)
+        metric = ~named & found["metric"].isNull() & heading.rlike(METRIC_COLUMN)
+        shots = ~named & ~metric & found["shots"].isNull() & heading.rlike(SHOTS_COLUMN)
+        return F.struct(F.when(named, at).otherwise(found["name"]).alias("name"), F.when(metric, at).otherwise(found["metric"]).alias("metric"), F.when(shots, at).otherwise(found["shots"]).alias("shots"))
+
+    return F.aggregate(F.transform(norm, lambda x, i: F.struct(i.alias("at"), x.alias("heading"))), start, take)
 
 
 def around(lines: DataFrame, most: int = 3) -> DataFrame:

@@ -93,3 +93,36 @@ def score_lines(lines: DataFrame, aliases: DataFrame) -> DataFrame:
     pairs = mine.select("doc_id", "block", F.explode(F.slice(F.arrays_zip(F.col("header").alias("h"), F.col("cells").alias("c")), 2, F.greatest(F.size("header"), F.size("cells")))).alias("z"))
     by_row = _scores(pairs.select("doc_id", "block", F.col("z.h").alias("benchmark"), F.col("z.c").alias("score")), "row")
     return by_column.unionByName(by_row)
+
+
+def _nth(text: Column, part: Column, n: Column, start: Column, end: Column) -> Column:
+    """Where the n-th occurrence (from 0) of part begins in text from start on and ends by end, each looked for behind the one before; -1 if there are fewer."""
+    size = F.char_length(part)
+
+    def next_one(at: Column, _: Column) -> Column:
+        found = F.call_function("locate", part, text, at + 1) - 1
+        return F.when((at < 0) | (found < 0) | (found + size > end), F.lit(-1)).otherwise(found + size)
+
+    after = F.aggregate(F.sequence(F.lit(0), n), start.cast("int"), next_one)
+    return F.when(after < 0, F.lit(-1)).otherwise(after - size)
+
+
+def row_spans(requests: DataFrame, sources: DataFrame) -> DataFrame:
+    """(request_id, start, end, fault): where a row stands in a block of a source, in normalized text.
+
+    requests(request_id, source_id, block, row, nth_block, nth_row): the nth_row-th occurrence of the row inside the nth_block-th occurrence of the block, both from 0, occurrences not overlapping.
+    Faults: negative_occurrence, empty_text (block or row is blank), source_absent, block_absent, row_absent; then start and end are null. Requests meet sources(source_id, text) by id, and offsets are found by
+    stepping from one occurrence to the next, so no document is taken apart.
+    """
+    texts = sources.select("source_id", T.normalized(F.coalesce("text", F.lit(""))).alias("_text"))
+    r = requests.select("request_id", "source_id", T.normalized(F.coalesce("block", F.lit(""))).alias("block"), T.normalized(F.coalesce("row", F.lit(""))).alias("row"), F.col("nth_block").cast("int").alias("nth_block"), F.col("nth_row").cast("int").alias("nth_row"))
+    early = F.when((F.col("nth_block") < 0) | (F.col("nth_row") < 0), "negative_occurrence").when((F.col("block") == "") | (F.col("row") == ""), "empty_text")
+    rows = r.withColumn("early", early).join(texts, "source_id", "left")
+    early = F.coalesce("early", F.when(F.col("_text").isNull(), "source_absent"))
+    block = F.when(early.isNull(), _nth(F.col("_text"), F.col("block"), F.col("nth_block"), F.lit(0), F.char_length("_text")))
+    rows = rows.withColumn("early", early).withColumn("at_block", block)
+    start = F.when(F.col("at_block") >= 0, _nth(F.col("_text"), F.col("row"), F.col("nth_row"), F.col("at_block"), F.col("at_block") + F.char_length("block")))
+    rows = rows.withColumn("start", start)
+    fault = F.coalesce("early", F.when(F.col("at_block") < 0, "block_absent"), F.when(F.col("start") < 0, "row_absent"))
+    found = fault.isNull()
+    return rows.select("request_id", F.when(found, F.col("start")).cast("long").alias("start"), F.when(found, F.col("start") + F.char_length("row")).cast("long").alias("end"), fault.alias("fault"))

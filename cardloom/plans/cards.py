@@ -104,12 +104,12 @@ def shots_and_labels(spark, d):
     return read(spark, d, "lineitem").select("l_orderkey", "l_linenumber", labels.shots(cell).alias("setting"), labels.clean(link).alias("label"))
 
 
-@query("""WITH t AS (SELECT p_partkey, p_size % 4 AS first, p_partkey % 3 AS k FROM part)
-SELECT p_partkey, CASE WHEN k = 0 AND first > 1 THEN 1 ELSE 0 END AS name, CASE WHEN k = 0 AND first > 0 THEN 0 WHEN k = 1 AND first > 2 THEN 2 END AS metric, CASE WHEN k = 2 AND first > 1 THEN 1 END AS shots FROM t""")
+@query("""WITH t AS (SELECT p_partkey, p_size % 4 AS first, p_partkey % 4 AS k FROM part)
+SELECT p_partkey, CASE WHEN k = 0 AND first > 1 THEN 1 WHEN k = 3 AND first > 1 THEN 1 ELSE 0 END AS name, CASE WHEN k = 0 AND first > 0 THEN 0 WHEN k = 1 AND first > 2 THEN 2 END AS metric, CASE WHEN k = 2 AND first > 1 THEN 1 END AS shots FROM t""")
 def leading_columns(spark, d):
-    """Headers of three kinds: metric first, name first with a metric in third place, and shots in second place."""
-    k = F.col("p_partkey") % 3
-    header = F.when(k == 0, F.array(F.lit("Metric"), F.lit("**Benchmark**"), F.lit(""), F.lit("M"))).when(k == 1, F.array(F.lit("Tasks"), F.lit("Lang"), F.lit("metric name"), F.lit("M"))).otherwise(F.array(F.lit("Dataset"), F.lit("# Shots"), F.lit("x"), F.lit("M")))
+    """Headers of four kinds: metric first, name first with a metric in third place, shots in second place, and two columns of names, the second of which counts."""
+    k = F.col("p_partkey") % 4
+    header = F.when(k == 0, F.array(F.lit("Metric"), F.lit("**Benchmark**"), F.lit(""), F.lit("M"))).when(k == 1, F.array(F.lit("Tasks"), F.lit("Lang"), F.lit("metric name"), F.lit("M"))).when(k == 2, F.array(F.lit("Dataset"), F.lit("# Shots"), F.lit("x"), F.lit("M"))).otherwise(F.array(F.lit("Task"), F.lit("Dataset"), F.lit("Task"), F.lit("M")))
     return read(spark, d, "part").select("p_partkey", labels.leading_columns(header, F.col("p_size") % 4).alias("c")).select("p_partkey", "c.*")
 
 
@@ -166,6 +166,15 @@ def withheld_after_checks(spark, d):
     return bindings.withhold(bindings.materialize(_values(spark, d)), refusals).groupBy("reason", "action").agg(F.count("*").alias("n"))
 
 
+@query(f"""WITH b AS {_BOUND}, r AS (SELECT DISTINCT o_orderkey AS target FROM orders WHERE o_orderpriority LIKE '1%'), t AS (SELECT b.*, action = 'accept' AND r.target IS NOT NULL AND field IN ('identity.summary', 'identity.name') AS turned FROM b LEFT JOIN r USING (target))
+SELECT target, field, idx, CASE WHEN turned THEN 'bind_' || left(sha256(target || chr(10) || field || chr(10) || coalesce(idx::VARCHAR, 'null') || chr(10) || value || chr(10) || coalesce(relation, 'null') || chr(10) || 'withhold' || chr(10) || 'prose_reproduces_source_excerpt'), 24) ELSE binding_id END AS binding_id FROM t""")
+def withheld_binding_ids(spark, d):
+    """A binding that a later check turns into a refused one states something else, and so has another id."""
+    urgent = read(spark, d, "orders").where("o_orderpriority like '1%'").select(F.col("o_orderkey").alias("target"))
+    refusals = urgent.withColumn("field", F.explode(F.array(F.lit("identity.summary"), F.lit("identity.name")))).withColumn("why", F.lit("prose_reproduces_source_excerpt"))
+    return bindings.withhold(bindings.materialize(_values(spark, d)), refusals).select("target", "field", "idx", "binding_id")
+
+
 @query(f"""WITH k AS (SELECT target, field, idx, min(value) AS value, max(value) AS high FROM {_BOUND} WHERE action = 'accept' GROUP BY 1, 2, 3)
 SELECT target, field, CASE WHEN idx IS NOT NULL THEN (row_number() OVER (PARTITION BY target, field ORDER BY idx NULLS FIRST) - 1)::INT END AS at, value,
  CASE WHEN bool_or(idx IS NULL) OVER f AND bool_or(idx IS NOT NULL) OVER f THEN 'whole_and_indexed' WHEN value <> high THEN 'unequal_values' END AS fault FROM k WINDOW f AS (PARTITION BY target, field)""")

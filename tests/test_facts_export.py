@@ -39,3 +39,11 @@ def test_cards(spark):
     prose = spark.createDataFrame([("m", "identity.summary", "x " + " ".join(f"w{i}" for i in range(12)))], "target string, field string, value string")
     got = {tuple(r) for r in export.refusals(cells.unionByName(prose), src).collect()}
     assert got == {("m", "links.citation", "sensitive_text"), ("m", "identity.summary", "prose_reproduces_source_excerpt")}
+
+
+def test_each_kind_of_private_text_holds_a_card_back(spark):
+    held = ["/Users/x", "see /home/me", "C:\\Users\\x", "in ~/notes", "file://x", "a .cache/ here", ".venv/lib", ".pyenv\\x", "the vault/ folder".replace("the ", "/"), "attachments/1", "run-state", "openrouter", "api_key", "Bearer abc", "hf_" + "a" * 24, "localhost", "127.0.0.1", "https://me:pw@host/x"]
+    fine = ["me@host.org", "licensed under MIT", "a vaulted roof", "cache and venv", "https://host/x@y"]
+    cells = spark.createDataFrame([(str(i), "identity.name", v) for i, v in enumerate(held + fine)], "target string, field string, value string")
+    none = spark.createDataFrame([], "source_id long, text string")
+    assert {int(r["target"]) for r in export.refusals(cells, none).collect()} == set(range(len(held)))
