@@ -58,9 +58,10 @@ def _id() -> Column:
 def withhold(bindings: DataFrame, refusals: DataFrame) -> DataFrame:
     """bindings with the accepted ones of each field that refusals(target, field, why) names turned into refused ones, which get new ids as their action and reason are part of them."""
     met = bindings.join(refusals.groupBy("target", "field").agg(F.min("why").alias("why")), ["target", "field"], "left")
-    turned = (F.col("action") == "accept") & F.col("why").isNotNull()
-    new = {"reason": F.when(turned, F.col("why")).otherwise(F.col("reason")), "action": F.when(turned, "withhold").otherwise(F.col("action"))}
-    return met.withColumns(new).withColumn("binding_id", F.when(turned, _id()).otherwise(F.col("binding_id"))).select(*bindings.columns)
+    met = met.withColumn("_turned", (F.col("action") == "accept") & F.col("why").isNotNull())
+    turned = F.col("_turned")
+    new = met.withColumns({"reason": F.when(turned, F.col("why")).otherwise(F.col("reason")), "action": F.when(turned, "withhold").otherwise(F.col("action"))})
+    return new.withColumn("binding_id", F.when(turned, _id()).otherwise(F.col("binding_id"))).select(*bindings.columns)
 
 
 def card_cells(bindings: DataFrame) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from cardloom.functions import jsons
-from cardloom.operators import facts, metadata, sampling, tables
+from cardloom.operators import facts, metadata, sampling, schema, tables
 from cardloom.plans.catalogue import query, read
 
 
@@ -151,3 +151,75 @@ def quota_apportionment(spark, d):
 )
 def exact_stratified_draw(spark, d):
     return sampling.drawn(read(spark, d, "documents").select("doc_id", "source", "lang"), "doc_id", ["source", "lang"], 180, "s3")
+
+
+# A card that keeps the contract, in parts, and what is put in place of a part to break it: {part: text}, then the rows of path and rule that follow.
+_CARD = {
+    "identity": '{"model_id": "org/m", "name": "N"}', "lineage": '{"base_models": [{"model_id": "org/b", "relation": "base_model", "kind": "x"}]}', "specifications": '{"input_output": ["text", "image"]}', "training_context": "{}",
+    "access_and_adoption": '{"downloads": "Not specified"}', "evaluation": '{"benchmark_scores": [{"benchmark": "B", "metric": "acc", "score": 71.5, "setting": "5-shot"}]}', "links": '{"model_card": "https://x.y/z"}', "risks": '{"possible_risks": "Not applicable"}',
+}
+_BASE = '{"base_models": [%s]}'
+_BROKEN: list[tuple[dict[str, str | None], list[tuple[str, str]]]] = [
+    ({}, []),
+    ({"risks": None}, [("/risks", "required")]),
+    ({"audit": "1"}, [("/audit", "additionalProperties")]),
+    ({"identity": '{"a/b": 1}'}, [("/identity/a~1b", "additionalProperties")]),
+    ({"identity": '{"model_id": "none"}'}, [("/identity/model_id", "pattern")]),
+    ({"identity": '{"name": ""}'}, [("/identity/name", "minLength"), ("/identity/name", "pattern")]),
+    ({"identity": '{"name": 5}'}, [("/identity/name", "anyOf")]),
+    ({"lineage": _BASE % ""}, [("/lineage/base_models", "minItems")]),
+    ({"lineage": _BASE % '{"model_id": "o/b", "relation": "base_model"}, {"relation": "base_model", "model_id": "o/b"}'}, [("/lineage/base_models", "uniqueItems")]),
+    ({"lineage": _BASE % '{"model_id": "o/b", "relation": "derivative_model"}'}, [("/lineage/base_models/0/relation", "const")]),
+    ({"lineage": _BASE % '{"model_id": "o/b", "x": 1}'}, [("/lineage/base_models/0/relation", "required"), ("/lineage/base_models/0/x", "additionalProperties")]),
+    ({"specifications": '{"input_output": ["text", 5]}'}, [("/specifications/input_output/1", "type")]),
+    ({"evaluation": '{"benchmark_scores": [{"benchmark": "B", "metric": "m", "score": null, "setting": "s"}]}'}, [("/evaluation/benchmark_scores/0/score", "anyOf")]),
+    ({"links": '{"model_card": "not a uri"}'}, [("/links/model_card", "format")]),
+    ({"links": "[]"}, [("/links", "type")]),
+    ({"risks": '{"possible_risks": [{"category": "c", "description": " ", "url": null}]}'}, [("/risks/possible_risks/0/description", "pattern")]),
+    ({"risks": "{"}, [("", "not_json")]),
+    ({"risks": '{"possible_risks": "Not applicable", "possible_risks": "Not applicable"}'}, [("", "not_strict")]),
+    ({"evaluation": '{"benchmark_scores": [{"benchmark": "B", "metric": "m", "score": NaN, "setting": "s"}]}'}, [("", "not_strict")]),
+    ({"evaluation": '{"benchmark_scores": "none"}'}, [("/evaluation/benchmark_scores", "anyOf")]),
+]
+
+
+def _card(changed: dict[str, str | None]) -> str:
+    return "{" + ", ".join(f'"{k}": {v}' for k, v in (_CARD | changed).items() if v is not None) + "}"
+
+
+def _rows(cases: list[tuple], key: str, table: str) -> str:
+    return " UNION ALL ".join(f"SELECT {key} AS key, '{p}' AS path, '{r}' AS rule FROM {table} WHERE {key} % {len(cases)} = {i}" for i, (_, found) in enumerate(cases) for p, r in found)
+
+
+@query(_rows(_BROKEN, "p_partkey", "part"))
+def publication_faults(spark, d):
+    """Cards of all parts, one in twenty whole and the others each broken in one way; names go in, so that no two cards are the same text."""
+    part = read(spark, d, "part")
+    which = F.element_at(F.array(*[F.lit(_card(changed)) for changed, _ in _BROKEN]), (F.col("p_partkey") % len(_BROKEN) + 1).cast("int"))
+    text = F.replace(which, F.lit('"N"'), F.concat(F.lit('"'), "p_name", F.lit('"')))
+    return schema.schema_faults(part.select(F.col("p_partkey").alias("key"), text.alias("json")), schema.publication_schema())
+
+
+_VALUES: list[tuple[tuple[str, str], list[tuple[str, str]]]] = [
+    (("identity.name", '"x"'), []),
+    (("identity.name", '"Not specified"'), []),
+    (("identity.name", "[]"), [("", "anyOf")]),
+    (("identity.name[0]", '"x"'), [("", "not_a_list")]),
+    (("identity.none", '"x"'), [("", "unknown_field")]),
+    (("lineage.base_models[0]", '{"model_id": "a/b", "relation": "base_model"}'), []),
+    (("lineage.base_models[12]", '"x"'), [("", "type")]),
+    (("lineage.base_models[01]", '"x"'), [("", "unknown_field")]),
+    (("lineage.derivatives", '[{"model_id": "a/b", "relation": "base_model"}]'), [("/0/relation", "const")]),
+    (("evaluation.benchmark_scores[1]", '{"benchmark": "b", "metric": "m", "score": " ", "setting": "s", "split": ""}'), [("/score", "pattern"), ("/split", "minLength"), ("/split", "pattern")]),
+    (("risks.possible_risks", "[]"), [("", "minItems")]),
+    (("links.citation", '"no link"'), []),
+    (("links.tech_report", "{]"), [("", "not_json")]),
+]
+
+
+@query("SELECT key, field, path, rule FROM (" + " UNION ALL ".join(f"SELECT o_orderkey AS key, '{field}' AS field, '{p}' AS path, '{r}' AS rule FROM orders WHERE o_orderkey % {len(_VALUES)} = {i}" for i, ((field, _), found) in enumerate(_VALUES) for p, r in found) + ")")
+def field_value_faults(spark, d):
+    at = (F.col("o_orderkey") % len(_VALUES) + 1).cast("int")
+    pick = lambda n: F.element_at(F.array(*[F.lit(case[n]) for case, _ in _VALUES]), at)
+    rows = read(spark, d, "orders").select(F.col("o_orderkey").alias("key"), pick(0).alias("field"), pick(1).alias("json"))
+    return schema.field_faults(rows, schema.publication_schema())
