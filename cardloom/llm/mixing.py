@@ -52,7 +52,7 @@ def _chance(*of: Column) -> Column:
     return F.shiftrightunsigned(F.xxhash64(*of), 11) / F.lit(float(1 << 53))
 
 
-_UNIT = "struct<key:bigint,mass:double,part:double,doc_id:bigint,size:bigint,n:bigint,version:bigint>"
+_UNIT = "struct<key:bigint,mass:double,part:double,doc_id:bigint,size:bigint,n:bigint,sure:bigint,version:bigint>"
 
 
 def _fold(units: Column, level: Column) -> Column:
@@ -81,10 +81,10 @@ def _fold(units: Column, level: Column) -> Column:
 
 
 def mix_decisions(documents: DataFrame, share: float = SHARE, most: float = MOST_COPIES, weights: tuple[int, ...] = WEIGHTS, bucket: int = BUCKET) -> DataFrame:
-    """(source, doc_id, version, size, n, source_size, target, copies): one row for each document, n of which are in documents.
+    """(source, doc_id, version, size, n, source_size, target, copies, more): one row for each document, n of which are in documents; each is taken `copies` times, and `more` of the n once more.
 
-    Size is the number of words. Null, empty and blank texts have size 0 and are taken 0 times. Rows that repeat one doc_id with the same text in one source
-    are decided as one, each with the same number of copies. Ties need no rule: chance comes from hashes. A null source is a source of its own, the last.
+    Size is the number of words. Null, empty and blank texts have size 0 and are taken 0 times. Of n rows that repeat one doc_id with the same text in one source the whole part of
+    their common fraction is taken for sure, and what is left is rounded like one row's, so repeats miss the target by no more than one of them. Ties need no rule: chance comes from hashes. A null source is a source of its own, the last.
     A table without rows gives none; a null doc_id counts as an id. Columns beside doc_id, text and source aren't read.
     """
     size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
@@ -94,9 +94,11 @@ def mix_decisions(documents: DataFrame, share: float = SHARE, most: float = MOST
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     of = targets.withColumnRenamed("source", "_of")
     joined = docs.join(of, F.col("source").eqNullSafe(F.col("_of"))).drop("_of")
-    joined = joined.withColumns({"whole": F.floor(rate + _EPS), "part": F.greatest(rate - F.floor(rate + _EPS), F.lit(0.0)), "buckets": F.ceil(F.col("n_docs") / bucket)})
+    of_all = F.col("n") * F.greatest(rate - F.floor(rate + _EPS), F.lit(0.0))  # how many of the n are to be taken once more, on average
+    sure = F.floor(of_all + _EPS)
+    joined = joined.withColumns({"sure": sure.cast("long"), "part": F.greatest(of_all - sure, F.lit(0.0)), "buckets": F.ceil(F.col("n_docs") / bucket)})
     key = F.xxhash64(F.lit("unit"), "doc_id", "version", "size")
-    unit = F.struct(key.alias("key"), (F.col("size") * F.col("n")).cast("double").alias("mass"), "part", "doc_id", "size", "n", "version")
+    unit = F.struct(key.alias("key"), F.col("size").cast("double").alias("mass"), "part", "doc_id", "size", "n", "sure", "version")
     open_ = (F.col("size") > 0) & (F.col("part") > _EPS)
     at = joined.where(open_).select("source", "buckets", F.pmod(key, F.col("buckets")).alias("bucket"), unit.alias("unit"))
     levels, level = [], 0
@@ -115,29 +117,35 @@ def mix_decisions(documents: DataFrame, share: float = SHARE, most: float = MOST
     rounded = levels[0]
     for x in levels[1:]:
         rounded = rounded.unionByName(x)
-    rounded = rounded.select("source", "u.doc_id", "u.size", "u.version", "u.n", F.col("u.part").cast("long").alias("extra"))
-    rest = joined.where(~open_).select("source", "doc_id", "size", "version", "n", F.lit(0).cast("long").alias("extra"))
+    rounded = rounded.select("source", "u.doc_id", "u.size", "u.version", "u.n", (F.col("u.sure") + F.col("u.part").cast("long")).alias("more"))
+    rest = joined.where(~open_).select("source", "doc_id", "size", "version", "n", F.when(F.col("size") > 0, F.col("sure")).otherwise(0).cast("long").alias("more"))
     copies = rounded.unionByName(rest)
     out = copies.join(of, F.col("source").eqNullSafe(F.col("_of"))).drop("_of")
     whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size") + _EPS)).otherwise(0)
-    out = out.withColumn("copies", F.when(F.col("size") > 0, whole + F.col("extra")).otherwise(0).cast("long"))
-    return out.select("source", "doc_id", "version", "size", "n", "source_size", "target", "copies")
+    out = out.withColumn("copies", F.when(F.col("size") > 0, whole).otherwise(0).cast("long"))
+    return out.select("source", "doc_id", "version", "size", "n", "source_size", "target", "copies", "more")
 
 
 def mix_sources(documents: DataFrame, share: float = SHARE, most: float = MOST_COPIES, weights: tuple[int, ...] = WEIGHTS) -> DataFrame:
     """(doc_id, size, source_size, target, taken, copies) of each row of documents; see mix_decisions."""
     found = mix_decisions(documents, share, most, weights)
-    taken = (F.col("copies") * F.col("size")).alias("taken")
-    return found.select("doc_id", "size", "source_size", "target", taken, "copies", F.explode(F.sequence(F.lit(1), F.col("n"))).alias("_row")).drop("_row")
+    rows = found.withColumn("place", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n")))).withColumn("copies", F.col("copies") + (F.col("place") <= F.col("more")).cast("long"))
+    return rows.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "copies")
 
 
 def mixed(documents: DataFrame, share: float = SHARE, most: float = MOST_COPIES, weights: tuple[int, ...] = WEIGHTS) -> DataFrame:
     """The mix itself: each row of documents as often as the mix takes it, with all its columns, whatever they are called; edge cases as in mix_decisions."""
-    found = mix_decisions(documents, share, most, weights).where("copies > 0").select(F.col("source").alias("of_source"), F.col("doc_id").alias("of_doc"), F.col("version").alias("of"), "copies")
+    found = mix_decisions(documents, share, most, weights).where("copies > 0 or more > 0")
+    found = found.select(F.col("source").alias("of_source"), F.col("doc_id").alias("of_doc"), F.col("version").alias("of"), "copies", "more", "n")
     docs = packed(documents, doc_id=F.col("doc_id").cast("long"), version=F.xxhash64("text"), source=F.col("source"))
     same = F.col("doc_id").eqNullSafe(F.col("of_doc")) & F.col("version").eqNullSafe(F.col("of")) & F.col("source").eqNullSafe(F.col("of_source"))
-    rows = docs.join(found, same).select("row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
-    return unpacked(rows, documents.columns)
+    met = docs.join(found, same)
+    alike = met.where((F.col("more") == 0) | (F.col("more") == F.col("n"))).select("row", (F.col("copies") + (F.col("more") > 0).cast("long")).alias("times"))
+    # only repeated rows that aren't all treated alike need places
+    place = F.row_number().over(Window.partitionBy("doc_id", "version", "source").orderBy(F.xxhash64("row")))
+    placed = met.where((F.col("more") > 0) & (F.col("more") < F.col("n"))).withColumn("place", place)
+    rows = alike.unionByName(placed.select("row", (F.col("copies") + (F.col("place") <= F.col("more")).cast("long")).alias("times"))).where("times > 0")
+    return unpacked(rows.select("row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("times")))), documents.columns)
 
 
 def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:

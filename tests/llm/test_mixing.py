@@ -49,3 +49,19 @@ def test_edges(docs):
     out = mixed(docs(*rows))
     assert out.columns == docs(*rows).columns
     assert out.count() == sum(r.copies for r in got)
+
+
+def test_repeated_rows_keep_to_the_target(docs):
+    from cardloom.llm.mixing import mix_sources, mixed
+
+    rows = [(7, "two words", "en", "a")] * 1000 + [(i, "w " * (i % 30 + 1), "en", "b") for i in range(100, 160)] + [(1, None, "en", "a"), (1, None, "en", "a")]
+    got = mix_sources(docs(*rows)).collect()
+    assert len(got) == len(rows)
+    for size in {r["source_size"] for r in got}:
+        of = [r for r in got if r["source_size"] == size]
+        assert abs(sum(r["taken"] for r in of) - of[0]["target"]) <= 30
+        assert all(r["taken"] <= 2 * r["size"] for r in of)
+    a = [r for r in got if r["doc_id"] == 7]
+    assert abs(sum(r["taken"] for r in a) - a[0]["target"]) <= 2
+    back = mixed(docs(*rows)).where("doc_id = 7").count()
+    assert back * 2 == sum(r["taken"] for r in a)
