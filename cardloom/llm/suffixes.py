@@ -165,14 +165,17 @@ def _known(at: list[int], size: int) -> int:
     return len(at)
 
 
-def _spans(at: list[int], j: int, letters: int, length: int) -> bool:
-    """Whether a name over so many letters from the j-th on reaches over length bytes or to the end."""
-    return j + letters >= len(at) or at[j + letters - 1] + REACH - at[j] >= length
+def _needs(at: list[int], j: int, length: int) -> int:
+    """How many letters from the j-th on reach over length bytes or to the end."""
+    for i in range(j, len(at)):
+        if at[i] + REACH - at[j] >= length:
+            return i - j + 1
+    return len(at) - j
 
 
 def _triples(length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names, kinds = ["pid", "j", "digest", "content", "done"], [pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.bool_()]
+        names, kinds = ["pid", "j", "digest", "content", "needs"], [pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.int32()]
         for batch in batches:
             pids, out = batch.column("pid").to_pylist(), []
             for row, data, at, _, _ in _by_piece(batch, length):
@@ -181,30 +184,7 @@ def _triples(length: int):
                     if j % 3:
                         end = at[j + 2] + REACH if j + 2 < len(at) else len(data)
                         content = data[at[j] : min(end, at[j] + length)]
-                        out.append((pids[row], j, _digest(content), content, _spans(at, j, 3, length)))
-                if len(out) > 1 << 15:
-                    yield _batch(out, names, kinds)
-                    out = []
-            yield _batch(out, names, kinds)
-
-    return run
-
-
-def _tripled(width: int, length: int):
-    """Keys of three names, `width` letters apart, of each sampled letter."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names, kinds = ["pid", "j", "a", "b", "c", "done"], [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.bool_()]
-        for batch in batches:
-            out = []
-            of, named = batch.column("pid").to_pylist(), batch.column("names").to_pylist()
-            for row, data, at, _, _ in _by_piece(batch, length):
-                at = at[: _known(at, len(data))]
-                name = {x["j"]: x["name"] for x in named[row] or ()}
-                for j in name:
-                    reached = _spans(at, j, width, length)
-                    b, c = (0, 0) if reached else (name.get(j + width, 0), name.get(j + 2 * width, 0))
-                    out.append((of[row], j, name[j], b, c, _spans(at, j, 3 * width, length)))
+                        out.append((pids[row], j, _digest(content), content, _needs(at, j, length)))
                 if len(out) > 1 << 15:
                     yield _batch(out, names, kinds)
                     out = []
@@ -328,23 +308,35 @@ def _named(keys: DataFrame, by: list[str], keep: list[str]) -> DataFrame:
 
 
 def _collected(rows: DataFrame) -> DataFrame:
-    return rows.groupBy("pid").agg(F.array_sort(F.collect_list(F.struct("j", "name"))).alias("names"))
+    return rows.groupBy("pid").agg(F.array_sort(F.collect_list(F.struct("j", "name", "needs"))).alias("names"))
+
+
+def _tripled(named: DataFrame, width: int) -> DataFrame:
+    """(pid, j, needs, a, b, c): of each sampled letter its name over `width` letters and the names of the two letters that are as far on, 0 where there are none or the first reaches far enough.
+
+    Sampled letters stand at places 1, 2, 4, 5, ... so `width` letters, a multiple of three, are two thirds as many places on in the array.
+    """
+    step = 2 * width // 3
+
+    def key(x, i):
+        on = lambda k: F.when(x["needs"] <= width, F.lit(0)).otherwise(F.coalesce(F.get("names", i + k * step)["name"], F.lit(0))).cast("long")
+        return F.struct(x["j"].alias("j"), x["needs"].alias("needs"), x["name"].alias("a"), on(1).alias("b"), on(2).alias("c"))
+
+    return named.select("pid", F.explode(F.transform("names", key)).alias("x")).select("pid", "x.*")
 
 
 def sample_names(pieces: DataFrame, length: int) -> DataFrame:
     """(pid, bytes, names): the sampled letters of each of pieces(pid, bytes) with their ranks by `length` bytes at least, as a written table."""
-    rows = cut(pieces.mapInArrow(_triples(length), "pid long, j int, digest binary, content binary, done boolean"), "triples")
+    rows = cut(pieces.mapInArrow(_triples(length), "pid long, j int, digest binary, content binary, needs int"), "triples")
     ranks = _named(rows.groupBy("digest").agg(F.any_value("content").alias("content")), ["content"], ["digest"])
-    named = cut(_collected(rows.join(ranks, "digest").select("pid", "j", "name")), "sample")
-    open_ = not rows.where("not done").isEmpty()
+    named = cut(_collected(rows.join(ranks, "digest")), "sample")
+    most = rows.agg(F.max("needs")).first()[0] or 0
     done_with(rows, ranks)
     width = 3
-    while open_:
-        with_names = pieces.join(named, "pid")
-        rows = cut(with_names.mapInArrow(_tripled(width, length), "pid long, j int, a long, b long, c long, done boolean"), "triples")
+    while width < most:
+        rows = cut(_tripled(named, width), "triples")
         ranks = _named(rows.select("a", "b", "c").distinct(), ["a", "b", "c"], ["a", "b", "c"])
-        further = cut(_collected(rows.join(ranks, ["a", "b", "c"]).select("pid", "j", "name")), "sample")
-        open_ = not rows.where("not done").isEmpty()
+        further = cut(_collected(rows.join(ranks, ["a", "b", "c"])), "sample")
         done_with(rows, ranks, named)
         named, width = further, 3 * width
     out = cut(pieces.join(named, "pid", "left"), "sample")
