@@ -17,7 +17,7 @@ def stratified(population: DataFrame, key: str, strata: list[str], size: int, se
     h = F.md5(F.concat(F.lit(f"{seed}|"), F.col(key).cast("string")).cast("binary"))
     rank = F.row_number().over(Window.partitionBy(*strata).orderBy("h", key))
     rows = population.select(key, *strata, h.alias("h")).withColumn("draw", rank).where(F.col("draw") <= size)
-    return rows.join(F.broadcast(quota.select(*strata, "quota")), strata).where("draw <= quota").select(key, *strata, "draw")
+    return rows.join(quota.select(*strata, "quota"), strata).where("draw <= quota").select(key, *strata, "draw")
 
 
 def pairs_first(population: DataFrame, key: str, stem: str, size: int, seed: str) -> DataFrame:
