@@ -71,8 +71,8 @@ def reconcile(scores: DataFrame) -> DataFrame:
     value = T.score_value(F.col("score"))
     # one shuffle on the scope: distinct sources and scores of a scope are sets of its own size
     seen = scores.groupBy("scope", "source", "score").agg(F.count("*").alias("n")).withColumn("v", value)
-    # numbers agree if the smallest is the largest; a score that is no number agrees with none
-    per = seen.groupBy("scope").agg((F.min("source") == F.max("source")).alias("single"), F.size(F.collect_set("source")).cast("long").alias("sources"), F.size(F.collect_set("score")).cast("long").alias("scores"), (F.min("v") == F.max("v")).alias("agree"), F.min("score").alias("low"), F.max("score").alias("high"))
+    # numbers agree if all are numbers and the smallest is the largest; a score that is no number agrees with the same text only
+    per = seen.groupBy("scope").agg((F.min("source") == F.max("source")).alias("single"), F.size(F.collect_set("source")).cast("long").alias("sources"), F.size(F.collect_set("score")).cast("long").alias("scores"), ((F.min("score") == F.max("score")) | ((F.count("v") == F.count("*")) & (F.min("v") == F.max("v")))).alias("agree"), F.min("score").alias("low"), F.max("score").alias("high"))
     status = F.when(F.col("single"), "single_source").when(F.col("agree"), "agreed").otherwise("score_conflict_between_sources")
     return per.select("scope", "sources", "scores", status.alias("status"), F.when(status != "score_conflict_between_sources", F.col("low")).alias("kept"), F.concat_ws("|", "low", "high").alias("span"))
 

@@ -72,8 +72,12 @@ def front_matter(text: Column) -> Column:
 
 def sections(docs: DataFrame) -> DataFrame:
     """(doc_id, at, level, title, path): the headings of Markdown documents with the titles above each, outermost first."""
-    lines = docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("at", "line")).where(F.col("line").rlike(r"^#{1,6}\s+\S"))
-    heads = lines.select("doc_id", "at", F.length(F.regexp_extract("line", "^(#+)", 1)).alias("level"), F.trim(F.regexp_extract("line", r"^#+\s+(.*)$", 1)).alias("title"))
+    return section_lines(docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("at", "line")))
+
+
+def section_lines(lines: DataFrame) -> DataFrame:
+    """As sections, of lines(doc_id, at, line)."""
+    heads = lines.where(F.col("line").rlike(r"^#{1,6}\s+\S")).select("doc_id", "at", F.length(F.regexp_extract("line", "^(#+)", 1)).alias("level"), F.trim(F.regexp_extract("line", r"^#+\s+(.*)$", 1)).alias("title"))
     upto = Window.partitionBy("doc_id").orderBy("at").rowsBetween(Window.unboundedPreceding, 0)
     for k in range(1, 7):
         heads = heads.withColumn(f"_h{k}", F.last(F.when(F.col("level") == k, F.struct("at", "title")), ignorenulls=True).over(upto))
