@@ -8,34 +8,48 @@ from functools import reduce
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cardloom.functions import text as T
 
 
+#: Quotes that are looked for beside one copy of a source's text, about.
+QUOTES_AT_ONCE = 64
+
+
 def verify_quotes(quotes: DataFrame, sources: DataFrame) -> DataFrame:
     """Exact containment of quotes(quote_id, quote) in sources(source_id, text) after normalizing: (quote_id, source_id, start, end, s).
 
     Offsets are those of the first hit in the normalized source, from 0, end exclusive. Not every quote is tried against every source: a hit
-    holds each inner word of the quote as a word of its own, so the two meet on the quote's longest inner word; a quote of two words or fewer meets sources on its first
-    three characters (or all, if fewer). Only ids and words go through that join; texts follow for the pairs that met.
+    holds each inner word of the quote as a word of its own, so the two meet on that inner word that the fewest sources hold, and a quote with an inner word of no source meets none; a quote of two words or fewer meets sources on its first
+    three characters (or all, if fewer). Only ids and words go through that join; a source's text follows once for each QUOTES_AT_ONCE quotes that it met.
     """
     q = quotes.select("quote_id", T.normalized(F.col("quote")).alias("q")).where("q <> ''")
-    inner = F.slice(F.split("q", " "), 2, F.greatest(F.size(F.split("q", " ")) - 2, F.lit(0)))
-    longest = F.array_max(F.transform(inner, lambda w: F.struct(F.length(w).alias("n"), w.alias("w"))))["w"]
-    q = q.withColumn("seed", longest)
+    inner = F.array_distinct(F.slice(F.split("q", " "), 2, F.greatest(F.size(F.split("q", " ")) - 2, F.lit(0))))
     s = sources.select("source_id", T.normalized(F.col("text")).alias("s"))
-    seeds = q.where("seed is not null").select("seed", "quote_id")
-    met = [s.select("source_id", F.explode(F.array_distinct(F.split("s", " "))).alias("seed")).join(seeds, "seed").select("source_id", "quote_id")]
-    short = q.where("seed is null").select("quote_id", F.left("q", F.lit(3)).alias("seed"))
+    asked = q.select("quote_id", F.size(inner).alias("n"), F.explode(inner).alias("seed"))
+    held = s.select("source_id", F.explode(F.array_distinct(F.split("s", " "))).alias("seed"))
+    df = held.groupBy("seed").agg(F.count("*").alias("df"))
+    rarest = asked.join(df, "seed").groupBy("quote_id", "n").agg(F.min(F.struct("df", "seed")).alias("m"), F.count("*").alias("known"))
+    seeds = rarest.where("known = n").select(F.col("m.seed").alias("seed"), "quote_id")
+    met = [held.join(seeds, "seed").select("source_id", "quote_id")]
+    short = q.where(F.size(inner) == 0).select("quote_id", F.left("q", F.lit(3)).alias("seed"))
     for n in sorted(r.n for r in short.select(F.length("seed").alias("n")).distinct().collect()):  # 1, 2 or 3, and mostly none
-        grams = F.transform(F.sequence(F.lit(1), F.length("s") - n + 1), lambda i, n=n: F.substring(F.col("s"), i, F.lit(n)))
-        rows = s.where(F.length("s") >= n).select("source_id", F.explode(F.array_distinct(grams)).alias("seed"))
+        rows = s.where(F.length("s") >= n).select("source_id", F.explode(F.array_distinct(_grams(F.col("s"), n))).alias("seed"))
         met.append(rows.join(short.where(F.length("seed") == n), "seed").select("source_id", "quote_id"))
-    near = reduce(DataFrame.unionByName, met).join(q.select("quote_id", "q"), "quote_id").join(s, "source_id")
-    hit = near.withColumn("start", (F.expr("locate(q, s)") - 1).cast("long")).where("start >= 0")
-    return hit.select("quote_id", "source_id", "start", (F.col("start") + F.length("q")).cast("long").alias("end"), "s")
+    near = reduce(DataFrame.unionByName, met)
+    chunks = near.groupBy("source_id").agg(F.ceil(F.count("*") / QUOTES_AT_ONCE).alias("chunks"))
+    near = near.join(chunks, "source_id").join(q, "quote_id").withColumn("chunk", F.pmod(F.xxhash64("quote_id"), "chunks"))
+    near = near.groupBy("source_id", "chunk").agg(F.collect_list(F.struct("quote_id", "q")).alias("qs")).join(s, "source_id")
+    found = F.transform("qs", lambda x: F.struct(x["quote_id"].alias("quote_id"), (F.call_function("locate", x["q"], F.col("s")) - 1).cast("long").alias("start"), F.length(x["q"]).alias("n")))
+    hit = near.select("source_id", "s", F.inline(F.filter(found, lambda x: x["start"] >= 0)))
+    return hit.select("quote_id", "source_id", "start", (F.col("start") + F.col("n")).cast("long").alias("end"), "s")
+
+
+def _grams(text: Column, n: int) -> Column:
+    """All stretches of n characters of a text of n or more."""
+    return F.transform(F.sequence(F.lit(1), F.length(text) - n + 1), lambda i: F.substring(text, i, F.lit(n)))
 
 
 def unverified(quotes: DataFrame, hits: DataFrame, limit: int = 12, head: int = 160) -> DataFrame:
@@ -47,65 +61,56 @@ def unverified(quotes: DataFrame, hits: DataFrame, limit: int = 12, head: int =
 def copied_runs(values: DataFrame, sources: DataFrame, n: int = 12) -> DataFrame:
     """The first run of n words that values(value_id, text) share with sources(source_id, text): (value_id, source_id, offset).
 
-    The first by place in the value, then by source. Both sides meet on a hash of the run; texts are read again only for places that met, and the runs themselves are compared. A value without
-    such a run is tried by windows of 24 letters and digits, at least 12 of scripts that are written without spaces; its offset counts these signs.
+    The first by place in the value, then by source. Both sides meet on 128 bits of the run, taken from hashes of 128 bits of its words, so equal keys stand for equal runs and no text is read twice. Of all sources that hold a run only the
+    least id goes on, map-side first, so a run of every source is one row. A value without such a run is tried by windows of 24 letters and digits, at least 12 of scripts that are written without spaces; its offset counts these signs.
+    A null or short text holds no run; a null source_id is named by none.
     """
-    v = _places(values, "value_id", n)
-    s = _places(sources, "source_id", n).join(v.select("kind", "h").distinct(), ["kind", "h"], "left_semi")
-    s = s.groupBy("source_id", "kind", "h").agg(F.min("offset").alias("offset"))
-    theirs = _read_runs(s, sources, "source_id", n).select("source_id", "kind", "h", F.col("run").alias("theirs"))
-    mine = _read_runs(v.join(s.select("kind", "h").distinct(), ["kind", "h"], "left_semi"), values, "value_id", n)
-    same = mine.join(theirs, ["kind", "h"]).where("run = theirs")
+    run = ["kind", "h", "g"]
+    least = _places(sources, "source_id", n).groupBy(*run).agg(F.min("source_id").alias("source_id"))
+    same = _places(values, "value_id", n).join(least, run)
     first = same.groupBy("value_id").agg(F.min(F.struct("kind", "offset", "source_id")).alias("m"))
     return first.select("value_id", F.col("m.source_id").alias("source_id"), F.col("m.offset").cast("long").alias("offset"))
 
 
+class _Digests(dict):
+    """128 bits of each word met, kept for one batch."""
+
+    def __missing__(self, word: str) -> bytes:
+        self[word] = found = xxhash.xxh3_128_digest(word)
+        return found
+
+
 def _places(df: DataFrame, key: str, n: int) -> DataFrame:
-    """(key, kind, offset, h): a hash of each run of n words (kind 0) and of each compact window (kind 1); Spark has no function for NFKC and case folding."""
+    """(key, kind, offset, h, g): both halves of a hash of each run of n words (kind 0) and of each compact window (kind 1); Spark has no function for NFKC and case folding."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo in range(0, batch.num_rows, 256):
                 part = batch.slice(lo, 256)
-                kinds, offsets, hashes, ends = [], [], [], [0]
+                known, kinds, offsets, halves, ends = _Digests(), [], [], [], [0]
                 for text in part.column("text").to_pylist():
                     w, c, at = T.streams(text or "")
-                    runs = _run_hashes(w, n)
+                    words = np.frombuffer(b"".join(map(known.__getitem__, w)), np.uint64).reshape(-1, 2)
+                    windows = np.frombuffer(b"".join(xxhash.xxh3_128_digest(c[i : i + T.COMPACT_WINDOW]) for i in at), np.uint64).reshape(-1, 2)
+                    runs = _run_hashes(words, n)
                     kinds += [np.zeros(len(runs), np.int32), np.ones(len(at), np.int32)]
                     offsets += [np.arange(len(runs), dtype=np.int32), np.array(at, np.int32)]
-                    hashes += [runs, np.array([xxhash.xxh64_intdigest(c[i : i + T.COMPACT_WINDOW]) for i in at], np.uint64)]
+                    halves += [runs, windows]
                     ends.append(ends[-1] + len(runs) + len(at))
-                fields = [np.concatenate(kinds), np.concatenate(offsets), np.concatenate(hashes).view(np.int64)]
-                places = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.StructArray.from_arrays([pa.array(x) for x in fields], ["kind", "offset", "h"]))
+                both = np.concatenate(halves).view(np.int64)
+                fields = [np.concatenate(kinds), np.concatenate(offsets), both[:, 0], both[:, 1]]
+                places = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.StructArray.from_arrays([pa.array(x) for x in fields], ["kind", "offset", "h", "g"]))
                 yield pa.RecordBatch.from_arrays([part.column(key), places], [key, "places"])
 
-    rows = df.select(key, "text").mapInArrow(run, f"`{key}` {df.schema[key].dataType.simpleString()}, places array<struct<kind:int,offset:int,h:long>>")
+    rows = df.select(key, "text").mapInArrow(run, f"`{key}` {df.schema[key].dataType.simpleString()}, places array<struct<kind:int,offset:int,h:long,g:long>>")
     return rows.select(key, F.inline("places"))
 
 
-def _read_runs(places: DataFrame, df: DataFrame, key: str, n: int) -> DataFrame:
-    """places(key, kind, offset, h) with the run that stands there in df(key, text)."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, held = None, None
-        for batch in batches:
-            out = []
-            for text, kind, at in zip(*(batch.column(c).to_pylist() for c in ("text", "kind", "offset")), strict=True):
-                if text != last:
-                    last, held = text, T.streams(text or "")
-                out.append(" ".join(held[0][at : at + n]) if kind == 0 else held[1][at : at + T.COMPACT_WINDOW])
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in (key, "kind", "offset", "h")), pa.array(out, pa.string())], [key, "kind", "offset", "h", "run"])
-
-    rows = places.join(df.select(key, "text"), key).select(key, "kind", "offset", "h", "text")
-    return rows.mapInArrow(run, f"`{key}` {df.schema[key].dataType.simpleString()}, kind int, offset int, h long, run string")
-
-
-def _run_hashes(words: list[str], n: int) -> np.ndarray:
-    """A hash of each run of n words, put together from the hashes of its words."""
-    h = np.array([xxhash.xxh64_intdigest(w) for w in words], np.uint64)
-    out = np.zeros(max(0, len(h) - n + 1), np.uint64)
+def _run_hashes(words: np.ndarray, n: int) -> np.ndarray:
+    """Both halves of a hash of each run of n words, put together from those of its words."""
+    out = np.zeros((max(0, len(words) - n + 1), 2), np.uint64)
     for k in range(n if len(out) else 0):
-        out = out * np.uint64(0x9E3779B97F4A7C15) + h[k : k + len(out)]
+        out = out * np.uint64(0x9E3779B97F4A7C15) + words[k : k + len(out)]
     return out
 
 

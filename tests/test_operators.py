@@ -129,3 +129,27 @@ def test_rows_wider_than_ten_thousand_columns(spark):
     text = "\n".join("| " + " | ".join(x) + " |" for x in (["Model", *(f"MMLU {i}" for i in range(n))], ["---"] * (n + 1), ["OLMo", *(str(i) for i in range(n))]))
     got = tables.score_rows(spark.createDataFrame([("a", text)], "doc_id string, text string"), spark.createDataFrame([("a", "OLMo")], "doc_id string, alias string"))
     assert {r.score for r in got.select("score").collect()} == {str(i) for i in range(n)}
+
+
+def test_a_run_of_every_source_goes_on_once(spark):
+    run = "licensed under the terms that this file names in its first line"
+    values = spark.range(50).select(F.col("id").alias("value_id"), F.concat(F.lit("start "), F.lit(run)).alias("text"))
+    sources = spark.range(40).select((F.col("id") + 7).alias("source_id"), F.lit(run.upper()).alias("text"))
+    found = evidence.copied_runs(values, sources)
+    assert {tuple(r) for r in found.collect()} == {(i, 7, 1) for i in range(50)}
+    assert {tuple(r) for r in evidence.copied_runs(values, sources.where("false")).collect()} == set()
+
+
+def test_quotes_meet_on_their_rarest_word(spark):
+    docs = [(i, f"x the common-word-of-all w{i} here and the common-word-of-all again") for i in range(70)] + [(99, ""), (100, None)]
+    quotes = [(i, f"the common-word-of-all w{i} here") for i in range(70)] + [(i, f"all  w{i - 100} he") for i in range(100, 170)] + [(200, "the common-word-of-all w1x here"), (201, "all w3")] + [(300 + i, "and the common-word-of-all again") for i in range(70)]
+    s = spark.createDataFrame(docs, "source_id long, text string")
+    got = sorted(tuple(r) for r in evidence.verify_quotes(spark.createDataFrame(quotes, "quote_id long, quote string"), s).drop("s").collect())
+    plain = [(k, j, t.find(" ".join(q.split()))) for k, q in quotes for j, t in docs if t]
+    assert got == sorted((k, j, at, at + len(" ".join(q.split()))) for (k, j, at) in plain if at >= 0 for q in [dict(quotes)[k]])
+
+
+def test_white_space_of_any_kind_is_one_space(spark):
+    texts = ["a b", " a  b ", "a\tb\t c", "a \t b", " a b　", "a \nb c", "", "\t"]
+    got = [r[0] for r in spark.createDataFrame([(t,) for t in texts], "t string").select(T.normalized(F.col("t"))).collect()]
+    assert got == [" ".join(t.split()) for t in texts]
