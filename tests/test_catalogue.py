@@ -1,6 +1,6 @@
 import pytest
 
-from cardloom.plans import cards, catalogue, claims, jsons
+from cardloom.plans import cards, catalogue, claims, jsons, papers
 from tests.sql_check import connect, same
 
 SF = "/root/testdata/sf0.001"
@@ -11,7 +11,7 @@ def con():
     return connect(SF)
 
 
-@pytest.mark.parametrize("name", list(catalogue.SQL) if cards and claims and jsons else [])
+@pytest.mark.parametrize("name", list(catalogue.SQL) if cards and claims and jsons and papers else [])
 def test_query_equals_its_sql(spark, con, name):
     same(spark, con, catalogue.QUERIES[name], catalogue.SQL[name], SF)
 
