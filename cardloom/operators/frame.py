@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cardloom.operators.occurrences import with_names
+
 MODELS = ("base", "family", "sibling", "comparison")
 FAR = 1_000_000
 
@@ -43,16 +45,11 @@ def base_nodes(tags: DataFrame) -> DataFrame:
 def mentions(records: DataFrame, nodes: DataFrame) -> DataFrame:
     """(record_id, id, type, at): where each node of the record's target is first named in its quote, without case; from 0.
 
-    A name inside a longer name that is also there does not count. Records meet only the names of their own target.
+    A name inside a longer name that is also there does not count. Records meet only the names of their own target, all in one pass over the quote.
     """
-    names = nodes.select("target", "id", "type", F.explode(F.array_distinct(F.concat(F.array("name"), F.coalesce("aliases", F.array().cast("array<string>"))))).alias("alias")).where("trim(alias) <> ''")
-    at = F.expr("instr(lower(quote), lower(trim(alias)))")
-    hits = records.select("target", "record_id", "quote").join(names, "target").withColumn("at", at - 1).where("at >= 0")
-    hits = hits.select("record_id", "id", "type", "at", F.length(F.trim("alias")).alias("n"))
-    spans = hits.groupBy("record_id").agg(F.collect_set(F.struct("at", "n")).alias("spans"))
-    own = hits.join(spans, "record_id")
-    inside = F.exists("spans", lambda s: (s["n"] > F.col("n")) & (s["at"] <= F.col("at")) & (s["at"] + s["n"] >= F.col("at") + F.col("n")))
-    return own.where(~inside).groupBy("record_id", "id", "type").agg(F.min("at").alias("at"))
+    names = nodes.select("target", "id", "type", F.explode(F.array_distinct(F.concat(F.array("name"), F.coalesce("aliases", F.array().cast("array<string>"))))).alias("alias"))
+    found = with_names(records.select("target", "record_id", F.lower("quote").alias("text")), names.select("target", F.lower(F.trim("alias")).alias("name"), "id", "type"))
+    return found.select("record_id", F.explode("hits").alias("h")).groupBy("record_id", "h.id", "h.type").agg(F.min("h.at").alias("at"))
 
 
 def other_stage(stage: Column, quote: Column) -> Column:

@@ -1,11 +1,11 @@
-"""Queries on papers and repositories: parts as models of a family, with titles, README files and links, beside the SQL that says the same."""
+"""Queries on papers, repositories and names in texts: parts as models of a family, with titles, README files and links, beside the SQL that says the same."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardloom.operators import papers
+from cardloom.operators import frame, occurrences, papers
 from cardloom.plans.catalogue import query, read
 
 # {g} is a generation from 1 to 9. Models by key; titles that meet each of them.
@@ -89,3 +89,37 @@ def arxiv_numbers(spark, d):
     tags = F.when(key % 2 == 0, F.array(F.lit("text"), F.concat(F.lit("arxiv:"), number(F.col("p_size")), F.lit("v2"))))
     readme = F.concat(F.lit("# A\nSee https://arxiv.org/abs/"), number(key % 50), F.lit("v1.\n@misc{a,\n  eprint = {"), number(key % 100), F.lit("},\n}\nend"))
     return read(spark, d, "part").select(key.alias("target"), F.explode(papers.arxiv_numbers(tags, readme)).alias("x")).select("target", "x.*")
+
+
+# ---- names in the lines of documents: the languages as targets, each with a model and a base ----
+
+_TARGETS = (("en", "org/the", "x/that"), ("de", "org/der", "x/und"), ("fr", "org/les", "x/dans"), ("es", "org/que", "x/para"))
+_MODEL_LIKE = occurrences.MODEL_NAME[1:-1]
+
+
+def _owned(spark: SparkSession, d: str) -> DataFrame:
+    targets = spark.createDataFrame([(t, m, [f"finetune:{b}", "bare"]) for t, m, b in _TARGETS], "target string, model string, bases array<string>")
+    lines = read(spark, d, "documents").select("doc_id", F.col("lang").alias("target"), F.posexplode(F.split("text", "\n")).alias("line", "text"))
+    return occurrences.line_owners(lines, targets)
+
+
+_OWNED = f"""n AS (SELECT * FROM (VALUES {", ".join(map(str, _TARGETS))}) AS t(target, model, base)),
+l AS (SELECT doc_id, lang AS target, unnest(list_zip(range(len(string_split(text, chr(10)))), string_split(text, chr(10)))) AS z FROM documents WHERE text IS NOT NULL),
+p AS (SELECT doc_id, target, z[1]::INT AS line, z[2] AS text, list_sort(list_filter([{{'p': strpos(z[2], model), 'n': model, 'r': 'target'}}, {{'p': strpos(z[2], replace(model, 'org/', '')), 'n': replace(model, 'org/', ''), 'r': 'target'}}, {{'p': strpos(z[2], base), 'n': base, 'r': 'base'}},
+  {{'p': strpos(z[2], replace(base, 'x/', '')), 'n': replace(base, 'x/', ''), 'r': 'base'}}], lambda x: x.p > 0)) AS named FROM l LEFT JOIN n USING (target)),
+o AS (SELECT doc_id, target, line, text, coalesce(named[1].r, CASE WHEN len(list_filter(regexp_extract_all(text, '{_MODEL_LIKE}'), lambda x: regexp_matches(x, '[0-9]'))) > 0 THEN 'other' END) AS owner FROM p)"""
+
+
+@query(f"WITH {_OWNED} SELECT doc_id, line, owner FROM o WHERE owner IS NOT NULL")
+def line_owners(spark, d):
+    """Which model each line of a document is about, by the names on it."""
+    return _owned(spark, d).where("owner is not null").select("doc_id", "line", "owner")
+
+
+@query(f"""WITH {_OWNED}, w AS (SELECT owner, unnest(list_distinct(regexp_extract_all(lower(text), '[\\p{{L}}\\p{{Nd}}]+'))) AS token FROM o),
+s AS (SELECT token, coalesce(bool_or(owner = 'target'), false) AS own, count(*) FILTER (WHERE owner <> 'target') AS others FROM w GROUP BY 1), v AS (SELECT DISTINCT lang AS field, unnest(regexp_extract_all(lower(text), '[a-z0-9]{{6,}}')) AS token FROM documents)
+SELECT field, token, others, CASE WHEN others >= 3 THEN 'strong' WHEN others = 2 THEN 'moderate' ELSE 'weak' END AS strength FROM v JOIN s USING (token) WHERE NOT own AND others > 0""")
+def splice_probes_of_owners(spark, d):
+    """Long words of each language that stand, among lines that name a model, only on lines about other models than the target."""
+    values = read(spark, d, "documents").select(F.col("lang").alias("field"), F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit("([a-z0-9]{6,})"), 1))).alias("token")).distinct()
+    return frame.splice_probes(values, _owned(spark, d))
