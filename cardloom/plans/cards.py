@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cardloom.functions import names as N
-from cardloom.operators import bindings, choices, gates, labels
+from cardloom.operators import bindings, channels, choices, gates, labels
 from cardloom.plans.catalogue import query, read
 
 
@@ -293,3 +293,40 @@ def page_names(spark, d):
 @query("""SELECT source, substring(source, 1, 24) AS head, count(*) AS n, round(avg(n_chars), 4) AS mean_chars FROM documents GROUP BY 1""")
 def rows_by_source(spark, d):
     return read(spark, d, "documents").groupBy("source", F.substring("source", 1, 24).alias("head")).agg(F.count("*").alias("n"), F.round(F.avg("n_chars"), 4).alias("mean_chars"))
+
+
+# ---- channels: orders as targets, three channels that answer by rules on key and field ----
+
+
+def _rules(k: str, i: str) -> dict[str, tuple[tuple[int, ...], str, str]]:
+    """By channel: the fields it may carry, and what it answers at first and when asked again."""
+    return {
+        "readme": ((0, 1, 2, 3), f"({k} + {i}) % 3 = 0", f"({k} + {i}) % 4 = 0"),
+        "paper": ((0, 1, 2, 3, 4), f"({k} + {i}) % 5 = 0", f"({k} * 2 + {i}) % 3 = 0"),
+        "github": ((2, 4), f"({k} + {i}) % 7 = 0", f"{k} % 11 <> 0"),
+    }
+
+
+def _gap_sql() -> str:
+    """For each channel its first answers, and those to what is open among the fields of targets that it answered."""
+    parts, before = [], []
+    for name, (fields, first, again) in _rules("k", "i").items():
+        parts.append(f"{name}_1 AS (SELECT k, i FROM q WHERE i IN ({', '.join(map(str, fields))}) AND {first})")
+        before.append(f"{name}_1")
+        known = " UNION ALL ".join(f"SELECT k, i FROM {b} WHERE (k // 7 + i) % 2 = 0" for b in before)
+        parts.append(f"{name}_2 AS (SELECT k, i FROM q WHERE i IN ({', '.join(map(str, fields))}) AND {again} AND k IN (SELECT k FROM {name}_1) AND (k, i) NOT IN ({known}))")
+        before.append(f"{name}_2")
+    rows = " UNION ALL ".join(f"SELECT k AS target, 'f' || i AS field, '{b[:-2]}' AS channel, {'true' if b.endswith('2') else 'false'} AS again FROM {b}" for b in before)
+    return f"WITH q AS (SELECT o_orderkey AS k, unnest(range(5)) AS i FROM orders), {', '.join(parts)} {rows}"
+
+
+@query(_gap_sql())
+def gap_coverage(spark, d):
+    """What three channels give for each order's fields, the later asked again only for what is not covered."""
+    def channel(name: str, fields: tuple[int, ...], first: str, again: str) -> channels.Channel:
+        return channels.Channel(name, tuple(f"f{i}" for i in fields), lambda q: q.where(F.expr(f"if(again, {again}, {first})")).select("target", "field"))
+
+    k, i = "target", "cast(substr(field, 2) as int)"
+    asked = read(spark, d, "orders").select(F.col("o_orderkey").alias("target"), F.explode(F.array(*[F.lit(f"f{j}") for j in range(5)])).alias("field"))
+    covers = F.expr(f"({k} div 7 + {i}) % 2 = 0")
+    return channels.fill_gaps(asked, [channel(n, *r) for n, r in _rules(k, i).items()], covers, channels.shared_folder(spark, "gaps"))
