@@ -16,6 +16,7 @@ MODALITIES = {
     "text-to-image": ("input: text", "output: image"),
 }
 OUTCOMES = {200: "ok", 401: "authentication_required", 403: "gated", 404: "missing", 413: "too_large", 408: "unavailable", 409: "unavailable", 425: "unavailable", 429: "unavailable"}
+# Suffixes of a training stage.
 STAGE_SUFFIX = r"(?i)[-_ ]+(instruct|chat|it|sft|dpo|rl|rlvr|thinking|base|pt)$"
 
 

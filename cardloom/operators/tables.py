@@ -9,16 +9,21 @@ from cardloom.functions import text as T
 
 # Header words of results tables and of cost tables.
 BENCHMARK_WORDS = (
-    "average avg score scores accuracy acc pass em f1 win elo mmlu mmlupro gsm8k gsm math arc hellaswag hswag winogrande winog truthfulqa humaneval mbpp bbh drop "
-    "nq triviaqa agieval gpqa ifeval alpacaeval ae2 arenahard mtbench mt bench safety popqa squad boolq piqa siqa openbookqa obqa csqa commonsenseqa coqa mgsm "
-    "livecodebench swe aime codeforces livebench mmmu mathvista docvqa chartqa ai2d textvqa vqav2 lambada wikitext ppl perplexity rouge bleu chrf wer cer ndcg mrr "
-    "recall precision auc hits toxigen bias xstest hallucination helm leaderboard benchmark benchmarks task tasks eval evaluation results % @"
-).split()
+    "average", "avg", "score", "scores", "accuracy", "acc", "pass", "em", "f1", "win", "elo", "mmlu", "mmlupro", "gsm8k", "gsm", "math", "arc",
+    "hellaswag", "hswag", "winogrande", "winog", "truthfulqa", "humaneval", "mbpp", "bbh", "drop", "nq", "triviaqa", "agieval", "gpqa", "ifeval",
+    "alpacaeval", "ae2", "arenahard", "mtbench", "mt", "bench", "safety", "popqa", "squad", "boolq", "piqa", "siqa", "openbookqa", "obqa", "csqa",
+    "commonsenseqa", "coqa", "mgsm", "livecodebench", "swe", "aime", "codeforces", "livebench", "mmmu", "mathvista", "docvqa", "chartqa", "ai2d",
+    "textvqa", "vqav2", "lambada", "wikitext", "ppl", "perplexity", "rouge", "bleu", "chrf", "wer", "cer", "ndcg", "mrr", "recall", "precision", "auc",
+    "hits", "toxigen", "bias", "xstest", "hallucination", "helm", "leaderboard", "benchmark", "benchmarks", "task", "tasks", "eval", "evaluation",
+    "results", "%", "@",
+)
 COST_WORDS = (
-    "flops flop mwh kwh tco2eq tco2 co2 carbon power energy pue hours gpu gpus tokens params parameters price cost latency throughput memory vram tps steps batch lr "
-    "epochs checkpoints size context length date release license downloads layers layer heads head dim dims dimension hidden vocab vocabulary experts expert kv rope "
-    "seq window quantization precision dtype activated embedding embeddings ffn mlp groups tokenizer optimizer warmup schedule stage stages budget"
-).split()
+    "flops", "flop", "mwh", "kwh", "tco2eq", "tco2", "co2", "carbon", "power", "energy", "pue", "hours", "gpu", "gpus", "tokens", "params", "parameters",
+    "price", "cost", "latency", "throughput", "memory", "vram", "tps", "steps", "batch", "lr", "epochs", "checkpoints", "size", "context", "length",
+    "date", "release", "license", "downloads", "layers", "layer", "heads", "head", "dim", "dims", "dimension", "hidden", "vocab", "vocabulary", "experts",
+    "expert", "kv", "rope", "seq", "window", "quantization", "precision", "dtype", "activated", "embedding", "embeddings", "ffn", "mlp", "groups",
+    "tokenizer", "optimizer", "warmup", "schedule", "stage", "stages", "budget",
+)
 NUMBER = r"^[<>~≈]?\s*-?\d+(?:[.,]\d+)?\s*%?(?:\s*[±+/-]\s*\d+(?:\.\d+)?)?$"
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cardloom.functions import text as T
 from cardloom.operators import frame, occurrences, papers
 from cardloom.plans.catalogue import query, read
 
@@ -123,3 +124,19 @@ def splice_probes_of_owners(spark, d):
     """Long words of each language that stand, among lines that name a model, only on lines about other models than the target."""
     values = read(spark, d, "documents").select(F.col("lang").alias("field"), F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit("([a-z0-9]{6,})"), 1))).alias("token")).distinct()
     return frame.splice_probes(values, _owned(spark, d))
+
+
+# ---- reading views: parts as Markdown ----
+
+_MARKDOWN = "# [{n}](https://a.b/{k}) ![logo {k}](x.png)\n<!-- {n}\nhidden -->**{n}** is __not__ *{k}* of `{n}`, see <https://c.d/{k}> &eacute; &#8212; &amp;lt; a*b*c snake_{k}_case\n```python\n| {n} | <b>{k}</b> |\n```\n- 5 * {k} * 2"
+_PLAIN = "# {n} logo {k}\n{n} is not {k} of {n}, see https://c.d/{k} é — &lt; a*b*c snake_{k}_case\n\n| {n} | {k} |\n\n- 5 * {k} * 2"
+_NOTES = ("5-shot", "3 shot, chain of thought", "zero shot", "Temperature = 0.7", "pass@10 sampling", "maj@8", "nothing", "non-thinking mode")
+_SETTINGS = ("5-shot", "3-shot CoT", "zero shot", "Temperature = 0.7", "pass@10 sampling", "maj@8", "Not specified", "non-thinking")
+
+
+@query(f"""SELECT p_partkey, replace(replace('{_PLAIN}', '{{n}}', p_name), '{{k}}', p_partkey::VARCHAR) AS view, ({list(_SETTINGS)})[p_partkey % 8 + 1] AS setting FROM part""")
+def markdown_view(spark, d):
+    """Markdown of each part as it reads, and the setting that a note states."""
+    text = F.replace(F.replace(F.lit(_MARKDOWN), F.lit("{n}"), F.col("p_name")), F.lit("{k}"), F.col("p_partkey").cast("string"))
+    note = F.get(F.array(*[F.lit(n) for n in _NOTES]), F.col("p_partkey") % 8)
+    return read(spark, d, "part").select("p_partkey", T.markdown_plain(text).alias("view"), T.setting(note).alias("setting"))

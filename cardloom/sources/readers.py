@@ -54,10 +54,10 @@ def freeze(spark: SparkSession, path: str) -> DataFrame:
 def read_cards(spark: SparkSession, path: str) -> DataFrame:
     """(target, section, field, value): JSON cards of sections and fields, one row for each field; values as JSON text, strings bare."""
     whole = spark.read.text(path, wholetext=True).select(F.regexp_extract(F.input_file_name(), r"([^/]+)\.json$", 1).alias("target"), F.try_parse_json("value").alias("card"))
-    whole.createOrReplaceTempView("_cards")
     return spark.sql(
         "SELECT target, s.key AS section, f.key AS field, CASE WHEN schema_of_variant(f.value) = 'STRING' THEN variant_get(f.value, '$', 'string') ELSE to_json(f.value) END AS value "
-        "FROM _cards, LATERAL variant_explode(card) s, LATERAL variant_explode(s.value) f WHERE schema_of_variant(s.value) LIKE 'OBJECT%'"
+        "FROM {cards}, LATERAL variant_explode(card) s, LATERAL variant_explode(s.value) f WHERE schema_of_variant(s.value) LIKE 'OBJECT%'",
+        cards=whole,
     )
 
 
