@@ -31,7 +31,7 @@ _SLICE = 1 << 19
 
 
 def presence(texts: list[str], bits: int = BITS) -> np.ndarray:
-    """A row of 0 and 1 for each text: which hashed 1- to 4-grams of its letters in lower case it holds; other characters count as one blank."""
+    """A row of 0 and 1 for each text: which hashed 1- to 4-grams of its letters in lower case it holds; each other character counts as a blank. Letters are a to z and, for speed, all characters from U+00C0 on."""
     out = np.zeros((len(texts), bits), np.uint8)
     mask = np.uint64(bits - 1)
     for i, text in enumerate(texts):
@@ -95,6 +95,7 @@ def fit(train: DataFrame, bits: int = BITS, per_language: int = PER_LANGUAGE, la
     key = F.xxhash64("doc_id", "text")
     chosen = lowest(known.where(F.col("text").rlike(r"\p{L}")).select("lang", F.col("doc_id"), key.alias("key")), ["lang"], [F.col("key"), F.col("doc_id")], per_language)
     picked = known.withColumn("key", key).join(F.broadcast(chosen.select("key").distinct()), "key", "left_semi")
+    picked = picked.groupBy("lang", "key").agg(F.first("text").alias("text"))  # repeated rows are one before they leave their tasks
 
     def bits_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

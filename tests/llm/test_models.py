@@ -100,3 +100,31 @@ def test_language_edges_and_accuracy(spark, docs):
     assert language.identify(asked.where("doc_id > 900"), train).collect() == []
     met = QUERIES["op10_language_id"](spark, SF).join(table(spark, SF, "documents").select("doc_id", "lang"), "doc_id").where("held_out")
     assert met.agg(F.avg((F.col("lang") == F.col("lang_pred")).cast("int"))).first()[0] >= 0.98
+
+
+def plain_grams(text):
+    letters = "".join(c if "a" <= c <= "z" or ord(c) >= 0xC0 else " " for c in text.lower())
+    return {letters[i : i + n] for n in range(1, 5) for i in range(len(letters) - n + 1)}
+
+
+def test_predictions_equal_dense_kernel_ridge(spark, docs):
+    """With all examples as landmarks the map is exact, so the dual form over sets of grams must give the same margins; in a million bins few grams of these texts collide."""
+    rnd = random.Random(8)
+    kinds = {"aa": "the with that from have", "bb": "und der nicht über straße", "cc": "les dans être où avec"}
+    known = [(i, " ".join(rnd.choice(kinds[k].split() + ["x1", "data", "42,"]) for _ in range(9)), k) for i, k in enumerate(sorted(kinds) * 7)]
+    asked = [(100 + i, " ".join(rnd.choice(" ".join(kinds.values()).split()) for _ in range(6)), None) for i in range(30)]
+    train = docs(*known)
+    train = train.unionByName(train)  # repeated rows teach once
+    got = {r.doc_id: (r.lang_pred, r.score) for r in language.identify(docs(*asked), train, bits=1 << 20).collect()}
+    grams, labels = [plain_grams(t) for _, t, _ in known], sorted(kinds)
+    like = lambda a, b: len(a & b) / np.sqrt(len(a) * len(b))
+    k = np.array([[like(a, b) for b in grams] for a in grams])
+    n = len(known)
+    center = np.eye(n) - 1 / n
+    y = np.array([[1.0 if lang == x else -1.0 for x in labels] for _, _, lang in known])
+    dual = np.linalg.solve(center @ k @ center + language.RIDGE * n * np.eye(n), y - y.mean(axis=0))
+    for i, text, _ in asked:
+        row = np.array([like(plain_grams(text), g) for g in grams])
+        margin = (row - k.mean(axis=0)) @ center @ dual + y.mean(axis=0)
+        e = np.exp(4 * (margin - margin.max()))
+        assert got[i][0] == labels[int(margin.argmax())] and abs(got[i][1] - e.max() / e.sum()) < 1e-3
