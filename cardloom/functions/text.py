@@ -51,6 +51,11 @@ COMPACT_SCRIPTS = ((0xE00, 0xE7F), (0xE80, 0xEFF), (0x1000, 0x109F), (0x1100, 0x
 _COMPACT_SIGN = re.compile("[" + "".join(f"{chr(lo)}-{chr(hi)}" for lo, hi in COMPACT_SCRIPTS) + "]")
 
 
+def plain_words(text: str) -> list[str]:
+    """Runs of a-z and 0-9 of a text in lower case, sign by sign: the capital I with a dot becomes an i without one more mark."""
+    return _ASCII_WORD.findall(text.replace("\u0130", "i").lower())
+
+
 def streams(text: str) -> tuple[list[str], str, list[int]]:
     """Of a text after NFKC and case folding: runs of letters, digits and marks of any script, the same signs in one stream, and where the stream's compact windows begin.
 

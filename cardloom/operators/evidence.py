@@ -58,16 +58,17 @@ def unverified(quotes: DataFrame, hits: DataFrame, limit: int = 12, head: int =
     return missed.orderBy("quote_id").limit(limit).select("quote_id", F.substring("quote", 1, head).alias("head"))
 
 
-def copied_runs(values: DataFrame, sources: DataFrame, n: int = 12) -> DataFrame:
+def copied_runs(values: DataFrame, sources: DataFrame, n: int = 12, plain: bool = False) -> DataFrame:
     """The first run of n words that values(value_id, text) share with sources(source_id, text): (value_id, source_id, offset).
 
     The first by place in the value, then by source. Both sides meet on 128 bits of the run, taken from hashes of 128 bits of its words, so equal keys stand for equal runs and no text is read twice. Of all sources that hold a run only the
     least id goes on, map-side first, so a run of every source is one row. A value without such a run is tried by windows of 24 letters and digits, at least 12 of scripts that are written without spaces; its offset counts these signs.
+    With `plain` words are the runs of a-z and 0-9 in lower case, any other sign parts them, and there are no compact windows.
     A null or short text holds no run; a null source_id is named by none.
     """
     run = ["kind", "h", "g"]
-    least = _places(sources, "source_id", n).groupBy(*run).agg(F.min("source_id").alias("source_id"))
-    same = _places(values, "value_id", n).join(least, run)
+    least = _places(sources, "source_id", n, plain).groupBy(*run).agg(F.min("source_id").alias("source_id"))
+    same = _places(values, "value_id", n, plain).join(least, run)
     first = same.groupBy("value_id").agg(F.min(F.struct("kind", "offset", "source_id")).alias("m"))
     return first.select("value_id", F.col("m.source_id").alias("source_id"), F.col("m.offset").cast("long").alias("offset"))
 
@@ -80,7 +81,7 @@ class _Digests(dict):
         return found
 
 
-def _places(df: DataFrame, key: str, n: int) -> DataFrame:
+def _places(df: DataFrame, key: str, n: int, plain: bool) -> DataFrame:
     """(key, kind, offset, h, g): both halves of a hash of each run of n words (kind 0) and of each compact window (kind 1); Spark has no function for NFKC and case folding."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -89,7 +90,7 @@ def _places(df: DataFrame, key: str, n: int) -> DataFrame:
                 part = batch.slice(lo, 256)
                 known, kinds, offsets, halves, ends = _Digests(), [], [], [], [0]
                 for text in part.column("text").to_pylist():
-                    w, c, at = T.streams(text or "")
+                    w, c, at = (T.plain_words(text or ""), "", []) if plain else T.streams(text or "")
                     words = np.frombuffer(b"".join(map(known.__getitem__, w)), np.uint64).reshape(-1, 2)
                     windows = np.frombuffer(b"".join(xxhash.xxh3_128_digest(c[i : i + T.COMPACT_WINDOW]) for i in at), np.uint64).reshape(-1, 2)
                     runs = _run_hashes(words, n)
