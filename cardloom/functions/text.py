@@ -6,6 +6,7 @@ import html as html_entities
 import re
 import sys
 import unicodedata
+from collections.abc import Callable
 from functools import cache, reduce
 
 import numpy as np
@@ -35,6 +36,11 @@ SENSITIVE = {
 _ASCII_WORD = re.compile("[a-z0-9]+")
 
 
+def let(x: Column, f: Callable[[Column], Column]) -> Column:
+    """f of x, which is worked out once however often f names it."""
+    return F.get(F.transform(F.array(x), f), F.lit(0))
+
+
 def normalized(text: Column) -> Column:
     """Evidence text in the coordinate space of quotes: plain typography, runs of Unicode white space as one space, trimmed."""
     return F.trim(F.regexp_replace(F.translate(text, TYPOGRAPHIC, PLAIN), r"(?U)[\s&&[^ ]]\s*| \s+", " "))  # a single space stays as it is

@@ -50,14 +50,17 @@ def clean(label: Column) -> Column:
 
 def parts(label: Column) -> Column:
     """struct(words, sizes, stages), sorted and distinct: precision words are left out, dots stay inside a part."""
-    found = F.transform(F.split(F.lower(F.coalesce(label, F.lit(""))), r"[^a-z0-9.]+"), lambda x: F.btrim(x, F.lit(".")))
-    found = F.filter(found, lambda x: (x != "") & ~x.isin(*PRECISION_WORDS))
     stage = F.create_map(*[F.lit(x) for kv in STAGE_WORDS.items() for x in kv])
-    sizes = F.filter(found, lambda x: x.rlike(SIZE))
-    stages = F.filter(found, lambda x: ~x.rlike(SIZE) & x.isin(*STAGE_WORDS))
-    words = F.filter(found, lambda x: ~x.rlike(SIZE) & ~x.isin(*STAGE_WORDS))
     tidy = lambda c: F.array_sort(F.array_distinct(c))
-    return F.struct(tidy(words).alias("words"), tidy(sizes).alias("sizes"), tidy(F.transform(stages, lambda x: F.element_at(stage, x))).alias("stages"))
+
+    def told(found: Column) -> Column:
+        sizes = F.filter(found, lambda x: x.rlike(SIZE))
+        stages = F.filter(found, lambda x: ~x.rlike(SIZE) & x.isin(*STAGE_WORDS))
+        words = F.filter(found, lambda x: ~x.rlike(SIZE) & ~x.isin(*STAGE_WORDS))
+        return F.struct(tidy(words).alias("words"), tidy(sizes).alias("sizes"), tidy(F.transform(stages, lambda x: F.element_at(stage, x))).alias("stages"))
+
+    found = F.transform(F.split(F.lower(F.coalesce(label, F.lit(""))), r"[^a-z0-9.]+"), lambda x: F.btrim(x, F.lit(".")))
+    return T.let(F.filter(found, lambda x: (x != "") & ~x.isin(*PRECISION_WORDS)), told)
 
 
 def names_target(label: Column, alias: Column, stage: Column, own_readme: Column) -> Column:
@@ -65,15 +68,21 @@ def names_target(label: Column, alias: Column, stage: Column, own_readme: Column
 
     A stage that the label states and the alias doesn't counts only where it is the target's own; a version may be missing only in the target's own readme.
     """
-    a, b = T.label(label), T.label(alias)
-    equal = (b != "") & ((a == b) | F.exists(F.array(*[F.lit(x) for x in DECORATIONS]), lambda x: a == F.concat(b, F.lit(" "), x)))
-    p, q = parts(label), parts(alias)
-    coarse = F.array_distinct(F.transform(p["stages"], lambda x: F.when(x == "base", "base").otherwise("post")))
-    staged = F.when((F.size(q["stages"]) > 0) & (F.size(p["stages"]) > 0), q["stages"] == p["stages"]).when(F.size(q["stages"]) > 0, False).when(F.size(p["stages"]) > 0, F.coalesce(coarse == F.array(stage), F.lit(False))).otherwise(True)
-    missing = F.array_except(q["words"], p["words"])
-    short = own_readme & (F.size(missing) > 0) & (F.size(F.array_except(p["words"], q["words"])) == 0) & F.forall(missing, lambda x: x.rlike(VERSION))
-    made = (F.size(p["words"]) > 0) & (F.size(q["words"]) > 0) & (F.size(coarse) <= 1) & (p["sizes"] == q["sizes"]) & staged & ((p["words"] == q["words"]) | short)
-    return F.coalesce((a != "") & (equal | ((b != "") & made)), F.lit(False))
+    def equal(a: Column, b: Column) -> Column:
+        return (b != "") & ((a == b) | F.exists(F.array(*[F.lit(x) for x in DECORATIONS]), lambda x: a == F.concat(b, F.lit(" "), x)))
+
+    def made(p: Column, q: Column) -> Column:
+        coarse = F.array_distinct(F.transform(p["stages"], lambda x: F.when(x == "base", "base").otherwise("post")))
+        staged = F.when((F.size(q["stages"]) > 0) & (F.size(p["stages"]) > 0), q["stages"] == p["stages"]).when(F.size(q["stages"]) > 0, False).when(F.size(p["stages"]) > 0, F.coalesce(coarse == F.array(stage), F.lit(False))).otherwise(True)
+        missing = F.array_except(q["words"], p["words"])
+        short = own_readme & (F.size(missing) > 0) & (F.size(F.array_except(p["words"], q["words"])) == 0) & F.forall(missing, lambda x: x.rlike(VERSION))
+        return (F.size(p["words"]) > 0) & (F.size(q["words"]) > 0) & (F.size(coarse) <= 1) & (p["sizes"] == q["sizes"]) & staged & ((p["words"] == q["words"]) | short)
+
+    def told(n: Column) -> Column:
+        parted = T.let(parts(label), lambda p: T.let(parts(alias), lambda q: made(p, q)))
+        return (n["a"] != "") & (equal(n["a"], n["b"]) | ((n["b"] != "") & parted))
+
+    return F.coalesce(T.let(F.struct(T.label(label).alias("a"), T.label(alias).alias("b")), told), F.lit(False))
 
 
 def bare(alias: Column, stage: Column) -> Column:

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cardloom.functions import jsons
+from cardloom.functions.text import let as _let
 from cardloom.operators.gates import FIELDS
 
 Schema = dict[str, Any]
@@ -31,11 +32,6 @@ def _fault(broken: Column, path: Column, rule: str) -> Column:
     return F.when(broken, F.array(F.struct(path.alias("path"), F.lit(rule).alias("rule"))).cast(_FAULTS)).otherwise(_none())
 
 
-def _let(x: Column, f: Callable[[Column], Column]) -> Column:
-    """f of x, which is worked out once however often f names it."""
-    return F.get(F.transform(F.array(x), f), F.lit(0))
-
-
 def _escaped(key: str) -> str:
     return key.replace("~", "~0").replace("/", "~1")
 

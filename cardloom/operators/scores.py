@@ -68,38 +68,41 @@ def target_rows(lines: DataFrame, targets: DataFrame) -> DataFrame:
 
     targets(doc_id, aliases array<string>, stage base, post or null, own_readme boolean) holds one row for a document; a document without one, or with null aliases, gives no rows. A table whose headings,
     caption and lead-in speak of the other stage only is left out. If a header cell names the target, its column is read down, the columns before the first model telling name, metric and shots; if that yields
-    nothing and the header is one of results, rows whose first cell names the target are read across. Repeated lines give repeated rows; scores stay text. Tables meet targets and contexts by document; no document or table is gathered.
+    nothing and the header is one of results, rows whose first cell names the target are read across. Repeated lines give repeated rows; scores stay text. Tables meet targets and contexts by document, sorted on both sides: each is as large as the documents, so none is sent to all tasks or gathered.
     """
     told = targets.select("doc_id", "aliases", "stage", F.coalesce("own_readme", F.lit(False)).alias("own_readme")).where("aliases is not null")
     rows = tables.blocks(lines).where((F.col("row") == 0) | ~F.col("line").rlike(RULE)).withColumn("cells", tables.cells(F.col("line")))
-    heads = rows.where("row = 0").join(told, "doc_id").join(contexts(lines), ["doc_id", "first_line"])
+    heads = rows.where("row = 0").join(told.hint("merge"), "doc_id").join(contexts(lines).hint("merge"), ["doc_id", "first_line"])
     heads = heads.withColumn("names", admitted(F.col("aliases"), F.col("stage"), F.col("scope"))).where(F.size("names") > 0)
     places = F.filter(F.sequence(F.lit(0), F.size("cells") - 1), lambda j: (j > 0) & _is_target(F.get("cells", j), F.col))
     heads = heads.withColumn("cols", places).withColumn("lead", F.when(F.size("cols") > 0, labels.leading_columns(F.col("cells"), F.array_min("cols"))))
     heads = heads.select("doc_id", "block", F.col("cells").alias("head"), "caption", "names", "stage", "own_readme", "cols", "lead")
-    body = rows.where("row > 0").select("doc_id", "block", "row", "line", "cells").join(heads, ["doc_id", "block"])
+    body = rows.where("row > 0").select("doc_id", "block", "row", "line", "cells").join(heads.hint("merge"), ["doc_id", "block"])
 
     cell = lambda at: F.coalesce(F.get("cells", at), F.lit(""))
-    out = ("doc_id", "block", "row", "col", "benchmark", "score", "metric", "setting")
-    shared = T.normalized(F.col("line")).alias("row_text"), F.filter("head", lambda h: h != "").alias("header"), "caption"
-
-    own = cell(F.col("lead.name"))
-    name, note = _split(own)
-    down = body.where((F.size("cols") > 0) & (own != "")).withColumns({"benchmark": name, "note": note, "own": own, "m": cell(F.col("lead.metric")), "shots": labels.shots(cell(F.col("lead.shots")))})
-    down = down.where(_is_benchmark(F.col("benchmark"))).withColumn("col", F.explode("cols")).withColumn("score", F.get("cells", F.col("col"))).where(F.col("score").rlike(tables.NUMBER))
-    texts = [F.col(x) for x in ("m", "note", "own", "caption")]
-    shots = F.coalesce(F.nullif(F.col("shots"), F.lit(UNSAID)), _said(T.setting, *texts))
-    down = down.withColumns({"metric": _said(T.metric, *texts), "setting": shots}).select(*out, *shared, F.lit("benchmark_major").alias("orientation"))
-
-    rest = body.where(tables.is_results_header(F.col("head"))).join(down.select("doc_id", "block").distinct(), ["doc_id", "block"], "left_anti")
-    mine = rest.where(_is_target(F.get("cells", F.lit(0)), F.col))
-    across = mine.select("*", F.posexplode("cells").alias("col", "score")).withColumn("own", F.get("head", F.col("col")))
-    across = across.where((F.col("col") > 0) & (F.col("own") != "") & F.col("score").rlike(tables.NUMBER))
+    none = F.array().cast("array<int>")
+    is_score = lambda j: F.coalesce(F.get("cells", j).rlike(tables.NUMBER), F.lit(False))
+
+    # the columns that give a score down, and whether any row of the table has one; if none has, those that give one across
+    own = F.when(F.size("cols") > 0, cell(F.col("lead.name"))).otherwise("")
+    body = body.withColumn("own", own).withColumn("name", _split(F.col("own"))[0])
+    body = body.withColumn("down", F.when((F.col("own") != "") & _is_benchmark(F.col("name")), F.filter("cols", is_score)).otherwise(none))
+    body = body.withColumn("any_down", F.max(F.size("down") > 0).over(Window.partitionBy("doc_id", "block")))
+    mine = ~F.col("any_down") & tables.is_results_header(F.col("head")) & _is_target(F.get("cells", F.lit(0)), F.col)
+    across = F.filter(F.sequence(F.lit(0), F.size("cells") - 1), lambda j: (j > 0) & F.coalesce(F.get("head", j) != "", F.lit(False)) & is_score(j))
+    found = body.withColumn("is_down", F.size("down") > 0).withColumn("col", F.explode(F.when(F.col("is_down"), F.col("down")).when(mine, across)))
+
+    found = found.withColumns({"score": F.get("cells", F.col("col")), "own": F.when(F.col("is_down"), F.col("own")).otherwise(F.get("head", F.col("col")))})
     name, note = _split(F.col("own"))
-    across = across.withColumns({"benchmark": name, "note": note})
-    texts = [F.col("note"), F.col("own"), F.col("caption"), F.get("head", F.lit(0))]
-    across = across.withColumns({"metric": _said(T.metric, *texts), "setting": _said(T.setting, *texts)}).select(*out, *shared, F.lit("model_major").alias("orientation"))
-    return down.unionByName(across)
+    only = lambda down, x: F.when(F.col("is_down") == down, x).otherwise("")
+    found = found.withColumns({"benchmark": name, "note": note, "m": only(True, cell(F.col("lead.metric"))), "shots": only(True, labels.shots(cell(F.col("lead.shots")))), "corner": only(False, F.coalesce(F.get("head", F.lit(0)), F.lit("")))})
+    texts = [F.col(x) for x in ("m", "note", "own", "caption", "corner")]
+    setting = F.coalesce(F.nullif(F.nullif("shots", F.lit("")), F.lit(UNSAID)), _said(T.setting, *texts))
+    orientation = F.when(F.col("is_down"), "benchmark_major").otherwise("model_major")
+    return found.select(
+        "doc_id", "block", "row", "col", "benchmark", "score", _said(T.metric, *texts).alias("metric"), setting.alias("setting"),
+        T.normalized(F.col("line")).alias("row_text"), F.filter("head", lambda h: h != "").alias("header"), "caption", orientation.alias("orientation"),
+    )
 
 
 def claims(rows: DataFrame, kinds: tuple[str, ...]) -> DataFrame:
@@ -128,7 +131,7 @@ def claims(rows: DataFrame, kinds: tuple[str, ...]) -> DataFrame:
     per = per.select(*scope, "n_values", sources.alias("sources"), F.when(F.size(sources) == 1, "one").when(agree, "agreed").otherwise("conflict").alias("_case"))
     part = F.when(F.col("_case") == "one", F.struct(F.col("_s"), F.lit("").alias("b"), F.lit("").alias("t"), F.lit("").alias("k")))
     part = part.when(F.col("_case") == "conflict", F.struct(F.col("score").alias("_s"), F.col("benchmark").alias("b"), F.col("setting").alias("t"), F.col("source").alias("k")))
-    kept = once.join(per, scope).withColumn("_part", part)
+    kept = once.join(per.hint("merge"), scope).withColumn("_part", part)
     # order of reading: source, table, line, column
     least = F.min(F.struct("rank", "f.block", "f.row", "f.col", "source", "benchmark", "score", "setting", "f")).alias("_m")
     kept = kept.groupBy(*scope, "_part", "_case", "n_values", "sources").agg(least)
@@ -151,6 +154,6 @@ def with_spans(found: DataFrame, sources: DataFrame) -> DataFrame:
     claim = F.struct(*[c for c in found.columns if c not in ("target_id", "source")])
     per = found.groupBy("target_id", "source").agg(F.collect_list(claim).alias("_c"))
     texts = sources.select("target_id", "source", T.normalized(F.col("text")).alias("_t"))
-    rows = per.join(texts, ["target_id", "source"]).select("target_id", "source", F.inline(F.transform("_c", lambda c: F.struct(c.alias("c"), (F.call_function("locate", c["row_text"], F.col("_t")) - 1).cast("long").alias("start")))))
+    rows = per.join(texts.hint("merge"), ["target_id", "source"]).select("target_id", "source", F.inline(F.transform("_c", lambda c: F.struct(c.alias("c"), (F.call_function("locate", c["row_text"], F.col("_t")) - 1).cast("long").alias("start")))))
     rows = rows.where("start >= 0").select("target_id", "source", "c.*", "start")
     return rows.withColumns({"end": F.col("start") + F.char_length("row_text"), "path": F.lit(PATH)})

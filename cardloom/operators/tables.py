@@ -34,10 +34,11 @@ def text_lines(docs: DataFrame) -> DataFrame:
 def blocks(lines: DataFrame) -> DataFrame:
     """The islands of lines(doc_id, at, line), a row for each line: (doc_id, block, first_line, row, line). No island is gathered in one row."""
     rank = F.row_number().over(Window.partitionBy("doc_id").orderBy("at"))
-    pipes = lines.where(F.col("line").rlike(r"^\s*\|")).withColumn("run", F.col("at") - rank)
-    runs = pipes.groupBy("doc_id", "run").agg(F.min("at").alias("first_line"), F.count("*").alias("n")).where("n >= 2")
-    runs = runs.select("doc_id", "run", "first_line", (F.row_number().over(Window.partitionBy("doc_id").orderBy("first_line")) - 1).alias("block"))
-    return pipes.join(runs, ["doc_id", "run"]).select("doc_id", "block", "first_line", (F.col("at") - F.col("first_line")).alias("row"), "line")
+    pipes = lines.where(F.col("doc_id").isNotNull() & F.col("line").rlike(r"^\s*\|")).withColumn("run", F.col("at") - rank)
+    run = Window.partitionBy("doc_id", "run")
+    runs = pipes.withColumns({"first_line": F.min("at").over(run), "n": F.count("*").over(run)}).where("n >= 2")
+    block = F.dense_rank().over(Window.partitionBy("doc_id").orderBy("first_line", "run")) - 1
+    return runs.select("doc_id", block.alias("block"), "first_line", (F.col("at") - F.col("first_line")).alias("row"), "line")
 
 
 def islands(docs: DataFrame) -> DataFrame:

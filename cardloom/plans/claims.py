@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cardloom.operators import scores
-from cardloom.plans.catalogue import query, read
+from cardloom.plans.catalogue import dealt, query
 
 KINDS = ("readme", "paper", "html")
 
@@ -43,7 +43,7 @@ def _cards(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     kind = key % 6
     values = name, size.cast("string"), (size + 1).cast("string")
     each = F.explode(F.array(F.struct(F.lit("readme").alias("source"), _written(_README, kind, *values).alias("lines")), F.struct(F.lit("paper").alias("source"), _written(_PAPER, kind, *values).alias("lines"))))
-    docs = read(spark, d, "part").select(key.alias("target_id"), kind.alias("kind"), name.alias("name"), each.alias("e")).where("e.lines is not null")
+    docs = dealt(spark, d, "part", "p_partkey").select(key.alias("target_id"), kind.alias("kind"), name.alias("name"), each.alias("e")).where("e.lines is not null")
     doc_id = F.concat_ws(":", "target_id", "e.source")
     alias = F.when(F.col("kind") == 0, F.array(F.concat("name", F.lit("-Base")), F.lit("org/x"))).otherwise(F.array("name"))
     stage = F.when(F.col("kind") == 0, "base").when(F.col("kind") == 1, "post")
