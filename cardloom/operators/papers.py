@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cardloom.functions.text import let
 from cardloom.operators import labels
 
 # Words of a name that tell no family, words that may stand before a family in a report's title, tiers from best to worst.
@@ -39,27 +40,41 @@ def _dotted(model: Column) -> Column:
     return F.filter(F.transform(F.split(_low(model), "[^a-z0-9.]+"), lambda t: F.regexp_replace(t, r"^\.+|\.+$", "")), lambda t: t != "")
 
 
+def _family(w: Column) -> Column:
+    return F.array_distinct(F.filter(w, lambda t: (F.length(t) >= 3) & ~t.rlike(r"^\d+[bm]?$") & ~t.isin(*GENERIC)))
+
+
 def family_words(model: Column) -> Column:
     """Words of the name that can name its family: three signs or more, no number, size or generic word; each once."""
-    return F.array_distinct(F.filter(words(_low(model)), lambda t: (F.length(t) >= 3) & ~t.rlike(r"^\d+[bm]?$") & ~t.isin(*GENERIC)))
+    return _family(words(_low(model)))
+
 
+def _parsed(model: Column) -> Column:
+    """struct(words, family, numbered, head) of a name: numbered has (word, next) for each family word that a number or size follows; head is the first of these, else the first family word."""
+    def numbered(w: Column, family: Column) -> Column:
+        pairs = F.transform(w, lambda t, i: F.struct(t.alias("word"), F.get(w, i + 1).alias("next")))
+        return F.filter(pairs, lambda p: F.array_contains(family, p["word"]) & F.coalesce(p["next"].rlike(r"^\d+[bm]?$"), F.lit(False)))
 
-def _before_a_number(model: Column) -> Column:
-    """(word, next) for each family word that a number or size follows."""
-    w, family = words(_low(model)), family_words(model)
-    pairs = F.transform(w, lambda t, i: F.struct(t.alias("word"), F.get(w, i + 1).alias("next")))
-    return F.filter(pairs, lambda p: F.array_contains(family, p["word"]) & F.coalesce(p["next"].rlike(r"^\d+[bm]?$"), F.lit(False)))
+    def parts(w: Column, family: Column, pairs: Column) -> Column:
+        head = F.coalesce(F.get(pairs, F.lit(0))["word"], F.get(family, F.lit(0)))
+        return F.struct(w.alias("words"), family.alias("family"), pairs.alias("numbered"), head.alias("head"))
+
+    return let(words(_low(model)), lambda w: let(_family(w), lambda family: let(numbered(w, family), lambda pairs: parts(w, family, pairs))))
+
+
+def _forms(numbered: Column) -> Column:
+    forms = F.transform(numbered, lambda p: F.transform(F.array(F.lit(" "), F.lit("-"), F.lit("")), lambda j: F.concat(p["word"], j, p["next"])))
+    return F.array_distinct(F.flatten(forms))
 
 
 def name_forms(model: Column) -> Column:
     """How family and number are written together: "nova 3", "nova-3" and "nova3"; empty if no number follows a family word."""
-    forms = F.transform(_before_a_number(model), lambda p: F.transform(F.array(F.lit(" "), F.lit("-"), F.lit("")), lambda j: F.concat(p["word"], j, p["next"])))
-    return F.array_distinct(F.flatten(forms))
+    return _forms(_parsed(model)["numbered"])
 
 
 def head_word(model: Column) -> Column:
     """The word that names the family: that before a number or size, else the first family word; null if there is none."""
-    return F.coalesce(F.get(_before_a_number(model), F.lit(0))["word"], F.get(family_words(model), F.lit(0)))
+    return _parsed(model)["head"]
 
 
 def _trailing(word: Column) -> Column:
@@ -73,22 +88,29 @@ def _joined(*parts: Column) -> Column:
 
 def generation(model: Column, word: Column) -> Column:
     """The generation that stands next to a family word: "3.1" of Nova-3.1-8B, "2.5" of nova2.5-7b, "3" of Nova-V3; null for Nova-7B-v0.3, whose number is a size."""
-    w = _dotted(model)
-    at = F.transform(w, lambda t, i: F.struct(F.when(F.startswith(t, word), F.substr(t, F.length(word) + 1)).alias("rest"), F.get(w, i + 1).alias("next")))
-    hit = F.get(F.filter(at, lambda p: F.coalesce(p["rest"].rlike(r"^(\.?\d+(\.\d+)*)?$"), F.lit(False))), F.lit(0))
-    apart = F.coalesce(hit["next"].rlike(_GENERATION), F.lit(False))
-    found = F.when(hit["rest"] != "", _joined(_trailing(word), F.regexp_replace(hit["rest"], r"^\.", ""))).when(apart, F.regexp_replace(hit["next"], "^v", "")).when(hit.isNotNull(), _trailing(word))
-    return F.when(found != "", found)
+    def hit(w: Column, word: Column) -> Column:
+        at = F.transform(w, lambda t, i: F.struct(F.when(F.startswith(t, word), F.substr(t, F.length(word) + 1)).alias("rest"), F.get(w, i + 1).alias("next")))
+        return F.get(F.filter(at, lambda p: F.coalesce(p["rest"].rlike(r"^(\.?\d+(\.\d+)*)?$"), F.lit(False))), F.lit(0))
+
+    def told(h: Column, word: Column) -> Column:
+        apart = F.coalesce(h["next"].rlike(_GENERATION), F.lit(False))
+        return F.when(h["rest"] != "", _joined(_trailing(word), F.regexp_replace(h["rest"], r"^\.", ""))).when(apart, F.regexp_replace(h["next"], "^v", "")).when(h.isNotNull(), _trailing(word))
+
+    return F.nullif(let(word, lambda x: let(let(_dotted(model), lambda w: hit(w, x)), lambda h: told(h, x))), F.lit(""))
 
 
 def version(name: Column) -> Column:
     """The generation that the first telling word of a name carries, or that follows it; dates of four digits and more are none."""
-    w = _dotted(name)
-    told = F.transform(w, lambda t, i: F.struct(t.alias("word"), F.get(w, i + 1).alias("next")))
-    first = F.get(F.filter(told, lambda p: (F.length(p["word"]) >= 3) & ~p["word"].rlike(r"^(\d+|\d+(\.\d+)?[bm])$") & ~p["word"].isin(*GENERIC)), F.lit(0))
-    glued = F.regexp_extract(first["word"], r"^[a-z]+(\d+(\.\d+)?)$", 1)
-    apart = first["next"].rlike(r"^v?\d+(\.\d+)?$") & ~first["next"].rlike(r"^\d{4,}$")
-    return F.when(glued != "", glued).when(apart, F.regexp_replace(first["next"], "^v", ""))
+    def first(w: Column) -> Column:
+        told = F.transform(w, lambda t, i: F.struct(t.alias("word"), F.get(w, i + 1).alias("next")))
+        return F.get(F.filter(told, lambda p: (F.length(p["word"]) >= 3) & ~p["word"].rlike(r"^(\d+|\d+(\.\d+)?[bm])$") & ~p["word"].isin(*GENERIC)), F.lit(0))
+
+    def read(f: Column) -> Column:
+        glued = F.regexp_extract(f["word"], r"^[a-z]+(\d+(\.\d+)?)$", 1)
+        apart = f["next"].rlike(r"^v?\d+(\.\d+)?$") & ~f["next"].rlike(r"^\d{4,}$")
+        return F.when(glued != "", glued).when(apart, F.regexp_replace(f["next"], "^v", ""))
+
+    return let(let(_dotted(name), first), read)
 
 
 def _title_pattern(word: Column, own: Column) -> Column:
@@ -104,12 +126,16 @@ def _title_pattern(word: Column, own: Column) -> Column:
 
 def title_names(model: Column, title: Column) -> Column:
     """True if the title's subject is the model's family in the model's generation or an earlier part of it; a title of no generation suits only a name of none."""
-    word, low = head_word(model), F.lower(title)
-    pattern = _title_pattern(word, words(_low(model)))
-    stated = _joined(_trailing(word), F.call_function("regexp_extract", low, pattern, F.lit(1)))
-    mine = F.coalesce(generation(model, word), F.lit(""))
-    agree = F.when(stated == "", mine == "").otherwise(F.startswith(F.concat(mine, F.lit(".")), F.concat(stated, F.lit("."))))
-    return F.coalesce(F.rlike(low, pattern) & agree, F.lit(False))
+    def agree(low: Column, pattern: Column, name: Column) -> Column:
+        # a match holds the family word, so it is never empty; null in, null out
+        group = lambda n: F.call_function("regexp_extract", low, pattern, F.lit(n))
+        stated = let(_joined(_trailing(name["head"]), group(1)), lambda x: F.when(x == "", name["mine"] == "").otherwise(F.startswith(F.concat(name["mine"], F.lit(".")), F.concat(x, F.lit(".")))))
+        return F.when(group(0) != "", stated)
+
+    def told(n: Column) -> Column:
+        return F.struct(n["head"].alias("head"), F.coalesce(generation(model, n["head"]), F.lit("")).alias("mine"), _title_pattern(n["head"], n["words"]).alias("pattern"))
+
+    return F.coalesce(let(let(_parsed(model), told), lambda x: agree(F.lower(title), x["pattern"], x)), F.lit(False))
 
 
 def _owners(model: Column, bases: Column) -> Column:
@@ -126,12 +152,17 @@ def tier(model: Column, title: Column, abstract: Column, bases: Column) -> Colum
     """How near a paper is: introduces_target if the abstract has the name, or title and abstract have all family words and a form with the number; family_reference if they have a family word of the model or a base; else unrelated_tag."""
     abstract = F.lower(F.coalesce(abstract, F.lit("")))
     text = F.concat_ws(" ", F.lower(F.coalesce(title, F.lit(""))), abstract)
-    said, mine, forms, name = words(text), family_words(model), name_forms(model), _low(model)
-    named = (name != "") & F.contains(F.replace(abstract, F.lit(" "), F.lit("-")), name)
-    told = F.exists(mine, lambda t: t.rlike(r"\d")) | (F.size(forms) == 0) | F.exists(forms, lambda f: F.contains(text, f))
-    whole = (F.size(mine) > 0) & (F.size(F.array_except(mine, said)) == 0) & told
-    near = F.exists(_owners(model, bases), lambda m: F.arrays_overlap(family_words(m), said))
-    return F.when(named | whole, TIERS[0]).when(near, TIERS[1]).otherwise(TIERS[2])
+    name = _low(model)
+
+    def near(said: Column, text: Column, n: Column) -> Column:
+        mine, forms = n["family"], _forms(n["numbered"])
+        named = (name != "") & F.contains(F.replace(abstract, F.lit(" "), F.lit("-")), name)
+        told = F.exists(mine, lambda t: t.rlike(r"\d")) | (F.size(n["numbered"]) == 0) | F.exists(forms, lambda f: F.contains(text, f))
+        whole = (F.size(mine) > 0) & (F.size(F.array_except(mine, said)) == 0) & told
+        of_family = F.exists(_owners(model, bases), lambda m: F.arrays_overlap(family_words(m), said))
+        return F.when(named | whole, TIERS[0]).when(of_family, TIERS[1]).otherwise(TIERS[2])
+
+    return let(text, lambda t: let(words(t), lambda said: let(_parsed(model), lambda n: near(said, t, n))))
 
 
 def searches(model: Column, bases: Column, most: int = 3) -> Column:
@@ -165,19 +196,20 @@ def choose_papers(candidates: DataFrame) -> DataFrame:
     Of rows with equal seq the one with the smallest arxiv_id is first. Targets without a usable paper give no row; null titles and abstracts count as empty.
     """
     near = F.when(F.coalesce(F.col("searched"), F.lit(False)) & ~title_gate(F.col("model"), F.col("title"), F.col("bases")), TIERS[2]).otherwise(tier(F.col("model"), F.col("title"), F.col("abstract"), F.col("bases")))
-    usable = candidates.withColumn("tier", near).where(F.col("tier") != TIERS[2])
-    first = F.min(F.struct((F.col("tier") != TIERS[0]).alias("far"), "seq", "arxiv_id", "title", "origin", "tier")).alias("f")
-    return usable.groupBy("target").agg(first).select("target", "f.arxiv_id", "f.title", "f.origin", "f.tier")
+    first = F.min(F.when(F.col("tier") != TIERS[2], F.struct((F.col("tier") != TIERS[0]).alias("far"), "seq", "arxiv_id", "title", "origin", "tier"))).alias("f")  # a filter on the tier would work it out twice
+    return candidates.withColumn("tier", near).groupBy("target").agg(first).where("f is not null").select("target", "f.arxiv_id", "f.title", "f.origin", "f.tier")
 
 
 def own_repository(model: Column, url: Column) -> Column:
     """True if a repository is the model's: its name holds a family word, with or without the word's number, and if both names have a generation, its first number agrees."""
     repo = F.regexp_replace(F.lower(F.regexp_extract(url, REPOSITORY, 1)), r"\.git$", "")
-    own = family_words(model)
-    family = F.filter(F.concat(own, F.transform(own, lambda t: F.regexp_replace(t, r"\d+$", ""))), lambda t: F.length(t) >= 3)
     major = lambda v: F.substring_index(v, ".", 1)
-    agree = F.coalesce(major(version(F.substring_index(model, "/", -1))) == major(version(repo)), F.lit(True))
-    return F.coalesce(F.exists(family, lambda t: F.contains(repo, t)) & agree, F.lit(False))
+
+    def agree(own: Column, repo: Column) -> Column:
+        family = F.filter(F.concat(own, F.transform(own, lambda t: F.regexp_replace(t, r"\d+$", ""))), lambda t: F.length(t) >= 3)
+        return F.exists(family, lambda t: F.contains(repo, t)) & F.coalesce(major(version(F.substring_index(model, "/", -1))) == major(version(repo)), F.lit(True))
+
+    return F.coalesce(let(repo, lambda r: let(family_words(model), lambda own: agree(own, r))), F.lit(False))
 
 
 def own_repositories(links: DataFrame) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from cardloom.functions import text as T
 from cardloom.operators import frame, occurrences, papers
-from cardloom.plans.catalogue import query, read
+from cardloom.plans.catalogue import dealt, query, read
 
 # {g} is a generation from 1 to 9. Models by key; titles that meet each of them.
 _MODELS = ("org/Nova-{g}-8B", "org/nova{g}.5-0.5b-sft", "org/Meta-Nova-{g}.1-8B", "org/Nova-7B", "org/Nova-V{g}-Base")
@@ -26,7 +26,7 @@ def _each(texts: tuple[str, ...], at: str, name: str) -> Column:
 def _models(spark: SparkSession, d: str) -> DataFrame:
     model = F.get(F.array(*[_filled(t) for t in _MODELS]), F.col("p_partkey") % 5)
     bases = F.when(F.col("p_partkey") % 5 == 3, F.array(F.lit("org2/Zeta-2-8B"), F.lit("bare")))
-    return read(spark, d, "part").select(F.col("p_partkey").alias("target"), "p_partkey", "p_size", model.alias("model"), bases.alias("bases"))
+    return dealt(spark, d, "part", "p_partkey").select(F.col("p_partkey").alias("target"), "p_partkey", "p_size", model.alias("model"), bases.alias("bases"))
 
 
 def _candidates(spark: SparkSession, d: str) -> DataFrame:
@@ -56,7 +56,8 @@ _ALL = f"WITH {_M}, {_F}, {_H}, {_C}, {_T}"
 def family_generations(spark, d):
     """The family word, generation and written forms of each model's name."""
     m = F.col("model")
-    return _models(spark, d).select("target", papers.head_word(m).alias("head"), papers.generation(m, papers.head_word(m)).alias("generation"), papers.version(m).alias("version"), F.array_join(papers.name_forms(m), "|").alias("forms"))
+    named = _models(spark, d).withColumn("head", papers.head_word(m))
+    return named.select("target", "head", papers.generation(m, F.col("head")).alias("generation"), papers.version(m).alias("version"), F.array_join(papers.name_forms(m), "|").alias("forms"))
 
 
 @query(f"{_ALL} SELECT target, seq, gate, tier FROM r")
@@ -89,7 +90,7 @@ def arxiv_numbers(spark, d):
     key = F.col("p_partkey")
     tags = F.when(key % 2 == 0, F.array(F.lit("text"), F.concat(F.lit("arxiv:"), number(F.col("p_size")), F.lit("v2"))))
     readme = F.concat(F.lit("# A\nSee https://arxiv.org/abs/"), number(key % 50), F.lit("v1.\n@misc{a,\n  eprint = {"), number(key % 100), F.lit("},\n}\nend"))
-    return read(spark, d, "part").select(key.alias("target"), F.explode(papers.arxiv_numbers(tags, readme)).alias("x")).select("target", "x.*")
+    return dealt(spark, d, "part", "p_partkey").select(key.alias("target"), F.explode(papers.arxiv_numbers(tags, readme)).alias("x")).select("target", "x.*")
 
 
 # ---- names in the lines of documents: the languages as targets, each with a model and a base ----
@@ -139,4 +140,4 @@ def markdown_view(spark, d):
     """Markdown of each part as it reads, and the setting that a note states."""
     text = F.replace(F.replace(F.lit(_MARKDOWN), F.lit("{n}"), F.col("p_name")), F.lit("{k}"), F.col("p_partkey").cast("string"))
     note = F.get(F.array(*[F.lit(n) for n in _NOTES]), F.col("p_partkey") % 8)
-    return read(spark, d, "part").select("p_partkey", T.markdown_plain(text).alias("view"), T.setting(note).alias("setting"))
+    return dealt(spark, d, "part", "p_partkey").select("p_partkey", T.markdown_plain(text).alias("view"), T.setting(note).alias("setting"))

@@ -14,3 +14,13 @@ def _plan(spark, name):
 @pytest.mark.parametrize("name", ["score_rows_of_targets", "score_claims"])
 def test_nothing_is_broadcast(spark, name):
     assert "Broadcast" not in _plan(spark, name)
+
+
+@pytest.mark.parametrize("name", ["paper_titles", "family_generations"])
+def test_heavy_rows_are_dealt(spark, name):
+    assert __spark_entry__.queries()[name](spark, D).rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+@pytest.mark.parametrize(("name", "most"), [("paper_titles", 40_000), ("paper_choice", 40_000), ("own_repositories", 12_000), ("family_generations", 20_000)])
+def test_a_name_is_taken_apart_once(spark, name, most):
+    assert len(_plan(spark, name)) < most
