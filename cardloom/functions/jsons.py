@@ -144,13 +144,20 @@ def _tokens(pointer: str, strict: bool) -> list[str]:
     return (pointer[1:] if strict else pointer.lstrip("/")).split("/")
 
 
+def _found(whole: Any, pointer: str | None, strict: bool) -> dict[str, str | None]:
+    try:
+        at = whole
+        for token in _tokens(pointer or "", strict):
+            at = _step(at, token, strict)
+        return {"value": _canonical(at), "fault": None}
+    except _Refused as e:
+        return {"value": None, "fault": e.kind}
+
+
 def _resolved(strict: bool) -> Callable[[str, str | None], dict[str, str | None]]:
     def resolve(text: str, pointer: str | None) -> dict[str, str | None]:
         try:
-            at = _load(text)
-            for token in _tokens(pointer or "", strict):
-                at = _step(at, token, strict)
-            return {"value": _canonical(at), "fault": None}
+            return _found(_load(text), pointer, strict)
         except _Refused as e:
             return {"value": None, "fault": e.kind}
 
@@ -166,6 +173,31 @@ def at_pointer(text: Column, pointer: Column, strict: bool = False) -> Column:
     return _per_value(_resolved(strict), FOUND, pa.struct([("value", pa.string()), ("fault", pa.string())]))(text, pointer)
 
 
+def at_pointers(text: Column, pointers: Column, strict: bool = False) -> Column:
+    """What at_pointer gives for each of an array of pointers, in their order: the text is sent and read once for all of them. A null text or array gives null, an empty array an empty one."""
+
+    @F.arrow_udf(f"array<{FOUND}>")
+    def run(texts: pa.Array, asked: pa.Array) -> pa.Array:
+        values, faults, ends = [], [], [0]
+        missing = []
+        for t, ps in zip(texts.to_pylist(), asked.to_pylist(), strict=True):
+            missing.append(t is None or ps is None)
+            if not missing[-1]:
+                try:
+                    whole, refused = _load(t), None
+                except _Refused as e:
+                    whole, refused = None, e.kind
+                for p in ps:
+                    found = _found(whole, p, strict) if refused is None else {"value": None, "fault": refused}
+                    values.append(found["value"])
+                    faults.append(found["fault"])
+            ends.append(len(values))
+        found = pa.StructArray.from_arrays([pa.array(values, pa.string()), pa.array(faults, pa.string())], ["value", "fault"])
+        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), found, mask=pa.array(missing))
+
+    return run(text, pointers)
+
+
 def _walk(value: Any) -> Iterator[tuple[str, str]]:
     """(pointer, text) of each leaf, in the document's order, without recursion."""
     todo = [("", value)]

@@ -158,7 +158,7 @@ def canonical_numbers(text: Column) -> Column:
 
     def value(x: Column) -> Column:
         unit = F.lower(F.regexp_extract(x, r"([A-Za-z]+)$", 1))
-        scale = F.when(unit.isin("k", "thousand"), 1e3).when(unit.isin("m", "million"), 1e6).when(unit.isin("b", "billion"), 1e9).when(unit.isin("t", "trillion"), 1e12).otherwise(1.0)
+        scale = let(unit, lambda u: F.when(u == "", 1.0).when(u.isin("k", "thousand"), 1e3).when(u.isin("m", "million"), 1e6).when(u.isin("b", "billion"), 1e9).when(u.isin("t", "trillion"), 1e12).otherwise(1.0))
         return F.regexp_replace(F.regexp_extract(x, r"^([\d,.]+)", 1), ",", "").try_cast("double") * scale
 
     return F.transform(found, value)

@@ -46,8 +46,9 @@ NOT_FOLDED = "[^a-z0-9/]"
 
 def identifiers(text: Column) -> Column:
     """The identifiers of a text, folded, sorted: repository ids, and names that have a digit or a capital within; a word that is only compounded names nothing."""
-    found = F.filter(F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(f"({CANDIDATE})"), 1), lambda t: F.char_length(t) >= 3)
-    named = F.filter(found, lambda t: t.contains("/") | t.rlike(r"(?U)\d") | F.regexp_replace(t, "[-_]", "").rlike("^.+[A-Z]"))
+    plain, any_script = (F.lit(f"({x})") for x in (CANDIDATE.removeprefix("(?U)"), CANDIDATE))  # alike on ASCII, where the first is quicker
+    found = T.let(F.coalesce(text, F.lit("")), lambda t: F.when(t.rlike(r"^\p{ASCII}*$"), F.regexp_extract_all(t, plain, 1)).otherwise(F.regexp_extract_all(t, any_script, 1)))
+    named = F.filter(found, lambda t: (F.char_length(t) >= 3) & (t.contains("/") | t.rlike(r"\p{Nd}") | F.regexp_replace(t, "[-_]", "").rlike("^.+[A-Z]")))
     folded = F.transform(named, lambda t: F.regexp_replace(F.lower(t), NOT_FOLDED, ""))
     return F.array_sort(F.array_distinct(F.filter(folded, lambda t: (t != "") & ~t.rlike(r"^\d+$"))))
 

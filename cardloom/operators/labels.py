@@ -155,10 +155,14 @@ def _tokens(model_id: Column) -> Column:
     return F.filter(F.split(F.substring_index(model_id, "/", -1), "[-_ ]+"), lambda x: x != "")
 
 
+def _family(tokens: Column, model_id: Column) -> Column:
+    kept = F.filter(tokens, lambda x: ~x.rlike(NAME_SIZE) & ~x.rlike(NAME_DATE) & ~x.rlike(NAME_MIXTURE) & ~F.lower(x).isin(*NAME_STAGES))
+    return T.let(kept, lambda k: F.when(F.size(k) > 0, F.array_join(k, " ")).otherwise(F.substring_index(model_id, "/", -1)))
+
+
 def family(model_id: Column) -> Column:
     """A repository's family: its name without size, date, stage and packaging."""
-    kept = F.filter(_tokens(model_id), lambda x: ~x.rlike(NAME_SIZE) & ~x.rlike(NAME_DATE) & ~x.rlike(NAME_MIXTURE) & ~F.lower(x).isin(*NAME_STAGES))
-    return F.when(F.size(kept) > 0, F.array_join(kept, " ")).otherwise(F.substring_index(model_id, "/", -1))
+    return _family(_tokens(model_id), model_id)
 
 
 def is_derivative(model_id: Column) -> Column:
@@ -167,14 +171,15 @@ def is_derivative(model_id: Column) -> Column:
 
 def aliases(model_id: Column) -> Column:
     """How a target is written: its id, its name with blanks, and for each size the family with size and stages, joined by blanks, by hyphens and half and half."""
-    tokens, fam = _tokens(model_id), family(model_id)
-    sizes = F.filter(tokens, lambda x: x.rlike(NAME_SIZE) | x.rlike(NAME_MIXTURE))
-    stages = F.filter(tokens, lambda x: F.lower(x).isin(*NAME_STAGES))
-    hyphened = F.replace(fam, F.lit(" "), F.lit("-"))
-
-    def spelled(size: Column) -> Column:
+    def spelled(fam: Column, hyphened: Column, stages: Column, size: Column) -> Column:
         plain, joined = (F.array_join(F.concat(F.array(size), stages), x) for x in (" ", "-"))
         return F.array(F.concat(fam, F.lit(" "), plain), F.concat(fam, F.lit("-"), joined), F.concat(hyphened, F.lit("-"), joined), F.concat(hyphened, F.lit(" "), plain))
 
+    def told(tokens: Column) -> Column:
+        sizes = F.filter(tokens, lambda x: x.rlike(NAME_SIZE) | x.rlike(NAME_MIXTURE))
+        parts = F.struct(_family(tokens, model_id).alias("fam"), F.filter(tokens, lambda x: F.lower(x).isin(*NAME_STAGES)).alias("stages"))
+        hyphened = lambda p: F.replace(p["fam"], F.lit(" "), F.lit("-"))
+        return T.let(parts, lambda p: F.flatten(F.transform(sizes, lambda size: spelled(p["fam"], hyphened(p), p["stages"], size))))
+
     own = F.array(model_id, F.replace(F.substring_index(model_id, "/", -1), F.lit("-"), F.lit(" ")))
-    return F.array_distinct(F.concat(own, F.flatten(F.transform(sizes, spelled))))
+    return F.array_distinct(F.concat(own, T.let(_tokens(model_id), told)))

@@ -123,7 +123,7 @@ def row_spans(requests: DataFrame, sources: DataFrame) -> DataFrame:
     texts = sources.select("source_id", T.normalized(F.coalesce("text", F.lit(""))).alias("_text"))
     r = requests.select("request_id", "source_id", T.normalized(F.coalesce("block", F.lit(""))).alias("block"), T.normalized(F.coalesce("row", F.lit(""))).alias("row"), F.col("nth_block").cast("int").alias("nth_block"), F.col("nth_row").cast("int").alias("nth_row"))
     early = F.when((F.col("nth_block") < 0) | (F.col("nth_row") < 0), "negative_occurrence").when((F.col("block") == "") | (F.col("row") == ""), "empty_text")
-    rows = r.withColumn("early", early).join(texts, "source_id", "left")
+    rows = r.withColumn("early", early).join(texts.hint("merge"), "source_id", "left")
     early = F.coalesce("early", F.when(F.col("_text").isNull(), "source_absent"))
     block = F.when(early.isNull(), _nth(F.col("_text"), F.col("block"), F.col("nth_block"), F.lit(0), F.char_length("_text")))
     rows = rows.withColumn("early", early).withColumn("at_block", block)

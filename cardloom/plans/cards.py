@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from cardloom.functions import names as N
 from cardloom.operators import bindings, channels, choices, gates, labels
-from cardloom.plans.catalogue import query, read
+from cardloom.plans.catalogue import dealt, query, read
 
 
 def _pick(words: list[str], by: Column) -> Column:
@@ -28,7 +28,7 @@ def _models(spark: SparkSession, d: str) -> DataFrame:
     key, size = F.col("p_partkey"), F.col("p_size")
     model = F.concat(F.lit("org/"), F.replace("p_brand", F.lit("#"), F.lit("-")), F.lit("-"), size.cast("string"), F.lit("B-"), _pick(_STAGES, key))
     label = F.concat("p_brand", F.lit(" "), size.cast("string"), F.lit("b "), _pick(_STAGES, size), F.when(key % 4 == 0, " (ours)").when(key % 4 == 1, " bf16").otherwise(""))
-    return read(spark, d, "part").select("p_partkey", "p_size", "p_brand", model.alias("model"), label.alias("label"))
+    return dealt(spark, d, "part", "p_partkey").select("p_partkey", "p_size", "p_brand", model.alias("model"), label.alias("label"))
 
 
 _STAGE_SQL = "CASE x " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in labels.STAGE_WORDS.items()) + " END"
@@ -81,8 +81,8 @@ def model_names(spark, d):
 s AS (SELECT *, array_to_string(list_concat([size], st), ' ') AS a, array_to_string(list_concat([size], st), '-') AS b, replace(fam, ' ', '-') AS h FROM f)
 SELECT p_partkey, len(list_distinct(x))::INT AS n, array_to_string(list_sort(list_distinct(x)), '|') AS aliases FROM (SELECT p_partkey, [model, replace(split_part(model, '/', 2), '-', ' '), fam || ' ' || a, fam || '-' || b, h || '-' || b, h || ' ' || a] AS x FROM s)""")
 def target_aliases(spark, d):
-    found = labels.aliases(F.col("model"))
-    return _models(spark, d).select("p_partkey", F.size(found).alias("n"), F.array_join(F.array_sort(found), "|").alias("aliases"))
+    found = F.col("found")
+    return _models(spark, d).withColumn("found", labels.aliases(F.col("model"))).select("p_partkey", F.size(found).alias("n"), F.array_join(F.array_sort(found), "|").alias("aliases"))
 
 
 @query("""WITH t AS (SELECT doc_id, text, CASE WHEN doc_id % 3 = 0 THEN 'base' WHEN doc_id % 3 = 1 THEN 'post' END AS stage, text || CASE WHEN doc_id % 5 = 0 THEN ' Base Models' WHEN doc_id % 5 = 1 THEN ' Instruction-tuned results' WHEN doc_id % 5 = 2 THEN ' pretraining and chat models' ELSE '' END AS c FROM documents),
