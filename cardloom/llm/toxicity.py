@@ -7,7 +7,8 @@ the third factor it finds nine in ten. No term is dropped; one that no example h
 
 Examples lie in blocks of the index, like ones together. Terms that over an eighth of the examples hold are kept as rows of a matrix, whose part in all cosines is one product for a batch of
 texts. All other terms have postings, and for each term and block the largest weight is kept: the sum of these and the largest part from common terms
-bound every cosine in a block, so blocks are scored best bound first until no bound can reach the k-th cosine found. The k nearest vote with the square of their cosine, and a
+bound every cosine in a block, so blocks are scored best bound first until no bound can reach the k-th cosine found. A text with at most DIRECT postings has them all added at once, as its
+bounds would cost more than they save; both ways give the same. The k nearest vote with the square of their cosine, and a
 logistic curve fitted to the examples' leave-one-out votes turns votes into probabilities. A text without neighbours gets the share of toxic ones among the labelled texts without terms.
 
 The fit reads a bounded sample, at most `per_class` labelled texts of each class by the smallest hash of their id, so the index has a bounded size and may be broadcast.
@@ -35,12 +36,17 @@ NEIGHBOURS = 15
 BLOCK = 64
 FIRST_BLOCKS = 4
 MOST_SHOWN = 3
+#: Postings of a text up to which they are added without bounds.
+DIRECT = 1 << 17
 #: Texts whose common terms are multiplied at once.
 TOGETHER = 64
 #: Examples of one class that share this much of their terms are copies.
 COPY = 0.8
 
 _LETTER: list[np.ndarray] = []
+#: Code points and places in a word whose hashes are kept.
+_CODES, _PLACES = 1 << 10, 32
+_SIGN_HASHES: list[np.ndarray] = []
 
 
 def _letters() -> np.ndarray:
@@ -50,18 +56,29 @@ def _letters() -> np.ndarray:
     return _LETTER[0]
 
 
+def _sign_hashes(codes: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """A hash of each code point and its place in its word; those of most scripts are looked up."""
+    if not _SIGN_HASHES:
+        _SIGN_HASHES.append(mix((np.arange(_CODES, dtype=np.uint64) | np.arange(_PLACES, dtype=np.uint64)[:, None] << np.uint64(32)).ravel()))
+    if codes.max() < _CODES and place.max() < _PLACES:
+        return _SIGN_HASHES[0][place * _CODES + codes]
+    return mix(codes | place.astype(np.uint64) << np.uint64(32))
+
+
 def term_counts(text: str) -> tuple[np.ndarray, np.ndarray]:
     """The terms of a text as sorted 64-bit hashes, and how often each stands there; a long word's beginning is a term of its own kind."""
     codes = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), np.uint32)
-    edge = np.diff(_letters()[codes].astype(np.int8), prepend=0, append=0)
-    starts, ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+    letter = np.zeros(len(codes) + 2, bool)
+    letter[1:-1] = _letters()[codes]
+    edge = np.flatnonzero(letter[1:] != letter[:-1])
+    starts, ends = edge[::2], edge[1::2]
     if not len(starts):
         return np.empty(0, np.int64), np.empty(0, np.int64)
     n = ends - starts
-    at = ranges(starts, n)
-    place = ranges(np.zeros(len(n), np.int64), n).astype(np.uint64)
-    total = np.r_[np.uint64(0), np.cumsum(mix(codes[at] | place << np.uint64(32)))]
     first = np.cumsum(n) - n
+    place = np.arange(first[-1] + n[-1]) - np.repeat(first, n)
+    total = np.zeros(len(place) + 1, np.uint64)
+    np.cumsum(_sign_hashes(codes[letter[1:-1]], place), out=total[1:])
     long = n > STEM
     words = mix(total[first + n] - total[first] ^ n.astype(np.uint64), 1)
     stems = mix(total[first[long] + STEM] - total[first[long]], 2)
@@ -124,6 +141,7 @@ class Index:
         term, self.at, self.weight = term[order], of[order].astype(np.int32), weight[order]
         block = self.at // BLOCK
         begins = np.flatnonzero(np.r_[True, (term[1:] != term[:-1]) | (block[1:] != block[:-1])][: len(term)])
+        self.of_term = np.searchsorted(term, np.arange(n_terms + 1))
         # one entry for each term and block: its postings, the block and the largest weight
         self.start, self.n = begins, np.diff(np.r_[begins, len(term)])
         self.block = block[begins]
@@ -145,12 +163,16 @@ class Index:
 
     def _nearest(self, f: np.ndarray, w: np.ndarray, base: np.ndarray, k: int, without: list[int]) -> tuple[np.ndarray, np.ndarray]:
         """base: what the common terms add to each cosine. The best bounded blocks are scored first; they set the floor that decides which others are scored at all."""
+        found, score = np.empty(0, np.int64), np.empty(0)
+        n = self.of_term[f + 1] - self.of_term[f]
+        if n.sum() <= DIRECT:
+            posting = ranges(self.of_term[f], n)
+            return self._best(np.bincount(self.at[posting], np.repeat(w, n) * self.weight[posting], minlength=len(base)) + base, k, without, found, score)
         n = self.first[f + 1] - self.first[f]
         entry, of = ranges(self.first[f], n), np.repeat(w, n)
         block = self.block[entry]
         bound = np.bincount(block, of * self.bound[entry], minlength=self.blocks) + base.reshape(-1, BLOCK).max(axis=1)
         order = np.argsort(-bound, kind="stable")
-        found, score = np.empty(0, np.int64), np.empty(0)
         for blocks in (order[:FIRST_BLOCKS], order[FIRST_BLOCKS:]):
             blocks = blocks[bound[blocks] > 0]
             if len(found) == k:
@@ -164,14 +186,18 @@ class Index:
             posting = ranges(self.start[entry[take]], count)
             c = np.bincount(self.at[posting], np.repeat(of[take], count) * self.weight[posting], minlength=len(base)) + base
             c[np.repeat(~chosen, BLOCK)] = 0
-            c[without] = 0
-            floor = max(np.partition(c, len(c) - k)[len(c) - k] - 1e-9, score[-1] - 1e-9 if len(found) == k else 0) if len(c) > k else 0
-            near = np.flatnonzero(c > max(floor, 0))
-            found, score = np.r_[found, near], np.r_[score, c[near]]
-            best = np.lexsort((found, -np.round(score, 12)))[:k]
-            found, score = found[best], score[best]
+            found, score = self._best(c, k, without, found, score)
         return found, score
 
+    def _best(self, c: np.ndarray, k: int, without: list[int], found: np.ndarray, score: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The k best of those found so far and of the examples with cosines c, 0 for those that aren't scored."""
+        c[without] = 0
+        floor = max(np.partition(c, len(c) - k)[len(c) - k] - 1e-9, score[-1] - 1e-9 if len(found) == k else 0) if len(c) > k else 0
+        near = np.flatnonzero(c > max(floor, 0))
+        found, score = np.r_[found, near], np.r_[score, c[near]]
+        best = np.lexsort((found, -np.round(score, 12)))[:k]
+        return found[best], score[best]
+
 
 class Model:
     """The terms, the index and the curve; `bare` is the score of a text without neighbours."""

@@ -56,6 +56,26 @@ def test_block_max_search_equals_cosines_of_whole_texts():
         assert len(found) == min(15, (cosines > 1e-15).sum())
 
 
+def test_texts_of_few_postings_need_no_bounds(monkeypatch):
+    rnd = np.random.default_rng(3)
+    some = lambda n: (np.sort(rnd.choice(400, n, replace=False)), rnd.random(n))
+    index = toxicity.Index(400, [(i, i % 2, *some(rnd.integers(1, 60))) for i in range(900)])
+    asked = [some(n) for n in (1, 5, 40, 200)]
+    without = [[], [3], [0, 899], []]
+    direct = index.nearest(asked, 15, without)
+    monkeypatch.setattr(toxicity, "DIRECT", 0)
+    for (found, score), (other, bounded) in zip(direct, index.nearest(asked, 15, without), strict=True):
+        assert found.tolist() == other.tolist() and score.tolist() == bounded.tolist()
+
+
+def test_signs_looked_up_have_the_hashes_of_others(monkeypatch):
+    text = "Straße " + "a" * 31 + " b"
+    looked_up = toxicity.term_counts(text)[0].tolist()
+    assert set(looked_up) < set(toxicity.term_counts(text + " 日本 " + "a" * 40)[0].tolist())
+    monkeypatch.setattr(toxicity, "_PLACES", 0)
+    assert toxicity.term_counts(text)[0].tolist() == looked_up
+
+
 def test_all_terms_count_in_a_cosine(docs, spark):
     long = "vile " + " ".join(f"word{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}{chr(97 + i // 676)}" for i in range(5000))
     rows = [(i, "a vile thing" if i % 2 else "a fine thing") for i in range(40)]
