@@ -35,6 +35,9 @@ GRAM = 24
 REACH = WIDE + GRAM
 PIECE = 8
 STRETCH = 1 << 15
+#: Bytes whose anchors are sought at once, and anchors that are sent on together.
+SLICE = 1 << 20
+TOGETHER = 1 << 18
 _NUMBERS = np.random.default_rng(12).integers(0, 1 << 64, 256, np.uint64, endpoint=False)
 
 
@@ -78,28 +81,130 @@ def _reach_hash(a: Anchors, length: int) -> np.ndarray:
     return mix(a.hash(a.at, length - WIDE + 1), 2).view(np.int64)
 
 
-def _counted(length: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for _, _, data, offsets in text_slices(batch.column("text"), 1 << 22):
-                h, n = np.unique(_reach_hash(Anchors(data, offsets, length), length), return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(h), pa.array(n.astype(np.int64))], ["h", "n"])
+def _dealt(part: np.ndarray, **columns: tuple[np.ndarray, pa.DataType]) -> pa.RecordBatch:
+    """A row for each part, with lists of what the columns hold of it; rows come by part."""
+    begins = np.flatnonzero(np.r_[True, part[1:] != part[:-1]][: len(part)])
+    at = pa.array(np.r_[begins, len(part)].astype(np.int32))
+    return pa.RecordBatch.from_arrays([pa.array(part[begins], pa.int32()), *(pa.ListArray.from_arrays(at, pa.array(v, t)) for v, t in columns.values())], ["part", *columns])
 
-    return run
+
+def _part_of(h: np.ndarray, parts: int) -> np.ndarray:
+    """Which of `parts` equal ranges of mixed 64-bit values each is in."""
+    return ((h.view(np.uint64) >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int32)
+
+
+_TRAVELS = "part int, known array<boolean>, h array<long>, k array<long>, low array<int>, high array<int>"
 
 
-def _placed(length: int):
+def _placed(length: int, parts: int):
+    """The anchors by ranges of their hashes, as lists. Of those with one hash that a task holds at a time one goes on to tell the others; that all of them repeat is known."""
+
+    def send(h: np.ndarray, k: np.ndarray, low: np.ndarray, high: np.ndarray) -> pa.RecordBatch:
+        order = np.argsort(h.view(np.uint64), kind="stable")
+        h, k, low, high = h[order], k[order], low[order], high[order]
+        first = np.r_[True, h[1:] != h[:-1]]
+        again = np.bincount(np.cumsum(first) - 1)[np.cumsum(first) - 1] > 1
+        # rows that repeat here: once each as known places (low of 0 or more), and one for the hash (low -1)
+        rest = np.flatnonzero(again)
+        rest = rest[np.lexsort((low[rest], k[rest]))]
+        rest = rest[np.r_[True, (k[rest][1:] != k[rest][:-1]) | (low[rest][1:] != low[rest][:-1]) | (h[rest][1:] != h[rest][:-1])][: len(rest)]]
+        at = np.r_[np.flatnonzero(first), rest]
+        n = int(first.sum())
+        part = np.r_[_part_of(h[first], parts), _part_of(mix(k[rest].view(np.uint64)).view(np.int64), parts)]
+        known = np.r_[again[first], np.ones(len(rest), bool)]
+        low = np.r_[np.where(again[first], -1, low[first]), low[rest]]
+        by = np.argsort(part, kind="stable")
+        at = at[by]
+        return _dealt(part[by], known=(known[by], pa.bool_()), h=(h[at], pa.int64()), k=(k[at], pa.int64()), low=(low[by], pa.int32()), high=(high[at], pa.int32()))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, n = [], 0
         for batch in batches:
             keys = batch.column("k").to_numpy()
-            for row, _, data, offsets in text_slices(batch.column("text"), 1 << 22):
+            for row, _, data, offsets in text_slices(batch.column("text"), SLICE):
                 a = Anchors(data, offsets, length)
                 start = offsets[a.text]
-                yield pa.RecordBatch.from_arrays([pa.array(_reach_hash(a, length)), pa.array(keys[row + a.text]), pa.array(a.low - start), pa.array(a.high - start)], ["h", "k", "low", "high"])
+                held.append((_reach_hash(a, length), keys[row + a.text], a.low - start, a.high - start))
+                n += len(a.at)
+                if n >= TOGETHER:
+                    yield send(*map(np.concatenate, zip(*held, strict=True)))
+                    held, n = [], 0
+        if n:
+            yield send(*map(np.concatenate, zip(*held, strict=True)))
+
+    return run
+
+
+def _by_part(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[list[np.ndarray]]:
+    """The columns' values of one part after another, of rows that come by part."""
+    held, last = [], None
+    for batch in batches:
+        part = batch.column("part").to_numpy()
+        begins = np.flatnonzero(np.r_[True, part[1:] != part[:-1]][: len(part)])
+        for lo, hi in zip(begins.tolist(), [*begins[1:].tolist(), len(part)], strict=True):
+            if held and part[lo] != last:
+                yield [np.concatenate(c) for c in zip(*held, strict=True)]
+                held = []
+            held.append([batch.column(c).slice(lo, hi - lo).flatten().to_numpy(zero_copy_only=False) for c in names])
+            last = part[lo]
+    if held:
+        yield [np.concatenate(c) for c in zip(*held, strict=True)]
+
+
+def _met(parts: int):
+    """Of the anchors of a range of hashes the places of those that repeat, by ranges of their texts."""
+
+    def send(held: list[tuple]) -> pa.RecordBatch:
+        h, k, low, high = map(np.concatenate, zip(*held, strict=True))
+        part = _part_of(mix(k.view(np.uint64)).view(np.int64), parts)
+        by = np.argsort(part, kind="stable")
+        ends = (h >> 7) % PIECE == 0
+        return _dealt(part[by], k=(k[by], pa.int64()), low=(low[by], pa.int32()), high=(high[by], pa.int32()), ends=(ends[by], pa.bool_()))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, n = [], 0
+        for known, h, k, low, high in _by_part(batches, ["known", "h", "k", "low", "high"]):
+            done = known & (low >= 0)
+            asked = np.flatnonzero(~done)
+            asked = asked[np.argsort(h[asked], kind="stable")]
+            first = np.r_[True, h[asked][1:] != h[asked][:-1]][: len(asked)]
+            of = np.cumsum(first) - 1
+            twice = (np.bincount(of) > 1) | (np.bincount(of, known[asked]) > 0)
+            at = np.r_[np.flatnonzero(done), asked[twice[of] & ~known[asked]]] if len(asked) else np.flatnonzero(done)
+            held.append((h[at], k[at], low[at], high[at]))
+            n += len(at)
+            if n >= TOGETHER:
+                yield send(held)
+                held, n = [], 0
+        if n:
+            yield send(held)
 
     return run
 
 
+def _of_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(k, ranges): the places of each text in order."""
+    for k, low, high, ends in _by_part(batches, ["k", "low", "high", "ends"]):
+        order = np.lexsort((ends, high, low, k))
+        k, low, high, ends = (c[order] for c in (k, low, high, ends))
+        new = np.r_[True, (k[1:] != k[:-1]) | (low[1:] != low[:-1]) | (high[1:] != high[:-1]) | (ends[1:] != ends[:-1])]
+        k, low, high, ends = (c[new] for c in (k, low, high, ends))
+        begins = np.flatnonzero(np.r_[True, k[1:] != k[:-1]])
+        places = pa.StructArray.from_arrays([pa.array(low, pa.int64()), pa.array(high, pa.int64()), pa.array(ends, pa.bool_())], ["low", "high", "ends"])
+        yield pa.RecordBatch.from_arrays([pa.array(k[begins], pa.int64()), pa.ListArray.from_arrays(pa.array(np.r_[begins, len(k)].astype(np.int32)), places)], ["k", "ranges"])
+
+
+def repeated_anchors(docs: DataFrame, length: int = LENGTH) -> DataFrame:
+    """(k, ranges): for each text of docs(k, text) its anchors whose following bytes stand again elsewhere: first and last start that leads there, and whether a piece may end there.
+
+    Texts are read once; anchors travel as lists, by ranges of their hashes and then of their texts.
+    """
+    parts = max(256, 8 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    posted = docs.select("k", "text").mapInArrow(_placed(length, parts), _TRAVELS)
+    met = posted.repartition("part").sortWithinPartitions("part").mapInArrow(_met(parts), "part int, k array<long>, low array<int>, high array<int>, ends array<boolean>")
+    return met.repartition("part").sortWithinPartitions("part").mapInArrow(_of_texts, "k long, ranges array<struct<low:long,high:long,ends:boolean>>")
+
+
 def _digest(data: bytes) -> bytes:
     return hashlib.blake2b(data, digest_size=16).digest()
 
@@ -145,7 +250,7 @@ def _batch(rows: list[tuple], names: list[str], kinds: list) -> pa.RecordBatch:
 def _by_piece(batch: pa.RecordBatch, length: int) -> Iterator[tuple[int, bytes, list[int], list[int], list[int]]]:
     """(row, bytes, anchors, first and last starts) of each piece; an anchor that no whole string leads to has a last start before its first."""
     column = batch.column("bytes").cast(pa.large_binary())
-    for row, k, data, offsets in text_slices(pa.Array.from_buffers(pa.large_string(), len(column), column.buffers(), offset=column.offset), 1 << 21):
+    for row, k, data, offsets in text_slices(pa.Array.from_buffers(pa.large_string(), len(column), column.buffers(), offset=column.offset), SLICE):
         a = Anchors(data, offsets, REACH - 1)
         base = offsets[a.text]
         last = offsets[a.text + 1] - base - length
@@ -349,15 +454,10 @@ def repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
 
     k and k2 are two hashes of the text; rows with equal texts count as elsewhere to each other.
     """
-    counted = docs.select("text").mapInArrow(_counted(length), "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
-    twice = cut(counted.where("n > 1").select("h"), "twice")
-    places = docs.select("k", "text").mapInArrow(_placed(length), "h long, k long, low long, high long")
-    ends = (F.pmod(F.shiftright("h", 7), F.lit(PIECE)) == 0).alias("ends")
-    ranges = places.join(twice, "h").groupBy("k").agg(F.array_sort(F.collect_set(F.struct("low", "high", ends))).alias("ranges"))
-    ranges = cut(ranges, "ranges")
+    ranges = cut(repeated_anchors(docs, length), "ranges")
     found = docs.join(ranges, "k").select("text", "k", "k2", "ranges")
     pieces = cut(found.mapInArrow(_pieces(length), "digest binary, bytes binary, k long, k2 long, start long"), "pieces")
-    done_with(twice, ranges)
+    done_with(ranges)
     distinct = pieces.groupBy("digest").agg(F.count("*").alias("n"), F.any_value("bytes").alias("bytes")).withColumn("pid", F.monotonically_increasing_id())
     distinct = cut(distinct, "distinct")
     named = sample_names(distinct.select("pid", "bytes"), length)

@@ -80,3 +80,25 @@ def test_no_rows_and_no_repeats(docs):
     assert [tuple(r)[:4] for r in repeated_bytes(docs((1, "x" * 150)), with_text=False).collect()] == [(1, 150, 0, 0)]
     with pytest.raises(ValueError):
         repeated_bytes(docs((1, "x")), 50)
+
+
+@pytest.mark.parametrize("together", [1, 1 << 18])
+def test_anchors_that_repeat_in_one_task_or_several(docs, monkeypatch, together):
+    monkeypatch.setattr(suffixes, "TOGETHER", together)
+    rows = made(5)
+    texts = docs(*rows).where("text is not null").selectExpr("doc_id * 1 as id", "xxhash64(text) as k", "text")
+    by_key = {r.k: r.text.encode() for r in texts.collect()}
+    count = Counter()
+    for _, t in rows:
+        t = (t or "").encode()
+        data = suffixes.np.frombuffer(t, suffixes.np.uint8)
+        a = suffixes.Anchors(data, suffixes.np.array([0, len(data)]), 200)
+        count.update(t[at : at + 105] for at in a.at.tolist())
+    for n in (1, 7):
+        found = {r.k: [(x.low, x.high) for x in r.ranges] for r in suffixes.repeated_anchors(texts.select("k", "text").repartition(n)).collect()}
+        expected = {}
+        for k, t in by_key.items():
+            a = suffixes.Anchors(suffixes.np.frombuffer(t, suffixes.np.uint8), suffixes.np.array([0, len(t)]), 200)
+            again = [(lo, hi) for at, lo, hi in zip(a.at.tolist(), a.low.tolist(), a.high.tolist(), strict=True) if count[t[at : at + 105]] > 1]
+            expected |= {k: again} if again else {}
+        assert found == expected
