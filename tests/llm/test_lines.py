@@ -2,6 +2,7 @@ import random
 
 import numpy as np
 
+from cardloom.llm import lines
 from cardloom.llm.lines import Lines, Sets, dedup_lines
 from cardloom.llm.neardup import Texts
 
@@ -136,3 +137,12 @@ def test_common_shingles_are_counted_exactly():
             x, y = ("".join(rnd.choice(signs) for _ in range(n + k)) for k in (0, 2))
             assert Lines().in_common(x, y) == (len(shingles(x) & shingles(y)), len(shingles(x) | shingles(y)))
     assert Texts().in_common("a b c d e f", "a b c d e g") == (1, 3)
+
+
+def test_a_stage_of_pairs_has_one_python_step(spark):
+    texts = spark.createDataFrame([(i, "the same line of text, number " + str(i)) for i in range(6)], "id long, text string")
+    marked = texts
+    found = lines._verified(spark.createDataFrame([(1, 0), (2, 0), (3, 2)], "a long, b long"), marked, 0.8, Lines())
+    again = lines.components(found)
+    assert {(r.id, r.component) for r in again.collect()} == {(0, 0), (1, 0), (2, 0), (3, 0)}
+    assert "MapInArrow" not in found._jdf.queryExecution().toString()
