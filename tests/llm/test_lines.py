@@ -139,9 +139,33 @@ def test_common_shingles_are_counted_exactly():
     assert Texts().in_common("a b c d e f", "a b c d e g") == (1, 3)
 
 
+def test_marks_differ_in_no_more_bits_than_sets_in_shingles():
+    rng = random.Random(9)
+    texts = ["".join(rng.choice("abcde ") for _ in range(n)) for n in (1, 4, 5, 30, 200, 900)]
+    texts += [t[:k] + "x" + t[k + 1 :] for t in texts for k in (0, len(t) // 2)] + ["é" * 40, "é" * 39 + "日"]
+    mark = Sets(texts, Lines()).marks()
+    for i, x in enumerate(texts):
+        for j, y in enumerate(texts):
+            common, together = Lines().in_common(x.ljust(5, "\0"), y.ljust(5, "\0"))
+            bits = int(np.bitwise_count(mark[i] ^ mark[j]).sum())
+            assert bits <= together - common
+            assert common < 0.8 * together or bits <= lines.most_apart(common + together, 0.8)
+    assert np.bitwise_count(mark[4] ^ mark[5]).sum() > lines.most_apart(200 + 900, 0.8) / 4
+
+
+def test_lines_apart_by_their_marks_are_not_looked_at(monkeypatch):
+    texts = ["the quick brown fox jumps over", "the quick brown fox jumps over!", "nothing of this is the same text", "the quick brown fox jumped over a dog"]
+    sets = Sets(texts, Lines())
+    cell, other, kind = np.zeros(4, np.int64), np.array([False, True, True, True]), np.arange(4)
+    for most in (256, 0):
+        monkeypatch.setattr(lines, "_MOST_BY_MARKS", most)
+        near = lines._near_by_marks(cell, other, kind, sets.size, sets.marks(), 0.8)
+        assert near.tolist() == ([True, True, False, False] if most else [True] * 4)
+
+
 def test_a_stage_of_pairs_has_one_python_step(spark):
     texts = spark.createDataFrame([(i, "the same line of text, number " + str(i)) for i in range(6)], "id long, text string")
-    marked = texts
+    marked = lines.cut(lines._marked(texts, Lines()), "texts")
     found = lines._verified(spark.createDataFrame([(1, 0), (2, 0), (3, 2)], "a long, b long"), marked, 0.8, Lines())
     again = lines.components(found)
     assert {(r.id, r.component) for r in again.collect()} == {(0, 0), (1, 0), (2, 0), (3, 0)}
