@@ -40,6 +40,9 @@ class Texts(Lines):
         codes[np.arange(len(starts)) + np.repeat(np.cumsum(length) - length - first[:-1], n)] = word_hashes(data, starts, ends)
         return gram_hashes(codes, length, self.shingle)
 
+    def numbers(self, lines: list[str]) -> None:
+        return None  # words are too many for numbers of their shingles
+
     def shingles(self, line: str) -> set:
         words = line.split(" ")
         return {" ".join(words[i : i + self.shingle]) for i in range(max(1, len(words) - self.shingle + 1))}

@@ -170,3 +170,28 @@ def test_a_stage_of_pairs_has_one_python_step(spark):
     again = lines.components(found)
     assert {(r.id, r.component) for r in again.collect()} == {(0, 0), (1, 0), (2, 0), (3, 0)}
     assert "MapInArrow" not in found._jdf.queryExecution().toString()
+
+
+def test_a_small_bucket_gives_all_its_pairs_and_a_large_one_a_star(spark):
+    texts = [(i, "one line of text that many hold alike" if i < 40 else f"another line {'abc'[i % 3]} that few hold" * 3) for i in range(46)]
+    found = lines._buckets(spark.createDataFrame(texts, "id long, text string").repartition(3), 16, 5, Lines()).collect()
+    large = [(r.id, r.first) for r in found if r.bucket is not None]
+    assert {i for r in large for i in r} == set(range(40)) and len(large) == 16 * 39
+    small = {(r.id, r.first) for r in found if r.bucket is None}
+    assert {(43, 40), (44, 41), (45, 42)} <= small and all(40 <= b < a for a, b in small)
+
+
+def test_numbers_of_shingles_say_what_shingles_say():
+    rnd = random.Random(4)
+    texts = ["ab", "ab\0\0\0", "abcd", "\0\0\0\0\0", "abcde"]
+    for signs in ("ab ", "abcdefgh é", "日本語テ\U0001f600"):
+        texts += ["".join(rnd.choice(signs) for _ in range(rnd.randint(5, 80))) for _ in range(20)]
+    texts += [t + "x" for t in texts] + [t[:-1] for t in texts if len(t) > 5]
+    many = "".join(chr(0x4E00 + i) for i in range(2000))
+    pairs = np.array([(i, j) for i in range(len(texts)) for j in range(len(texts))])
+    for more, apart in ([], True), ([many], False):
+        sets = Sets(texts + more, Lines(), alone=True)
+        assert sets.told_apart == apart
+        assert sets.size[:5].tolist() == [1, 1, 1, 1, 1]
+        alike = [len(a & b) >= 0.8 * len(a | b) for a, b in ((shingles(texts[i]), shingles(texts[j])) for i, j in pairs)]
+        assert sets.alike(pairs[:, 0], pairs[:, 1], 0.8).tolist() == alike
