@@ -300,32 +300,50 @@ def _triples(length: int):
 
 def _runs(length: int):
     """Rows of the three sorted runs: what comes before an anchor and `length` bytes behind it, with the keys that sort them."""
+    kinds = {"run": pa.int32(), "head": pa.int32(), "name": pa.int64(), "context": pa.binary(), "most": pa.int32(), "least": pa.int32(), "pid": pa.int64(), "place": pa.int64()}
+
+    def rows_of(data: np.ndarray, offsets: np.ndarray, pids: np.ndarray, named: tuple[np.ndarray, np.ndarray, np.ndarray]) -> Iterator[pa.RecordBatch]:
+        """named: of each named letter its piece, its place among the piece's letters and its name."""
+        a = Anchors(data, offsets, REACH - 1)
+        if not len(a.at):
+            return
+        of, end = a.text, offsets[a.text + 1]
+        count = np.bincount(of, minlength=len(pids))
+        letter = np.arange(len(of)) - (np.cumsum(count) - count)[of]
+        # a piece's letters end with the first that its end cuts short, see _known
+        whole = a.at + REACH <= end
+        known = letter < (np.bincount(of, whole, minlength=len(pids)).astype(np.int64) + 1)[of]
+        base = np.cumsum(count + 2) - count - 2  # two places after each piece's letters stay 0
+        names = np.zeros(int(base[-1] + count[-1]) + 2, np.int64)
+        names[base[named[0]] + named[1]] = named[2]
+        slot = base[of] + letter
+        next_known = np.append((of[1:] == of[:-1]) & known[1:], False)
+        two = np.where(next_known, np.minimum(np.append(a.at[1:], 0) + REACH - a.at, length), length)
+        high = np.minimum(a.high, end - length)
+        rest = np.where(known, letter % 3, 0)  # an anchor after the last letter is a suffix of one letter by itself
+        real = high >= a.low
+        raw = data.tobytes()
+        for run, chosen, head, ahead in ((12, rest > 0, None, 0), (1, rest < 2, REACH, 1), (2, rest != 1, two, 2)):
+            chosen = np.flatnonzero(real & chosen)
+            for i in (chosen[at : at + (1 << 14)] for at in range(0, len(chosen), 1 << 14)):
+                p, low = a.at[i], a.low[i]
+                stop = np.minimum(p + length, end[i])
+                columns = {
+                    "run": np.full(len(i), run), "head": np.full(len(i), head or 0) if run != 2 else head[i], "name": names[slot[i] + ahead], "context": [raw[x:y] for x, y in zip(low.tolist(), stop.tolist(), strict=True)],
+                    "most": p - low, "least": p - high[i], "pid": pids[of[i]], "place": p - offsets[of[i]],
+                }
+                yield pa.RecordBatch.from_arrays([pa.array(v, kinds[c]) for c, v in columns.items()], list(columns))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["run", "head", "name", "context", "most", "least", "pid", "place"]
-        kinds = [pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.int32(), pa.int32(), pa.int64(), pa.int64()]
         for batch in batches:
-            pids, named, out = batch.column("pid").to_pylist(), batch.column("names").to_pylist(), []
-            for row, data, at, low, high in _by_piece(batch, length):
-                n = _known(at, len(data))
-                name = {x["j"]: x["name"] for x in named[row] or ()}
-                for j in range(len(at)):
-                    if high[j] < low[j]:
-                        continue
-                    p = at[j]
-                    same = (data[low[j] : p + length], p - low[j], p - high[j], pids[row], p)
-                    two = min(at[j + 1] + REACH - p, length) if j + 1 < n else length
-                    rest = j % 3 if j < n else 0  # an anchor after the last letter is a suffix of one letter by itself
-                    if rest:
-                        out.append((12, 0, name[j], *same))
-                    if rest < 2:
-                        out.append((1, REACH, name.get(j + 1, 0), *same))
-                    if rest != 1:
-                        out.append((2, two, name.get(j + 2, 0), *same))
-                    if len(out) > 1 << 14:
-                        yield _batch(out, names, kinds)
-                        out = []
-            yield _batch(out, names, kinds)
+            pids = batch.column("pid").to_numpy()
+            offsets, letter = _flat(batch.column("names"), "j")
+            name = _flat(batch.column("names"), "name")[1]
+            piece = np.repeat(np.arange(len(pids)), np.diff(offsets))
+            column = batch.column("bytes").cast(pa.large_binary())
+            for row, k, data, bounds in text_slices(pa.Array.from_buffers(pa.large_string(), len(column), column.buffers(), offset=column.offset), SLICE):
+                lo, hi = offsets[row], offsets[row + k]
+                yield from rows_of(data, bounds, pids[row : row + k], (piece[lo:hi] - row, letter[lo:hi], name[lo:hi]))
 
     return run
 
@@ -489,10 +507,13 @@ def _without(length: int, with_text: bool):
             rows = []
             for i, (doc_id, text) in enumerate(zip(batch.column("doc_id").to_pylist(), batch.column("text"), strict=True)):
                 data = np.frombuffer(text.as_buffer(), np.uint8)
+                if offsets[i] == offsets[i + 1]:
+                    row = (doc_id, len(data), 0, 0, hashlib.sha256(data).hexdigest())
+                    rows.append((*row, data.tobytes(), []) if with_text else row)
+                    continue
                 mark = np.zeros(len(data) + 1, np.int32)
-                if offsets[i] < offsets[i + 1]:
-                    np.add.at(mark, low[offsets[i] : offsets[i + 1]], 1)
-                    np.subtract.at(mark, high[offsets[i] : offsets[i + 1]] + length, 1)
+                np.add.at(mark, low[offsets[i] : offsets[i + 1]], 1)
+                np.subtract.at(mark, high[offsets[i] : offsets[i + 1]] + length, 1)
                 gone = np.cumsum(mark[:-1]) > 0
                 step = np.diff(gone.astype(np.int8), prepend=0, append=0)
                 opens, closes = np.flatnonzero(step == 1), np.flatnonzero(step == -1)

@@ -4,6 +4,7 @@ import hashlib
 import random
 from collections import Counter
 
+import pyarrow as pa
 import pytest
 
 from cardloom.llm import suffixes
@@ -102,3 +103,24 @@ def test_anchors_that_repeat_in_one_task_or_several(docs, monkeypatch, together)
             again = [(lo, hi) for at, lo, hi in zip(a.at.tolist(), a.low.tolist(), a.high.tolist(), strict=True) if count[t[at : at + 105]] > 1]
             expected |= {k: again} if again else {}
         assert found == expected
+
+
+def test_rows_of_runs_come_by_columns_and_are_those_of_each_letter():
+    rnd = random.Random(6)
+    texts = [bytes(rnd.choice(b"abc d") for _ in range(rnd.choice([200, 201, 260, 900, 4000]))) for _ in range(60)] + [b"a" * 700]
+    named, want = [], []
+    for row, data, at, low, high in suffixes._by_piece(pa.record_batch({"bytes": pa.array(texts, pa.binary())}), 200):
+        n = suffixes._known(at, len(data))
+        name = {j: rnd.randint(1, 999) for j in range(n) if j % 3}
+        named.append([{"j": j, "name": x, "needs": 1} for j, x in name.items()] or None)
+        for j, p in enumerate(at):
+            if high[j] >= low[j]:
+                same = (data[low[j] : p + 200], p - low[j], p - high[j], 7 * row, p)
+                two = min(at[j + 1] + suffixes.REACH - p, 200) if j + 1 < n else 200
+                rest = j % 3 if j < n else 0
+                want += [(12, 0, name.get(j, 0), *same)] * (rest > 0) + [(1, suffixes.REACH, name.get(j + 1, 0), *same)] * (rest < 2) + [(2, two, name.get(j + 2, 0), *same)] * (rest != 1)
+    kind = pa.list_(pa.struct([("j", pa.int32()), ("name", pa.int64()), ("needs", pa.int32())]))
+    batch = pa.record_batch({"pid": pa.array([7 * i for i in range(len(texts))], pa.int64()), "bytes": pa.array(texts, pa.binary()), "names": pa.array(named, kind)})
+    got = list(suffixes._runs(200)(iter([batch])))
+    assert sorted(tuple(r.values()) for x in got for r in x.to_pylist()) == sorted(want)
+    assert all(len(x.column("run").unique()) == 1 for x in got)  # made column by column, a run at a time
