@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cardloom.llm.common import cut, packed, unpacked, word_bounds, word_hashes
-from cardloom.llm.lines import Lines, gram_hashes, line_components
+from cardloom.llm.lines import Lines, line_components
 from cardloom.llm.simhash import near_dedup
 
 SHINGLE = 5
@@ -30,7 +30,7 @@ class Texts(Lines):
         words = text.decode("utf-8", "surrogatepass").lower().encode("utf-8", "surrogatepass").split()
         return [(0, b" ".join(words))] if words else []
 
-    def hashes(self, lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def codes(self, lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
         raw = [x.encode("utf-8", "surrogatepass") for x in lines]
         data = np.frombuffer(b"".join(raw), np.uint8)
         starts, ends, first = word_bounds(data, np.r_[0, np.cumsum([len(x) for x in raw])])
@@ -38,7 +38,11 @@ class Texts(Lines):
         length = np.maximum(n, self.shingle)
         codes = np.zeros(length.sum(), np.uint64)
         codes[np.arange(len(starts)) + np.repeat(np.cumsum(length) - length - first[:-1], n)] = word_hashes(data, starts, ends)
-        return gram_hashes(codes, length, self.shingle)
+        return codes, length
+
+    def touched(self, n: int) -> int:
+        """n characters stand in that many words at most, of which one goes on before and one behind them."""
+        return (n + 1) // 2 + 2 + self.shingle - 1
 
     def numbers(self, lines: list[str]) -> None:
         return None  # words are too many for numbers of their shingles

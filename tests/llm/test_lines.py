@@ -195,3 +195,44 @@ def test_numbers_of_shingles_say_what_shingles_say():
         assert sets.size[:5].tolist() == [1, 1, 1, 1, 1]
         alike = [len(a & b) >= 0.8 * len(a | b) for a, b in ((shingles(texts[i]), shingles(texts[j])) for i, j in pairs)]
         assert sets.alike(pairs[:, 0], pairs[:, 1], 0.8).tolist() == alike
+
+
+def test_lines_differ_in_no_more_shingles_than_stand_between_common_ends():
+    rnd = random.Random(6)
+    sure = 0
+    for of, signs, gap in ((Lines(), "ab \u00e9", ""), (Lines(), "abcdefgh", ""), (Texts(), "abc", " ")):
+        for n in (1, 4, 5, 6, 40, 300):
+            for _ in range(30):
+                x = [rnd.choice(signs) for _ in range(n)]
+                y = list(x)
+                for _ in range(rnd.choice([1, 1, 2])):
+                    at = rnd.randrange(len(y) + 1)
+                    y[at : at + rnd.randint(0, 2)] = [rnd.choice(signs + "7") for _ in range(rnd.randint(0, 3))]
+                x, y = gap.join(x), gap.join(y)
+                common, together = of.in_common(x.ljust(5, "\0"), y.ljust(5, "\0")) if not gap else of.in_common(x, y)
+                assert together - common <= lines._apart(x, y, of)
+                if lines._apart(x, y, of) + 1 <= lines.most_apart(common + together, 0.8):
+                    assert common >= 0.8 * together
+                    sure += 1
+    assert sure > 50
+    assert lines._apart("one line of words", "one line of swords", Lines()) == 4 + 5
+    common, together = Texts().in_common("a b c d e foo bar", "a b c d e foobar")
+    assert together - common <= lines._apart("a b c d e foo bar", "a b c d e foobar", Texts())
+
+
+def test_equal_buckets_stand_together_in_their_order():
+    rng = np.random.default_rng(2)
+    for top in (4, 1 << 20, (1 << 64) - 1):
+        bucket = rng.integers(0, top, 5000, np.uint64, endpoint=True)
+        assert lines._together(bucket).tolist() == np.argsort(bucket, kind="stable").tolist()
+        assert lines._together(bucket.view(np.int64)).tolist() == np.argsort(bucket, kind="stable").tolist()
+
+
+def test_bits_of_marks_are_added_up():
+    rng = np.random.default_rng(7)
+    mark = np.r_[rng.integers(0, (1 << 64) - 1, (6, 8), np.uint64, endpoint=True), np.zeros((1, 8), np.uint64), np.full((1, 8), (1 << 64) - 1, np.uint64)]
+    p, o = np.repeat(np.arange(8), 8), np.tile(np.arange(8), 8)
+    apart = np.bitwise_count(mark[p] ^ mark[o]).sum(axis=1)
+    for n in (0, 255, 256, 511, 512):
+        size = np.full(8, (n + 0.5) * 9 / 2)
+        assert (lines._alike_by_marks(p, o, size, mark, 0.8) == (apart <= n)).all()
