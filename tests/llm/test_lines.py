@@ -236,3 +236,36 @@ def test_bits_of_marks_are_added_up():
     for n in (0, 255, 256, 511, 512):
         size = np.full(8, (n + 0.5) * 9 / 2)
         assert (lines._alike_by_marks(p, o, size, mark, 0.8) == (apart <= n)).all()
+
+
+def test_only_lines_that_meet_others_are_sent(spark):
+    near = "one line of text that stands in two documents but for a sign"
+    texts = [f"{near}.\na line that no other is like", f"{near}!\nequal lines", "equal lines\nequal lines\nthird of its kind", None, ""]
+    docs = spark.createDataFrame([(i, i, t) for i, t in enumerate(texts)], "doc_id long, version long, text string").repartition(2)
+    buckets = lines.cut(lines._buckets(docs, 16, 5, Lines(), 0), "buckets")
+    met = spark.sparkContext.broadcast(lines._bits(buckets))
+    sent = lines._places(docs, Lines(), 0, met).collect()
+    assert sorted((r.doc_id, r.line) for r in sent) == [(0, 0), (1, 0), (1, 1), (2, 0), (2, 1)]
+    assert {r.text for r in sent if r.text is not None} == {f"{near}.", f"{near}!"}
+    assert sum(r.n or 0 for r in sent) == 5
+
+
+def test_lines_of_one_number_are_told_apart(spark, monkeypatch):
+    class Crowded(Lines):
+        def ids(self, lines, salt):
+            number, rest = super().ids(lines, salt)
+            return (number if salt else number & 1), rest
+
+    texts = [f"line {i % 7} of text that few documents hold, number {i % 7} {'abcdefg'[i % 7] * 9}\nits own {i} " + chr(97 + i) * 30 for i in range(20)]
+    docs = spark.createDataFrame([(i, i, t) for i, t in enumerate(texts)], "doc_id long, version long, text string")
+    want = sorted(lines.line_components(docs).collect())
+    assert [(r.doc_id, r.line, r.as_doc) for r in want] == [(i, 0, i % 7) for i in range(7, 20)]
+    assert sorted(lines.line_components(docs, of=Crowded()).collect()) == want
+    monkeypatch.setattr(lines, "_MOST_BITS", 6)  # nearly all lines share their bit with others
+    assert sorted(lines.line_components(docs).collect()) == want
+
+
+def test_a_pair_that_comes_in_many_bands_is_compared_once(spark):
+    texts = lines.cut(lines._marked(spark.createDataFrame([(i, f"the same line of text, number {i}") for i in range(2)], "id long, text string"), Lines()), "texts")
+    found = lines._verified(spark.createDataFrame([(1, 0)] * 50, "a long, b long"), texts, 0.8, Lines())
+    assert [(r.a, r.b) for r in found.collect()] == [(1, 0)]
